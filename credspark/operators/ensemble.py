@@ -74,21 +74,27 @@ def weight_grid(weight_range=None) -> list[tuple[int, float, float, float]]:
 def weight_grid_search(df: DataFrame, threshold: float = 0.5, weight_range=None, label: str = K.TARGET,
                        models=None, cost_fp: float = K.COST_FP, cost_fn: float = K.COST_FN) -> DataFrame:
     """Cost, average cost, F1 (and counts) for every weight triple at a fixed
-    threshold: one scan, two conditional sums per triple."""
+    threshold, in one scan.
+
+    Each row meets the fixed grid (216 literal triples, generated in the
+    pipeline) and is folded at once by the partial aggregate, so every task
+    emits at most 216 rows to the shuffle whatever its input size."""
     grid = weight_grid(weight_range)
+    models = models or K.MODEL_ORDER
     pos = F.col(label) == K.POSITIVE
-    aggs = [F.count(F.lit(1)).alias("n"), F.sum(F.when(pos, 1).otherwise(0)).alias("P")]
-    for i, a, b, c in grid:
-        hit = vote_expr([a, b, c], models) >= F.lit(float(threshold))
-        aggs.append(F.sum(F.when(hit & pos, 1).otherwise(0)).alias(f"tp{i}"))
-        aggs.append(F.sum(F.when(hit & ~pos, 1).otherwise(0)).alias(f"fp{i}"))
-    row = df.agg(*aggs)
-    stack = ", ".join(f"{i}, {a}D, {b}D, {c}D, tp{i}, fp{i}" for i, a, b, c in grid)
-    long = row.selectExpr("n", "P", f"stack({len(grid)}, {stack}) as (grid_pos, w_lrc, w_rfc, w_svc, tp, fp)")
-    long = long.select("grid_pos", "w_lrc", "w_rfc", "w_svc", "n",
-                       F.col("tp").cast("bigint").alias("tp"), F.col("fp").cast("bigint").alias("fp"),
-                       (F.col("P") - F.col("tp")).cast("bigint").alias("fn"),
-                       (F.col("n") - F.col("P") - F.col("fp")).cast("bigint").alias("tn"))
+    g = F.array(*[F.struct(F.lit(i).alias("grid_pos"), F.lit(a).alias("w_lrc"), F.lit(b).alias("w_rfc"),
+                           F.lit(c).alias("w_svc")) for i, a, b, c in grid])
+    x = df.select(pos.alias("_pos"), *[F.col(f"proba_{m}") for m in models], F.explode(g).alias("_g"))
+    w = [F.col("_g.w_lrc"), F.col("_g.w_rfc"), F.col("_g.w_svc")]
+    e = (w[0] * F.col(f"proba_{models[0]}") + w[1] * F.col(f"proba_{models[1]}")
+         + w[2] * F.col(f"proba_{models[2]}")) / (w[0] + w[1] + w[2])
+    hit = e >= F.lit(float(threshold))
+    s = lambda c: F.sum(F.when(c, 1).otherwise(0)).cast("bigint")
+    long = x.groupBy(F.col("_g.grid_pos").alias("grid_pos"), F.col("_g.w_lrc").alias("w_lrc"),
+                     F.col("_g.w_rfc").alias("w_rfc"), F.col("_g.w_svc").alias("w_svc")).agg(
+        s(hit & F.col("_pos")).alias("tp"), s(hit & ~F.col("_pos")).alias("fp"),
+        s(~hit & F.col("_pos")).alias("fn"), s(~hit & ~F.col("_pos")).alias("tn"),
+        F.count(F.lit(1)).alias("n"))
     c, m = cost_exprs(cost_fp, cost_fn), metric_exprs()
     return long.select("grid_pos", "w_lrc", "w_rfc", "w_svc", "tp", "fp", "fn", "tn",
                        c["total_cost"].cast("double").alias("cost"), c["avg_cost"], m["f1"])
@@ -147,15 +153,16 @@ def tune_ensemble(df: DataFrame, label: str = K.TARGET, weight_range=None, lo: i
     then the threshold (least cost, lowest threshold on ties), then the final
     evaluation with both.  One row."""
     grid = weight_grid_search(df, fixed_threshold, weight_range, label)
-    best = grid.orderBy("cost", "grid_pos").limit(1).select("w_lrc", "w_rfc", "w_svc")
-    best = F.broadcast(best)  # one row
-    wsum = F.col("w_lrc") + F.col("w_rfc") + F.col("w_svc")
-    e = (F.col("w_lrc") * F.col("proba_lrc") + F.col("w_rfc") * F.col("proba_rfc")
-         + F.col("w_svc") * F.col("proba_svc")) / wsum
-    scored = df.crossJoin(best).withColumn("ensemble_proba", e)
+    # The winners are single rows: resolve them once (a bounded collect) so
+    # later stages do not recompute the grid and can use literals.
+    b = grid.orderBy("cost", "grid_pos").select("w_lrc", "w_rfc", "w_svc").first()
+    weights = [b["w_lrc"], b["w_rfc"], b["w_svc"]]
+    scored = df.select("*", *[F.lit(w).alias(n) for w, n in zip(weights, ("w_lrc", "w_rfc", "w_svc"))],
+                       vote_expr(weights).alias("ensemble_proba"))
     sweep = threshold_sweep(scored, "ensemble_proba", label, lo, hi)
-    bt = F.broadcast(sweep.orderBy("cost", "threshold").limit(1).select("threshold"))
-    final = scored.crossJoin(bt).withColumn("ensemble_pred", (F.col("ensemble_proba") >= F.col("threshold")).cast("int"))
+    t = sweep.orderBy("cost", "threshold").select("threshold").first()["threshold"]
+    final = scored.withColumn("threshold", F.lit(t)) \
+        .withColumn("ensemble_pred", (F.col("ensemble_proba") >= F.lit(t)).cast("int"))
     pos = F.col(label) == K.POSITIVE
     pp = F.col("ensemble_pred") == K.POSITIVE
     s = lambda c: F.sum(F.when(c, 1).otherwise(0)).cast("bigint")

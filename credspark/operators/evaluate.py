@@ -35,7 +35,8 @@ def confusion_counts(df: DataFrame, label: str = K.TARGET, pred: str = "ensemble
 
 def cost_exprs(cost_fp: float = K.COST_FP, cost_fn: float = K.COST_FN) -> dict[str, Column]:
     total = F.col("fp") * cost_fp + F.col("fn") * cost_fn
-    return {"total_cost": total, "avg_cost": F.round(F.try_divide(total, F.col("n")), R)}
+    return {"total_cost": total.alias("total_cost"),
+            "avg_cost": F.round(F.try_divide(total, F.col("n")), R).alias("avg_cost")}
 
 
 def metric_exprs() -> dict[str, Column]:
@@ -43,12 +44,13 @@ def metric_exprs() -> dict[str, Column]:
     z = lambda e: F.coalesce(e, F.lit(0.0))  # noqa: E731  (0 on empty denominators)
     precision = z(F.try_divide(tp, tp + fp))
     recall = z(F.try_divide(tp, tp + fn))
-    return {
+    m = {
         "accuracy": F.round(F.try_divide(tp + tn, n), R),
         "precision": F.round(precision, R),
         "recall": F.round(recall, R),
         "f1": F.round(z(F.try_divide(2 * tp, 2 * tp + fp + fn)), R),
     }
+    return {k: v.alias(k) for k, v in m.items()}
 
 
 def cost_metric(df: DataFrame, label: str = K.TARGET, pred: str = "ensemble_pred",

@@ -23,17 +23,35 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _cut_points(v: DataFrame, order_col: str, n_buckets: int) -> list[float]:
+PROBES = 256  # cut points resolved by the first (and usually only) job
+
+
+def _cut_points(v: DataFrame, order_col: str, n_buckets: int | None,
+                rows_per_bucket: int = 2_000_000, minimum: int = 16) -> list[float]:
+    """Bounded list of cut points (at most ``n_buckets - 1`` numbers).
+
+    One job estimates the number of distinct keys and 255 quantiles at once;
+    only when the data need more than 256 buckets is a second, finer job run."""
+    x = F.col(order_col).cast("double")
+    probs = [i / PROBES for i in range(1, PROBES)]
+    row = v.agg(F.approx_count_distinct(order_col).alias("n"),
+                F.percentile_approx(x, probs, 10000).alias("q")).first()
+    if n_buckets is None:
+        n = row["n"] or 0
+        n_buckets = int(max(minimum, math.ceil(n / rows_per_bucket)))
     if n_buckets <= 1:
         return []
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    row = v.agg(F.percentile_approx(F.col(order_col).cast("double"), probs, 10000).alias("q")).first()
-    qs = row["q"] or []
-    return sorted({float(q) for q in qs if q is not None and not math.isnan(q)})
+    if n_buckets <= PROBES:
+        step = PROBES / n_buckets
+        picks = [row["q"][int(round(i * step)) - 1] for i in range(1, n_buckets)] if row["q"] else []
+    else:
+        probs = [i / n_buckets for i in range(1, n_buckets)]
+        picks = v.agg(F.percentile_approx(x, probs, max(10000, 4 * n_buckets)).alias("q")).first()["q"] or []
+    return sorted({float(q) for q in picks if q is not None and not math.isnan(q)})
 
 
 def default_buckets(v: DataFrame, order_col: str, rows_per_bucket: int = 2_000_000,
-                    minimum: int = 16, maximum: int = 8192) -> int:
+                    minimum: int = 16, maximum: int = 65536) -> int:
     """Bucket count grows with the number of distinct values (bounded task size)."""
     n = v.agg(F.approx_count_distinct(order_col).alias("n")).first()["n"] or 0
     return int(min(maximum, max(minimum, math.ceil(n / rows_per_bucket))))
@@ -53,8 +71,6 @@ def running_totals(v: DataFrame, order_col: str, sum_cols: list[str], group_cols
     ordering key; rows with equal keys would be split arbitrarily."""
     group_cols = list(group_cols or [])
     tie_cols = list(tie_cols or [])
-    if n_buckets is None:
-        n_buckets = default_buckets(v, order_col)
     cuts = _cut_points(v, order_col, n_buckets)
     vb = v.withColumn("_bkt", bucket_expr(F.col(order_col), cuts))
     totals = vb.groupBy(*group_cols, "_bkt").agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols])
