@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["q_features", "q_eval"]
+MODULES = ["q_features", "q_eval", "q_profile", "q_stats", "q_encode", "q_ml", "q_io"]
 
 QUERIES: dict = {}
 ORACLE: dict = {}
