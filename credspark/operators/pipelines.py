@@ -11,6 +11,7 @@ be given whole to ``CrossValidator`` (encoders refit inside every fold).
 from __future__ import annotations
 
 import json
+import math
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Pipeline
@@ -22,8 +23,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from credspark import constants as K
-from credspark.operators.encoders import (CategoryEncoder, FeatureEngineerTransformer, OneHotAllEncoder,
-                                          PopulationScaler, apply_state, onehot_exprs, onehot_name)
+from credspark.operators.encoders import (FeatureEngineerTransformer,
+                                          apply_state, onehot_exprs, onehot_name)
 
 KINDS = ("woe", "target", "count", "ordinal")
 
@@ -41,24 +42,68 @@ class EncodingPlan(Estimator, DefaultParamsReadable, DefaultParamsWritable):
         self._set(**self._input_kwargs)
 
     def _fit(self, df: DataFrame):
+        """Two passes whatever the spec: per-(column, level) statistics of every
+        categorical column at once, and one row of totals and scaler moments.
+        The per-level table (bounded by the levels) then gives every state."""
         spec = json.loads(self.getOrDefault("spec"))
         label = self.getOrDefault("labelCol")
-        fitted: dict = {}
-        if spec.get("onehot"):
-            m = OneHotAllEncoder(inputCols=spec["onehot"]).fit(df)
-            fitted["onehot"] = json.loads(m.getOrDefault("levels"))
-        for kind in KINDS:
-            if spec.get(kind):
-                m = CategoryEncoder(kind=kind, inputCols=spec[kind], labelCol=label,
-                                    smoothing=float(spec.get("target_smoothing", 1.0))).fit(df)
-                fitted[kind] = [json.loads(m.getOrDefault("state")), m.getOrDefault("prior")]
-        if spec.get("scale"):
-            m = PopulationScaler(inputCols=spec["scale"]).fit(df)
-            fitted["scale"] = json.loads(m.getOrDefault("stats"))
+        cats = list(dict.fromkeys(c for k in ("onehot", *KINDS) for c in spec.get(k, [])))
+        scale = spec.get("scale", [])
+        has_label = label in df.columns
+        y = F.col(label).cast("double") if has_label else F.lit(0.0)
+        stats: dict = {}
+        if cats:
+            first = F.min(K.ROW_ID) if K.ROW_ID in df.columns else F.lit(0)
+            long = df.select(y.alias("_y"), (F.col(K.ROW_ID) if K.ROW_ID in df.columns else F.lit(0)).alias(K.ROW_ID),
+                             *[F.col(c).cast("string").alias(c) for c in cats]) \
+                .unpivot(["_y", K.ROW_ID], cats, "column_name", "level").filter(F.col("level").isNotNull())
+            g = long.groupBy("column_name", "level").agg(F.count(F.lit(1)).alias("n"), F.sum("_y").alias("pos"),
+                                                         first.alias("first"))
+            for r in g.collect():  # one row per level of each column
+                stats.setdefault(r["column_name"], []).append((r["level"], r["n"], r["pos"], r["first"]))
+        tot = df.agg(F.count(F.lit(1)).alias("NN"), F.sum(y).alias("P"),
+                     *[F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(scale)],
+                     *[F.stddev_pop(F.col(c).cast("double")).alias(f"s{i}") for i, c in enumerate(scale)]).first()
+        fitted = states_from_stats(spec, stats, tot["NN"], tot["P"] or 0.0)
+        if scale:
+            fitted["scale"] = {c: [tot[f"m{i}"], tot[f"s{i}"]] for i, c in enumerate(scale)}
         return EncodingPlanModel(spec=json.dumps(spec), fitted=json.dumps(fitted),
                                  keepCols=self.getOrDefault("keepCols"), assemble=self.getOrDefault("assemble"))
 
 
+def states_from_stats(spec: dict, stats: dict, nn: int, p: float, regularization: float = 1.0,
+                      min_samples_leaf: int = 20) -> dict:
+    """Encoder states from per-level (level, n, positives, first row id)."""
+    fitted: dict = {}
+    a, s = regularization, float(spec.get("target_smoothing", 1.0))
+    prior = p / nn if nn else 0.0
+
+    def order(col):
+        return [lv for lv, *_ in sorted(stats.get(col, []), key=lambda t: (t[3], t[0]))]
+
+    if spec.get("onehot"):
+        fitted["onehot"] = {c: order(c) for c in spec["onehot"]}
+    for kind in KINDS:
+        if not spec.get(kind):
+            continue
+        st = {}
+        for c in spec[kind]:
+            m = {}
+            if kind == "ordinal":
+                m = {lv: float(i + 1) for i, lv in enumerate(order(c))}
+            for lv, n, pos, _ in stats.get(c, []):
+                if kind == "woe":
+                    m[lv] = 0.0 if n == 1 else math.log(((pos + a) / (p + 2 * a)) / ((n - pos + a) / (nn - p + 2 * a)))
+                elif kind == "target":
+                    w = 1.0 / (1.0 + math.exp(-(n - float(min_samples_leaf)) / s))
+                    m[lv] = prior * (1 - w) + (pos / n) * w
+                elif kind == "count":
+                    m[lv] = n / nn
+            st[c] = m
+        fitted[kind] = [st, prior if kind == "target" else 0.0]
+    return fitted
+
+
 class EncodingPlanModel(Model, DefaultParamsReadable, DefaultParamsWritable):
     spec = Param(Params._dummy(), "spec", "encoder spec (JSON)", TypeConverters.toString)
     fitted = Param(Params._dummy(), "fitted", "fitted states (JSON)", TypeConverters.toString)
