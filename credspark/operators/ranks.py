@@ -57,10 +57,24 @@ def default_buckets(v: DataFrame, order_col: str, rows_per_bucket: int = 2_000_0
     return int(min(maximum, max(minimum, math.ceil(n / rows_per_bucket))))
 
 
+def count_below(x: Column, cuts: list[float], inclusive: bool = False) -> Column:
+    """Number of sorted ``cuts`` below x (or at most x when ``inclusive``), as a
+    balanced binary search of CASE expressions: whole-stage codegen keeps it
+    JVM-side (a lambda over an array would fall back to interpretation)."""
+    xd = x.cast("double")
+
+    def go(lo: int, hi: int) -> Column:
+        if lo >= hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        cond = (xd >= F.lit(float(cuts[mid]))) if inclusive else (xd > F.lit(float(cuts[mid])))
+        return F.when(cond, go(mid + 1, hi)).otherwise(go(lo, mid))
+
+    return go(0, len(cuts))
+
+
 def bucket_expr(x: Column, cuts: list[float]) -> Column:
-    if not cuts:
-        return F.lit(0)
-    return F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c < x.cast("double")))
+    return count_below(x, cuts) if cuts else F.lit(0)
 
 
 def running_totals(v: DataFrame, order_col: str, sum_cols: list[str], group_cols: list[str] | None = None,

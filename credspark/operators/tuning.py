@@ -25,7 +25,7 @@ from credspark.operators.evaluate import evaluate_model, roc_auc
 from credspark.operators.models import ProbaColumn, forest, logistic
 from credspark.operators.pipelines import build_pipeline
 from credspark.operators.profile import seed_summary
-from credspark.operators.ranks import row_numbers
+from credspark.operators.ranks import count_below, row_numbers
 from credspark.operators.splits import class_weights, kfold_assign
 
 FitFn = Callable[[DataFrame], object]  # train DataFrame -> fitted model with .transform giving ``proba``
@@ -150,7 +150,7 @@ def tune_threshold_cv(oof: DataFrame, n_thresholds: int = 100, proba: str = "pro
     lo, hi = oof.agg(F.min(proba), F.max(proba)).first()
     step = (hi - lo) / (n_thresholds - 1)
     cands = [lo + i * step for i in range(n_thresholds - 1)] + [hi]
-    reach = F.size(F.filter(F.array(*[F.lit(float(c)) for c in cands]), lambda t: t <= F.col(proba)))
+    reach = count_below(F.col(proba), cands, inclusive=True)
     pos = F.col(label) == K.POSITIVE
     h = oof.groupBy(fold_col, reach.alias("k")).agg(F.sum(F.when(pos, 1).otherwise(0)).alias("pos"),
                                                    F.sum(F.when(pos, 0).otherwise(1)).alias("neg"))

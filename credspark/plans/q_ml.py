@@ -126,6 +126,7 @@ def q_tune_threshold_cv(spark, d):
 
 
 KEY8 = duck_md5_bucket("'8_' || CAST(row_id AS VARCHAR)", SP.HASH_KEY_MOD)
+Q["tune_threshold_cv"] = q_tune_threshold_cv
 S["tune_threshold_cv"] = sql(
     f", f AS (SELECT class, proba_lrc AS p, (row_number() OVER (PARTITION BY class ORDER BY {KEY8}, row_id) - 1) % 5"
     " AS fold FROM scored)"
