@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from credspark import constants as K
-from credspark.operators.ranks import running_totals
+from credspark.operators.ranks import row_numbers, running_totals
 
 R = 6
 
@@ -226,7 +226,7 @@ def kde_curve(df: DataFrame, column: str, grid: int = 100, group: str | None = N
     st = base.groupBy(*gcols).agg(F.count(F.lit(1)).alias("_n"), F.stddev_samp("x").alias("_sd"),
                                   F.min("x").alias("_lo"), F.max("x").alias("_hi"))
     st = st.select(*gcols, "_n", "_lo", "_hi", (F.col("_sd") * F.pow(F.col("_n"), -0.2)).alias("_h"))
-    j = vc.join(F.broadcast(st), gcols) if gcols else vc.crossJoin(F.broadcast(st))
+    j = vc.join(st, gcols) if gcols else vc.crossJoin(F.broadcast(st))  # per-group stats: AQE decides
     pts = F.sequence(F.lit(0), F.lit(grid - 1))
     e = j.select(*gcols, "x", "c", "_n", "_h", "_lo", "_hi", F.explode(pts).alias("i"))
     lo = F.col("_lo") - cut * F.col("_h")
@@ -244,7 +244,8 @@ def box_stats(df: DataFrame, value: str, group: str | None = None, k: float = 1.
     sub = df.select(*gcols, F.col(value).cast("double").alias("value")).dropna()
     q = exact_quantiles(sub, [0.25, 0.5, 0.75], gcols, names=["q1", "median", "q3"])
     q = q.select("*", (F.col("q3") - F.col("q1")).alias("iqr"))
-    j = sub.join(F.broadcast(q), gcols) if gcols else sub.crossJoin(F.broadcast(q))  # one row per group
+    # one row per group: AQE broadcasts it when small; without groups it is one row
+    j = sub.join(q, gcols) if gcols else sub.crossJoin(F.broadcast(q))
     lo_f = F.col("q1") - k * F.col("iqr")
     hi_f = F.col("q3") + k * F.col("iqr")
     v = F.col("value")
@@ -318,3 +319,24 @@ def quick_profile(df: DataFrame, columns: list[str] | None = None, max_levels: i
 
 def cast_bigint(c: Column) -> Column:
     return c.cast("bigint")
+
+
+def qq_points(df: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
+    """Normal probability plot data: ordered values against normal quantiles
+    of Filliben's order-statistic medians, and the least-squares line.
+
+    The order comes from distributed row numbers; quantiles are a vectorized
+    pandas UDF; the fit is three aggregates (slope, intercept, r)."""
+    from credspark.functions.distributions import norm_ppf_udf
+    x = df.select(F.col(column).cast("double").alias("value")).dropna()
+    n = x.count()
+    rn = row_numbers(x, "value", name="i")
+    i = F.col("i").cast("double")
+    last = 0.5 ** (1.0 / n) if n else 0.0
+    m = F.when(F.col("i") == n, F.lit(last)).when(F.col("i") == 1, F.lit(1.0 - last)) \
+        .otherwise((i - 0.3175) / (n + 0.365))
+    pts = rn.select("i", F.col("value").alias("ordered_value"), norm_ppf_udf(m).alias("theoretical_quantile"))
+    fit = pts.agg(F.regr_slope("ordered_value", "theoretical_quantile").alias("slope"),
+                  F.regr_intercept("ordered_value", "theoretical_quantile").alias("intercept"),
+                  F.corr("ordered_value", "theoretical_quantile").alias("r"), F.count(F.lit(1)).alias("n"))
+    return pts, fit

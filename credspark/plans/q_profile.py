@@ -312,3 +312,13 @@ S["seed_summary"] = sql(
     " round(min(value), 6) AS min, round(max(value), 6) AS max, round(max(value) - min(value), 6) AS range"
     " FROM l GROUP BY metric")
 Q["seed_summary"] = q_seed_summary
+
+
+def q_qq_points(spark, d):
+    """Q-Q points of the engineered credit log with the fitted line attached."""
+    from credspark.operators import features as FE
+    pts, fit = PR.qq_points(FE.feature_engineer(apps(spark, d)), "credit_log")
+    return round_doubles(pts.crossJoin(fit))  # fit: one row
+
+
+Q["qq_points"] = q_qq_points
