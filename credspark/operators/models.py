@@ -52,7 +52,16 @@ class ProbaColumn(Transformer, DefaultParamsReadable, DefaultParamsWritable):
 
 
 def _fit(stages, train: DataFrame) -> PipelineModel:
-    return Pipeline(stages=stages).fit(train)
+    """Fit the feature stages, persist the encoded matrix once (the estimator
+    passes over it many times; lost blocks are recomputed from lineage), fit
+    the estimator on it, release it."""
+    prep = Pipeline(stages=stages[:-2]).fit(train)
+    x = prep.transform(train).persist()
+    try:
+        est = stages[-2].fit(x)
+    finally:
+        x.unpersist()
+    return PipelineModel(stages=[*prep.stages, est, stages[-1]])
 
 
 def logistic(C: float = 1.0, n: int = 1, max_iter: int = 1000, weight_col: str | None = None) -> LogisticRegression:
@@ -65,12 +74,16 @@ def logistic(C: float = 1.0, n: int = 1, max_iter: int = 1000, weight_col: str |
 
 def train_logistic(train: DataFrame, C: float = 1.0, class_weight=None, max_iter: int = 1000,
                    kind: str = "lrc") -> PipelineModel:
-    n = train.count()
     if class_weight:
         train = with_weights(train, class_weight)
-    prep = build_pipeline(kind, keep_cols=[K.ROW_ID, K.TARGET] + (["weight"] if class_weight else []))
-    return _fit([*prep.getStages(), logistic(C, n, max_iter, "weight" if class_weight else None), ProbaColumn()],
-                train)
+    prep = build_pipeline(kind, keep_cols=[K.ROW_ID, K.TARGET] + (["weight"] if class_weight else [])).fit(train)
+    x = prep.transform(train).persist()
+    try:
+        n = x.count()  # materializes the cache the solver iterates over
+        lr = logistic(C, n, max_iter, "weight" if class_weight else None).fit(x)
+    finally:
+        x.unpersist()
+    return PipelineModel(stages=[*prep.stages, lr, ProbaColumn()])
 
 
 def forest(num_trees: int = 100, max_depth: int = 8, min_leaf: int = 1, subsample: float = 1.0,

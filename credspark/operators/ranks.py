@@ -87,7 +87,11 @@ def running_totals(v: DataFrame, order_col: str, sum_cols: list[str], group_cols
     tie_cols = list(tie_cols or [])
     cuts = _cut_points(v, order_col, n_buckets)
     vb = v.withColumn("_bkt", bucket_expr(F.col(order_col), cuts))
-    totals = vb.groupBy(*group_cols, "_bkt").agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols])
+    w = Window.partitionBy(*group_cols, "_bkt").orderBy(order_col, *tie_cols) \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    runs = vb.select("*", *[F.sum(c).over(w).alias(f"_r_{c}") for c in sum_cols])
+    # bucket totals from the same windowed rows: both branches read one shuffle
+    totals = runs.groupBy(*group_cols, "_bkt").agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols])
     wo = (Window.partitionBy(*group_cols).orderBy("_bkt") if group_cols else Window.orderBy("_bkt")) \
         .rowsBetween(Window.unboundedPreceding, -1)
     # ``totals`` has (groups x buckets) rows: small, so the un-partitioned
@@ -96,9 +100,6 @@ def running_totals(v: DataFrame, order_col: str, sum_cols: list[str], group_cols
                             *[F.coalesce(F.sum(f"_t_{c}").over(wo), F.lit(0)).alias(f"_o_{c}") for c in sum_cols])
     if not group_cols:
         offsets = F.broadcast(offsets)  # at most n_buckets rows
-    w = Window.partitionBy(*group_cols, "_bkt").orderBy(order_col, *tie_cols) \
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    runs = vb.select("*", *[F.sum(c).over(w).alias(f"_r_{c}") for c in sum_cols])
     out = runs.join(offsets, on=[*group_cols, "_bkt"], how="inner")
     return out.select(*v.columns, *[(F.col(f"_o_{c}") + F.col(f"_r_{c}")).alias(f"{c}{suffix}") for c in sum_cols])
 

@@ -212,7 +212,7 @@ def ttest_ind(df: DataFrame, group: str, value: str, id_col: str | None = K.ROW_
     sp2 = ((n1 - 1) * F.col("v1") + (n2 - 1) * F.col("v2")) / (n1 + n2 - 2)
     t = (F.col("m1") - F.col("m2")) / F.sqrt(sp2 * (1 / n1 + 1 / n2))
     d = F.when(F.sqrt(sp2) > 0, (F.col("m1") - F.col("m2")) / F.sqrt(sp2)).otherwise(0.0)
-    out = j.select("group1", "group2", "n1", "n2", t.alias("t_stat"), (n1 + n2 - 2).alias("dof"),
+    out = j.select("group1", "group2", "n1", "n2", t.alias("t_stat"), (F.col("n1") + F.col("n2") - 2).alias("dof"),
                    d.alias("cohens_d"),
                    F.when(F.abs(d) < 0.2, "small").when(F.abs(d) < 0.8, "medium").otherwise("large")
                    .alias("effect_label"))
@@ -339,7 +339,7 @@ def compare_groups(df: DataFrame, group: str, value: str, parametric: bool = Tru
                             *(["p_value"] if with_p else [])).crossJoin(eff)
     lev = levene(df, group, value, with_p).select(
         "levene_stat", *([F.col("p_value").alias("levene_p")] if with_p else []))
-    out = out.select(F.lit(int(k)).alias("n_groups"), "*").join(lev, how="left")
+    out = out.select(F.lit(int(k)).cast("bigint").alias("n_groups"), "*").join(lev, how="left")
     if with_p:
         out = out.withColumn("significant", F.col("p_value") < ALPHA) \
             .withColumn("equal_variances", F.col("levene_p") > ALPHA)

@@ -103,7 +103,7 @@ def q_split_stats(spark, d):
 Q["split_stats"] = q_split_stats
 S["split_stats"] = sql(
     SPLIT_SQL + ", g AS (SELECT split, class, count(*) AS n FROM s GROUP BY ALL)"
-    " SELECT split, class, n, sum(n) OVER (PARTITION BY split) AS split_n,"
+    " SELECT split, class, n, CAST(sum(n) OVER (PARTITION BY split) AS BIGINT) AS split_n,"
     " round(sum(n) OVER (PARTITION BY split) / sum(n) OVER (), 6) AS split_share,"
     " round(n / sum(n) OVER (PARTITION BY split), 6) AS class_share FROM g")
 
@@ -235,7 +235,8 @@ S["pr_curve"] = sql(
     ", c AS (SELECT ensemble_proba, sum(n_pos) OVER (ORDER BY ensemble_proba DESC ROWS UNBOUNDED PRECEDING) AS tp,"
     " sum(n - n_pos) OVER (ORDER BY ensemble_proba DESC ROWS UNBOUNDED PRECEDING) AS fp,"
     " sum(n_pos) OVER () AS P, sum(n) OVER () AS NN FROM v)"
-    " SELECT ensemble_proba AS threshold, tp, fp, round(tp / (tp + fp), 6) AS precision,"
+    " SELECT ensemble_proba AS threshold, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp,"
+    " round(tp / (tp + fp), 6) AS precision,"
     " round(tp / P, 6) AS recall, round(P / NN, 6) AS baseline FROM c")
 
 

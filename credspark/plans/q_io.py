@@ -43,7 +43,8 @@ def q_read_coded_text(spark, d):
 Q["read_coded_text"] = q_read_coded_text
 # positional ids equal the order keys, which are 0..n-1 in the derived view
 S["read_coded_text"] = sql("SELECT row_number() OVER (ORDER BY row_id) - 1 AS row_id, "
-                           + ", ".join(c for c in K.COLUMNS) + " FROM applications")
+                           + ", ".join(f"CAST({c} AS BIGINT) AS {c}" if c in K.NUMERIC_COLUMNS else c
+                                       for c in K.COLUMNS) + " FROM applications")
 
 
 def q_read_csv_typed(spark, d):
@@ -66,7 +67,7 @@ def q_write_split(spark, d):
 Q["write_split"] = q_write_split
 S["write_split"] = sql(
     ", s AS (SELECT *, CASE WHEN row_id IN (SELECT row_id FROM app_test) THEN 'test' ELSE 'train' END AS split"
-    " FROM applications) SELECT split, class, count(*) AS n, sum(credit_amount) AS amount FROM s GROUP BY ALL")
+    " FROM applications) SELECT split, class, count(*) AS n, CAST(sum(credit_amount) AS BIGINT) AS amount FROM s GROUP BY ALL")
 
 
 def q_class_head_sample(spark, d):

@@ -224,7 +224,7 @@ def _kde_sql(group=None):
         f", grid AS (SELECT i FROM range(0, 50) t(i))"
         f", e AS (SELECT {('vc.' + group + ', ') if group else ''}i, (st.lo - 3.0 * h) + ((st.hi + 3.0 * h)"
         f" - (st.lo - 3.0 * h)) * i / 49 AS gx, vc.x, c, nn, h FROM vc JOIN st{on} CROSS JOIN grid)"
-        f" SELECT {g}i AS grid_index, round(gx, 10) AS x,"
+        f" SELECT {g}CAST(i AS INTEGER) AS grid_index, round(gx, 10) AS x,"
         f" round(sum(c * exp(-0.5 * ((gx - x) / h) * ((gx - x) / h)) / (h * sqrt(2 * pi()))) / nn, 10)"
         f" AS density FROM e GROUP BY {g}i, gx, nn")
 

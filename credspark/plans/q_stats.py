@@ -183,7 +183,8 @@ Q["anova_oneway"] = q_anova_oneway
 S["anova_oneway"] = sql(
     PURPOSE_SUB + ", mo AS (SELECT g, count(*) AS n, avg(x) AS m, var_samp(x) AS v FROM sub GROUP BY g)"
     + _anova_tail("mo")
-    + " SELECT k AS n_groups, nn AS total_n, round(f, 6) AS f_stat, k - 1 AS df_between, nn - k AS df_within,"
+    + " SELECT k AS n_groups, CAST(nn AS BIGINT) AS total_n, round(f, 6) AS f_stat, k - 1 AS df_between,"
+    " CAST(nn - k AS BIGINT) AS df_within,"
     " round(eta, 6) AS eta_squared, CASE WHEN eta < 0.01 THEN 'small' WHEN eta < 0.06 THEN 'medium' ELSE 'large'"
     " END AS effect_label FROM fin")
 
@@ -196,7 +197,7 @@ Q["kruskal_wallis"] = q_kruskal_wallis
 S["kruskal_wallis"] = sql(
     PURPOSE_SUB + RANKSUMS
     + ", h AS (SELECT count(*) AS k, sum(rsum * rsum / n) AS s FROM rs)"
-    " SELECT k AS n_groups, nn AS total_n, round((12.0 / (CAST(nn AS DOUBLE) * (nn + 1)) * s - 3 * (nn + 1))"
+    " SELECT k AS n_groups, CAST(nn AS BIGINT) AS total_n, round((12.0 / (CAST(nn AS DOUBLE) * (nn + 1)) * s - 3 * (nn + 1))"
     " / (1 - tie / (CAST(nn AS DOUBLE) * nn * nn - nn)), 6) AS h_stat, k - 1 AS dof FROM h, ties")
 
 LEVENE_SQL = (
@@ -212,8 +213,8 @@ def q_levene(spark, d):
 Q["levene"] = q_levene
 S["levene"] = sql(
     PURPOSE_SUB + LEVENE_SQL + _anova_tail("mz", with_effect=False)
-    + " SELECT k AS n_groups, nn AS total_n, round(f, 6) AS levene_stat, k - 1 AS df_between,"
-    " nn - k AS df_within FROM fin WHERE (SELECT min(n) FROM mz) >= 2")
+    + " SELECT k AS n_groups, CAST(nn AS BIGINT) AS total_n, round(f, 6) AS levene_stat, k - 1 AS df_between,"
+    " CAST(nn - k AS BIGINT) AS df_within FROM fin WHERE (SELECT min(n) FROM mz) >= 2")
 
 
 def q_compare_groups(spark, d):
@@ -255,7 +256,7 @@ def _chi2_sql(a: str, b: str, yates: bool = True, x: str = "") -> str:
 
 
 def _chi2_select(a, b):
-    return (f" SELECT {qs(a)} AS variable1, {qs(b)} AS variable2, nn AS n_obs, round(chi2, 6) AS chi2_stat, dof,"
+    return (f" SELECT {qs(a)} AS variable1, {qs(b)} AS variable2, CAST(nn AS BIGINT) AS n_obs, round(chi2, 6) AS chi2_stat, dof,"
             " round(min_e, 6) AS min_expected, round(pct_low, 6) AS pct_cells_low_expected,"
             " min_e >= 5 AS assumption_met, round(cv, 6) AS cramers_v, CASE WHEN cv < 0.1 THEN 'negligible'"
             " WHEN cv < 0.3 THEN 'small' WHEN cv < 0.5 THEN 'medium' ELSE 'large' END AS effect_label FROM v")
@@ -284,7 +285,7 @@ def q_cramers_v(spark, d):
 
 Q["cramers_v"] = q_cramers_v
 S["cramers_v"] = sql(
-    _chi2_sql("purpose", "class") + " SELECT 'purpose' AS variable1, 'class' AS variable2, nn AS n_obs,"
+    _chi2_sql("purpose", "class") + " SELECT 'purpose' AS variable1, 'class' AS variable2, CAST(nn AS BIGINT) AS n_obs,"
     " round(cv, 6) AS cramers_v, CASE WHEN cv < 0.1 THEN 'negligible' WHEN cv < 0.3 THEN 'small'"
     " WHEN cv < 0.5 THEN 'medium' ELSE 'large' END AS effect_label FROM v")
 

@@ -26,6 +26,10 @@ def duck_con(sf_dir: str):
     return con
 
 
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "float": "FLOAT", "smallint": "SMALLINT", "tinyint": "TINYINT"}
+
+
 def _norm(v):
     if v is None:
         return "NULL"
@@ -63,6 +67,12 @@ def compare(spark, con, name, fn, sql, sf_dir):
     problems = []
     if sorted(scols) != sorted(dcols):
         problems.append(f"columns spark={sorted(scols)} duck={sorted(dcols)}")
+    stypes = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+              for f in sdf.schema.fields}
+    dtypes = {d[0]: str(d[1]) for d in res.description}
+    bad_types = {c: (stypes[c], dtypes[c]) for c in stypes if c in dtypes and stypes[c] != dtypes[c]}
+    if bad_types:
+        problems.append(f"types {bad_types}")
     if len(srows) != len(drows):
         problems.append(f"rows spark={len(srows)} duck={len(drows)}")
     if not problems:
