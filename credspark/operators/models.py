@@ -65,8 +65,9 @@ def _fit(stages, train: DataFrame) -> PipelineModel:
 
 
 def logistic(C: float = 1.0, n: int = 1, max_iter: int = 1000, weight_col: str | None = None) -> LogisticRegression:
+    # tol 1e-4 is the stopping tolerance of the solver the source used
     lr = LogisticRegression(featuresCol="features", labelCol=K.TARGET, regParam=1.0 / (C * max(n, 1)),
-                            elasticNetParam=0.0, standardization=False, maxIter=max_iter)
+                            elasticNetParam=0.0, standardization=False, maxIter=max_iter, tol=1e-4)
     if weight_col:
         lr.setWeightCol(weight_col)
     return lr

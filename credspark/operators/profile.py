@@ -289,14 +289,15 @@ def seed_summary(metrics: DataFrame, metric_cols: list[str], seed_col: str = "se
         (F.max("value") - F.min("value")).alias("range"))
 
 
-def quick_profile(df: DataFrame, columns: list[str] | None = None, max_levels: int = 10) -> DataFrame:
+def quick_profile(df: DataFrame, columns: list[str] | None = None, max_levels: int = 10,
+                  approx: bool = False) -> DataFrame:
     """Profile every column by its detected kind, in one long result.
 
     The kinds are decided from the schema and one distinct-count pass (a
     bounded collect: one row per column), then each kind is profiled by the
     grouped operators above."""
     from credspark.operators.features import detect_column_kinds
-    kinds = {r["column_name"]: r["kind"] for r in detect_column_kinds(df, columns, max_levels).collect()}
+    kinds = {r["column_name"]: r["kind"] for r in detect_column_kinds(df, columns, max_levels, approx).collect()}
     num = [c for c, k in kinds.items() if k == "numerical"]
     cat = [c for c, k in kinds.items() if k == "categorical"]
     parts = []

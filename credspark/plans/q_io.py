@@ -20,9 +20,9 @@ from credspark.operators import splits as SP
 from credspark.session import checkpoint_dir
 from credspark.sources import io as IO
 from credspark.sources import registry as RG
-from credspark.sources.fixtures import APPLICATION_COLUMNS, score_columns
+from credspark.sources.fixtures import score_columns
 from credspark.plans.common import apps, held_out, round_doubles, scored_test, sql, train_side
-from credspark.plans.q_eval import (COST_SQL, ENS_TEST, LONG_SQL, METRICS_SQL, ap_sql, auc_sql, counts_sql)
+from credspark.plans.q_eval import COST_SQL, ENS_TEST, LONG_SQL, METRICS_SQL, auc_sql, counts_sql
 
 Q: dict = {}
 S: dict = {}
@@ -218,4 +218,3 @@ def q_stream_soft_vote(spark, d):
 Q["stream_soft_vote"] = q_stream_soft_vote
 S["stream_soft_vote"] = sql(ENS_TEST + " SELECT row_id, class, round(ensemble_proba, 6) AS ensemble_proba,"
                             " ensemble_pred FROM ensp")
-_ = (APPLICATION_COLUMNS, ap_sql)

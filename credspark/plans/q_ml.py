@@ -20,7 +20,7 @@ from credspark.operators import resample as RS
 from credspark.operators import splits as SP
 from credspark.operators import tuning as TU
 from credspark.operators.pipelines import build_baseline, build_pipeline
-from credspark.plans.common import apps, held_out, r, round_doubles, scored_test, sql, train_side
+from credspark.plans.common import apps, held_out, r, round_doubles, scored_test, sql, train_side  # noqa: F401
 from credspark.plans.q_eval import GRID_COUNTS, auc_sql
 from credspark.sources.fixtures import scored
 
@@ -268,4 +268,3 @@ def q_class_weights_forest(spark, d):
 
 
 Q["train_forest_cost_weights"] = q_class_weights_forest
-_ = (SP, held_out)

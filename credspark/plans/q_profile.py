@@ -133,7 +133,7 @@ def q_quick_profile(spark, d):
 def _quick_sql():
     # kinds: strings categorical; numbers with > 10 distinct values numerical
     num = ["duration_months", "credit_amount", "age_years", "savings_amount"]
-    cat_num = [c for c in QP_COLS if c not in num and c not in K.CODEBOOK]
+    # numeric columns with <= 10 levels are profiled as text, so mode ties order by text
     cat = [c for c in QP_COLS if c not in num]
     return (
         f", ln AS ({long_sql(num)}), lc AS ({long_sql(cat, 'VARCHAR')})"
@@ -142,7 +142,7 @@ def _quick_sql():
         " (PARTITION BY variable ORDER BY n DESC, value) AS rk FROM vn) WHERE rk = 1)"
         ", vcc AS (SELECT variable, value, count(*) AS n FROM lc WHERE value IS NOT NULL GROUP BY ALL)"
         ", mc AS (SELECT variable, value AS mode FROM (SELECT variable, value, row_number() OVER"
-        " (PARTITION BY variable ORDER BY n DESC, " + _num_order(cat_num) + ") AS rk FROM vcc) WHERE rk = 1)"
+        " (PARTITION BY variable ORDER BY n DESC, value) AS rk FROM vcc) WHERE rk = 1)"
         ", tc AS (SELECT variable, count(value) AS cnt FROM lc GROUP BY variable)"
         ", ent AS (SELECT variable, -sum((n / cnt) * log2(n / cnt + 1e-15)) AS entropy FROM vcc JOIN tc"
         " USING (variable) GROUP BY variable)"
@@ -155,12 +155,6 @@ def _quick_sql():
         " JOIN ent USING (variable) GROUP BY variable")
 
 
-def _num_order(cat_num):
-    # numeric low-cardinality columns are profiled as text (as in the Spark
-    # operator) so ties order by the text value there too
-    return "value"
-
-
 Q["quick_profile"] = q_quick_profile
 S["quick_profile"] = sql(_quick_sql())
 

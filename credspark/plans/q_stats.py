@@ -371,4 +371,3 @@ def q_suggest_drops(spark, d):
 
 
 Q["suggest_drops"] = q_suggest_drops
-_ = K
