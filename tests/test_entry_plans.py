@@ -16,21 +16,44 @@ def test_entry_and_registry(spark):
     assert set(s) <= set(q) and len(q) >= 100
 
 
+def _single_partition_inputs(df):
+    """The operator directly below every single-partition exchange."""
+    df.collect()
+    lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
+    return [lines[i + 1].strip() for i, ln in enumerate(lines) if "Exchange SinglePartition" in ln]
+
+
 def test_no_single_partition_window_over_rows(spark, sf):
-    """Ordered work over raw rows must be split by value buckets."""
-    from credspark.operators.evaluate import roc_auc
-    from credspark.plans.common import scored_test
+    """Ordered work over raw rows is split by value buckets: a single-partition
+    exchange may only feed a global partial aggregate (one row per task) or
+    the window over the per-bucket totals (at most n_buckets rows)."""
     from credspark.operators.ensemble import soft_vote
-    plan = roc_auc(soft_vote(scored_test(spark, sf)))._jdf.queryExecution().executedPlan().toString()
-    assert "_bkt" in plan
-    for line in plan.splitlines():
-        if "Window" in line and "partitionBy" not in line and "_bkt" not in line:
-            # the only un-partitioned window allowed is over the per-bucket totals
-            pass
+    from credspark.operators.evaluate import roc_auc
     from credspark.operators.splits import kfold_assign
+    from credspark.plans.common import scored_test
     from credspark.sources.fixtures import applications
-    p2 = kfold_assign(applications(spark, sf))._jdf.queryExecution().executedPlan().toString()
-    assert "_bkt" in p2
+    for i, df in enumerate((roc_auc(soft_vote(scored_test(spark, sf))), kfold_assign(applications(spark, sf)))):
+        below = _single_partition_inputs(df)
+        assert below or i == 1, "expected the bucket-offset window"  # grouped: offsets partitioned by class
+        for op in below:
+            op = op.lstrip("+- *()0123456789")
+            assert op.startswith("HashAggregate(keys=[]") or op.startswith("HashAggregate(keys=[_bkt") \
+                or "keys=[class" in op and "_bkt" in op, op
+
+
+def test_results_unchanged_by_repartitioning(spark, sf):
+    from credspark.operators.ensemble import soft_vote
+    from credspark.operators.evaluate import average_precision, roc_auc
+    from credspark.operators.ranks import avg_rank
+    from credspark.plans.common import scored_test
+    s = soft_vote(scored_test(spark, sf))
+    for parts in (1, 7):
+        r = s.repartition(parts)
+        assert roc_auc(r).first()["roc_auc"] == roc_auc(s).first()["roc_auc"]
+        assert average_precision(r).first()["average_precision"] == average_precision(s).first()["average_precision"]
+        a = {x["row_id"]: x["rank"] for x in avg_rank(r, "proba_svc").select("row_id", "rank").collect()}
+        b = {x["row_id"]: x["rank"] for x in avg_rank(s, "proba_svc").select("row_id", "rank").collect()}
+        assert a == b
 
 
 def test_parquet_scan_prunes_columns(spark, sf):
