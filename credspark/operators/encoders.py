@@ -123,9 +123,13 @@ def apply_state(df: DataFrame, state: dict[str, dict[str, float]], cols: list[st
     small = [c for c in cols if c not in big]
     out = out.select(*[_lookup(c, state.get(c, {}), unseen, missing).alias(c) if c in small else F.col(c)
                        for c in out.columns])
-    for c in big:  # very many levels: a join with the state table
-        s = state_df.filter(F.col("column_name") == c).select(F.col("level").alias("_lvl"),
-                                                            F.col("value").alias("_val"))
+    for c in big:  # very many levels: a join with the state table (AQE picks broadcast or shuffle)
+        if state_df is None:
+            s = df.sparkSession.createDataFrame([(k, float(v)) for k, v in state[c].items()],
+                                                "_lvl string, _val double")
+        else:
+            s = state_df.filter(F.col("column_name") == c).select(F.col("level").alias("_lvl"),
+                                                                F.col("value").alias("_val"))
         out = out.join(s, out[c].cast("string") == s["_lvl"], "left") \
             .withColumn(c, F.when(F.col(c).isNull(), F.lit(missing)).otherwise(F.coalesce("_val", F.lit(unseen)))) \
             .drop("_lvl", "_val")

@@ -37,7 +37,7 @@ def exact_quantiles(long: DataFrame, probs: list[float], group_cols: list[str],
     vc = long.filter(F.col(val).isNotNull()).groupBy(*group_cols, val).agg(F.count(F.lit(1)).alias("n"))
     cum = running_totals(vc, val, ["n"], group_cols)
     tot = vc.groupBy(*group_cols).agg(F.sum("n").alias("_N"))
-    j = cum.join(tot, on=group_cols, how="inner")
+    j = cum.join(tot, on=group_cols, how="inner") if group_cols else cum.crossJoin(F.broadcast(tot))  # one row
     aggs = []
     for p, name in zip(probs, names):
         h = (F.col("_N") - 1) * F.lit(float(p))

@@ -107,3 +107,21 @@ def test_smote_counts_and_segments(spark):
         d = sorted((np.linalg.norm(pts[rid] - v), o) for o, v in pts.items() if o != rid)
         assert got == [o for _, o in d[:3]]
     assert F is not None
+
+
+def test_join_path_matches_map_path(spark, monkeypatch):
+    tr = _tiny(spark)
+    te = spark.createDataFrame([(10, "A"), (11, "C"), (12, "Z"), (13, None)], "row_id long, cat string")
+    want = {r["row_id"]: r["cat"] for r in EC.encode_woe(tr, te, ["cat"]).collect()}
+    monkeypatch.setattr(EC, "LITERAL_LIMIT", 1)  # every column takes the join path
+    got = {r["row_id"]: r["cat"] for r in EC.encode_woe(tr, te, ["cat"]).collect()}
+    assert got == pytest.approx(want)
+    ordn = {r["row_id"]: r["cat"] for r in EC.encode_ordinal(tr, te, ["cat"]).collect()}
+    assert ordn == {10: 1.0, 11: 3.0, 12: -1.0, 13: -2.0}
+
+
+def test_box_stats_without_groups(spark):
+    from credspark.operators import profile as PR
+    df = spark.createDataFrame([(float(i),) for i in range(1, 11)] + [(100.0,)], "x double")
+    r = PR.box_stats(df, "x").first()
+    assert r["median"] == 6.0 and r["whisker_high"] == 10.0 and r["n_outliers"] == 1
