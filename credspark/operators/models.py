@@ -263,7 +263,9 @@ def predict_proba(model: PipelineModel, df: DataFrame, name: str) -> DataFrame:
 
 
 def score_models(models: dict[str, PipelineModel], df: DataFrame) -> DataFrame:
-    """proba_<name> for each model, joined on the row id (one shuffle join per model)."""
+    """proba_<name> for each model, joined on the row id.  Each branch reads
+    only the columns its pipeline needs; the join output stays partitioned by
+    row id, so each further model adds one exchange (AQE broadcasts small sides)."""
     out = None
     for name, m in models.items():
         p = predict_proba(m, df, f"proba_{name}")
