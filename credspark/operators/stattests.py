@@ -19,7 +19,8 @@ from credspark import constants as K
 from credspark.functions.distributions import (norm_ppf_udf, p_chi2, p_f, p_norm_two_sided, p_norm_upper,
                                                p_t_two_sided)
 from credspark.operators.profile import exact_quantiles, long_numeric
-from credspark.operators.ranks import distinct_ranks, row_numbers
+from credspark.operators.ranks import distinct_ranks, row_numbers, running_totals
+from credspark.session import materialize
 
 ALPHA = 0.05
 
@@ -221,10 +222,19 @@ def ttest_ind(df: DataFrame, group: str, value: str, id_col: str | None = K.ROW_
     return out
 
 
-def _rank_sums(sub: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(per group: n, rank sum) and (tie term sum(t^3 - t), N) over the pooled values."""
-    ranks = distinct_ranks(sub, "x").select("x", "rank", F.col("n").alias("t"))
-    per = sub.groupBy("g", "x").agg(F.count(F.lit(1)).alias("c"))
+def _group_value_counts(sub: DataFrame) -> DataFrame:
+    """(g, x, c[, first id]) in ONE pass over the rows, materialized: every
+    later branch (group order, ranks, rank sums, ties) reads this table."""
+    aggs = [F.count(F.lit(1)).alias("c")] + ([F.min("_id").alias("_first")] if "_id" in sub.columns else [])
+    return materialize(sub.groupBy("g", "x").agg(*aggs))
+
+
+def _rank_sums(per: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """From (g, x, c): per group n and rank sum, and the tie term
+    sum(t^3 - t) with N, over the pooled values (average ranks)."""
+    v = per.groupBy("x").agg(F.sum("c").alias("t"))
+    cum = running_totals(v, "x", ["t"])
+    ranks = cum.select("x", "t", (F.col("t_cum") - F.col("t") + (F.col("t") + 1) / 2.0).alias("rank"))
     rs = per.join(ranks, "x").groupBy("g").agg(F.sum("c").alias("n"), F.sum(F.col("c") * F.col("rank")).alias("r"))
     ties = ranks.agg((F.sum(F.col("t") ** 3 - F.col("t"))).alias("tie"), F.sum("t").alias("N"))
     return rs, ties
@@ -234,10 +244,11 @@ def mann_whitney_u(df: DataFrame, group: str, value: str, id_col: str | None = K
                    with_p: bool = True) -> DataFrame:
     """Two-sided U of the first two groups: U1 = R1 - n1(n1+1)/2; normal
     approximation with tie correction and continuity (asymptotic only)."""
-    sub = _groups(df, group, value, id_col)
-    order = _group_order(sub).filter("gi < 2")
-    sub = sub.join(F.broadcast(order), "g")  # two rows
-    rs, ties = _rank_sums(sub)
+    per = _group_value_counts(_groups(df, group, value, id_col))
+    first = per.groupBy("g").agg(F.min("_first").alias("_first"))
+    order = first.select("g", (F.row_number().over(Window.orderBy("_first")) - 1).alias("gi")) \
+        .filter("gi < 2")  # one row per group, then two
+    rs, ties = _rank_sums(per.join(F.broadcast(order), "g").drop("gi"))
     rs = rs.join(order, "g")
     a = rs.filter("gi = 0").select(F.col("g").alias("group1"), F.col("n").alias("n1"), F.col("r").alias("r1"))
     b = rs.filter("gi = 1").select(F.col("g").alias("group2"), F.col("n").alias("n2"))
@@ -280,8 +291,7 @@ def _anova_from_moments(mo: DataFrame, with_p: bool) -> DataFrame:
 
 def kruskal_wallis(df: DataFrame, group: str, value: str, with_p: bool = True) -> DataFrame:
     """Kruskal-Wallis H with tie correction."""
-    sub = _groups(df, group, value, None)
-    rs, ties = _rank_sums(sub)
+    rs, ties = _rank_sums(_group_value_counts(_groups(df, group, value, None)))
     g = rs.agg(F.sum(F.col("r") * F.col("r") / F.col("n")).alias("s"), F.count(F.lit(1)).alias("k")).crossJoin(ties)
     nn = F.col("N").cast("double")
     h = 12.0 / (nn * (nn + 1)) * F.col("s") - 3 * (nn + 1)

@@ -11,7 +11,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_spark(app: str = "credspark", cpus: int | None = None,
@@ -30,6 +30,7 @@ def get_spark(app: str = "credspark", cpus: int | None = None,
         .config("spark.driver.memory", "16g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -37,6 +38,15 @@ def get_spark(app: str = "credspark", cpus: int | None = None,
     return spark
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once into the shared checkpoint folder (reliable, eager)
+    and continue from there: operators whose plan reads the same narrow input
+    in several branches scan and compute it once, and a lost executor
+    re-reads the files instead of recomputing the whole lineage."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder: the cluster's if it names one, else a scratch one."""
     conf = spark.sparkContext.getConf()
