@@ -1,10 +1,10 @@
 """Soft-voting ensemble: scoring, decision, weight and threshold tuning
 (SURVEY 2.10).
 
-Tuning sweeps are single passes: the 216 weight triples are 216 pairs of
-conditional sums in *one* aggregate (no row multiplication, no join), and
-the 61 thresholds are one histogram of "highest threshold reached" by
-label followed by reverse running sums over at most 62 bins.
+Tuning sweeps are single passes: each row meets the fixed 216-triple weight
+grid in the pipeline and a partial aggregate folds it at once (at most 216
+rows per task reach the shuffle), and the 61 thresholds are one histogram
+of "highest threshold reached" by label, summed over at most 62 bins.
 """
 
 from __future__ import annotations
@@ -15,7 +15,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from credspark import constants as K
-from credspark.operators.evaluate import R, cost_exprs, metric_exprs, roc_auc
+from credspark.operators.evaluate import R, cost_exprs, evaluate_model, metric_exprs, roc_auc
+from credspark.session import materialize
 
 
 def vote_expr(weights=None, models=None) -> Column:
@@ -138,7 +139,8 @@ def threshold_sweep(df: DataFrame, proba: str = "ensemble_proba", label: str = K
     j = thr.join(h, F.col("k") >= F.col("i"), "left")
     g = j.groupBy("i").agg(F.coalesce(F.sum("pos"), F.lit(0)).cast("bigint").alias("tp"),
                            F.coalesce(F.sum("neg"), F.lit(0)).cast("bigint").alias("fp"))
-    tot = df.agg(F.count(F.lit(1)).alias("n"), F.sum(F.when(pos, 1).otherwise(0)).cast("bigint").alias("P"))
+    # totals from the histogram itself (every row is in exactly one bin): no second pass
+    tot = h.agg((F.sum("pos") + F.sum("neg")).cast("bigint").alias("n"), F.sum("pos").cast("bigint").alias("P"))
     g = g.crossJoin(tot)  # one row
     g = g.select((F.col("i") / F.lit(scale)).alias("threshold"), "i", "n", "tp", "fp",
                  (F.col("P") - F.col("tp")).alias("fn"), (F.col("n") - F.col("P") - F.col("fp")).alias("tn"))
@@ -152,6 +154,9 @@ def tune_ensemble(df: DataFrame, label: str = K.TARGET, weight_range=None, lo: i
     """Weights first (least cost at the fixed threshold, grid order on ties),
     then the threshold (least cost, lowest threshold on ties), then the final
     evaluation with both.  One row."""
+    models = K.MODEL_ORDER
+    # three passes follow (grid, sweep, final): compute the narrow input once
+    df = materialize(df.select(label, *[f"proba_{m}" for m in models]))
     grid = weight_grid_search(df, fixed_threshold, weight_range, label)
     # The winners are single rows: resolve them once (a bounded collect) so
     # later stages do not recompute the grid and can use literals.
@@ -181,12 +186,7 @@ def score_ensemble(df: DataFrame, weights=None, threshold: float = K.ENSEMBLE_TH
     """Score with fixed weights and threshold, then evaluate: one row of
     metrics named as the run log names them."""
     s = predict_threshold(soft_vote(df, weights), threshold)
-    pos, pp = F.col(label) == K.POSITIVE, F.col("ensemble_pred") == K.POSITIVE
-    sm = lambda c: F.sum(F.when(c, 1).otherwise(0)).cast("bigint")
-    g = s.agg(sm(~pos & ~pp).alias("tn"), sm(~pos & pp).alias("fp"), sm(pos & ~pp).alias("fn"),
-              sm(pos & pp).alias("tp"), F.count(F.lit(1)).alias("n"))
-    c, m = cost_exprs(), metric_exprs()
-    out = g.select("n", "tn", "fp", "fn", "tp", *[v.alias(f"val_{k}") for k, v in m.items()],
-                   c["total_cost"].cast("double").alias("val_cost"), c["avg_cost"].alias("val_avg_cost"))
-    auc = roc_auc(s, label, "ensemble_proba").select(F.col("roc_auc").alias("val_roc_auc"))
-    return out.crossJoin(auc)
+    e = evaluate_model(s, label, "ensemble_proba", "ensemble_pred", with_ap=False)  # one pass over rows
+    return e.select("n", "tn", "fp", "fn", "tp", *[F.col(k).alias(f"val_{k}") for k in metric_exprs()],
+                    F.col("total_cost").alias("val_cost"), F.col("avg_cost").alias("val_avg_cost"),
+                    F.col("roc_auc").alias("val_roc_auc"))

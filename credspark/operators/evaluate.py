@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from credspark import constants as K
-from credspark.operators.ranks import distinct_ranks, running_totals, value_counts
+from credspark.operators.ranks import running_totals, value_counts
+from credspark.session import materialize
 
 R = 6  # rounding of reported doubles
 
@@ -82,7 +83,13 @@ def roc_auc(df: DataFrame, label: str = K.TARGET, score: str = "ensemble_proba",
     """Exact ROC AUC with ties: (sum of positive ranks - P(P+1)/2) / (P N),
     ranks averaged over ties, computed on distinct scores per group."""
     group_cols = list(group_cols or [])
-    r = distinct_ranks(df, score, group_cols, label_col=label, n_buckets=n_buckets)
+    return _auc_from_counts(value_counts(df, score, group_cols, label), score, group_cols, n_buckets)
+
+
+def _auc_from_counts(v: DataFrame, score: str, group_cols: list[str], n_buckets: int | None = None) -> DataFrame:
+    """AUC from one row per distinct (group, score) with n and n_pos."""
+    cum = running_totals(v, score, ["n"], group_cols, n_buckets=n_buckets)
+    r = cum.select(*v.columns, (F.col("n_cum") - F.col("n") + (F.col("n") + 1) / 2.0).alias("rank"))
     g = r.groupBy(*group_cols).agg(F.sum(F.col("n_pos") * F.col("rank")).alias("_rs"),
                                    F.sum("n_pos").alias("_p"), F.sum("n").alias("_n"))
     p, q = F.col("_p"), F.col("_n") - F.col("_p")
@@ -114,8 +121,11 @@ def average_precision(df: DataFrame, label: str = K.TARGET, score: str = "ensemb
     """Step-form AP = sum over thresholds of (R_n - R_{n-1}) P_n
     = sum over distinct scores of n_pos * precision / P (not trapezoidal)."""
     group_cols = list(group_cols or [])
-    v = value_counts(df, score, group_cols, label).withColumn("_neg", -F.col(score).cast("double"))
-    v = v.withColumn("n_neg", F.col("n") - F.col("n_pos"))
+    return _ap_from_counts(value_counts(df, score, group_cols, label), score, group_cols, n_buckets)
+
+
+def _ap_from_counts(v: DataFrame, score: str, group_cols: list[str], n_buckets: int | None = None) -> DataFrame:
+    v = v.withColumn("_neg", -F.col(score).cast("double")).withColumn("n_neg", F.col("n") - F.col("n_pos"))
     cum = running_totals(v, "_neg", ["n_pos", "n_neg"], group_cols, n_buckets=n_buckets)
     prec = F.col("n_pos_cum") / (F.col("n_pos_cum") + F.col("n_neg_cum"))
     g = cum.groupBy(*group_cols).agg(F.sum(F.col("n_pos") * prec).alias("_s"), F.sum("n_pos").alias("_p"))
@@ -138,14 +148,27 @@ def evaluate_model(df: DataFrame, label: str = K.TARGET, score: str = "proba", p
     """All metrics for each group (model): counts, accuracy, precision, recall,
     F1, ROC AUC, average precision, total and average cost."""
     group_cols = list(group_cols or [])
-    g = df.groupBy(*group_cols).agg(*_counts_aggs(F.col(label), F.col(pred)))
+    # ONE pass over the rows: counts per (group, score, prediction), kept in
+    # the shared checkpoint folder; every metric below reads that table.
+    pos = F.col(label) == K.POSITIVE
+    sc = materialize(df.groupBy(*group_cols, score, pred).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.when(pos, 1).otherwise(0)).alias("n_pos")))
+    pp = F.col(pred) == K.POSITIVE
+    s = lambda e: F.sum(e).cast("bigint")
+    g = sc.groupBy(*group_cols).agg(
+        s(F.when(~pp | F.col(pred).isNull(), F.col("n") - F.col("n_pos")).otherwise(0)).alias("tn"),
+        s(F.when(pp, F.col("n") - F.col("n_pos")).otherwise(0)).alias("fp"),
+        s(F.when(~pp | F.col(pred).isNull(), F.col("n_pos")).otherwise(0)).alias("fn"),
+        s(F.when(pp, F.col("n_pos")).otherwise(0)).alias("tp"), s(F.col("n")).alias("n"))
     m, c = metric_exprs(), cost_exprs(cost_fp, cost_fn)
     base = g.select(*group_cols, "n", "tn", "fp", "fn", "tp", *[v.alias(k) for k, v in m.items()],
                     c["total_cost"].cast("double").alias("total_cost"), c["avg_cost"])
-    auc = roc_auc(df, label, score, group_cols)
+    v = sc.filter(F.col(score).isNotNull()).groupBy(*group_cols, score).agg(
+        F.sum("n").alias("n"), F.sum("n_pos").alias("n_pos"))
+    auc = _auc_from_counts(v, score, group_cols)
     out = base.join(auc, on=group_cols, how="inner") if group_cols else base.crossJoin(auc)
     if with_ap:
-        ap = average_precision(df, label, score, group_cols)
+        ap = _ap_from_counts(v, score, group_cols)
         out = out.join(ap, on=group_cols, how="inner") if group_cols else out.crossJoin(ap)
     return out
 
