@@ -1,11 +1,12 @@
 """Profiles and descriptive aggregates.
 
 Many columns are profiled at once: the table is unpivoted to
-(variable, value) and every statistic is a grouped aggregate over it.
-Moments use Spark's streaming aggregates (partial aggregation map-side)
-with the small-sample corrections pandas applies.  Quantiles, mode and
-distinct counts come from per-(variable, value) counts and the bucketed
-running totals of ``ranks`` -- exact, yet never a whole group in a task.
+(variable, value) and reduced in ONE pass to per-(variable, value) counts
+(partial aggregation map-side), materialized in the shared checkpoint
+folder.  Everything else reads that table: moments in two passes over the
+distinct values with the small-sample corrections pandas applies, distinct
+counts and mode, and exact quantiles through the bucketed running totals of
+``ranks`` -- never a whole group in one task, never a second scan of rows.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 
 from credspark import constants as K
 from credspark.operators.ranks import row_numbers, running_totals
+from credspark.session import materialize
 
 R = 6
 
@@ -33,8 +35,14 @@ def exact_quantiles(long: DataFrame, probs: list[float], group_cols: list[str],
                     names: list[str] | None = None) -> DataFrame:
     """Exact linear-interpolation quantiles (pandas / DuckDB ``quantile_cont``)
     per group, from value counts and distributed cumulative counts."""
-    names = names or [f"q{p}" for p in probs]
     vc = long.filter(F.col(val).isNotNull()).groupBy(*group_cols, val).agg(F.count(F.lit(1)).alias("n"))
+    return quantiles_from_counts(vc, probs, group_cols, val, names)
+
+
+def quantiles_from_counts(vc: DataFrame, probs: list[float], group_cols: list[str], val: str = "value",
+                          names: list[str] | None = None) -> DataFrame:
+    """The same quantiles from one row per distinct (group, value) with its count ``n``."""
+    names = names or [f"q{p}" for p in probs]
     cum = running_totals(vc, val, ["n"], group_cols)
     tot = vc.groupBy(*group_cols).agg(F.sum("n").alias("_N"))
     j = cum.join(tot, on=group_cols, how="inner") if group_cols else cum.crossJoin(F.broadcast(tot))  # one row
@@ -60,26 +68,40 @@ def _mode_from_counts(vc: DataFrame, group_cols: list[str], val: str = "value")
 def profile_numeric(df: DataFrame, columns: list[str]) -> DataFrame:
     """count, missing, missing_pct, unique, mean, median, mode, std, variance,
     min, max, range, iqr, skewness, kurtosis (bias-corrected, as pandas), cv."""
-    long = long_numeric(df, columns)
-    x = F.col("value")
-    mom = long.groupBy("variable").agg(
-        F.count(x).alias("count"), F.count(F.lit(1)).alias("_rows"), F.avg(x).alias("mean"),
-        F.stddev_samp(x).alias("std"), F.var_samp(x).alias("variance"), F.min(x).alias("min"),
-        F.max(x).alias("max"), F.skewness(x).alias("_g1"), F.kurtosis(x).alias("_g2"))
+    # ONE pass over the rows: (variable, value) counts, NULL included, kept in
+    # the shared checkpoint folder; every statistic below reads only this table.
+    vc_all = materialize(long_numeric(df, columns).groupBy("variable", "value")
+                         .agg(F.count(F.lit(1)).alias("n")))
+    vc = vc_all.filter(F.col("value").isNotNull())
+    x, w = F.col("value"), F.col("n")
+    first = vc_all.groupBy("variable").agg(
+        F.sum(F.when(x.isNotNull(), w).otherwise(0)).alias("count"), F.sum(w).alias("_rows"),
+        (F.sum(F.when(x.isNotNull(), w * x)) / F.sum(F.when(x.isNotNull(), w))).alias("mean"),
+        F.min(x).alias("min"), F.max(x).alias("max"), F.count(x).alias("unique"))
+    # central moments in a second pass over the distinct values (one row per variable joined)
+    d = x - F.col("mean")
+    cm = vc.join(first.select("variable", "mean"), "variable").groupBy("variable").agg(
+        F.sum(w * d * d).alias("_s2"), F.sum(w * d * d * d).alias("_s3"), F.sum(w * d * d * d * d).alias("_s4"))
+    mom = first.join(cm, "variable", "left")
     n = F.col("count").cast("double")
-    skew = F.col("_g1") * F.sqrt(n * (n - 1)) / (n - 2)
-    kurt = ((n + 1) * F.col("_g2") + 6) * (n - 1) / ((n - 2) * (n - 3))
+    m2, m3, m4 = F.col("_s2") / n, F.col("_s3") / n, F.col("_s4") / n
+    var = F.col("_s2") / (n - 1)
+    g1 = m3 / F.pow(m2, 1.5)
+    g2 = m4 / (m2 * m2) - 3.0
+    skew = g1 * F.sqrt(n * (n - 1)) / (n - 2)
+    kurt = ((n + 1) * g2 + 6) * (n - 1) / ((n - 2) * (n - 3))
     mom = mom.select(
         "variable", "count", (F.col("_rows") - F.col("count")).alias("missing"),
         (F.try_divide((F.col("_rows") - F.col("count")) * 100.0, F.col("_rows"))).alias("missing_pct"),
-        "mean", "std", "variance", "min", "max", (F.col("max") - F.col("min")).alias("range"),
-        F.when(n > 2, skew).alias("skewness"), F.when(n > 3, kurt).alias("kurtosis"),
-        F.when(F.col("mean") != 0, F.col("std") / F.col("mean") * 100).alias("cv"))
-    vc = long.filter(x.isNotNull()).groupBy("variable", "value").agg(F.count(F.lit(1)).alias("n"))
-    uniq = vc.groupBy("variable").agg(F.count(F.lit(1)).alias("unique"))
+        "unique", "mean", F.when(n > 1, F.sqrt(var)).alias("std"), F.when(n > 1, var).alias("variance"),
+        "min", "max", (F.col("max") - F.col("min")).alias("range"),
+        # a constant column has skew and kurtosis 0 (as pandas reports them)
+        F.when(n > 2, F.when(m2 > 0, skew).otherwise(0.0)).alias("skewness"),
+        F.when(n > 3, F.when(m2 > 0, kurt).otherwise(0.0)).alias("kurtosis"),
+        F.when(F.col("mean") != 0, F.when(n > 1, F.sqrt(var)) / F.col("mean") * 100).alias("cv"))
     mode = _mode_from_counts(vc, ["variable"]).select("variable", "mode")
-    q = exact_quantiles(long, [0.25, 0.5, 0.75], ["variable"], names=["_q1", "median", "_q3"])
-    out = mom.join(uniq, "variable").join(mode, "variable").join(q, "variable")
+    q = quantiles_from_counts(vc, [0.25, 0.5, 0.75], ["variable"], names=["_q1", "median", "_q3"])
+    out = mom.join(mode, "variable").join(q, "variable")
     return out.select("variable", "count", "missing", "missing_pct", "unique", "mean", "median", "mode",
                       "std", "variance", "min", "max", "range", (F.col("_q3") - F.col("_q1")).alias("iqr"),
                       "skewness", "kurtosis", "cv")
