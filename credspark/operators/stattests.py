@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from credspark import constants as K
 from credspark.functions.distributions import (norm_ppf_udf, p_chi2, p_f, p_norm_two_sided, p_norm_upper,
                                                p_t_two_sided)
-from credspark.operators.profile import exact_quantiles, long_numeric
+from credspark.operators.profile import long_numeric, quantiles_from_counts
 from credspark.operators.ranks import distinct_ranks, row_numbers, running_totals
 from credspark.session import materialize
 
@@ -186,13 +186,6 @@ def _groups(df: DataFrame, group: str, value: str, id_col: str | None) -> DataFr
     return df.select(*cols).dropna(subset=["g", "x"])
 
 
-def _group_order(sub: DataFrame) -> DataFrame:
-    """(g, gi): group index in order of first appearance (smallest id)."""
-    key = F.min("_id") if "_id" in sub.columns else F.min(F.col("g"))
-    first = sub.groupBy("g").agg(key.alias("_first"))
-    return first.select("g", (F.row_number().over(Window.orderBy("_first")) - 1).alias("gi"))  # one row per group
-
-
 def group_moments(sub: DataFrame) -> DataFrame:
     return sub.groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.avg("x").alias("mean"),
                                 F.var_samp("x").alias("var"))
@@ -203,7 +196,10 @@ def ttest_ind(df: DataFrame, group: str, value: str, id_col: str | None = K.ROW_
     """Pooled-variance two-sample t of the first two groups; Cohen's d with
     the pooled std (0 when it is 0)."""
     sub = _groups(df, group, value, id_col)
-    mo = group_moments(sub).join(_group_order(sub), "g")
+    first = F.min("_id") if "_id" in sub.columns else F.min("g")
+    mo = sub.groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.avg("x").alias("mean"),
+                              F.var_samp("x").alias("var"), first.alias("_first"))  # one pass
+    mo = mo.select("*", (F.row_number().over(Window.orderBy("_first")) - 1).alias("gi"))  # one row per group
     a = mo.filter("gi = 0").select(F.col("g").alias("group1"), F.col("n").alias("n1"), F.col("mean").alias("m1"),
                                    F.col("var").alias("v1"))
     b = mo.filter("gi = 1").select(F.col("g").alias("group2"), F.col("n").alias("n2"), F.col("mean").alias("m2"),
@@ -306,10 +302,13 @@ def kruskal_wallis(df: DataFrame, group: str, value: str, with_p: bool = True) -
 def levene(df: DataFrame, group: str, value: str, with_p: bool = True) -> DataFrame:
     """Levene's test centred on group medians (Brown-Forsythe): one-way ANOVA
     of |x - median_g|.  Defined only when every group has 2 or more values."""
-    sub = _groups(df, group, value, None)
-    med = exact_quantiles(sub, [0.5], ["g"], val="x", names=["med"])
-    z = sub.join(med, "g").select("g", F.abs(F.col("x") - F.col("med")).alias("x"))
-    mo = group_moments(z)
+    per = _group_value_counts(_groups(df, group, value, None))  # one pass, materialized
+    med = quantiles_from_counts(per.withColumnRenamed("c", "n"), [0.5], ["g"], val="x", names=["med"])
+    z = per.join(med, "g").select("g", "c", F.abs(F.col("x") - F.col("med")).alias("z"))
+    # weighted moments of |x - median| per group (c rows share each distinct value)
+    m1 = z.groupBy("g").agg(F.sum("c").alias("n"), (F.sum(F.col("c") * F.col("z")) / F.sum("c")).alias("mean"))
+    mo = z.join(m1, "g").groupBy("g", "n", "mean").agg(
+        (F.sum(F.col("c") * (F.col("z") - F.col("mean")) ** 2) / (F.col("n") - 1)).alias("var"))
     ok = mo.agg(F.min("n").alias("_minn"))
     out = _anova_from_moments(mo, with_p).crossJoin(ok).filter(F.col("_minn") >= 2).drop("_minn")
     return out.withColumnRenamed("f_stat", "levene_stat").drop("eta_squared", "effect_label")
@@ -364,7 +363,8 @@ def chi2_long(long: DataFrame, yates: bool = True, with_p: bool = True) -> DataF
     zero cells need to exist; the Yates 2x2 case enumerates its 4 cells;
     the share of cells with E < 5 counts, per row level, the column totals
     below 5N/R_i (an array of the column totals, one per level)."""
-    obs = long.dropna(subset=["a", "b"]).groupBy("key", "a", "b").agg(F.count(F.lit(1)).alias("o"))
+    # ONE pass over the rows; every table below (margins, cells, Yates) reads these cells
+    obs = materialize(long.dropna(subset=["a", "b"]).groupBy("key", "a", "b").agg(F.count(F.lit(1)).alias("o")))
     rt = obs.groupBy("key", "a").agg(F.sum("o").alias("R"))
     ct = obs.groupBy("key", "b").agg(F.sum("o").alias("C"))
     nt = obs.groupBy("key").agg(F.sum("o").alias("N"))
