@@ -39,26 +39,30 @@ def _as_array(df: DataFrame, features: str = "features") -> DataFrame:
     return df.select(K.ROW_ID, K.TARGET, vector_to_array(F.col(features)).alias("x"))
 
 
-def _collect_reference(ref: DataFrame, d: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _collect_reference(ref: DataFrame, d: int, group_col: str | None = None):
     n = ref.count()
-    if n * (d + 2) * 8 > MAX_BROADCAST_BYTES:
+    if n * (d + 3) * 8 > MAX_BROADCAST_BYTES:
         raise ValueError(f"reference set of {n} x {d} exceeds the broadcast bound; "
                          "split the data (e.g. by a stratum column) and resample per part")
-    pdf = ref.toPandas()  # bounded by the check above
+    cols = [K.ROW_ID, "x", K.TARGET] + ([group_col] if group_col else [])
+    pdf = ref.select(*cols).orderBy(K.ROW_ID).toPandas()  # bounded by the check above; id order breaks ties
+    grp = pdf[group_col].to_numpy() if group_col else np.zeros(n, dtype=np.int64)
     return (np.stack(pdf["x"].to_numpy()) if n else np.zeros((0, d)), pdf[K.ROW_ID].to_numpy(),
-            pdf[K.TARGET].to_numpy())
+            pdf[K.TARGET].to_numpy(), grp)
 
 
-def knn(query: DataFrame, ref: DataFrame, k: int, exclude_self: bool = True) -> DataFrame:
+def knn(query: DataFrame, ref: DataFrame, k: int, exclude_self: bool = True,
+        group_col: str | None = None) -> DataFrame:
     """(row_id, nbr_ids array<long>, nbr_labels array<int>) of the k nearest
-    reference rows (Euclidean), exact, ties by reference order."""
+    reference rows (Euclidean), exact, ties broken by the smaller id; with
+    ``group_col`` only reference rows of the query's own group count."""
     d = len(query.select("x").first()["x"])
-    mat, ids, labels = _collect_reference(ref, d)
+    mat, ids, labels, groups = _collect_reference(ref, d, group_col)
     sc = query.sparkSession.sparkContext
-    b_mat, b_ids, b_lab = sc.broadcast(mat), sc.broadcast(ids), sc.broadcast(labels)
+    b_mat, b_ids, b_lab, b_grp = sc.broadcast(mat), sc.broadcast(ids), sc.broadcast(labels), sc.broadcast(groups)
 
     def run(it):
-        m, rid, lab = b_mat.value, b_ids.value, b_lab.value
+        m, rid, lab, grp = b_mat.value, b_ids.value, b_lab.value, b_grp.value
         sq = (m * m).sum(axis=1)
         # query rows per block so the distance block stays ~64 MB
         block = max(1, int(8_000_000 // max(m.shape[0], 1)))
@@ -69,18 +73,27 @@ def knn(query: DataFrame, ref: DataFrame, k: int, exclude_self: bool = True) ->
                 dist = (q * q).sum(axis=1)[:, None] - 2 * q @ m.T + sq[None, :]
                 if exclude_self:
                     dist[chunk[K.ROW_ID].to_numpy()[:, None] == rid[None, :]] = np.inf
+                if group_col:
+                    dist[chunk["_g"].to_numpy()[:, None] != grp[None, :]] = np.inf
                 kk = min(k, m.shape[0])
                 part = np.argpartition(dist, kk - 1, axis=1)[:, :kk] if kk < m.shape[0] else \
                     np.tile(np.arange(m.shape[0]), (len(q), 1))
-                order = np.take_along_axis(dist, part, 1).argsort(axis=1, kind="stable")
-                nb = np.take_along_axis(part, order, 1)
+                dsel = np.take_along_axis(dist, part, 1)
+                # order by (distance, reference index = id order)
+                nb = np.take_along_axis(part, np.lexsort((part, dsel), axis=1), 1)
+                # a tie at the k-th distance may leave out a smaller id: sort those rows fully
+                kth = dsel.max(axis=1)
+                spill = (dist <= kth[:, None]).sum(axis=1) > kk
+                for r in np.flatnonzero(spill):
+                    nb[r] = np.lexsort((np.arange(m.shape[0]), dist[r]))[:kk]
                 yield pd.DataFrame({K.ROW_ID: chunk[K.ROW_ID].to_numpy(), "nbr_ids": list(rid[nb]),
                                     "nbr_labels": list(lab[nb].astype("int32"))})
 
     schema = T.StructType([T.StructField(K.ROW_ID, T.LongType()),
                            T.StructField("nbr_ids", T.ArrayType(T.LongType())),
                            T.StructField("nbr_labels", T.ArrayType(T.IntegerType()))])
-    return query.select(K.ROW_ID, "x").mapInPandas(run, schema)
+    qcols = [K.ROW_ID, "x"] + ([F.col(group_col).alias("_g")] if group_col else [])
+    return query.select(*qcols).mapInPandas(run, schema)
 
 
 def _minority(df: DataFrame) -> tuple[int, int, int, int]:

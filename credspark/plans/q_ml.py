@@ -268,3 +268,24 @@ def q_class_weights_forest(spark, d):
 
 
 Q["train_forest_cost_weights"] = q_class_weights_forest
+
+
+def q_smote_neighbours(spark, d):
+    """SMOTE's neighbour stage on the embeddings table: the 5 nearest vectors
+    of the same label for every vector (exact; ties by the smaller id)."""
+    e = spark.read.parquet(f"{d}/embeddings.parquet").select(
+        F.col("vec_id").alias(K.ROW_ID), F.col("label").alias(K.TARGET), "label",
+        F.transform("embedding", lambda v: v.cast("double")).alias("x"))
+    nb = RS.knn(e, e, 5, group_col="label")
+    return nb.select(F.col(K.ROW_ID).alias("vec_id"), F.posexplode("nbr_ids").alias("pos", "nbr_id")) \
+        .select("vec_id", (F.col("pos") + 1).cast("int").alias("rank"), "nbr_id")
+
+
+Q["smote_neighbours"] = q_smote_neighbours
+S["smote_neighbours"] = (
+    "WITH e AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings),"
+    " d AS (SELECT a.vec_id, b.vec_id AS nbr_id, list_sum(list_transform(range(1, len(a.v) + 1),"
+    " lambda i: (a.v[i] - b.v[i]) * (a.v[i] - b.v[i]))) AS d2 FROM e a JOIN e b ON a.label = b.label"
+    " AND a.vec_id <> b.vec_id),"
+    " r AS (SELECT vec_id, nbr_id, row_number() OVER (PARTITION BY vec_id ORDER BY d2, nbr_id) AS rk FROM d)"
+    " SELECT vec_id, CAST(rk AS INTEGER) AS rank, nbr_id FROM r WHERE rk <= 5")
