@@ -86,8 +86,11 @@ def knn(query: DataFrame, ref: DataFrame, k: int, exclude_self: bool = True,
                 spill = (dist <= kth[:, None]).sum(axis=1) > kk
                 for r in np.flatnonzero(spill):
                     nb[r] = np.lexsort((np.arange(m.shape[0]), dist[r]))[:kk]
-                yield pd.DataFrame({K.ROW_ID: chunk[K.ROW_ID].to_numpy(), "nbr_ids": list(rid[nb]),
-                                    "nbr_labels": list(lab[nb].astype("int32"))})
+                # self and other groups were masked with inf: they are not neighbours
+                ok = np.isfinite(np.take_along_axis(dist, nb, 1))
+                yield pd.DataFrame({K.ROW_ID: chunk[K.ROW_ID].to_numpy(),
+                                    "nbr_ids": [rid[nb[i][ok[i]]] for i in range(len(nb))],
+                                    "nbr_labels": [lab[nb[i][ok[i]]].astype("int32") for i in range(len(nb))]})
 
     schema = T.StructType([T.StructField(K.ROW_ID, T.LongType()),
                            T.StructField("nbr_ids", T.ArrayType(T.LongType())),
@@ -108,6 +111,7 @@ def _synthesize(bases: DataFrame, ref: DataFrame, n_new: int, k: int, step: floa
     if n_new <= 0:
         return None
     spark = bases.sparkSession
+    bases = bases.filter(F.size("nbr_ids") > 0)  # a base needs at least one neighbour
     pos = row_numbers(bases, K.ROW_ID, name="_pos").persist()
     n_b = pos.count()
     if n_b == 0:

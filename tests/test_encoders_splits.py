@@ -125,3 +125,13 @@ def test_box_stats_without_groups(spark):
     df = spark.createDataFrame([(float(i),) for i in range(1, 11)] + [(100.0,)], "x double")
     r = PR.box_stats(df, "x").first()
     assert r["median"] == 6.0 and r["whisker_high"] == 10.0 and r["n_outliers"] == 1
+
+
+def test_knn_ties_by_smaller_id_and_groups(spark):
+    from credspark.operators import resample as RS
+    pts = [(1, 0, "a", [0.0, 0.0]), (2, 0, "a", [1.0, 0.0]), (3, 0, "a", [0.0, 1.0]), (4, 0, "a", [-1.0, 0.0]),
+           (5, 0, "b", [0.1, 0.0]), (6, 0, "a", [0.0, -1.0])]
+    df = spark.createDataFrame(pts, "row_id long, class int, g string, x array<double>")
+    nb = {r["row_id"]: list(r["nbr_ids"]) for r in RS.knn(df, df, 2, group_col="g").collect()}
+    # row 1 has four neighbours at distance 1 in its group: the two smallest ids win; row 5 is alone
+    assert nb[1] == [2, 3] and nb[5] == []

@@ -110,3 +110,23 @@ def test_registry_versions(spark, sf):
     assert latest["version"] == 2 and latest["run_id"] == "b"
     assert RG.resolve_model_version(RG.model_versions(spark, root), "a").first()["version"] == 1
     assert F is not None
+
+
+def test_stream_with_trained_models_equals_batch(spark, sf):
+    from credspark.operators import ensemble as EN
+    from credspark.operators import models as M
+    from credspark.plans.common import apps, held_out, train_side
+    from credspark.session import checkpoint_dir
+    from credspark.streaming.score_stream import score_stream_with_models
+    tr, te = train_side(apps(spark, sf)), held_out(apps(spark, sf))
+    models = {"lrc": M.train_logistic(tr, max_iter=30), "rfc": M.train_forest(tr, num_trees=5, max_depth=3),
+              "svc": M.train_logistic(tr, C=0.5, max_iter=30)}
+    root = os.path.join(checkpoint_dir(spark), f"sm-{uuid.uuid4().hex[:8]}")
+    te.repartition(3).write.parquet(f"{root}/src")
+    schema = spark.read.parquet(f"{root}/src").schema
+    score_stream_with_models(spark, f"{root}/src", schema, models, f"{root}/sink", f"{root}/ckpt")
+    got = {r["row_id"]: (r["ensemble_pred"], round(r["ensemble_proba"], 9))
+           for r in spark.read.parquet(f"{root}/sink").collect()}
+    batch = EN.predict_threshold(EN.soft_vote(M.score_models(models, te)))
+    want = {r["row_id"]: (r["ensemble_pred"], round(r["ensemble_proba"], 9)) for r in batch.collect()}
+    assert got == want and len(got) == te.count()
