@@ -19,7 +19,7 @@ from credspark import constants as K
 from credspark.functions.distributions import (norm_ppf_udf, p_chi2, p_f, p_norm_two_sided, p_norm_upper,
                                                p_t_two_sided)
 from credspark.operators.profile import long_numeric, quantiles_from_counts
-from credspark.operators.ranks import distinct_ranks, row_numbers, running_totals
+from credspark.operators.ranks import row_numbers, running_totals
 from credspark.session import materialize
 
 ALPHA = 0.05
@@ -62,11 +62,25 @@ def _with_t_p(out: DataFrame) -> DataFrame:
 def corr_spearman(df: DataFrame, x: str, y: str, id_col: str = K.ROW_ID, with_p: bool = True) -> DataFrame:
     """Spearman rho: Pearson r of average ranks (distributed ranks, joined
     back on the value), on complete pairs."""
-    sub = df.select(id_col, F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).dropna()
-    rx = distinct_ranks(sub, "x").select("x", F.col("rank").alias("rx"))
-    ry = distinct_ranks(sub, "y").select("y", F.col("rank").alias("ry"))
-    j = sub.join(rx, "x").join(ry, "y")
-    g = j.agg(F.count(F.lit(1)).alias("n_pairs"), F.corr("rx", "ry").alias("correlation")) \
+    # ONE pass over the rows to distinct (x, y) pairs with counts; ranks and the
+    # correlation are then weighted sums over pairs (no join back to rows, so
+    # a value shared by a third of the rows is one pair row, not a hot key)
+    pairs = materialize(df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
+                        .dropna().groupBy("x", "y").agg(F.count(F.lit(1)).alias("c")))
+
+    def ranks(col: str, name: str) -> DataFrame:
+        v = pairs.groupBy(col).agg(F.sum("c").alias("n"))
+        cum = running_totals(v, col, ["n"])
+        return cum.select(col, (F.col("n_cum") - F.col("n") + (F.col("n") + 1) / 2.0).alias(name))
+
+    j = pairs.join(ranks("x", "rx"), "x").join(ranks("y", "ry"), "y")
+    c = F.col("c")
+    m = j.agg(F.sum(c).alias("n_pairs"), (F.sum(c * F.col("rx")) / F.sum(c)).alias("_mx"),
+              (F.sum(c * F.col("ry")) / F.sum(c)).alias("_my"))
+    dx, dy = F.col("rx") - F.col("_mx"), F.col("ry") - F.col("_my")
+    cm = j.crossJoin(F.broadcast(m)).groupBy("n_pairs").agg(  # m: one row
+        F.sum(c * dx * dy).alias("_sxy"), F.sum(c * dx * dx).alias("_sxx"), F.sum(c * dy * dy).alias("_syy"))
+    g = cm.select("n_pairs", (F.col("_sxy") / F.sqrt(F.col("_sxx") * F.col("_syy"))).alias("correlation")) \
         .filter(F.col("n_pairs") >= 3)
     out = _corr_row(g, x, y, "spearman")
     return _with_t_p(out) if with_p else out
