@@ -60,8 +60,8 @@ def _with_t_p(out: DataFrame) -> DataFrame:
 
 
 def corr_spearman(df: DataFrame, x: str, y: str, id_col: str = K.ROW_ID, with_p: bool = True) -> DataFrame:
-    """Spearman rho: Pearson r of average ranks (distributed ranks, joined
-    back on the value), on complete pairs."""
+    """Spearman rho: Pearson r of average ranks on complete pairs, computed
+    over distinct (x, y) pairs weighted by their counts."""
     # ONE pass over the rows to distinct (x, y) pairs with counts; ranks and the
     # correlation are then weighted sums over pairs (no join back to rows, so
     # a value shared by a third of the rows is one pair row, not a hot key)
