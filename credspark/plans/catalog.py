@@ -1,20 +1,14 @@
-"""All registered queries and their oracle SQL."""
+"""All registered queries and their oracle SQL, merged from the catalog modules."""
 
 from __future__ import annotations
 
-import importlib
+from credspark.plans import q_encode, q_eval, q_features, q_io, q_ml, q_profile, q_stats
 
-MODULES = ["q_features", "q_eval", "q_profile", "q_stats", "q_encode", "q_ml", "q_io"]
+MODULES = [q_features, q_eval, q_profile, q_stats, q_encode, q_ml, q_io]
 
 QUERIES: dict = {}
 ORACLE: dict = {}
 
-for _m in MODULES:
-    try:
-        mod = importlib.import_module(f"credspark.plans.{_m}")
-    except ModuleNotFoundError as e:  # a module not written yet
-        if e.name != f"credspark.plans.{_m}":
-            raise
-        continue
-    QUERIES.update(mod.Q)
-    ORACLE.update(mod.S)
+for _mod in MODULES:
+    QUERIES.update(_mod.Q)
+    ORACLE.update(_mod.S)
