@@ -83,7 +83,8 @@ def roc_auc(df: DataFrame, label: str = K.TARGET, score: str = "ensemble_proba",
     """Exact ROC AUC with ties: (sum of positive ranks - P(P+1)/2) / (P N),
     ranks averaged over ties, computed on distinct scores per group."""
     group_cols = list(group_cols or [])
-    return _auc_from_counts(value_counts(df, score, group_cols, label), score, group_cols, n_buckets)
+    v = materialize(value_counts(df, score, group_cols, label))  # one scan; cut points and sums read v
+    return _auc_from_counts(v, score, group_cols, n_buckets)
 
 
 def _auc_from_counts(v: DataFrame, score: str, group_cols: list[str], n_buckets: int | None = None) -> DataFrame:
@@ -103,7 +104,7 @@ def pr_curve(df: DataFrame, label: str = K.TARGET, score: str = "ensemble_proba"
     at every distinct score (descending running sums), plus the baseline
     (share of positives)."""
     group_cols = list(group_cols or [])
-    v = value_counts(df, score, group_cols, label).withColumn("_neg", -F.col(score).cast("double"))
+    v = materialize(value_counts(df, score, group_cols, label)).withColumn("_neg", -F.col(score).cast("double"))
     v = v.withColumn("n_neg", F.col("n") - F.col("n_pos"))
     cum = running_totals(v, "_neg", ["n_pos", "n_neg"], group_cols, n_buckets=n_buckets)
     tot = v.groupBy(*group_cols).agg(F.sum("n_pos").alias("_P"), F.sum("n").alias("_N"))
@@ -121,7 +122,8 @@ def average_precision(df: DataFrame, label: str = K.TARGET, score: str = "ensemb
     """Step-form AP = sum over thresholds of (R_n - R_{n-1}) P_n
     = sum over distinct scores of n_pos * precision / P (not trapezoidal)."""
     group_cols = list(group_cols or [])
-    return _ap_from_counts(value_counts(df, score, group_cols, label), score, group_cols, n_buckets)
+    v = materialize(value_counts(df, score, group_cols, label))  # one scan; cut points and sums read v
+    return _ap_from_counts(v, score, group_cols, n_buckets)
 
 
 def _ap_from_counts(v: DataFrame, score: str, group_cols: list[str], n_buckets: int | None = None) -> DataFrame:

@@ -35,7 +35,8 @@ def exact_quantiles(long: DataFrame, probs: list[float], group_cols: list[str],
                     names: list[str] | None = None) -> DataFrame:
     """Exact linear-interpolation quantiles (pandas / DuckDB ``quantile_cont``)
     per group, from value counts and distributed cumulative counts."""
-    vc = long.filter(F.col(val).isNotNull()).groupBy(*group_cols, val).agg(F.count(F.lit(1)).alias("n"))
+    vc = materialize(long.filter(F.col(val).isNotNull()).groupBy(*group_cols, val)
+                     .agg(F.count(F.lit(1)).alias("n")))  # one scan of the rows
     return quantiles_from_counts(vc, probs, group_cols, val, names)
 
 

@@ -22,6 +22,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from credspark.session import materialize
 
 PROBES = 256  # cut points resolved by the first (and usually only) job
 
@@ -118,7 +119,7 @@ def distinct_ranks(df: DataFrame, value_col: str, group_cols: list[str] | None =
                    label_col: str | None = None, n_buckets: int | None = None) -> DataFrame:
     """Per distinct value: n (and n_pos), ``rank`` = average rank of ties
     (1-based, ascending) within the group.  No join back to rows."""
-    v = value_counts(df, value_col, group_cols, label_col)
+    v = materialize(value_counts(df, value_col, group_cols, label_col))  # one scan of the rows
     cum = running_totals(v, value_col, ["n"], group_cols, n_buckets=n_buckets)
     return cum.select(*v.columns, (F.col("n_cum") - F.col("n") + (F.col("n") + 1) / 2.0).alias("rank"))
 
