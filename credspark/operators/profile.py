@@ -187,8 +187,8 @@ def profile_categorical(df: DataFrame, columns: list[str]) -> DataFrame:
 def value_counts_topk(df: DataFrame, column: str, k: int = 20) -> DataFrame:
     """Top k categories (count desc, value asc) with %, and how many more
     categories exist.  The limit is the feature (a top-k report)."""
-    vc = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).cast("string").alias("value")) \
-        .agg(F.count(F.lit(1)).alias("n"))
+    vc = materialize(df.filter(F.col(column).isNotNull()).groupBy(F.col(column).cast("string").alias("value"))
+                     .agg(F.count(F.lit(1)).alias("n")))  # one scan; the top-k and the totals read it
     tot = vc.agg(F.sum("n").alias("_t"), F.count(F.lit(1)).alias("_u"))
     top = vc.orderBy(F.desc("n"), "value").limit(k)
     return top.crossJoin(F.broadcast(tot)).select(
@@ -224,12 +224,14 @@ def crosstab_wide(df: DataFrame, a: str, b: str) -> DataFrame:
 def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
     """Equal-width bins over [min, max], last bin closed; count and density."""
     x = F.col(column).cast("double")
-    rng = df.agg(F.min(x).alias("_lo"), F.max(x).alias("_hi"), F.count(x).alias("_n"))
-    j = df.select(x.alias("x")).dropna().crossJoin(F.broadcast(rng))  # one row
+    # one scan to value counts; the range and the binning both read that table
+    vc = materialize(df.select(x.alias("x")).dropna().groupBy("x").agg(F.count(F.lit(1)).alias("c")))
+    rng = vc.agg(F.min("x").alias("_lo"), F.max("x").alias("_hi"), F.sum("c").alias("_n"))
+    j = vc.crossJoin(F.broadcast(rng))  # one row
     width = (F.col("_hi") - F.col("_lo")) / bins
     idx = F.least(F.floor((F.col("x") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * bins), F.lit(bins - 1))
     idx = F.when(F.col("_hi") == F.col("_lo"), F.lit(0)).otherwise(idx).cast("int")
-    g = j.groupBy(idx.alias("bin"), "_lo", "_hi", "_n").agg(F.count(F.lit(1)).alias("count"))
+    g = j.groupBy(idx.alias("bin"), "_lo", "_hi", "_n").agg(F.sum("c").alias("count"))
     w = (F.col("_hi") - F.col("_lo")) / bins
     return g.select("bin", (F.col("_lo") + F.col("bin") * w).alias("bin_start"),
                     (F.col("_lo") + (F.col("bin") + 1) * w).alias("bin_end"), "count",
