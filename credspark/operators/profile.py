@@ -284,7 +284,9 @@ def box_stats(df: DataFrame, value: str, group: str | None = None, k: float = 1.
 def density_2d(df: DataFrame, x: str, y: str, gridsize: int = 20) -> DataFrame:
     """Counts over an even gridsize x gridsize grid spanning both ranges."""
     xs, ys = F.col(x).cast("double"), F.col(y).cast("double")
-    sub = df.select(xs.alias("x"), ys.alias("y")).dropna()
+    # one scan to (x, y) pair counts; the ranges and the cells read that table
+    sub = materialize(df.select(xs.alias("x"), ys.alias("y")).dropna().groupBy("x", "y")
+                      .agg(F.count(F.lit(1)).alias("c")))
     rng = sub.agg(F.min("x").alias("_x0"), F.max("x").alias("_x1"), F.min("y").alias("_y0"), F.max("y").alias("_y1"))
     j = sub.crossJoin(F.broadcast(rng))  # one row
 
@@ -293,7 +295,7 @@ def density_2d(df: DataFrame, x: str, y: str, gridsize: int = 20) -> DataFrame:
         return F.when(F.col(hi) == F.col(lo), F.lit(0)).otherwise(i).cast("int")
 
     return j.groupBy(cell("x", "_x0", "_x1").alias("x_bin"), cell("y", "_y0", "_y1").alias("y_bin")) \
-        .agg(F.count(F.lit(1)).alias("count"))
+        .agg(F.sum("c").alias("count"))
 
 
 def trend_line(df: DataFrame, x: str, y: str) -> DataFrame:
