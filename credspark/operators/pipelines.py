@@ -42,30 +42,40 @@ class EncodingPlan(Estimator, DefaultParamsReadable, DefaultParamsWritable):
         self._set(**self._input_kwargs)
 
     def _fit(self, df: DataFrame):
-        """Two passes whatever the spec: per-(column, level) statistics of every
-        categorical column at once, and one row of totals and scaler moments.
-        The per-level table (bounded by the levels) then gives every state."""
+        """One pass whatever the spec: per-(column, level) statistics of every
+        categorical column at once, with the totals and scaler moments in the
+        same aggregate.  The per-level table (bounded by the levels) then gives
+        every state."""
         spec = json.loads(self.getOrDefault("spec"))
         label = self.getOrDefault("labelCol")
         cats = list(dict.fromkeys(c for k in ("onehot", *KINDS) for c in spec.get(k, [])))
         scale = spec.get("scale", [])
         has_label = label in df.columns
         y = F.col(label).cast("double") if has_label else F.lit(0.0)
+        # ONE pass: a constant pseudo-column "__all__" rides along in the
+        # unpivot, so its single level carries the totals (rows, positives) and
+        # the scaler moments (read from that group only) of the whole table.
+        ALL = "__all__"
         stats: dict = {}
-        if cats:
-            first = F.min(K.ROW_ID) if K.ROW_ID in df.columns else F.lit(0)
-            long = df.select(y.alias("_y"), (F.col(K.ROW_ID) if K.ROW_ID in df.columns else F.lit(0)).alias(K.ROW_ID),
-                             *[F.col(c).cast("string").alias(c) for c in cats]) \
-                .unpivot(["_y", K.ROW_ID], cats, "column_name", "level").filter(F.col("level").isNotNull())
-            g = long.groupBy("column_name", "level").agg(F.count(F.lit(1)).alias("n"), F.sum("_y").alias("pos"),
-                                                         first.alias("first"))
-            for r in g.collect():  # one row per level of each column
+        rid = F.col(K.ROW_ID) if K.ROW_ID in df.columns else F.lit(0)
+        nums = [F.col(c).cast("double").alias(f"_num{i}") for i, c in enumerate(scale)]
+        long = df.select(y.alias("_y"), rid.alias(K.ROW_ID), *nums, F.lit("all").alias(ALL),
+                         *[F.col(c).cast("string").alias(c) for c in cats]) \
+            .unpivot(["_y", K.ROW_ID, *[f"_num{i}" for i in range(len(scale))]], [ALL, *cats],
+                     "column_name", "level").filter(F.col("level").isNotNull())
+        moments = [F.avg(f"_num{i}").alias(f"m{i}") for i in range(len(scale))] + \
+                  [F.stddev_pop(f"_num{i}").alias(f"s{i}") for i in range(len(scale))]
+        g = long.groupBy("column_name", "level").agg(F.count(F.lit(1)).alias("n"), F.sum("_y").alias("pos"),
+                                                     F.min(K.ROW_ID).alias("first"), *moments)
+        tot = None
+        for r in g.collect():  # one row per level of each column, plus the "__all__" row
+            if r["column_name"] == ALL:
+                tot = r
+            else:
                 stats.setdefault(r["column_name"], []).append((r["level"], r["n"], r["pos"], r["first"]))
-        tot = df.agg(F.count(F.lit(1)).alias("NN"), F.sum(y).alias("P"),
-                     *[F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(scale)],
-                     *[F.stddev_pop(F.col(c).cast("double")).alias(f"s{i}") for i, c in enumerate(scale)]).first()
-        fitted = states_from_stats(spec, stats, tot["NN"], tot["P"] or 0.0)
-        if scale:
+        nn, p = (tot["n"], tot["pos"] or 0.0) if tot is not None else (0, 0.0)
+        fitted = states_from_stats(spec, stats, nn, p)
+        if scale and tot is not None:
             fitted["scale"] = {c: [tot[f"m{i}"], tot[f"s{i}"]] for i, c in enumerate(scale)}
         return EncodingPlanModel(spec=json.dumps(spec), fitted=json.dumps(fitted),
                                  keepCols=self.getOrDefault("keepCols"), assemble=self.getOrDefault("assemble"))
