@@ -135,3 +135,19 @@ def test_knn_ties_by_smaller_id_and_groups(spark):
     nb = {r["row_id"]: list(r["nbr_ids"]) for r in RS.knn(df, df, 2, group_col="g").collect()}
     # row 1 has four neighbours at distance 1 in its group: the two smallest ids win; row 5 is alone
     assert nb[1] == [2, 3] and nb[5] == []
+
+
+def test_encoding_plan_one_pass_states(spark):
+    import json
+    from credspark.operators.pipelines import EncodingPlan
+    rows = [(0, "A", 1, 1.0), (1, "A", 0, 2.0), (2, "B", 1, 3.0), (3, None, 1, 4.0)]
+    df = spark.createDataFrame(rows, "row_id long, cat string, class int, x double")
+    spec = {"woe": ["cat"], "count": [], "scale": ["x"], "onehot": ["cat"]}
+    m = EncodingPlan(spec=json.dumps(spec), keepCols=["row_id"], assemble=False).fit(df)
+    fitted = json.loads(m.getOrDefault("fitted"))
+    P, NN = 3, 4  # totals come from all rows, the NULL level included
+    want_a = math.log(((1 + 1) / (P + 2)) / ((1 + 1) / (NN - P + 2)))
+    assert fitted["woe"][0]["cat"]["A"] == pytest.approx(want_a) and fitted["woe"][0]["cat"]["B"] == 0.0
+    assert fitted["onehot"]["cat"] == ["A", "B"]
+    mean, sd = fitted["scale"]["x"]
+    assert mean == pytest.approx(2.5) and sd == pytest.approx(math.sqrt(1.25))
