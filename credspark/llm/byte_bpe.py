@@ -22,10 +22,9 @@ from collections.abc import Iterator
 from itertools import chain
 
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 
-from credspark.llm.common import Memo, small_batches
+from credspark.llm.common import Memo, Splitter, small_batches
 
 #: Half of the pieces and token pairs that a worker remembers at most.
 CACHE_PIECES, CACHE_PAIRS = 150_000, 250_000
@@ -42,14 +41,16 @@ class Vocabulary:
         self.bytes = {r: t for t, r in self.ranks.items()}
         self.text = {r: str(r) for r in self.bytes}
         self.longest = max(map(len, self.ranks))
-        #: Tokens by their bytes from the last to the first: byte -> next node, -1 -> token.
-        self.endings: dict = {}
+        #: Tokens by their bytes from the last to the first: byte -> next node, -1 -> token or None.
+        self.endings: dict = {-1: None}
         for token, rank in self.ranks.items():
+            if len(token) > 1 and len(self.merge(token)) > 1:
+                continue    # no merging ever makes this token
             node = self.endings
             for byte in reversed(token):
-                node = node.setdefault(byte, {})
+                node = node.setdefault(byte, {-1: None})
             node[-1] = rank
-        self.whole = Memo(lambda t: len(self.merge(self.bytes[t])) == 1, len(self.ranks))
+        self.size = max(self.bytes) + 1
         self.may_follow = Memo(self._may_follow, CACHE_PAIRS)
 
     def merge(self, data: bytes) -> list[bytes]:
@@ -62,8 +63,9 @@ class Vocabulary:
             parts[at: at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def _may_follow(self, pair: tuple[int, int]) -> bool:
-        left, right = self.bytes[pair[0]], self.bytes[pair[1]]
+    def _may_follow(self, pair: int) -> bool:
+        """Whether the token ``pair % size`` may follow the token ``pair // size``."""
+        left, right = self.bytes[pair // self.size], self.bytes[pair % self.size]
         return self.merge(left + right) == [left, right]
 
 
@@ -75,14 +77,16 @@ class Prefixes:
         self.append(data)
 
     def _token_at(self, end: int) -> int:
-        v, data, last = self.v, self.data, self.last
-        node, at, found = v.endings, end, []
-        while at and (node := node.get(data[at - 1])) is not None:
+        """The one token that validly ends the first ``end`` bytes; shorter endings are tried first."""
+        data, last, node, at = self.data, self.last, self.v.endings, end
+        size, may_follow = self.v.size, self.v.may_follow
+        while at:
             at -= 1
-            if (token := node.get(-1)) is not None:
-                found.append((at, token))
-        for at, token in reversed(found):
-            if v.whole[token] and (at == 0 or v.may_follow[last[at], token]):
+            node = node.get(data[at])
+            if node is None:
+                break
+            token = node[-1]
+            if token is not None and (at == 0 or may_follow[last[at] * size + token]):
                 return token
         raise ValueError(f"byte {data[end - 1]} has no token")
 
@@ -122,12 +126,12 @@ class Prefixes:
 
 class Encoder:
     def __init__(self, path: str, pattern: str):
-        self.v, self.pattern = Vocabulary(path), regex.compile(pattern)
+        self.v, self.pattern = Vocabulary(path), Splitter(pattern)
         self.ids = Memo(lambda piece: Prefixes(self.v, piece.encode("utf-8", "replace")).tokens(), CACHE_PIECES)
 
     def encode(self, text: str) -> list[int]:
         """The ids of a text: each match of the pattern by itself, pieces seen before by memory."""
-        pieces = self.pattern.findall(text)
+        pieces = self.pattern(text)
         if pieces and max(map(len, pieces)) > 1000:     # not worth remembering
             return list(chain.from_iterable(
                 self.ids[p] if len(p) <= 1000 else self.ids.compute(p) for p in pieces))

@@ -25,7 +25,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from credspark.llm.common import Memo, small_batches
+from credspark.llm.common import Memo, Splitter, small_batches
 
 CACHE_WORDS = 200_000
 LIMIT = 2048
@@ -84,7 +84,7 @@ class WordBpe:
             return len(symbols) - merges_of(symbols, ranks)
 
         self.tokens, self.counts = tokens, Memo(tokens, CACHE_WORDS)
-        self.words = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
+        self.words = Splitter(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
         special = sorted((t["content"] for t in spec["added_tokens"]), key=len, reverse=True)
         self.special = regex.compile("|".join(map(regex.escape, special))) if special else None
 
@@ -93,7 +93,7 @@ class WordBpe:
         total = len(parts) - 1
         for p in parts:
             p = p if p.isascii() else unicodedata.normalize("NFC", p)
-            for word, n in Counter(self.words.findall(_lower(p))).items():
+            for word, n in Counter(self.words(_lower(p))).items():
                 total += n * (self.counts[word] if len(word) <= 64 else self.tokens(word))
         return total
 
