@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -57,3 +58,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+def scratch(spark: SparkSession, tag: str) -> str:
+    """A new path in the shared checkpoint folder, for tables written between steps."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/credspark-{tag}-{uuid.uuid4().hex[:12]}"
