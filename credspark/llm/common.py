@@ -118,20 +118,24 @@ SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 
+#: Bytes between words where punctuation counts too: ASCII that is neither letter nor digit.
+PUNCTUATION = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
+
+
 class Words:
-    """Words (runs of bytes that are not white space) of a list of texts, in numpy arrays.
+    """Words (runs of bytes between ``breaks``) of a list of texts, in numpy arrays.
 
     buf: all bytes, texts separated by one newline; first, last: borders of each
     word in buf; doc: index of its text; hash: 64-bit hash of its bytes.
     """
 
-    def __init__(self, texts: list[str | None]):
+    def __init__(self, texts: list[str | None], breaks: np.ndarray = SPACE):
         raw = [(t or "").encode("utf-8", "replace") for t in texts]
         self.buf = np.frombuffer(b"\n".join(raw) + b"\n", np.uint8)
         sizes = np.fromiter((len(r) for r in raw), np.int64, len(raw))
         self.ends = np.cumsum(sizes + 1)
         self.starts = self.ends - sizes - 1
-        word = ~SPACE[self.buf]
+        word = ~breaks[self.buf]
         edge = np.flatnonzero(np.diff(np.concatenate(([False], word)).astype(np.int8)))
         self.first, self.last = edge[0::2], edge[1::2]
         self.doc = np.searchsorted(self.ends, self.first, side="right")
@@ -168,6 +172,17 @@ def passes(texts: list[str | None]) -> Iterator[tuple[int, list[str | None]]]:
         yield start, texts[start:]
 
 
+def labelled(docs: DataFrame, labels: DataFrame, label: str, most: int) -> DataFrame:
+    """text and label of ``most`` labelled documents at most, picked by a hash of doc_id.
+
+    The ids are few (``most``), so they are broadcast and documents stay where they are.
+    """
+    ids = labels.filter(F.col("doc_id").isNotNull() & F.col(label).isNotNull())
+    ids = ids.groupBy("doc_id").agg(F.max(label).cast("int").alias("_llm_y"))
+    ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+    return docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("doc_id", "text", F.col("_llm_y").alias("y"))
+
+
 def shingles(words: np.ndarray, n: int) -> np.ndarray:
     """Sorted distinct hashes of the runs of ``n`` words of one text; a shorter text is one run."""
     if not len(words):

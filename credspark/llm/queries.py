@@ -10,8 +10,13 @@ from pyspark.sql import functions as F
 from credspark.llm.byte_bpe import encode_digests
 from credspark.llm.common import table
 from credspark.llm.decontaminate import overlaps
+from credspark.llm.line_dedup import line_dedup
+from credspark.llm.near_duplicates import links
+from credspark.llm.quality_mil import quality
 from credspark.llm.quality_rules import quality_rules
+from credspark.llm.sharding import shard_documents
 from credspark.llm.token_counts import token_counts
+from credspark.llm.toxicity import score, train
 from credspark.llm.url_filter import url_filter
 
 #: Listed entries of op10: (host, path, verdict).
@@ -36,10 +41,29 @@ def op1_decontaminate(spark: SparkSession, d: str) -> DataFrame:
     return overlaps(table(spark, d, "documents"), table(spark, d, "benchmark")).drop("th")
 
 
+def op2_sharding(spark: SparkSession, d: str) -> DataFrame:
+    return shard_documents(table(spark, d, "documents"))
+
+
+def op3_quality_mil(spark: SparkSession, d: str) -> DataFrame:
+    return quality(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
 def op4_quality_rules(spark: SparkSession, d: str) -> DataFrame:
     return quality_rules(table(spark, d, "documents"))
 
 
+def op5_near_duplicates(spark: SparkSession, d: str) -> DataFrame:
+    """Every document with its class id and links: doc_id, class_id, n_links, n_text_links, group_size."""
+    return links(table(spark, d, "documents"))
+
+
+def op6_toxicity(spark: SparkSession, d: str) -> DataFrame:
+    """Every document with the probabilities of the chain's categories and the verdict ``toxic``."""
+    docs = table(spark, d, "documents")
+    return score(docs, train(docs, table(spark, d, "labels")))
+
+
 def op7_byte_bpe(spark: SparkSession, d: str) -> DataFrame:
     return encode_digests(table(spark, d, "documents"), tokenizer_path("byte_bpe_50k.tiktoken"), tokenizer_pattern())
 
@@ -48,6 +72,11 @@ def op8_token_counts(spark: SparkSession, d: str) -> DataFrame:
     return token_counts(table(spark, d, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op9_line_dedup(spark: SparkSession, d: str) -> DataFrame:
+    """Every document's text without repeated blocks, and the positions of the deleted lines: doc_id, text, gone."""
+    return line_dedup(table(spark, d, "documents").select("doc_id", "text"), gone_as="gone")
+
+
 def op10_url_filter(spark: SparkSession, d: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return url_filter(table(spark, d, "pages"), rules)
@@ -55,9 +84,14 @@ def op10_url_filter(spark: SparkSession, d: str) -> DataFrame:
 
 Q: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_sharding": op2_sharding,
+    "op3_quality_mil": op3_quality_mil,
     "op4_quality_rules": op4_quality_rules,
+    "op5_near_duplicates": op5_near_duplicates,
+    "op6_toxicity": op6_toxicity,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_token_counts": op8_token_counts,
+    "op9_line_dedup": op9_line_dedup,
     "op10_url_filter": op10_url_filter,
 }
 
