@@ -15,8 +15,8 @@ benchmark whose seeds exceed ``BLOCK_BYTES`` is taken block by block, each
 block against all documents.  Every hit is verified on the words around it.
 
 Defined results: null and empty texts and items overlap nothing; an item of
-fewer than 13 words but at least MIN_ITEM must match in whole with the same
-share of differing words; a shorter item is no evidence and is left out;
+fewer than 13 words but at least MIN_ITEM must be there word for word; a
+shorter item is no evidence and is left out;
 repeated documents or items give equal rows once; empty tables give none.
 """
 
@@ -46,8 +46,9 @@ def word_hashes(text: Column) -> Column:
     return F.transform(F.filter(words, lambda w: w != ""), lambda w: F.xxhash64(w))
 
 
-def needed(length: Column, share: float) -> Column:
-    return F.ceil(F.lit(share) * length - F.lit(1e-9)).cast("int")
+def needed(item_words: Column, share: float) -> Column:
+    """How many words of a window must be equal; a shorter item must be there in whole."""
+    return F.when(item_words >= WINDOW, F.lit(math.ceil(share * WINDOW - 1e-9))).otherwise(item_words)
 
 
 def _seeds(hashed: DataFrame) -> DataFrame:
@@ -103,7 +104,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, share: float = MIN_SHARE) ->
                     equal.alias("equal"), width.alias("width"), starts.alias("starts")))).alias("x"))
                 .select("doc_id", "th", "item_id", "item_words", "x.*")
                 .select("doc_id", "th", "item_id", "item_words", "width", F.explode(F.array(best)).alias("best"))
-                .filter(F.col("best") >= needed(F.col("width"), share))
+                .filter(F.col("best") >= needed(F.col("item_words"), share))
                 .groupBy("doc_id", "th", "item_id", "item_words")
                 .agg(F.max("best").alias("best"), F.count(F.lit(1)).alias("hits")))
         found = hits if found is None else found.unionByName(hits)
