@@ -41,16 +41,21 @@ GROUPS_PER_PACKER = 50_000
 ROWS_PER_BUCKET = 100_000
 
 
+#: Weight of bytes, tokens and rows in the dot product.  Bytes and tokens lead: near equal sizes are the law.
+WEIGHTS = np.array([1.0, 1.0, 0.25])
+
+
 def pack(vectors: np.ndarray, residual: np.ndarray) -> np.ndarray:
     """The shard of each vector, given in the order of packing; ``residual`` (shards x dimensions) is used up.
 
-    Where residual capacities have run out, the least exceeded shard is next:
-    the dot product orders negative capacities the same way.  Ties go to the lowest shard.
+    A dimension that has run out in a shard counts as nothing there (a group of
+    a third of all rows must not keep bytes away for good); among shards with
+    nothing left the least exceeded is next.  Ties go to the lowest shard.
     """
     out = np.empty(len(vectors), np.int32)
-    for i, v in enumerate(vectors):
-        out[i] = s = int(np.argmax(residual @ v))
-        residual[s] -= v
+    for i, v in enumerate(vectors * WEIGHTS):
+        out[i] = s = int(np.argmax(np.maximum(residual, 0) @ v + 1e-3 * (residual @ v)))
+        residual[s] -= vectors[i]
     return out
 
 
