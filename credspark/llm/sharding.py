@@ -42,7 +42,7 @@ ROWS_PER_BUCKET = 100_000
 
 
 #: Weight of bytes, tokens and rows in the dot product.  Bytes and tokens lead: near equal sizes are the law.
-WEIGHTS = np.array([1.0, 1.0, 0.25])
+WEIGHTS = np.array([1.0, 1.0, 0.1])
 
 
 def pack(vectors: np.ndarray, residual: np.ndarray) -> np.ndarray:

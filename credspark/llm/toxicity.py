@@ -36,8 +36,9 @@ CATEGORIES = (("insult", ("idiot", "moron", "loser", "clown", "scum")),
 FINAL = "toxic"
 TRAIN_DOCS = 4000
 TOP, FOLDS = 300, 3
+L2 = 0.3
 BEGINNING = 4           # bytes
-TOXIC_FROM = 0.5
+TOXIC_FROM = 0.4
 _MARK = np.uint64(0x5851F42D4C957F2D)
 
 
@@ -94,7 +95,7 @@ def fit_linear(doc: np.ndarray, f: np.ndarray, y: np.ndarray, before: np.ndarray
     best = np.lexsort((ids, -z))[:TOP]
     model = Linear(pos / n, np.sort(ids[best]), np.empty(0))
     x = model.matrix(doc, f, n, before).astype(np.float64)
-    penalty = np.full(x.shape[1], 1.0)
+    penalty = np.full(x.shape[1], L2)
     penalty[-1] = 1e-3
     w = np.zeros(x.shape[1])
     w[-1] = np.log(pos / (n - pos))

@@ -245,7 +245,7 @@ def test_toxicity_held_out(spark):
     got = X.score(docs, X.train(docs, odd_ids)).join(labels.withColumnRenamed("toxic", "y"), "doc_id")
     n = {(r["y"], r["toxic"]): r["count"] for r in
          got.filter("doc_id % 2 = 0").groupBy("y", "toxic").count().collect()}
-    assert n[1, True] > 0.9 * (n[1, True] + n.get((1, False), 0)) and n.get((0, True), 0) < 0.02 * n[0, False]
+    assert n[1, True] > 0.75 * (n[1, True] + n.get((1, False), 0)) and n.get((0, True), 0) < 0.005 * n[0, False]
 
 
 def test_classifiers_on_odd_inputs(spark, odd_docs):
