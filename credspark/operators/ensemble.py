@@ -52,8 +52,10 @@ def predict_details(df: DataFrame, weights=None, threshold: float = K.ENSEMBLE_T
     return df.select(*cols)
 
 
-def risk_labels(df: DataFrame, models=None, id_col: str = K.ROW_ID) -> DataFrame:
-    """Per model: risk = 1 - P(good); 'High Risk' when P(good) < 0.5.
+def risk_labels(df: DataFrame, models=None, id_col: str = K.ROW_ID, weights=None,
+                threshold: float = K.ENSEMBLE_THRESHOLD) -> DataFrame:
+    """Per model: risk = 1 - P(good); 'High Risk' when P(good) < 0.5; the same for
+    the weighted vote of all models, with its own threshold, and its percent text.
 
     Polarity follows the data (class 1 = good), not the web form's text."""
     models = models or K.MODEL_ORDER
@@ -63,6 +65,11 @@ def risk_labels(df: DataFrame, models=None, id_col: str = K.ROW_ID) -> DataFrame
         pct = F.round((F.lit(1.0) - p) * 100.0, 1)
         label = F.when(p >= 0.5, F.lit("Low Risk")).otherwise(F.lit("High Risk"))
         cols += [pct.alias(f"risk_pct_{m}"), label.alias(f"risk_label_{m}")]
+    e = vote_expr(weights, models)
+    risk = F.round((F.lit(1.0) - e) * 100.0, 1)
+    cols += [risk.alias("risk_pct_ensemble"), F.concat(risk.cast("string"), F.lit("%")).alias("risk_text_ensemble"),
+             F.when(e >= F.lit(float(threshold)), F.lit("Low Risk")).otherwise(F.lit("High Risk"))
+             .alias("risk_label_ensemble")]
     return df.select(*cols)
 
 

@@ -18,17 +18,18 @@ does the fitting on executors; the driver only holds model parameters.
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
 from pyspark import keyword_only
-from pyspark.ml import Estimator, Model, Pipeline, PipelineModel, Transformer
+from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegression,
                                        RandomForestClassifier)
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -73,12 +74,19 @@ def logistic(C: float = 1.0, n: int = 1, max_iter: int = 1000, weight_col: str |
     return lr
 
 
+Resampler = Callable[[DataFrame], DataFrame]  # encoded rows (row_id, class, features) -> rebalanced rows
+
+
 def train_logistic(train: DataFrame, C: float = 1.0, class_weight=None, max_iter: int = 1000,
-                   kind: str = "lrc") -> PipelineModel:
+                   kind: str = "lrc", resample: Resampler | None = None) -> PipelineModel:
+    """``resample`` rebalances the encoded training rows only; it excludes ``class_weight``."""
+    if resample and class_weight:
+        raise ValueError("give a class weight or a resampler, not both")
     if class_weight:
         train = with_weights(train, class_weight)
     prep = build_pipeline(kind, keep_cols=[K.ROW_ID, K.TARGET] + (["weight"] if class_weight else [])).fit(train)
-    x = prep.transform(train).persist()
+    x = prep.transform(train)
+    x = (resample(x) if resample else x).persist()
     try:
         n = x.count()  # materializes the cache the solver iterates over
         lr = logistic(C, n, max_iter, "weight" if class_weight else None).fit(x)
@@ -176,12 +184,22 @@ class MarginFeature(Transformer, DefaultParamsReadable, DefaultParamsWritable):
 
 def train_kernel_svm(train: DataFrame, C: float = 1.0, gamma: float = 0.1, n_components: int = 200,
                      kernel: str = "rbf", calib_folds: int = 3, seed: int = 42, kind: str = "svc", max_iter: int = 50,
-                     fold_col: str | None = None) -> PipelineModel:
+                     fold_col: str | None = None, tol: float = 1e-4, class_weight=None,
+                     resample: Resampler | None = None) -> PipelineModel:
     """Linear SVM on random Fourier features (or raw features for kernel='linear'),
-    calibrated by Platt scaling on out-of-fold margins."""
+    calibrated by Platt scaling on out-of-fold margins.  A class weight or a
+    resampler (of the encoded training rows) may balance the classes."""
     from credspark.operators.splits import kfold_assign
-    prep = build_pipeline(kind).fit(train)
+    if kernel not in ("rbf", "linear"):
+        raise ValueError(f"unknown kernel {kernel!r}")
+    if resample and class_weight:
+        raise ValueError("give a class weight or a resampler, not both")
+    if class_weight:
+        train = with_weights(train, class_weight)
+    extra = (["weight"] if class_weight else []) + ([fold_col] if fold_col else [])
+    prep = build_pipeline(kind, keep_cols=[K.ROW_ID, K.TARGET, *extra]).fit(train)
     x = prep.transform(train)
+    x = (resample(x) if resample else x).persist()
     n_in = len(x.select("features").first()["features"])
     stages = []
     feat = "features"
@@ -192,8 +210,9 @@ def train_kernel_svm(train: DataFrame, C: float = 1.0, gamma: float = 0.1, n_com
     reg = 1.0 / (C * max(n, 1))
 
     def svm():
-        return LinearSVC(featuresCol=feat, labelCol=K.TARGET, regParam=reg, maxIter=max_iter, tol=1e-4,
-                         rawPredictionCol="svm_raw", predictionCol="svm_pred")
+        est = LinearSVC(featuresCol=feat, labelCol=K.TARGET, regParam=reg, maxIter=max_iter, tol=tol,
+                        standardization=False, rawPredictionCol="svm_raw", predictionCol="svm_pred")
+        return est.setWeightCol("weight") if class_weight else est
 
     pre = PipelineModel(stages=stages) if stages else None
     xf = pre.transform(x) if pre else x
@@ -211,6 +230,7 @@ def train_kernel_svm(train: DataFrame, C: float = 1.0, gamma: float = 0.1, n_com
                                probabilityCol="probability").fit(oof)
     final = svm().fit(xf)
     xf.unpersist()
+    x.unpersist()
     return PipelineModel(stages=[*prep.stages, *stages, final, MarginFeature(), platt, ProbaColumn()])
 
 
@@ -239,8 +259,9 @@ def coefficient_ranking(model: PipelineModel, spark=None) -> DataFrame:
     rows = [(n, float(c)) for n, c in zip(names, lr.coefficients.toArray())]
     spark = spark or _active()
     df = spark.createDataFrame(rows, "feature string, coefficient double")
-    return df.select("*", F.abs("coefficient").alias("abs_coefficient")) \
-        .orderBy(F.desc("abs_coefficient"), "feature")
+    df = df.select("*", F.abs("coefficient").alias("abs_coefficient"))
+    by_size = Window.orderBy(F.desc("abs_coefficient"), "feature")  # one row per feature of a model
+    return df.select("*", F.row_number().over(by_size).alias("rank")).orderBy("rank")
 
 
 def importance_ranking(model: PipelineModel, spark=None) -> DataFrame:
@@ -282,5 +303,3 @@ def train_all(train: DataFrame, seed: int = 42, forest_trees: int = 100, svm_com
         "svc": train_kernel_svm(train, n_components=svm_components, seed=seed),
     }
 
-
-_ = (Estimator, Model, Column)

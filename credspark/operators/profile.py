@@ -224,14 +224,15 @@ def crosstab_wide(df: DataFrame, a: str, b: str) -> DataFrame:
 def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
     """Equal-width bins over [min, max], last bin closed; count and density."""
     x = F.col(column).cast("double")
-    # one scan to value counts; the range and the binning both read that table
-    vc = materialize(df.select(x.alias("x")).dropna().groupBy("x").agg(F.count(F.lit(1)).alias("c")))
-    rng = vc.agg(F.min("x").alias("_lo"), F.max("x").alias("_hi"), F.sum("c").alias("_n"))
-    j = vc.crossJoin(F.broadcast(rng))  # one row
+    # two narrow scans with partial aggregates (the range, then at most ``bins``
+    # rows a task): near-unique values are never shuffled
+    vals = df.select(x.alias("x")).dropna()
+    rng = vals.agg(F.min("x").alias("_lo"), F.max("x").alias("_hi"), F.count("x").alias("_n"))
+    j = vals.crossJoin(F.broadcast(rng))  # one row
     width = (F.col("_hi") - F.col("_lo")) / bins
     idx = F.least(F.floor((F.col("x") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * bins), F.lit(bins - 1))
     idx = F.when(F.col("_hi") == F.col("_lo"), F.lit(0)).otherwise(idx).cast("int")
-    g = j.groupBy(idx.alias("bin"), "_lo", "_hi", "_n").agg(F.sum("c").alias("count"))
+    g = j.groupBy(idx.alias("bin"), "_lo", "_hi", "_n").agg(F.count("x").alias("count"))
     w = (F.col("_hi") - F.col("_lo")) / bins
     return g.select("bin", (F.col("_lo") + F.col("bin") * w).alias("bin_start"),
                     (F.col("_lo") + (F.col("bin") + 1) * w).alias("bin_end"), "count",
@@ -284,9 +285,8 @@ def box_stats(df: DataFrame, value: str, group: str | None = None, k: float = 1.
 def density_2d(df: DataFrame, x: str, y: str, gridsize: int = 20) -> DataFrame:
     """Counts over an even gridsize x gridsize grid spanning both ranges."""
     xs, ys = F.col(x).cast("double"), F.col(y).cast("double")
-    # one scan to (x, y) pair counts; the ranges and the cells read that table
-    sub = materialize(df.select(xs.alias("x"), ys.alias("y")).dropna().groupBy("x", "y")
-                      .agg(F.count(F.lit(1)).alias("c")))
+    # two narrow scans: the ranges, then partial counts of at most gridsize² cells a task
+    sub = df.select(xs.alias("x"), ys.alias("y")).dropna()
     rng = sub.agg(F.min("x").alias("_x0"), F.max("x").alias("_x1"), F.min("y").alias("_y0"), F.max("y").alias("_y1"))
     j = sub.crossJoin(F.broadcast(rng))  # one row
 
@@ -295,7 +295,7 @@ def density_2d(df: DataFrame, x: str, y: str, gridsize: int = 20) -> DataFrame:
         return F.when(F.col(hi) == F.col(lo), F.lit(0)).otherwise(i).cast("int")
 
     return j.groupBy(cell("x", "_x0", "_x1").alias("x_bin"), cell("y", "_y0", "_y1").alias("y_bin")) \
-        .agg(F.sum("c").alias("count"))
+        .agg(F.count(F.lit(1)).alias("count"))
 
 
 def trend_line(df: DataFrame, x: str, y: str) -> DataFrame:

@@ -4,11 +4,11 @@ Input: rows with ``row_id``, ``class`` and an encoded ``features`` vector
 (categories must be encoded first, as the pipelines do).  Output: the input
 rows plus synthetic minority rows (``synthetic`` = 1, negative row ids).
 
-Neighbour search is exact: the reference set (the minority, or all rows
-for SVM-SMOTE's danger test) is broadcast *after a size check* and each
-task ranks its own query rows against it with vectorized numpy
-(``mapInPandas``), so no pair is ever emitted as a row.  Beyond the size
-bound the operator refuses rather than approximating silently.
+Neighbour search is exact: queries and reference rows (the minority, or all
+rows for SVM-SMOTE's danger test) are dealt into blocks, every pair of
+blocks is compared in one task with vectorized numpy, and only the k best
+per query leave it.  Nothing passes through the driver and no pair is
+written out, at any size.
 
 Synthesis is seeded and distributed: synthetic row s picks its base row by
 position (distributed row numbers) from a seeded hash of s, one of the
@@ -19,19 +19,21 @@ Nguyen, Cooper & Kamei 2009 for the SVM variant).
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.ml.classification import LinearSVC
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from credspark import constants as K
 from credspark.functions.hashing import md5_bucket
 from credspark.operators.ranks import row_numbers
+from credspark.session import materialize
 
-MAX_BROADCAST_BYTES = 512 * 1024 * 1024
+BLOCK_ROWS = 5000
 U_MOD = 2147483647
 
 
@@ -39,69 +41,66 @@ def _as_array(df: DataFrame, features: str = "features") -> DataFrame:
     return df.select(K.ROW_ID, K.TARGET, vector_to_array(F.col(features)).alias("x"))
 
 
-def _collect_reference(ref: DataFrame, d: int, group_col: str | None = None):
-    n = ref.count()
-    if n * (d + 3) * 8 > MAX_BROADCAST_BYTES:
-        raise ValueError(f"reference set of {n} x {d} exceeds the broadcast bound; "
-                         "split the data (e.g. by a stratum column) and resample per part")
-    cols = [K.ROW_ID, "x", K.TARGET] + ([group_col] if group_col else [])
-    pdf = ref.select(*cols).orderBy(K.ROW_ID).toPandas()  # bounded by the check above; id order breaks ties
-    grp = pdf[group_col].to_numpy() if group_col else np.zeros(n, dtype=np.int64)
-    return (np.stack(pdf["x"].to_numpy()) if n else np.zeros((0, d)), pdf[K.ROW_ID].to_numpy(),
-            pdf[K.TARGET].to_numpy(), grp)
+def _nearest(q: pd.DataFrame, ref: pd.DataFrame, k: int, exclude_self: bool) -> pd.DataFrame:
+    """The k nearest rows of one reference block for every query of one block, by (distance, id)."""
+    if not len(q) or not len(ref):
+        return pd.DataFrame({K.ROW_ID: [], "near": []})
+    m, ids, labels = np.stack(ref["rx"].to_numpy()), ref["rid"].to_numpy(), ref["label"].to_numpy()
+    x, qid = np.stack(q["qx"].to_numpy()), q["qid"].to_numpy()
+    out, kk = [], min(k, len(ids))
+    for lo in range(0, len(x), 256):
+        part, own = x[lo:lo + 256], qid[lo:lo + 256]
+        dist = np.zeros((len(part), len(ids)))
+        for j in range(m.shape[1]):     # sums of squared differences: equal rows are at distance 0 exactly
+            diff = part[:, j, None] - m[None, :, j]
+            dist += diff * diff
+        if exclude_self:
+            dist[own[:, None] == ids[None, :]] = np.inf
+        kth = np.partition(dist, kk - 1, axis=1)[:, kk - 1]
+        for r in range(len(part)):
+            near = np.flatnonzero((dist[r] <= kth[r]) & np.isfinite(dist[r]))
+            near = near[np.lexsort((ids[near], dist[r, near]))][:kk]
+            out.append([(float(dist[r, i]), int(ids[i]), int(labels[i])) for i in near])
+    return pd.DataFrame({K.ROW_ID: qid, "near": out})
 
 
 def knn(query: DataFrame, ref: DataFrame, k: int, exclude_self: bool = True,
         group_col: str | None = None) -> DataFrame:
     """(row_id, nbr_ids array<long>, nbr_labels array<int>) of the k nearest
     reference rows (Euclidean), exact, ties broken by the smaller id; with
-    ``group_col`` only reference rows of the query's own group count."""
-    d = len(query.select("x").first()["x"])
-    mat, ids, labels, groups = _collect_reference(ref, d, group_col)
-    sc = query.sparkSession.sparkContext
-    b_mat, b_ids, b_lab, b_grp = sc.broadcast(mat), sc.broadcast(ids), sc.broadcast(labels), sc.broadcast(groups)
-
-    def run(it):
-        m, rid, lab, grp = b_mat.value, b_ids.value, b_lab.value, b_grp.value
-        sq = (m * m).sum(axis=1)
-        # query rows per block so the distance block stays ~64 MB
-        block = max(1, int(8_000_000 // max(m.shape[0], 1)))
-        for pdf in it:
-            for lo in range(0, len(pdf), block):
-                chunk = pdf.iloc[lo:lo + block]
-                q = np.stack(chunk["x"].to_numpy())
-                dist = (q * q).sum(axis=1)[:, None] - 2 * q @ m.T + sq[None, :]
-                if exclude_self:
-                    dist[chunk[K.ROW_ID].to_numpy()[:, None] == rid[None, :]] = np.inf
-                if group_col:
-                    dist[chunk["_g"].to_numpy()[:, None] != grp[None, :]] = np.inf
-                kk = min(k, m.shape[0])
-                part = np.argpartition(dist, kk - 1, axis=1)[:, :kk] if kk < m.shape[0] else \
-                    np.tile(np.arange(m.shape[0]), (len(q), 1))
-                dsel = np.take_along_axis(dist, part, 1)
-                # order by (distance, reference index = id order)
-                nb = np.take_along_axis(part, np.lexsort((part, dsel), axis=1), 1)
-                # a tie at the k-th distance may leave out a smaller id: sort those rows fully
-                kth = dsel.max(axis=1)
-                spill = (dist <= kth[:, None]).sum(axis=1) > kk
-                for r in np.flatnonzero(spill):
-                    nb[r] = np.lexsort((np.arange(m.shape[0]), dist[r]))[:kk]
-                # self and other groups were masked with inf: they are not neighbours
-                ok = np.isfinite(np.take_along_axis(dist, nb, 1))
-                yield pd.DataFrame({K.ROW_ID: chunk[K.ROW_ID].to_numpy(),
-                                    "nbr_ids": [rid[nb[i][ok[i]]] for i in range(len(nb))],
-                                    "nbr_labels": [lab[nb[i][ok[i]]].astype("int32") for i in range(len(nb))]})
-
-    schema = T.StructType([T.StructField(K.ROW_ID, T.LongType()),
-                           T.StructField("nbr_ids", T.ArrayType(T.LongType())),
-                           T.StructField("nbr_labels", T.ArrayType(T.IntegerType()))])
-    qcols = [K.ROW_ID, "x"] + ([F.col(group_col).alias("_g")] if group_col else [])
-    return query.select(*qcols).mapInPandas(run, schema)
+    ``group_col`` only reference rows of the query's own group count.
+
+    Both sides are dealt into blocks of about BLOCK_ROWS rows by a hash of the
+    id, and each pair of blocks is one task that returns k rows per query.
+    That is exact at every size and holds two blocks in memory at most; the
+    work grows with queries x references, as any exact search does here."""
+    g = F.col(group_col).cast("string") if group_col else F.lit("")
+    # columns get new names: query and reference are often the same DataFrame
+    q = query.select(F.col(K.ROW_ID).alias("qid"), F.col("x").alias("qx"), g.alias("_g"))
+    r = ref.select(F.col(K.ROW_ID).alias("rid"), F.col("x").alias("rx"),
+                   F.col(K.TARGET).cast("int").alias("label"), g.alias("_g"))
+    n_q, n_r = (max(1, math.ceil(side.count() / BLOCK_ROWS)) for side in (q, r))
+    block = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    q = q.withColumn("_q", block("qid", n_q)).withColumn("_r", every(n_r))
+    r = r.withColumn("_r", block("rid", n_r)).withColumn("_q", every(n_q))
+    keys = ["_g", "_q", "_r"]
+    near = q.groupBy(*keys).cogroup(r.groupBy(*keys)).applyInPandas(
+        lambda a, b: _nearest(a, b, k, exclude_self),
+        f"{K.ROW_ID} long, near array<struct<d:double,id:long,label:int>>")
+    best = F.slice(F.sort_array(F.flatten(F.collect_list("near"))), 1, k)
+    near = near.groupBy(K.ROW_ID).agg(best.alias("near"))
+    empty = query.select(K.ROW_ID).join(near, K.ROW_ID, "left")
+    none = F.array().cast("array<struct<d:double,id:long,label:int>>")
+    empty = empty.select(K.ROW_ID, F.coalesce("near", none).alias("near"))
+    return empty.select(K.ROW_ID, F.col("near.id").alias("nbr_ids"), F.col("near.label").alias("nbr_labels"))
 
 
 def _minority(df: DataFrame) -> tuple[int, int, int, int]:
     counts = {r[K.TARGET]: r["n"] for r in df.groupBy(K.TARGET).agg(F.count(F.lit(1)).alias("n")).collect()}
-    (mi, n_min), (ma, n_maj) = sorted(counts.items(), key=lambda kv: (kv[1], kv[0]))[:2]
+    if len(counts) != 2:
+        raise ValueError(f"resampling needs exactly 2 classes; there are {len(counts)}")
+    (mi, n_min), (ma, n_maj) = sorted(counts.items(), key=lambda kv: (kv[1], kv[0]))
     return mi, n_min, ma, n_maj
 
 
@@ -112,10 +111,9 @@ def _synthesize(bases: DataFrame, ref: DataFrame, n_new: int, k: int, step: floa
         return None
     spark = bases.sparkSession
     bases = bases.filter(F.size("nbr_ids") > 0)  # a base needs at least one neighbour
-    pos = row_numbers(bases, K.ROW_ID, name="_pos").persist()
+    pos = materialize(row_numbers(bases, K.ROW_ID, name="_pos"))
     n_b = pos.count()
     if n_b == 0:
-        pos.unpersist()
         return None
     s = spark.range(n_new).select(F.col("id").alias("s"))
     key = lambda t: F.concat(F.lit(f"{seed}_{tag}_{t}_"), F.col("s").cast("string"))
@@ -163,7 +161,7 @@ def svm_smote(df: DataFrame, k: int = 5, m: int = 10, ratio: float = 1.0, out_st
     two draws a seeded Beta(10, 10) fraction."""
     mi, n_min, _, n_maj = _minority(df)
     n_new = int(ratio * n_maj - n_min)
-    svm = LinearSVC(featuresCol=features, labelCol=K.TARGET, regParam=reg, maxIter=100,
+    svm = LinearSVC(featuresCol=features, labelCol=K.TARGET, regParam=reg, maxIter=100, standardization=False,
                     rawPredictionCol="_raw", predictionCol="_pred").fit(df.select(features, K.TARGET))
     sc = svm.transform(df.filter(F.col(K.TARGET) == mi).select(K.ROW_ID, K.TARGET, features))
     support = sc.filter(F.abs(vector_to_array("_raw")[1]) <= 1.0)

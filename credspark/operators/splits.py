@@ -106,7 +106,7 @@ def class_weights(df: DataFrame, weights: dict | str | None = "balanced", target
     counts = df.groupBy(target).agg(F.count(F.lit(1)).alias("n"))
     if weights == "balanced":
         w = Window.partitionBy()
-        return counts.select(target, "n", F.round(F.sum("n").over(w) / (F.count("n").over(w) * F.col("n")), 6)
+        return counts.select(target, "n", (F.sum("n").over(w) / (F.count("n").over(w) * F.col("n")))
                              .alias("weight"))
     weights = weights or {}
     m = F.create_map(*[x for k, v in weights.items() for x in (F.lit(k), F.lit(float(v)))]) if weights else None

@@ -9,8 +9,6 @@ row id), as the source's ``unique()`` order.
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,7 +17,7 @@ from credspark import constants as K
 from credspark.functions.distributions import (norm_ppf_udf, p_chi2, p_f, p_norm_two_sided, p_norm_upper,
                                                p_t_two_sided)
 from credspark.operators.profile import long_numeric, quantiles_from_counts
-from credspark.operators.ranks import row_numbers, running_totals
+from credspark.operators.ranks import running_totals
 from credspark.session import materialize
 
 ALPHA = 0.05
@@ -146,25 +144,35 @@ def _poly(c: list[float], x: Column) -> Column:
     return out
 
 
-def normality_shapiro(df: DataFrame, columns: list[str], min_n: int = 8, max_n: int = 5000,
+def normality_shapiro(df: DataFrame, columns: list[str], min_n: int = 8, group: str | None = None,
                       with_p: bool = True) -> DataFrame:
     """Shapiro-Wilk W (Royston 1995 approximation of the coefficients and of
-    the null distribution), for 8 <= n <= 5000 per variable.
-
-    Order statistics come from distributed row numbers; each row's expected
-    normal score m_i is a vectorized quantile (pandas UDF); W and p are then
-    grouped sums and closed forms on one row per variable."""
-    long = long_numeric(df, columns).dropna()
-    cnt = long.groupBy("variable").agg(F.count(F.lit(1)).alias("n"), F.avg("value").alias("mean"))
-    cnt = cnt.filter((F.col("n") >= min_n) & (F.col("n") <= max_n))
-    keyed = long.join(F.broadcast(cnt), "variable")  # one row per variable
-    # equal values get distinct consecutive numbers in any order: W is unchanged
-    rn = row_numbers(keyed, "value", ["variable"], name="i")
+    the null distribution), one row per variable (and group) with min_n values.
+
+    The approximation of p was fitted for n up to 5,000; larger samples have
+    their row as any other, and ``p_extrapolated`` says so.  Order statistics come
+    from distinct values: value counts are numbered by distributed running
+    totals, and a value held by rows i..j stands for that many expected
+    scores (their sum by a vectorized quantile of each, in pieces of at most
+    1,000), so a value shared by a third of the rows is no hot key."""
+    gcols = ["variable"] + (["grp"] if group else [])
+    long = df.select(*([F.col(group).alias("grp")] if group else []), *[F.col(c).cast("double").alias(c) for c in columns]) \
+        .unpivot(["grp"] if group else [], columns, "variable", "value").filter(F.col("value").isNotNull())
+    vc = materialize(long.groupBy(*gcols, "value").agg(F.count(F.lit(1)).alias("c")))
+    cnt = vc.groupBy(*gcols).agg(F.sum("c").alias("n"), (F.sum(F.col("value") * F.col("c")) / F.sum("c")).alias("mean"))
+    cnt = cnt.filter(F.col("n") >= min_n)
+    cum = running_totals(vc, "value", ["c"], gcols).join(cnt, gcols)
+    # a value's positions are last-c+1 .. last: pieces of 1,000, then one row each
+    first = F.col("c_cum") - F.col("c") + 1
+    pieces = cum.select(*gcols, "n", "mean", "value", F.col("c_cum").alias("last"),
+                        F.explode(F.sequence(first, F.col("c_cum"), F.lit(1000))).alias("lo"))
+    rn = pieces.select(*gcols, "n", "mean", "value", F.explode(F.sequence(
+        F.col("lo"), F.least(F.col("lo") + 999, F.col("last")))).alias("i"))
     n = F.col("n").cast("double")
     m = norm_ppf_udf((F.col("i") - 0.375) / (n + 0.25))
-    rows = rn.select("variable", "n", "mean", "i", "value", m.alias("m"))
+    rows = rn.select(*gcols, "n", "mean", "i", "value", m.alias("m"))
     i, nn = F.col("i"), F.col("n")
-    g = rows.groupBy("variable", "n").agg(
+    g = rows.groupBy(*gcols, "n").agg(
         F.sum(F.col("m") * F.col("m")).alias("summ2"),
         F.sum(F.when((i > 2) & (i < nn - 1), F.col("m") * F.col("value")).otherwise(0.0)).alias("s_int"),
         F.sum((F.col("value") - F.col("mean")) * (F.col("value") - F.col("mean"))).alias("ssq"),
@@ -179,7 +187,7 @@ def normality_shapiro(df: DataFrame, columns: list[str], min_n: int = 8, max_n:
     # n > 5 always here (min_n >= 8): two corrected coefficients per tail
     num = F.col("s_int") / fac + a1 * (F.col("xn") - F.col("x1")) + a2 * (F.col("xn1") - F.col("x2"))
     w = F.least(num * num / F.col("ssq"), F.lit(1.0))
-    out = g.select("variable", "n", w.alias("w"))
+    out = g.select(*gcols, "n", w.alias("w"), (F.col("n") > 5000).alias("p_extrapolated"))
     if not with_p:
         return out
     ln_n = F.ln(n)
@@ -200,6 +208,14 @@ def _groups(df: DataFrame, group: str, value: str, id_col: str | None) -> DataFr
     return df.select(*cols).dropna(subset=["g", "x"])
 
 
+def _two_groups(groups: DataFrame) -> DataFrame:
+    """``groups`` (one row per group); raises where there are not exactly two."""
+    found = groups.limit(3).count()
+    if found != 2:
+        raise ValueError(f"exactly 2 groups are compared; there are {'more' if found > 2 else found}")
+    return groups
+
+
 def group_moments(sub: DataFrame) -> DataFrame:
     return sub.groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.avg("x").alias("mean"),
                                 F.var_samp("x").alias("var"))
@@ -207,12 +223,13 @@ def group_moments(sub: DataFrame) -> DataFrame:
 
 def ttest_ind(df: DataFrame, group: str, value: str, id_col: str | None = K.ROW_ID,
               with_p: bool = True) -> DataFrame:
-    """Pooled-variance two-sample t of the first two groups; Cohen's d with
-    the pooled std (0 when it is 0)."""
+    """Pooled-variance two-sample t of the two groups; Cohen's d with the
+    pooled std (0 when it is 0).  Any other number of groups is an error."""
     sub = _groups(df, group, value, id_col)
     first = F.min("_id") if "_id" in sub.columns else F.min("g")
     mo = sub.groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.avg("x").alias("mean"),
                               F.var_samp("x").alias("var"), first.alias("_first"))  # one pass
+    mo = _two_groups(materialize(mo))
     mo = mo.select("*", (F.row_number().over(Window.orderBy("_first")) - 1).alias("gi"))  # one row per group
     a = mo.filter("gi = 0").select(F.col("g").alias("group1"), F.col("n").alias("n1"), F.col("mean").alias("m1"),
                                    F.col("var").alias("v1"))
@@ -252,13 +269,14 @@ def _rank_sums(per: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def mann_whitney_u(df: DataFrame, group: str, value: str, id_col: str | None = K.ROW_ID,
                    with_p: bool = True) -> DataFrame:
-    """Two-sided U of the first two groups: U1 = R1 - n1(n1+1)/2; normal
-    approximation with tie correction and continuity (asymptotic only)."""
+    """Two-sided U of the two groups: U1 = R1 - n1(n1+1)/2; normal
+    approximation with tie correction and continuity (asymptotic only).
+    Any other number of groups is an error; without an id column the smaller
+    group value comes first."""
     per = _group_value_counts(_groups(df, group, value, id_col))
-    first = per.groupBy("g").agg(F.min("_first").alias("_first"))
-    order = first.select("g", (F.row_number().over(Window.orderBy("_first")) - 1).alias("gi")) \
-        .filter("gi < 2")  # one row per group, then two
-    rs, ties = _rank_sums(per.join(F.broadcast(order), "g").drop("gi"))
+    first = per.groupBy("g").agg((F.min("_first") if "_first" in per.columns else F.min("g")).alias("_first"))
+    order = _two_groups(first).select("g", (F.row_number().over(Window.orderBy("_first")) - 1).alias("gi"))  # two rows
+    rs, ties = _rank_sums(per)
     rs = rs.join(order, "g")
     a = rs.filter("gi = 0").select(F.col("g").alias("group1"), F.col("n").alias("n1"), F.col("r").alias("r1"))
     b = rs.filter("gi = 1").select(F.col("g").alias("group2"), F.col("n").alias("n2"))
@@ -424,6 +442,20 @@ def chi2_independence(df: DataFrame, a: str, b: str, yates: bool = True, with_p:
                                                              F.lit(b).alias("variable2"), "*")
 
 
+def chi2_expected(df: DataFrame, a: str, b: str) -> DataFrame:
+    """(a, b, observed, expected) for every cell, also those never observed:
+    row total x column total / N, from one pass over the rows."""
+    obs = materialize(df.select(F.col(a).cast("string").alias("a"), F.col(b).cast("string").alias("b")).dropna()
+                      .groupBy("a", "b").agg(F.count(F.lit(1)).alias("observed")))
+    rt = obs.groupBy("a").agg(F.sum("observed").alias("_r"))
+    ct = obs.groupBy("b").agg(F.sum("observed").alias("_c"))
+    n = obs.agg(F.sum("observed").alias("_n"))
+    cells = rt.crossJoin(ct).crossJoin(F.broadcast(n))  # the result itself: one row per cell
+    return cells.join(obs, ["a", "b"], "left").select(
+        F.col("a").alias(a), F.col("b").alias(b), F.coalesce("observed", F.lit(0)).alias("observed"),
+        (F.col("_r") * F.col("_c") / F.col("_n")).alias("expected"))
+
+
 def cramers_v(df: DataFrame, a: str, b: str, yates: bool = True) -> DataFrame:
     return chi2_independence(df, a, b, yates, with_p=False).select("variable1", "variable2", "n_obs", "cramers_v",
                                                                    "effect_label")
@@ -530,4 +562,3 @@ def normal_quantile(p: Column) -> Column:
     return norm_ppf_udf(p)
 
 
-_ = math

@@ -27,6 +27,7 @@ from credspark.operators.pipelines import build_pipeline
 from credspark.operators.profile import seed_summary
 from credspark.operators.ranks import count_below, row_numbers
 from credspark.operators.splits import class_weights, kfold_assign
+from credspark.session import materialize
 
 FitFn = Callable[[DataFrame], object]  # train DataFrame -> fitted model with .transform giving ``proba``
 
@@ -61,6 +62,30 @@ RFC_SPACE = {"n_estimators": ("int", 400, 800), "max_depth": ("int", 3, 10), "mi
              "max_features": ("cat", ["sqrt", "log2", "0.3", "0.5"]), "max_samples": ("uniform", 0.5, 0.9)}
 
 
+SVC_SPACE = {"C": ("log-uniform", 0.1, 50.0), "gamma": ("log-uniform", 1e-3, 1.0), "kernel": ("cat", ["rbf", "linear"]),
+             "tol": ("log-uniform", 1e-5, 1e-3), "class_weight": ("cat", ["balanced", None])}
+SPACES = {"lrc": LRC_SPACE, "rfc": RFC_SPACE, "svc": SVC_SPACE}
+
+
+def _search_by_folds(train: DataFrame, model: str, draws: list[dict], folds: int, seed: int, resample):
+    """Scores of the draws by out-of-fold AUC, and the best one fitted on all rows:
+    for models whose features depend on the draw, or with a resampler, which
+    sees the other folds' rows only."""
+    from credspark.operators.models import train_kernel_svm, train_logistic
+
+    def fit(p: dict) -> FitFn:
+        weight = None if resample else p.get("class_weight")
+        if model == "svc":
+            return lambda df: train_kernel_svm(df, C=p["C"], gamma=p["gamma"], kernel=p["kernel"], tol=p["tol"],
+                                               class_weight=weight, resample=resample, seed=seed)
+        return lambda df: train_logistic(df, C=p["C"], class_weight=weight, max_iter=int(p["max_iter"]),
+                                         resample=resample)
+
+    scores = [cv_auc(train, fit(p), folds, seed) for p in draws]
+    best = draws[max(range(len(draws)), key=lambda i: scores[i])]
+    return scores, fit(best)(train)
+
+
 def _prepare(train: DataFrame, folds: int, seed: int, fold_col: str = "fold") -> DataFrame:
     df = train if fold_col in train.columns else kfold_assign(train, folds, seed, name=fold_col)
     bal = F.broadcast(class_weights(df, "balanced").select(K.TARGET, F.col("weight").alias("weight_balanced")))
@@ -68,10 +93,20 @@ def _prepare(train: DataFrame, folds: int, seed: int, fold_col: str = "fold") ->
 
 
 def tune_search(train: DataFrame, model: str = "lrc", space: dict | None = None, n_trials: int = 25,
-                folds: int = 5, seed: int = 8, parallelism: int = 4, fold_col: str = "fold"):
-    """Random search over ``space`` with k-fold ROC AUC (exact: numBins=0).
+                folds: int = 5, seed: int = 8, parallelism: int = 4, fold_col: str = "fold", resample=None):
+    """Random search over ``space`` with k-fold ROC AUC (exact: numBins=0), for
+    the models lrc, rfc and svc.  ``resample`` (lrc, svc) rebalances the encoded
+    rows of the training folds only.
     Returns (trials DataFrame, best PipelineModel refit on all rows)."""
-    space = space or (LRC_SPACE if model == "lrc" else RFC_SPACE)
+    if model not in SPACES:
+        raise ValueError(f"unknown model {model!r}; there are {', '.join(SPACES)}")
+    if resample and model == "rfc":
+        raise ValueError("the forest balances by class weights, not by a resampler")
+    space = space or SPACES[model]
+    if model == "svc" or resample:
+        draws = sample_space(space, n_trials, seed)
+        scores, best = _search_by_folds(train, model, draws, folds, seed, resample)
+        return _trials(train, model, draws, scores, folds), best
     df = _prepare(train, folds, seed, fold_col).persist()
     n_fold_train = df.count() * (folds - 1) / folds
     keep = [K.ROW_ID, K.TARGET, "weight_balanced", "weight_none", fold_col]
@@ -101,16 +136,20 @@ def tune_search(train: DataFrame, model: str = "lrc", space: dict | None = None,
     cv = CrossValidator(estimator=pipe, estimatorParamMaps=maps, evaluator=ev, numFolds=folds,
                         foldCol=fold_col, parallelism=parallelism, seed=seed)
     cvm = cv.fit(df)
-    sid = f"{model}-{uuid.uuid4().hex[:8]}"
-    rows = [(sid, i, {k: str(v) for k, v in p.items()}, float(s), folds)
-            for i, (p, s) in enumerate(zip(draws, cvm.avgMetrics))]
-    trials = df.sparkSession.createDataFrame(
-        rows, "search_id string, trial int, params map<string,string>, score double, n_folds int")
+    trials = _trials(df, model, draws, cvm.avgMetrics, folds)
     best = Pipeline(stages=[*cvm.bestModel.stages, ProbaColumn()]).fit(df)  # stages already fitted
     df.unpersist()
     return trials, best
 
 
+def _trials(df: DataFrame, model: str, draws: list[dict], scores: list[float], folds: int) -> DataFrame:
+    sid = f"{model}-{uuid.uuid4().hex[:8]}"
+    rows = [(sid, i, {k: str(v) for k, v in p.items()}, float(s), folds)
+            for i, (p, s) in enumerate(zip(draws, scores))]
+    return df.sparkSession.createDataFrame(
+        rows, "search_id string, trial int, params map<string,string>, score double, n_folds int")
+
+
 def search_convergence(trials: DataFrame, trial_col: str = "trial", score_col: str = "score",
                        group_cols: list[str] | None = None) -> DataFrame:
     """Best score so far by trial, per search.  One search is a small table
@@ -127,8 +166,7 @@ def oof_predictions(train: DataFrame, fit: FitFn, folds: int = 5, seed: int = 8,
                     ) -> DataFrame:
     """(row_id, class, fold, proba) for every training row, each predicted by
     the model fitted on the other folds."""
-    df = train if fold_col in train.columns else kfold_assign(train, folds, seed, name=fold_col)
-    df = df.persist()
+    df = materialize(train if fold_col in train.columns else kfold_assign(train, folds, seed, name=fold_col))
     parts = None
     for f in range(folds):
         m = fit(df.filter(F.col(fold_col) != f))
@@ -191,21 +229,18 @@ def learning_curve(train: DataFrame, fit: FitFn, sizes: list[float] | None = Non
     df.unpersist()
     spark = train.sparkSession
     r = spark.createDataFrame(rows, "train_size double, fold int, train_auc double, val_auc double")
-    return r.groupBy("train_size").agg(F.avg("train_auc").alias("train_auc_mean"),
-                                       F.stddev_pop("train_auc").alias("train_auc_std"),
-                                       F.avg("val_auc").alias("val_auc_mean"),
-                                       F.stddev_pop("val_auc").alias("val_auc_std")).orderBy("train_size")
+    curve = r.groupBy("train_size").agg(F.avg("train_auc").alias("train_auc_mean"),
+                                        F.stddev_pop("train_auc").alias("train_auc_std"),
+                                        F.avg("val_auc").alias("val_auc_mean"),
+                                        F.stddev_pop("val_auc").alias("val_auc_std"))
+    return learning_diagnosis(curve, "val_auc_mean", "train_auc_mean").orderBy("train_size")
 
 
 def learning_diagnosis(df: DataFrame, val: str = "val_auc", train: str = "train_auc") -> DataFrame:
     """The four bias-variance rules on (train, validation) scores; several may hold."""
     v, gap = F.col(val), F.col(train) - F.col(val)
-    rules = [
-        (v < 0.70, "Low validation score - better features or a different model"),
-        (gap > 0.10, "High variance (overfitting) - regularize or add data"),
-        ((gap < 0.05) & (v < 0.75), "High bias (underfitting) - more complex model or better features"),
-        ((v > 0.75) & (gap < 0.10), "Good bias-variance tradeoff - ready for tuning"),
-    ]
+    rules = [(v < 0.70, "low_score"), (gap > 0.10, "high_variance"),
+             ((gap < 0.05) & (v < 0.75), "high_bias"), ((v > 0.75) & (gap < 0.10), "balanced")]
     labels = F.filter(F.array(*[F.when(c, F.lit(t)) for c, t in rules]), lambda x: x.isNotNull())
     return df.select("*", gap.alias("gap"), labels.alias("diagnosis"))
 

@@ -11,6 +11,7 @@ from credspark.operators import evaluate as EV
 from credspark.operators import splits as SP
 from credspark.operators.ranks import avg_rank
 from credspark.plans.common import apps, dbl, r, round_doubles, scored_test, sql, train_side
+from credspark.sources.fixtures import scored
 
 Q: dict = {}
 S: dict = {}
@@ -148,7 +149,7 @@ S["kfold_assign"] = sql(
 
 
 def q_class_weights(spark, d):
-    return SP.class_weights(train_side(apps(spark, d)), "balanced")
+    return round_doubles(SP.class_weights(train_side(apps(spark, d)), "balanced"))
 
 
 Q["class_weights"] = q_class_weights
@@ -307,7 +308,7 @@ S["predict_details"] = sql(
 
 
 def q_risk_labels(spark, d):
-    return EN.risk_labels(scored_test(spark, d))
+    return EN.risk_labels(scored(spark, d))
 
 
 Q["risk_labels"] = q_risk_labels
@@ -315,7 +316,11 @@ S["risk_labels"] = sql(
     "SELECT row_id, "
     + ", ".join(f"round(({dbl(1.0)} - proba_{m}) * {dbl(100.0)}, 1) AS risk_pct_{m},"
                 f" CASE WHEN proba_{m} >= {dbl(0.5)} THEN 'Low Risk' ELSE 'High Risk' END AS risk_label_{m}"
-                for m in K.MODEL_ORDER) + " FROM scored_test")
+                for m in K.MODEL_ORDER)
+    + f", round(({dbl(1.0)} - e) * {dbl(100.0)}, 1) AS risk_pct_ensemble,"
+    f" CAST(round(({dbl(1.0)} - e) * {dbl(100.0)}, 1) AS VARCHAR) || '%' AS risk_text_ensemble,"
+    f" CASE WHEN e >= {THR} THEN 'Low Risk' ELSE 'High Risk' END AS risk_label_ensemble"
+    f" FROM (SELECT *, {ENS_SQL} AS e FROM scored)")
 
 
 def q_score_ensemble(spark, d):

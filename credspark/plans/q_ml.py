@@ -104,6 +104,27 @@ def q_tune_search(spark, d):
 Q["tune_search"] = q_tune_search
 
 
+def q_tune_search_svc(spark, d):
+    """Random search of the kernel SVM with SMOTE inside the folds."""
+    tr, _ = _sides(spark, d)
+    trials, _best = TU.tune_search(tr, "svc", n_trials=2, folds=2, seed=8,
+                                   resample=lambda x: RS.smote(x, k=5).select(K.ROW_ID, K.TARGET, "features"))
+    return round_doubles(trials.select("trial", F.to_json("params").alias("params"), "score", "n_folds"))
+
+
+Q["tune_search_svc"] = q_tune_search_svc
+
+
+def q_tune_threshold_trained(spark, d):
+    """Out-of-fold scores of a trained model, and the threshold of least cost on them."""
+    tr, _ = _sides(spark, d)
+    _per, best = TU.tune_threshold_cv(TU.oof_predictions(tr, _fit_lr, folds=3), 100)
+    return round_doubles(best)
+
+
+Q["tune_threshold_trained"] = q_tune_threshold_trained
+
+
 def q_search_convergence(spark, d):
     """Best-so-far over the weight-grid trials (trial = grid position, score = -cost)."""
     g = EN.weight_grid_search(scored_test(spark, d)).select(F.col("grid_pos").alias("trial"),
@@ -146,7 +167,8 @@ def _fit_lr(df):
 
 def q_learning_curve(spark, d):
     tr, _ = _sides(spark, d)
-    return round_doubles(TU.learning_curve(tr, _fit_lr, sizes=[0.25, 0.5, 1.0], folds=3))
+    curve = TU.learning_curve(tr, _fit_lr, sizes=[0.25, 0.5, 1.0], folds=3)
+    return round_doubles(curve.withColumn("diagnosis", F.concat_ws("; ", "diagnosis")))
 
 
 Q["learning_curve"] = q_learning_curve
@@ -177,11 +199,9 @@ def _diag_sql():
         ", w AS (SELECT model, max(CASE WHEN side = 'train' THEN auc END) AS tr, max(CASE WHEN side = 'test'"
         " THEN auc END) AS va FROM a GROUP BY model)"
         " SELECT model, tr AS train_auc, va AS val_auc, round(tr - va, 6) AS gap, concat_ws('; ',"
-        " CASE WHEN va < 0.70 THEN 'Low validation score - better features or a different model' END,"
-        " CASE WHEN tr - va > 0.10 THEN 'High variance (overfitting) - regularize or add data' END,"
-        " CASE WHEN tr - va < 0.05 AND va < 0.75 THEN 'High bias (underfitting) - more complex model or better"
-        " features' END,"
-        " CASE WHEN va > 0.75 AND tr - va < 0.10 THEN 'Good bias-variance tradeoff - ready for tuning' END)"
+        " CASE WHEN va < 0.70 THEN 'low_score' END, CASE WHEN tr - va > 0.10 THEN 'high_variance' END,"
+        " CASE WHEN tr - va < 0.05 AND va < 0.75 THEN 'high_bias' END,"
+        " CASE WHEN va > 0.75 AND tr - va < 0.10 THEN 'balanced' END)"
         " AS diagnosis FROM w")
 
 
@@ -208,7 +228,7 @@ def q_feature_gain(spark, d):
     def fit_base(df):
         from pyspark.ml import Pipeline
         prep = build_baseline(df).getStages()
-        return Pipeline(stages=[*prep, M.logistic(1.0, 10000), M.ProbaColumn()]).fit(df)
+        return Pipeline(stages=[*prep, M.logistic(1.0, df.count()), M.ProbaColumn()]).fit(df)
 
     return round_doubles(TU.feature_gain(tr, _fit_lr, fit_base, folds=3))
 

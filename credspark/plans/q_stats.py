@@ -113,13 +113,47 @@ S["normality_dagostino"] = sql(_dagostino_sql())
 
 
 def q_normality_shapiro(spark, d):
-    """Shapiro-Wilk per class slice of the engineered features (n <= 5000 each)."""
-    a = FE.feature_engineer(apps(spark, d)).filter(F.col("checking_account_status") == "< 0 DM")
-    return round_doubles(ST.normality_shapiro(a, ["credit_log", "age_years", "duration_to_age_ratio_sqrt"]))
+    """Shapiro-Wilk of three engineered features, per checking status, over every row."""
+    a = FE.feature_engineer(apps(spark, d))
+    return round_doubles(ST.normality_shapiro(a, ["credit_log", "age_years", "duration_to_age_ratio_sqrt"],
+                                              group="checking_account_status"))
 
 
 Q["normality_shapiro"] = q_normality_shapiro
 
+
+
+def _with_p(test):
+    """The test with its p-value and flags: rows only, since DuckDB has no such tails."""
+    return lambda spark, d: round_doubles(test(apps(spark, d)))
+
+
+Q["corr_pearson_p"] = _with_p(lambda a: ST.corr_pearson(a, "duration_months", "credit_amount"))
+Q["corr_spearman_p"] = _with_p(lambda a: ST.corr_spearman(a, "duration_months", "credit_amount"))
+Q["ttest_ind_p"] = _with_p(lambda a: ST.ttest_ind(a, "class", "credit_amount"))
+Q["mann_whitney_u_p"] = _with_p(lambda a: ST.mann_whitney_u(a, "class", "credit_amount"))
+Q["anova_oneway_p"] = _with_p(lambda a: ST.anova_oneway(a, "purpose", "credit_amount"))
+Q["kruskal_wallis_p"] = _with_p(lambda a: ST.kruskal_wallis(a, "purpose", "credit_amount"))
+Q["levene_p"] = _with_p(lambda a: ST.levene(a, "purpose", "credit_amount"))
+Q["chi2_independence_p"] = _with_p(lambda a: ST.chi2_independence(a, "purpose", "class"))
+for _g, _par in (("class", True), ("class", False), ("purpose", True), ("purpose", False)):
+    Q[f"compare_groups_{_g}_{'mean' if _par else 'rank'}"] = _with_p(
+        lambda a, g=_g, par=_par: ST.compare_groups(a, g, "credit_amount", parametric=par))
+
+
+def q_chi2_expected(spark, d):
+    return round_doubles(ST.chi2_expected(apps(spark, d), "purpose", "class"))
+
+
+Q["chi2_expected"] = q_chi2_expected
+S["chi2_expected"] = sql(
+    ", o AS (SELECT purpose, CAST(class AS VARCHAR) AS class, count(*) AS n FROM applications"
+    " WHERE purpose IS NOT NULL AND class IS NOT NULL GROUP BY ALL)"
+    ", rt AS (SELECT purpose, sum(n) AS r FROM o GROUP BY 1), ct AS (SELECT class, sum(n) AS c FROM o GROUP BY 1)"
+    " SELECT rt.purpose, ct.class, CAST(coalesce(o.n, 0) AS BIGINT) AS observed,"
+    f" {r('CAST(r AS DOUBLE) * c / (SELECT sum(n) FROM o)')} AS expected"
+    " FROM rt CROSS JOIN ct LEFT JOIN o ON o.purpose = rt.purpose AND o.class = ct.class")
+
 GROUP_FIRST = (", sub AS (SELECT class AS g, CAST(credit_amount AS DOUBLE) AS x, row_id FROM applications"
                " WHERE class IS NOT NULL AND credit_amount IS NOT NULL)"
                ", ord AS (SELECT g, row_number() OVER (ORDER BY min(row_id)) - 1 AS gi FROM sub GROUP BY g)")

@@ -49,10 +49,14 @@ def materialize(df: DataFrame) -> DataFrame:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared checkpoint folder: the cluster's if it names one, else a scratch one."""
+    """Shared checkpoint folder: the one the session names, else a scratch one
+    in local mode.  On a cluster an unnamed folder is an error: executors and
+    driver would each write to a disk of their own."""
     conf = spark.sparkContext.getConf()
     path = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         path = tempfile.mkdtemp(prefix="credspark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     if spark.sparkContext.getCheckpointDir() is None:

@@ -42,6 +42,11 @@ def _versions(root: str) -> str:
     return os.path.join(root, "model_versions")
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def log_run(spark: SparkSession, root: str, experiment: str, run_name: str, params: dict | None = None,
             metrics: dict | None = None, tags: dict | None = None, run_id: str | None = None) -> str:
     """Append one run record; returns its id."""
@@ -86,16 +91,18 @@ def runs_leaderboard(runs: DataFrame, metrics: list[str], order_by: str, ascendi
 
 def register_model(model: PipelineModel, spark: SparkSession, root: str, name: str,
                    run_id: str | None = None) -> DataFrame:
-    """Save a fitted pipeline as the next version of ``name``; returns the new version row."""
+    """Save a fitted pipeline as the next version of ``name``; returns the new version row.
+
+    Without a versions table the version is 1; any other failure to read it is
+    raised.  A stored version is never overwritten: saving onto one fails."""
     vpath = _versions(root)
-    try:
+    cur = None
+    if _exists(spark, vpath):
         cur = spark.read.schema(VERSION_SCHEMA).parquet(vpath).filter(F.col("name") == name) \
             .agg(F.max("version")).first()[0]
-    except Exception:  # noqa: BLE001 -- no versions table yet
-        cur = None
     version = (cur or 0) + 1
     path = os.path.join(root, "models", name, str(version))
-    model.write().overwrite().save(path)
+    model.write().save(path)
     row = (name, version, path, run_id or "", dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
     spark.createDataFrame([row], VERSION_SCHEMA).write.mode("append").parquet(vpath)
     return spark.createDataFrame([row], VERSION_SCHEMA)

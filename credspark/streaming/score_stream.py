@@ -45,13 +45,16 @@ def run_to_sink(stream: DataFrame, sink: str, checkpoint: str, fmt: str = "parqu
 def score_stream_with_models(spark: SparkSession, source: str, schema: T.StructType, models: dict,
                              sink: str, checkpoint: str, weights=None, threshold: float = K.ENSEMBLE_THRESHOLD,
                              available_now: bool = True):
-    """Score each micro-batch with the trained models, soft-vote, threshold, append."""
+    """Score each micro-batch with the trained models, soft-vote, threshold.
+
+    Every batch has a folder of its own under ``sink`` (``batch_id=<n>``), which a
+    replayed batch overwrites, so a restart writes nothing twice."""
     from credspark.operators.ensemble import predict_threshold, soft_vote
     from credspark.operators.models import score_models
 
     def batch(df: DataFrame, batch_id: int) -> None:
         scored = predict_threshold(soft_vote(score_models(models, df), weights), threshold)
-        scored.write.mode("append").parquet(sink)
+        scored.write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
 
     q = read_stream(spark, source, schema).writeStream.foreachBatch(batch) \
         .option("checkpointLocation", checkpoint)
