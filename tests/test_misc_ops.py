@@ -86,3 +86,87 @@ def test_grid_auc_matches_direct(spark):
         direct = EV.roc_auc(EN.soft_vote(df, [r["w_lrc"], r["w_rfc"], r["w_svc"]])).first()["roc_auc"]
         assert aucs[r["grid_pos"]] == pytest.approx(direct, abs=1e-9)
     assert F is not None
+
+
+def test_register_model_never_overwrites(spark, tmp_path):
+    from pyspark.ml import PipelineModel
+
+    from credspark.sources import registry as RG
+
+    root, model = str(tmp_path), PipelineModel(stages=[])
+    assert [RG.register_model(model, spark, root, "m").first()["version"] for _ in range(2)] == [1, 2]
+    broken = tmp_path / "model_versions" / "part-broken.snappy.parquet"
+    broken.write_bytes(b"not parquet")
+    with pytest.raises(Exception):
+        RG.register_model(model, spark, root, "m")
+    broken.unlink()
+    assert sorted(p.name for p in (tmp_path / "models" / "m").iterdir()) == ["1", "2"]
+    (tmp_path / "models" / "m" / "3").mkdir()
+    with pytest.raises(Exception):
+        RG.register_model(model, spark, root, "m")
+
+
+def test_two_group_tests_want_two_groups(spark):
+    from credspark.operators import stattests as ST
+
+    df = spark.createDataFrame([(i, "abc"[i % 3], float(i)) for i in range(30)], "row_id long, g string, v double")
+    for test in (ST.ttest_ind, ST.mann_whitney_u):
+        for groups in (["a", "b", "c"], ["a"]):
+            with pytest.raises(ValueError):
+                test(df.filter(F.col("g").isin(groups)), "g", "v")
+    two = df.filter("g <> 'c'")
+    assert ST.mann_whitney_u(two, "g", "v", id_col=None).first()["u_stat"] == \
+        ST.mann_whitney_u(two, "g", "v").first()["u_stat"]
+
+
+def test_knn_blocks_equal_brute_force(spark, monkeypatch):
+    from credspark.operators import resample as RS
+
+    monkeypatch.setattr(RS, "BLOCK_ROWS", 17)
+    rng = np.random.default_rng(3)
+    x = rng.integers(0, 3, (90, 4)).astype(float)     # many ties and equal rows
+    df = spark.createDataFrame([(i, i % 2, x[i].tolist()) for i in range(90)],
+                               "row_id long, class int, x array<double>")
+    got = {r["row_id"]: r for r in RS.knn(df, df, 6).collect()}
+    for i in range(90):
+        d = ((x[i] - x) ** 2).sum(axis=1)
+        want = [j for j in np.lexsort((np.arange(90), d)) if j != i][:6]
+        assert got[i]["nbr_ids"] == want and got[i]["nbr_labels"] == [j % 2 for j in want]
+
+
+def test_shapiro_has_a_row_at_every_size(spark):
+    from credspark.operators import stattests as ST
+
+    rng = np.random.default_rng(4)
+    df = spark.createDataFrame([(("a", "b")[i % 2], float(v)) for i, v in enumerate(rng.standard_normal(12_000))],
+                               "g string, v double")
+    rows = ST.normality_shapiro(df, ["v"], group="g").collect()
+    assert [r["n"] for r in rows] == [6000, 6000] and all(r["w"] > 0.99 and r["p_extrapolated"] for r in rows)
+
+
+def test_search_rejects_unknown_models(spark):
+    with pytest.raises(ValueError):
+        TU.tune_search(spark.range(3), "tree")
+
+
+def test_a_cluster_must_name_its_folder(monkeypatch):
+    from credspark import session as SE
+
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getConf(self):
+            return Conf()
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(ValueError):
+        SE.checkpoint_dir(Session())
