@@ -1,11 +1,12 @@
 """Supervised and unsupervised encoders as Spark ML Estimators.
 
 Every fit is ONE grouped aggregate over the training side (all encoded
-columns at once, via unpivot) producing a small state table
-(column, level, value).  Every transform applies that state per column:
-as a literal map lookup (a projection, no join) while the state is small,
-or as a join with the state table (broadcast when small enough, a shuffle
-join otherwise) for very high-cardinality columns.
+columns at once, via unpivot) producing a state table (column, level,
+value).  The state is a DataFrame at every size: it is written to the shared
+checkpoint folder at fit, saved beside the model's parameters, and applied
+by a join on the level (Spark broadcasts it where its size allows and
+shuffles it otherwise).  No level passes through the driver; only one-hot
+encoding collects its levels, because they are the output's columns.
 
 Because these are ``Estimator`` / ``Model`` stages, they sit *inside* the
 ``Pipeline`` handed to ``CrossValidator``: fold scores never see the
@@ -25,20 +26,22 @@ Formulas (defaults as parameters):
 from __future__ import annotations
 
 import json
+import os
 import re
+import zlib
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Transformer
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCols, HasLabelCol
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
+from pyspark.ml.util import (DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter,
+                             MLReadable, MLReader, MLWritable, MLWriter)
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from credspark import constants as K
-
-LITERAL_LIMIT = 10_000  # levels per column applied as a literal map; above: a join
-
+from credspark.operators.ranks import row_numbers
+from credspark.session import written
 
 def safe_name(s: str) -> str:
     """Column-safe name; comparison signs are spelled out so that levels such
@@ -47,8 +50,10 @@ def safe_name(s: str) -> str:
     return re.sub(r"[^0-9A-Za-z_]+", "_", s)
 
 
-def onehot_name(col: str, level: str) -> str:
-    return safe_name(f"{col}_{level}")
+def onehot_names(col: str, levels: list[str]) -> list[str]:
+    """One name per level; levels whose safe names are equal get a checksum of the level appended."""
+    plain = [safe_name(f"{col}_{v}") for v in levels]
+    return [n if plain.count(n) == 1 else f"{n}_{zlib.crc32(v.encode()):08x}" for n, v in zip(plain, levels)]
 
 
 def _long(df: DataFrame, cols: list[str], extra: list[str]) -> DataFrame:
@@ -86,54 +91,91 @@ def fit_state(df: DataFrame, kind: str, cols: list[str], label: str = K.TARGET,
         return g.crossJoin(F.broadcast(tot)).select("column_name", "level",
                                                     (F.col("n") / F.col("NN")).alias("value"))
     if kind in ("ordinal", "onehot"):
-        first = F.min(id_col) if id_col in df.columns else F.min("level")
-        g = long.groupBy("column_name", "level").agg(first.alias("_first"))
-        # small (levels) table; ordering levels within each column
-        from pyspark.sql import Window
-        rk = F.row_number().over(Window.partitionBy("column_name").orderBy("_first", "level"))
-        return g.select("column_name", "level", rk.cast("double").alias("value"))
+        return _first_seen(long, id_col if id_col in df.columns else "level")
     raise ValueError(f"unknown encoder kind {kind}")
 
 
+def _first_seen(long: DataFrame, by: str) -> DataFrame:
+    """Levels numbered 1.. in order of first appearance, per column; the numbering is distributed."""
+    g = long.groupBy("column_name", "level").agg(F.min(by).alias("_first"))
+    rk = row_numbers(g, "_first", ["column_name"], tie_cols=["level"], name="value")
+    return rk.select("column_name", "level", F.col("value").cast("double").alias("value"))
+
+
 def state_prior(df: DataFrame, label: str = K.TARGET) -> float:
     return float(df.agg(F.avg(F.col(label).cast("double"))).first()[0])
 
 
-def collect_state(state: DataFrame) -> dict[str, dict[str, float]]:
-    """Bring a fitted state to the driver; bounded by the number of levels."""
-    out: dict[str, dict[str, float]] = {}
-    for r in state.collect():
-        out.setdefault(r["column_name"], {})[r["level"]] = float(r["value"])
+def apply_state(df: DataFrame, state: DataFrame, cols: list[str], unseen: float, missing: float) -> DataFrame:
+    """Replace each column by its value in ``state`` (column_name, level, value), by one join per column."""
+    out = df
+    for c in cols:
+        s = state.filter(F.col("column_name") == c).select(F.col("level").alias("_credspark_level"),
+                                                           F.col("value").alias("_credspark_value"))
+        hit = out.join(s, F.col(f"`{c}`").cast("string") == F.col("_credspark_level"), "left")
+        value = F.when(F.col(f"`{c}`").isNull(), F.lit(missing)).otherwise(
+            F.coalesce("_credspark_value", F.lit(unseen)))
+        out = hit.select(*[value.alias(c) if x == c else F.col(f"`{x}`") for x in out.columns])
     return out
 
 
-def _lookup(col: str, mapping: dict[str, float], unseen: float, missing: float) -> Column:
-    src = F.col(col).cast("string")
-    if not mapping:
-        return F.when(src.isNull(), F.lit(missing)).otherwise(F.lit(unseen))
-    m = F.create_map(*[x for k, v in mapping.items() for x in (F.lit(k), F.lit(float(v)))])
-    return F.when(src.isNull(), F.lit(missing)).otherwise(F.coalesce(m[src], F.lit(unseen)))
+def onehot_levels(df: DataFrame, cols: list[str], id_col: str = K.ROW_ID) -> dict[str, list[str]]:
+    """Levels per column in order of first appearance: the names of the columns to come."""
+    levels: dict[str, list[tuple]] = {}
+    for r in fit_state(df, "onehot", cols, id_col=id_col).collect():
+        levels.setdefault(r["column_name"], []).append((r["value"], r["level"]))
+    return {c: [v for _, v in sorted(levels.get(c, []))] for c in cols}
 
 
-def apply_state(df: DataFrame, state: dict[str, dict[str, float]], cols: list[str], unseen: float,
-                missing: float, state_df: DataFrame | None = None) -> DataFrame:
-    """Replace each column by its encoded value (map lookup; join if huge)."""
-    out = df
-    big = [c for c in cols if len(state.get(c, {})) > LITERAL_LIMIT]
-    small = [c for c in cols if c not in big]
-    out = out.select(*[_lookup(c, state.get(c, {}), unseen, missing).alias(c) if c in small else F.col(c)
-                       for c in out.columns])
-    for c in big:  # very many levels: a join with the state table (AQE picks broadcast or shuffle)
-        if state_df is None:
-            s = df.sparkSession.createDataFrame([(k, float(v)) for k, v in state[c].items()],
-                                                "_lvl string, _val double")
-        else:
-            s = state_df.filter(F.col("column_name") == c).select(F.col("level").alias("_lvl"),
-                                                                F.col("value").alias("_val"))
-        out = out.join(s, out[c].cast("string") == s["_lvl"], "left") \
-            .withColumn(c, F.when(F.col(c).isNull(), F.lit(missing)).otherwise(F.coalesce("_val", F.lit(unseen)))) \
-            .drop("_lvl", "_val")
-    return out
+UNSEEN = {"woe": (0.0, 0.0), "count": (0.0, 0.0), "ordinal": (-1.0, -2.0)}  # (unseen, missing); target: the prior
+
+
+def unseen_missing(kind: str, prior: float) -> tuple[float, float]:
+    return UNSEEN.get(kind, (prior, prior))
+
+
+class StateWriter(MLWriter):
+    def __init__(self, instance):
+        super().__init__()
+        self.instance = instance
+
+    def saveImpl(self, path: str) -> None:
+        DefaultParamsWriter.saveMetadata(self.instance, path, self.sparkSession)
+        self.instance.state.write.parquet(os.path.join(path, "state"))
+
+
+class StateReader(MLReader):
+    def __init__(self, cls):
+        super().__init__()
+        self.cls = cls
+
+    def load(self, path: str):
+        meta = DefaultParamsReader.loadMetadata(path, self.sparkSession)
+        model = self.cls()
+        model._resetUid(meta["uid"])
+        DefaultParamsReader.getAndSetParams(model, meta)
+        model.state = self.sparkSession.read.parquet(os.path.join(path, "state"))
+        return model
+
+
+class StateTable:
+    """A model whose fitted state is the DataFrame ``state``, saved beside the parameters."""
+
+    state: DataFrame | None = None
+
+    def write(self) -> MLWriter:
+        return StateWriter(self)
+
+    def save(self, path: str) -> None:
+        self.write().save(path)
+
+    @classmethod
+    def read(cls) -> MLReader:
+        return StateReader(cls)
+
+    @classmethod
+    def load(cls, path: str):
+        return cls.read().load(path)
 
 
 # ------------------------------------------------------------ ML stages
@@ -160,28 +202,25 @@ class CategoryEncoder(Estimator, _StateParams, DefaultParamsReadable, DefaultPar
         st = fit_state(df, kind, cols, self.getLabelCol(), self.getOrDefault("idCol"),
                        self.getOrDefault("regularization"), self.getOrDefault("smoothing"),
                        self.getOrDefault("minSamplesLeaf"))
-        state = collect_state(st)
         prior = state_prior(df, self.getLabelCol()) if kind == "target" else 0.0
-        return CategoryEncoderModel(kind=kind, inputCols=cols, state=json.dumps(state), prior=prior)
+        model = CategoryEncoderModel(kind=kind, inputCols=cols, prior=prior)
+        model.state = written(st, "encoder")
+        return model
 
 
-class CategoryEncoderModel(Model, HasInputCols, DefaultParamsReadable, DefaultParamsWritable):
+class CategoryEncoderModel(StateTable, Model, HasInputCols, MLReadable, MLWritable):
     kind = Param(Params._dummy(), "kind", "encoder kind", TypeConverters.toString)
-    state = Param(Params._dummy(), "state", "fitted state as JSON", TypeConverters.toString)
     prior = Param(Params._dummy(), "prior", "target mean", TypeConverters.toFloat)
 
     @keyword_only
-    def __init__(self, *, kind="woe", inputCols=None, state="{}", prior=0.0):
+    def __init__(self, *, kind="woe", inputCols=None, prior=0.0):
         super().__init__()
-        self._setDefault(state="{}", prior=0.0)
+        self._setDefault(prior=0.0)
         self._set(**self._input_kwargs)
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        kind = self.getOrDefault("kind")
-        state = json.loads(self.getOrDefault("state"))
-        unseen, missing = {"woe": (0.0, 0.0), "count": (0.0, 0.0), "ordinal": (-1.0, -2.0)}.get(
-            kind, (self.getOrDefault("prior"), self.getOrDefault("prior")))
-        return apply_state(df, state, self.getInputCols(), unseen, missing)
+        return apply_state(df, self.state, self.getInputCols(),
+                           *unseen_missing(self.getOrDefault("kind"), self.getOrDefault("prior")))
 
 
 class OneHotAllEncoder(Estimator, HasInputCols, DefaultParamsReadable, DefaultParamsWritable):
@@ -195,10 +234,7 @@ class OneHotAllEncoder(Estimator, HasInputCols, DefaultParamsReadable, DefaultPa
         self._set(**self._input_kwargs)
 
     def _fit(self, df: DataFrame):
-        st = fit_state(df, "onehot", self.getInputCols(), id_col=self.getOrDefault("idCol"))
-        state = collect_state(st)
-        levels = {c: [k for k, _ in sorted(state.get(c, {}).items(), key=lambda kv: kv[1])]
-                  for c in self.getInputCols()}
+        levels = onehot_levels(df, self.getInputCols(), self.getOrDefault("idCol"))
         return OneHotAllModel(inputCols=self.getInputCols(), levels=json.dumps(levels))
 
 
@@ -212,7 +248,7 @@ class OneHotAllModel(Model, HasInputCols, DefaultParamsReadable, DefaultParamsWr
 
     def output_columns(self) -> list[str]:
         lv = json.loads(self.getOrDefault("levels"))
-        return [onehot_name(c, v) for c in self.getInputCols() for v in lv.get(c, [])]
+        return [n for c in self.getInputCols() for n in onehot_names(c, lv.get(c, []))]
 
     def _transform(self, df: DataFrame) -> DataFrame:
         lv = json.loads(self.getOrDefault("levels"))
@@ -222,8 +258,8 @@ class OneHotAllModel(Model, HasInputCols, DefaultParamsReadable, DefaultParamsWr
 
 def onehot_exprs(cols: list[str], levels: dict[str, list[str]]) -> list[Column]:
     """0/1 column per level; unseen and missing values give all zeros."""
-    return [F.coalesce((F.col(c).cast("string") == F.lit(v)).cast("int"), F.lit(0)).alias(onehot_name(c, v))
-            for c in cols for v in levels.get(c, [])]
+    return [F.coalesce((F.col(c).cast("string") == F.lit(v)).cast("int"), F.lit(0)).alias(n)
+            for c in cols for v, n in zip(levels.get(c, []), onehot_names(c, levels.get(c, [])))]
 
 
 class PopulationScaler(Estimator, HasInputCols, DefaultParamsReadable, DefaultParamsWritable):

@@ -11,20 +11,21 @@ be given whole to ``CrossValidator`` (encoders refit inside every fold).
 from __future__ import annotations
 
 import json
-import math
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Pipeline
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable, MLReadable, MLWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from credspark import constants as K
-from credspark.operators.encoders import (FeatureEngineerTransformer,
-                                          apply_state, onehot_exprs, onehot_name)
+from credspark.operators.encoders import (FeatureEngineerTransformer, StateTable, apply_state, onehot_exprs,
+                                          onehot_levels, onehot_names, unseen_missing)
+from credspark.operators.ranks import row_numbers
+from credspark.session import materialize, written
 
 KINDS = ("woe", "target", "count", "ordinal")
 
@@ -42,79 +43,73 @@ class EncodingPlan(Estimator, DefaultParamsReadable, DefaultParamsWritable):
         self._set(**self._input_kwargs)
 
     def _fit(self, df: DataFrame):
-        """One pass whatever the spec: per-(column, level) statistics of every
-        categorical column at once, with the totals and scaler moments in the
-        same aggregate.  The per-level table (bounded by the levels) then gives
-        every state."""
+        """Two aggregates whatever the spec: per-(column, level) statistics of every
+        categorical column at once, and one row of totals and scaler moments.
+        The state of every encoder is computed from them as one table (kind,
+        column_name, level, value); only the one-hot levels are collected,
+        because they name the output columns."""
         spec = json.loads(self.getOrDefault("spec"))
         label = self.getOrDefault("labelCol")
-        cats = list(dict.fromkeys(c for k in ("onehot", *KINDS) for c in spec.get(k, [])))
         scale = spec.get("scale", [])
-        has_label = label in df.columns
-        y = F.col(label).cast("double") if has_label else F.lit(0.0)
-        # ONE pass: a constant pseudo-column "__all__" rides along in the
-        # unpivot, so its single level carries the totals (rows, positives) and
-        # the scaler moments (read from that group only) of the whole table.
-        ALL = "__all__"
-        stats: dict = {}
-        rid = F.col(K.ROW_ID) if K.ROW_ID in df.columns else F.lit(0)
-        nums = [F.col(c).cast("double").alias(f"_num{i}") for i, c in enumerate(scale)]
-        long = df.select(y.alias("_y"), rid.alias(K.ROW_ID), *nums, F.lit("all").alias(ALL),
-                         *[F.col(c).cast("string").alias(c) for c in cats]) \
-            .unpivot(["_y", K.ROW_ID, *[f"_num{i}" for i in range(len(scale))]], [ALL, *cats],
-                     "column_name", "level").filter(F.col("level").isNotNull())
-        moments = [F.avg(f"_num{i}").alias(f"m{i}") for i in range(len(scale))] + \
-                  [F.stddev_pop(f"_num{i}").alias(f"s{i}") for i in range(len(scale))]
-        g = long.groupBy("column_name", "level").agg(F.count(F.lit(1)).alias("n"), F.sum("_y").alias("pos"),
-                                                     F.min(K.ROW_ID).alias("first"), *moments)
-        tot = None
-        for r in g.collect():  # one row per level of each column, plus the "__all__" row
-            if r["column_name"] == ALL:
-                tot = r
-            else:
-                stats.setdefault(r["column_name"], []).append((r["level"], r["n"], r["pos"], r["first"]))
-        nn, p = (tot["n"], tot["pos"] or 0.0) if tot is not None else (0, 0.0)
-        fitted = states_from_stats(spec, stats, nn, p)
-        if scale and tot is not None:
+        y = F.col(label).cast("double") if label in df.columns else F.lit(0.0)
+        tot = df.agg(F.count(F.lit(1)).alias("n"), F.sum(y).alias("pos"),
+                     *[F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(scale)],
+                     *[F.stddev_pop(F.col(c).cast("double")).alias(f"s{i}") for i, c in enumerate(scale)]).first()
+        nn, p = tot["n"], tot["pos"] or 0.0
+        fitted: dict = {"prior": p / nn if nn else 0.0}
+        if scale:
             fitted["scale"] = {c: [tot[f"m{i}"], tot[f"s{i}"]] for i, c in enumerate(scale)}
-        return EncodingPlanModel(spec=json.dumps(spec), fitted=json.dumps(fitted),
-                                 keepCols=self.getOrDefault("keepCols"), assemble=self.getOrDefault("assemble"))
-
-
-def states_from_stats(spec: dict, stats: dict, nn: int, p: float, regularization: float = 1.0,
-                      min_samples_leaf: int = 20) -> dict:
-    """Encoder states from per-level (level, n, positives, first row id)."""
-    fitted: dict = {}
+        if spec.get("onehot"):
+            fitted["onehot"] = onehot_levels(df, spec["onehot"])
+        cats = list(dict.fromkeys(c for k in KINDS for c in spec.get(k, [])))
+        rid = F.col(K.ROW_ID) if K.ROW_ID in df.columns else F.lit(0)
+        long = df.select(y.alias("_y"), rid.alias("_rid"), *[F.col(c).cast("string").alias(c) for c in cats])
+        model = EncodingPlanModel(spec=json.dumps(spec), fitted=json.dumps(fitted),
+                                  keepCols=self.getOrDefault("keepCols"), assemble=self.getOrDefault("assemble"))
+        if cats:
+            g = long.unpivot(["_y", "_rid"], cats, "column_name", "level").filter(F.col("level").isNotNull()) \
+                .groupBy("column_name", "level").agg(F.count(F.lit(1)).alias("n"), F.sum("_y").alias("pos"),
+                                                     F.min("_rid").alias("first"))
+            model.state = written(states_from_stats(spec, materialize(g), nn, p), "encoders")
+        else:
+            model.state = df.sparkSession.createDataFrame([], STATE_SCHEMA)
+        return model
+
+
+STATE_SCHEMA = "kind string, column_name string, level string, value double"
+
+
+def states_from_stats(spec: dict, stats: DataFrame, nn: int, p: float, regularization: float = 1.0,
+                      min_samples_leaf: int = 20) -> DataFrame:
+    """(kind, column_name, level, value) of every encoder of ``spec`` from per-level statistics
+    (column_name, level, n, pos, first)."""
     a, s = regularization, float(spec.get("target_smoothing", 1.0))
     prior = p / nn if nn else 0.0
-
-    def order(col):
-        return [lv for lv, *_ in sorted(stats.get(col, []), key=lambda t: (t[3], t[0]))]
-
-    if spec.get("onehot"):
-        fitted["onehot"] = {c: order(c) for c in spec["onehot"]}
+    n, pos = F.col("n").cast("double"), F.col("pos")
+    w = F.lit(1.0) / (F.lit(1.0) + F.exp(-(n - float(min_samples_leaf)) / s))
+    values = {
+        "woe": F.when(n == 1, F.lit(0.0)).otherwise(
+            F.ln(((pos + a) / (p + 2 * a)) / ((n - pos + a) / (nn - p + 2 * a)))),
+        "target": F.lit(prior) * (1 - w) + (pos / n) * w,
+        "count": n / float(max(nn, 1)),
+    }
+    out = None
     for kind in KINDS:
         if not spec.get(kind):
             continue
-        st = {}
-        for c in spec[kind]:
-            m = {}
-            if kind == "ordinal":
-                m = {lv: float(i + 1) for i, lv in enumerate(order(c))}
-            for lv, n, pos, _ in stats.get(c, []):
-                if kind == "woe":
-                    m[lv] = 0.0 if n == 1 else math.log(((pos + a) / (p + 2 * a)) / ((n - pos + a) / (nn - p + 2 * a)))
-                elif kind == "target":
-                    w = 1.0 / (1.0 + math.exp(-(n - float(min_samples_leaf)) / s))
-                    m[lv] = prior * (1 - w) + (pos / n) * w
-                elif kind == "count":
-                    m[lv] = n / nn
-            st[c] = m
-        fitted[kind] = [st, prior if kind == "target" else 0.0]
-    return fitted
-
-
-class EncodingPlanModel(Model, DefaultParamsReadable, DefaultParamsWritable):
+        mine = stats.filter(F.col("column_name").isin(spec[kind]))
+        if kind == "ordinal":
+            part = row_numbers(mine.select("column_name", "level", "first"), "first", ["column_name"],
+                               tie_cols=["level"], name="value")
+            part = part.select("column_name", "level", F.col("value").cast("double").alias("value"))
+        else:
+            part = mine.select("column_name", "level", values[kind].alias("value"))
+        part = part.select(F.lit(kind).alias("kind"), "column_name", "level", "value")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+class EncodingPlanModel(StateTable, Model, MLReadable, MLWritable):
     spec = Param(Params._dummy(), "spec", "encoder spec (JSON)", TypeConverters.toString)
     fitted = Param(Params._dummy(), "fitted", "fitted states (JSON)", TypeConverters.toString)
     keepCols = Param(Params._dummy(), "keepCols", "non-feature columns kept", TypeConverters.toListString)
@@ -127,7 +122,7 @@ class EncodingPlanModel(Model, DefaultParamsReadable, DefaultParamsWritable):
 
     def feature_columns(self) -> list[str]:
         spec, fitted = json.loads(self.getOrDefault("spec")), json.loads(self.getOrDefault("fitted"))
-        cols = [onehot_name(c, v) for c in spec.get("onehot", []) for v in fitted.get("onehot", {}).get(c, [])]
+        cols = [n for c in spec.get("onehot", []) for n in onehot_names(c, fitted.get("onehot", {}).get(c, []))]
         for part in ("woe", "scale", "target", "count", "ordinal", "passthrough"):
             cols += spec.get(part, [])
         return cols
@@ -136,11 +131,9 @@ class EncodingPlanModel(Model, DefaultParamsReadable, DefaultParamsWritable):
         spec, fitted = json.loads(self.getOrDefault("spec")), json.loads(self.getOrDefault("fitted"))
         out = df
         for kind in KINDS:
-            if kind in fitted:
-                state, prior = fitted[kind]
-                unseen, missing = {"woe": (0.0, 0.0), "count": (0.0, 0.0), "ordinal": (-1.0, -2.0)}.get(
-                    kind, (prior, prior))
-                out = apply_state(out, state, spec[kind], unseen, missing)
+            if spec.get(kind):
+                out = apply_state(out, self.state.filter(F.col("kind") == kind), spec[kind],
+                                  *unseen_missing(kind, fitted["prior"]))
         sel = []
         scale = fitted.get("scale", {})
         keep = [c for c in self.getOrDefault("keepCols") if c in df.columns]

@@ -65,5 +65,21 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch(spark: SparkSession, tag: str) -> str:
-    """A new path in the shared checkpoint folder, for tables written between steps."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/credspark-{tag}-{uuid.uuid4().hex[:12]}"
+    """A new path in the shared checkpoint folder, for tables written between
+    steps.  It lies in the application's own folder, which is deleted when the
+    application ends."""
+    home = f"{checkpoint_dir(spark).rstrip('/')}/credspark-{spark.sparkContext.applicationId}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(home)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        fs.mkdirs(folder)
+    fs.deleteOnExit(folder)
+    return f"{home}/{tag}-{uuid.uuid4().hex[:12]}"
+
+
+def written(df: DataFrame, tag: str) -> DataFrame:
+    """``df`` written to the shared folder and read again: unlike after a
+    checkpoint, Spark knows the table's size and can choose its joins by it."""
+    path = scratch(df.sparkSession, tag)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

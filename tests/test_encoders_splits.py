@@ -109,13 +109,32 @@ def test_smote_counts_and_segments(spark):
     assert F is not None
 
 
-def test_join_path_matches_map_path(spark, monkeypatch):
+def test_a_million_levels(spark):
+    n = 1_000_000
+    tr = spark.range(2 * n).selectExpr("id as row_id", f"concat('v', id % {n}) as cat", "cast(id % 2 as int) as class")
+    te = spark.range(0, n + 2, 100_003).selectExpr("id as row_id", "concat('v', id) as cat")
+    te = te.unionByName(spark.createDataFrame([(-1, None), (-2, "new")], "row_id long, cat string"))
+    got = {r["row_id"]: r["cat"] for r in EC.encode_count(tr, te, ["cat"]).collect()}
+    assert got[-1] == got[-2] == 0.0 and {v for k, v in got.items() if k >= 0} == {2 / (2 * n)}
+
+
+def test_state_is_saved_with_the_model(spark, tmp_path):
+    m = EC.CategoryEncoder(kind="woe", inputCols=["cat"]).fit(_tiny(spark))
+    m.save(str(tmp_path / "m"))
+    again = EC.CategoryEncoderModel.load(str(tmp_path / "m"))
+    assert again.transform(_tiny(spark)).exceptAll(m.transform(_tiny(spark))).count() == 0
+
+
+def test_onehot_names_are_injective(spark):
+    df = spark.createDataFrame([(0, "a-b"), (1, "a b"), (2, "c")], "row_id long, cat string")
+    out = EC.encode_onehot(df, df, ["cat"])
+    assert len(set(out.columns)) == 4 and "cat_c" in out.columns
+    assert all(sum(r[c] for c in out.columns if c.startswith("cat_")) == 1 for r in out.collect())
+
+
+def test_ordinal_unseen_and_missing(spark):
     tr = _tiny(spark)
     te = spark.createDataFrame([(10, "A"), (11, "C"), (12, "Z"), (13, None)], "row_id long, cat string")
-    want = {r["row_id"]: r["cat"] for r in EC.encode_woe(tr, te, ["cat"]).collect()}
-    monkeypatch.setattr(EC, "LITERAL_LIMIT", 1)  # every column takes the join path
-    got = {r["row_id"]: r["cat"] for r in EC.encode_woe(tr, te, ["cat"]).collect()}
-    assert got == pytest.approx(want)
     ordn = {r["row_id"]: r["cat"] for r in EC.encode_ordinal(tr, te, ["cat"]).collect()}
     assert ordn == {10: 1.0, 11: 3.0, 12: -1.0, 13: -2.0}
 
@@ -147,7 +166,8 @@ def test_encoding_plan_one_pass_states(spark):
     fitted = json.loads(m.getOrDefault("fitted"))
     P, NN = 3, 4  # totals come from all rows, the NULL level included
     want_a = math.log(((1 + 1) / (P + 2)) / ((1 + 1) / (NN - P + 2)))
-    assert fitted["woe"][0]["cat"]["A"] == pytest.approx(want_a) and fitted["woe"][0]["cat"]["B"] == 0.0
+    woe = {r["level"]: r["value"] for r in m.state.filter("kind = 'woe'").collect()}
+    assert woe == {"A": pytest.approx(want_a), "B": 0.0}
     assert fitted["onehot"]["cat"] == ["A", "B"]
     mean, sd = fitted["scale"]["x"]
     assert mean == pytest.approx(2.5) and sd == pytest.approx(math.sqrt(1.25))
