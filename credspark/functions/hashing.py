@@ -23,16 +23,6 @@ def md5_bucket(text: Column, n: int = 1000) -> Column:
     return r
 
 
-def md5_unit(text: Column, n: int = 1000) -> Column:
-    """md5 bucket scaled to [0, 1): a seeded, reproducible uniform draw."""
-    return md5_bucket(text, n) / F.lit(float(n))
-
-
-def seeded_hash(seed: int | str, *cols: Column) -> Column:
-    """64-bit xxhash of the seed and columns, for order-by-seed operations."""
-    return F.xxhash64(F.lit(str(seed)), *cols)
-
-
 def duck_md5_bucket(text_sql: str, n: int = 1000) -> str:
     """The same fold written for DuckDB (used by oracle SQL only)."""
     mult = (1 << 32) % n

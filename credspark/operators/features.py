@@ -146,16 +146,19 @@ def quantile_bins(df: DataFrame, column: str, q: int = 5, name: str | None = Non
     """Equal-frequency bins (pd.qcut contract): edges from exact quantiles,
     first bin closed on the left.  The edges are a one-row aggregate joined
     back as a broadcast (size bound: one row)."""
+    from credspark.operators.profile import exact_quantiles
+
     name = name or f"{column}_q{q}"
     probs = [i / q for i in range(1, q)]
-    edges = df.agg(F.min(column).alias("_lo"),
-                   F.percentile(F.col(column).cast("double"), F.array(*[F.lit(p) for p in probs])).alias("_e"))
+    names = [f"_e{i}" for i in range(1, q)]
+    values = df.select(F.col(column).cast("double").alias("value")).dropna()
+    edges = exact_quantiles(values, probs, [], names=names).select(F.array(*names).alias("_e"))
     x = F.col(column)
     out = F.when(x <= F.col("_e")[0], F.lit("Q1"))
     for i in range(1, q - 1):
         out = out.when(x <= F.col("_e")[i], F.lit(f"Q{i + 1}"))
     out = out.when(x.isNotNull(), F.lit(f"Q{q}"))
-    return df.crossJoin(F.broadcast(edges)).withColumn(name, out).drop("_lo", "_e")
+    return df.crossJoin(F.broadcast(edges)).withColumn(name, out).drop("_e")
 
 
 # ------------------------------------------------------- feature engineer

@@ -127,16 +127,18 @@ def approx_percentile_table(df: DataFrame, columns: list[str], percentiles: list
 
 def outliers_iqr(df: DataFrame, columns: list[str], k: float = 1.5) -> DataFrame:
     """Per variable: q1, q3, bounds q1 - k*IQR and q3 + k*IQR, outlier count and %."""
-    long = long_numeric(df, columns)
-    q = exact_quantiles(long, [0.25, 0.75], ["variable"], names=["q1", "q3"])
+    # one scan to (variable, value) counts; quantiles and outliers both read that table
+    vc = materialize(long_numeric(df, columns).filter(F.col("value").isNotNull())
+                     .groupBy("variable", "value").agg(F.count(F.lit(1)).alias("n")))
+    q = quantiles_from_counts(vc, [0.25, 0.75], ["variable"], val="value", names=["q1", "q3"])
     b = q.select("variable", "q1", "q3", (F.col("q1") - k * (F.col("q3") - F.col("q1"))).alias("lower_bound"),
                  (F.col("q3") + k * (F.col("q3") - F.col("q1"))).alias("upper_bound"))
     # one row per variable: a bounded broadcast
-    j = long.filter(F.col("value").isNotNull()).join(F.broadcast(b), "variable")
+    j = vc.join(F.broadcast(b), "variable")
     out = (F.col("value") < F.col("lower_bound")) | (F.col("value") > F.col("upper_bound"))
     g = j.groupBy("variable", "q1", "q3", "lower_bound", "upper_bound").agg(
-        F.sum(F.when(out, 1).otherwise(0)).cast("bigint").alias("outliers_count"),
-        F.count(F.lit(1)).alias("_n"))
+        F.sum(F.when(out, F.col("n")).otherwise(0)).cast("bigint").alias("outliers_count"),
+        F.sum("n").alias("_n"))
     return g.select("variable", "q1", "q3", "lower_bound", "upper_bound", "outliers_count",
                     (F.col("outliers_count") * 100.0 / F.col("_n")).alias("outliers_pct"))
 
@@ -268,17 +270,19 @@ def box_stats(df: DataFrame, value: str, group: str | None = None, k: float = 1.
     """Quartiles, whiskers (extreme values inside the fences) and outlier count per group."""
     gcols = [group] if group else []
     sub = df.select(*gcols, F.col(value).cast("double").alias("value")).dropna()
-    q = exact_quantiles(sub, [0.25, 0.5, 0.75], gcols, names=["q1", "median", "q3"])
+    # one scan to (group, value) counts; everything below reads that table
+    vc = materialize(sub.groupBy(*gcols, "value").agg(F.count(F.lit(1)).alias("n")))
+    q = quantiles_from_counts(vc, [0.25, 0.5, 0.75], gcols, val="value", names=["q1", "median", "q3"])
     q = q.select("*", (F.col("q3") - F.col("q1")).alias("iqr"))
     # one row per group: AQE broadcasts it when small; without groups it is one row
-    j = sub.join(q, gcols) if gcols else sub.crossJoin(F.broadcast(q))
+    j = vc.join(q, gcols) if gcols else vc.crossJoin(F.broadcast(q))
     lo_f = F.col("q1") - k * F.col("iqr")
     hi_f = F.col("q3") + k * F.col("iqr")
     v = F.col("value")
     g = j.groupBy(*gcols, "q1", "median", "q3", "iqr").agg(
         F.min(F.when(v >= lo_f, v)).alias("whisker_low"), F.max(F.when(v <= hi_f, v)).alias("whisker_high"),
-        F.sum(F.when((v < lo_f) | (v > hi_f), 1).otherwise(0)).cast("bigint").alias("n_outliers"),
-        F.count(F.lit(1)).alias("n"))
+        F.sum(F.when((v < lo_f) | (v > hi_f), F.col("n")).otherwise(0)).cast("bigint").alias("n_outliers"),
+        F.sum("n").alias("n"))
     return g
 
 

@@ -24,22 +24,23 @@ from pyspark.sql import functions as F
 
 from credspark.session import materialize
 
+ROWS_PER_BUCKET = 2_000_000  # rows of one window task
 PROBES = 256  # cut points resolved by the first (and usually only) job
 
 
 def _cut_points(v: DataFrame, order_col: str, n_buckets: int | None,
-                rows_per_bucket: int = 2_000_000, minimum: int = 16) -> list[float]:
+                rows_per_bucket: int | None = None, minimum: int = 16) -> list[float]:
     """Bounded list of cut points (at most ``n_buckets - 1`` numbers).
 
-    One job estimates the number of distinct keys and 255 quantiles at once;
-    only when the data need more than 256 buckets is a second, finer job run."""
+    One job counts the rows and estimates 255 quantiles at once; only when
+    the rows need more than 256 buckets is a second, finer job run."""
     x = F.col(order_col).cast("double")
     probs = [i / PROBES for i in range(1, PROBES)]
-    row = v.agg(F.approx_count_distinct(order_col).alias("n"),
+    row = v.agg(F.count(F.lit(1)).alias("n"),
                 F.percentile_approx(x, probs, 10000).alias("q")).first()
     if n_buckets is None:
         n = row["n"] or 0
-        n_buckets = int(max(minimum, math.ceil(n / rows_per_bucket)))
+        n_buckets = int(max(minimum, math.ceil(n / (rows_per_bucket or ROWS_PER_BUCKET))))
     if n_buckets <= 1:
         return []
     if n_buckets <= PROBES:
@@ -51,13 +52,6 @@ def _cut_points(v: DataFrame, order_col: str, n_buckets: int | None,
     return sorted({float(q) for q in picks if q is not None and not math.isnan(q)})
 
 
-def default_buckets(v: DataFrame, order_col: str, rows_per_bucket: int = 2_000_000,
-                    minimum: int = 16, maximum: int = 65536) -> int:
-    """Bucket count grows with the number of distinct values (bounded task size)."""
-    n = v.agg(F.approx_count_distinct(order_col).alias("n")).first()["n"] or 0
-    return int(min(maximum, max(minimum, math.ceil(n / rows_per_bucket))))
-
-
 def count_below(x: Column, cuts: list[float], inclusive: bool = False) -> Column:
     """Number of sorted ``cuts`` below x (or at most x when ``inclusive``), as a
     balanced binary search of CASE expressions: whole-stage codegen keeps it
@@ -80,18 +74,25 @@ def bucket_expr(x: Column, cuts: list[float]) -> Column:
 
 def running_totals(v: DataFrame, order_col: str, sum_cols: list[str], group_cols: list[str] | None = None,
                    tie_cols: list[str] | None = None, n_buckets: int | None = None,
-                   suffix: str = "_cum") -> DataFrame:
+                   suffix: str = "_cum", uniform_below: int | None = None) -> DataFrame:
     """Inclusive running sums of ``sum_cols`` in ascending ``order_col`` (then
     ``tie_cols``) within ``group_cols``.  ``v`` should hold one row per distinct
-    ordering key; rows with equal keys would be split arbitrarily."""
+    ordering key; rows with equal keys would be split arbitrarily.
+
+    Keys that are uniform in [0, uniform_below), as seeded hashes are, need no
+    cut points: their bucket is their share of that range, for any number of buckets."""
     group_cols = list(group_cols or [])
     tie_cols = list(tie_cols or [])
-    cuts = _cut_points(v, order_col, n_buckets)
-    vb = v.withColumn("_bkt", bucket_expr(F.col(order_col), cuts))
+    if uniform_below:
+        n_buckets = n_buckets or max(16, math.ceil(v.count() / ROWS_PER_BUCKET))
+        share = F.col(order_col).cast("double") * F.lit(n_buckets / uniform_below)
+        vb = v.withColumn("_bkt", F.least(F.floor(share), F.lit(n_buckets - 1)).cast("int"))
+    else:
+        vb = v.withColumn("_bkt", bucket_expr(F.col(order_col), _cut_points(v, order_col, n_buckets)))
     w = Window.partitionBy(*group_cols, "_bkt").orderBy(order_col, *tie_cols) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     runs = vb.select("*", *[F.sum(c).over(w).alias(f"_r_{c}") for c in sum_cols])
-    # bucket totals from the same windowed rows: both branches read one shuffle
+    # bucket totals, a small table; Spark may read the input a second time for it
     totals = runs.groupBy(*group_cols, "_bkt").agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols])
     wo = (Window.partitionBy(*group_cols).orderBy("_bkt") if group_cols else Window.orderBy("_bkt")) \
         .rowsBetween(Window.unboundedPreceding, -1)
@@ -138,9 +139,10 @@ def avg_rank(df: DataFrame, value_col: str, group_cols: list[str] | None = None,
 
 def row_numbers(df: DataFrame, order_col: str, group_cols: list[str] | None = None,
                 tie_cols: list[str] | None = None, name: str = "rn",
-                n_buckets: int | None = None) -> DataFrame:
+                n_buckets: int | None = None, uniform_below: int | None = None) -> DataFrame:
     """Exact 1-based row numbers in (order_col, tie_cols) order within groups,
     without putting a group in one task.  Keys should be (nearly) unique."""
     v = df.withColumn("_one", F.lit(1).cast("bigint"))
-    out = running_totals(v, order_col, ["_one"], group_cols, tie_cols=tie_cols, n_buckets=n_buckets)
+    out = running_totals(v, order_col, ["_one"], group_cols, tie_cols=tie_cols, n_buckets=n_buckets,
+                         uniform_below=uniform_below)
     return out.withColumnRenamed("_one_cum", name).drop("_one")

@@ -86,7 +86,7 @@ def stratified_split(df: DataFrame, size: int | float = 150, seed: int = 8,
     counts = df.groupBy(target).agg(F.count(F.lit(1)).alias("n"))
     take = F.broadcast(_largest_remainder(counts, size, target))  # one row per class
     keyed = df.withColumn("_key", seeded_key(seed, id_col))
-    rn = row_numbers(keyed, "_key", [target], tie_cols=[id_col], name="_rn")
+    rn = row_numbers(keyed, "_key", [target], tie_cols=[id_col], name="_rn", uniform_below=HASH_KEY_MOD)
     out = rn.join(take, on=target, how="left")
     return out.withColumn(name, F.when(F.col("_rn") <= F.col("n_take"), "val").otherwise("fit")) \
         .drop("_key", "_rn", "n_take")
@@ -97,7 +97,7 @@ def kfold_assign(df: DataFrame, k: int = 5, seed: int = 8, target: str = K.TARGE
     """Stratified folds: per-class row number in seeded-hash order, mod k.
     Fold sizes within a class differ by at most one."""
     keyed = df.withColumn("_key", seeded_key(seed, id_col))
-    rn = row_numbers(keyed, "_key", [target], tie_cols=[id_col], name="_rn")
+    rn = row_numbers(keyed, "_key", [target], tie_cols=[id_col], name="_rn", uniform_below=HASH_KEY_MOD)
     return rn.withColumn(name, ((F.col("_rn") - 1) % k).cast("int")).drop("_key", "_rn")
 
 
