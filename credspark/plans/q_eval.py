@@ -27,6 +27,9 @@ ENS_TEST = (f", ens AS (SELECT *, {ENS_SQL} AS ensemble_proba FROM scored_test)"
             f", ensp AS (SELECT *, CAST(ensemble_proba >= {THR} AS INTEGER) AS ensemble_pred FROM ens)")
 
 
+ENS_ALL = ENS_TEST.replace("FROM scored_test", "FROM scored")   # every row, for the row-wise operators
+
+
 def ens_test(spark, d):
     return EN.predict_threshold(EN.soft_vote(scored_test(spark, d)))
 
@@ -280,23 +283,23 @@ S["trivial_baselines"] = sql(
 # ---------------------------------------------------------------- ensemble
 
 def q_soft_vote(spark, d):
-    return round_doubles(EN.soft_vote(scored_test(spark, d)).select("row_id", "ensemble_proba"))
+    return round_doubles(EN.soft_vote(scored(spark, d)).select("row_id", "ensemble_proba"))
 
 
 Q["soft_vote"] = q_soft_vote
-S["soft_vote"] = sql(f"SELECT row_id, {r(ENS_SQL)} AS ensemble_proba FROM scored_test")
+S["soft_vote"] = sql(f"SELECT row_id, {r(ENS_SQL)} AS ensemble_proba FROM scored")
 
 
 def q_predict_threshold(spark, d):
-    return ens_test(spark, d).select("row_id", "class", "ensemble_pred")
+    return EN.predict_threshold(EN.soft_vote(scored(spark, d))).select("row_id", "class", "ensemble_pred")
 
 
 Q["predict_threshold"] = q_predict_threshold
-S["predict_threshold"] = sql(ENS_TEST + " SELECT row_id, class, ensemble_pred FROM ensp")
+S["predict_threshold"] = sql(ENS_ALL + " SELECT row_id, class, ensemble_pred FROM ensp")
 
 
 def q_predict_details(spark, d):
-    return round_doubles(EN.predict_details(scored_test(spark, d)))
+    return round_doubles(EN.predict_details(scored(spark, d)))
 
 
 Q["predict_details"] = q_predict_details
@@ -304,7 +307,7 @@ S["predict_details"] = sql(
     "SELECT row_id, "
     + ", ".join(f"CAST(proba_{m} >= {dbl(0.5)} AS INTEGER) AS pred_{m}, {r(f'proba_{m}')} AS proba_{m}"
                 for m in K.MODEL_ORDER)
-    + f", {r(ENS_SQL)} AS ensemble_proba, CAST({ENS_SQL} >= {THR} AS INTEGER) AS ensemble_pred FROM scored_test")
+    + f", {r(ENS_SQL)} AS ensemble_proba, CAST({ENS_SQL} >= {THR} AS INTEGER) AS ensemble_pred FROM scored")
 
 
 def q_risk_labels(spark, d):

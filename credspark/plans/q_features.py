@@ -333,16 +333,14 @@ S["random_sample"] = sql(" UNION ALL ".join([_sample_sql("good", 42, "WHERE clas
 
 
 def q_unpivot_record(spark, d):
-    return FE.unpivot_record(FE.random_sample(apps(spark, d), n=3, seed=11))
+    return FE.unpivot_record(apps(spark, d))
 
 
 def _unpivot_sql():
-    from credspark.functions.hashing import duck_md5_bucket
-    key = duck_md5_bucket("'11_' || CAST(row_id AS VARCHAR)", 1_000_000)
     feats = [c for c in K.COLUMNS if c != K.TARGET]
-    parts = [f"SELECT row_id, {qs(K.FEATURE_LABELS[c])} AS feature, CAST({c} AS VARCHAR) AS value FROM s"
+    parts = [f"SELECT row_id, {qs(K.FEATURE_LABELS[c])} AS feature, CAST({c} AS VARCHAR) AS value FROM applications"
              for c in feats]
-    return (f", s AS (SELECT * FROM applications ORDER BY {key}, row_id LIMIT 3) " + " UNION ALL ".join(parts))
+    return " UNION ALL ".join(parts)
 
 
 Q["unpivot_record"] = q_unpivot_record

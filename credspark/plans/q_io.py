@@ -22,7 +22,7 @@ from credspark.sources import io as IO
 from credspark.sources import registry as RG
 from credspark.sources.fixtures import score_columns
 from credspark.plans.common import apps, held_out, round_doubles, scored_test, sql, train_side
-from credspark.plans.q_eval import COST_SQL, ENS_TEST, LONG_SQL, METRICS_SQL, auc_sql, counts_sql
+from credspark.plans.q_eval import COST_SQL, ENS_ALL, ENS_TEST, LONG_SQL, METRICS_SQL, auc_sql, counts_sql
 
 Q: dict = {}
 S: dict = {}
@@ -78,15 +78,14 @@ S["class_head_sample"] = sql(
 
 def q_union_samples(spark, d):
     a = apps(spark, d)
-    good = a.filter(F.col("class") == 1).orderBy("row_id").limit(50)
-    bad = a.filter(F.col("class") == 0).orderBy("row_id").limit(50)
+    good, bad = a.filter(F.col("class") == 1), a.filter(F.col("class") == 0)
     return IO.union_samples(good, bad).select("row_id", "class", "purpose")
 
 
 Q["union_samples"] = q_union_samples
 S["union_samples"] = sql(
-    "(SELECT row_id, class, purpose FROM applications WHERE class = 1 ORDER BY row_id LIMIT 50) UNION ALL"
-    " (SELECT row_id, class, purpose FROM applications WHERE class = 0 ORDER BY row_id LIMIT 50)")
+    "SELECT row_id, class, purpose FROM applications WHERE class = 1 UNION ALL"
+    " SELECT row_id, class, purpose FROM applications WHERE class = 0")
 
 SCORE_METRICS = ["n", "tn", "fp", "fn", "tp", "val_accuracy", "val_precision", "val_recall", "val_f1",
                  "val_cost", "val_avg_cost", "val_roc_auc"]
@@ -197,11 +196,11 @@ S["load_ensemble_config"] = _config_sql()
 
 
 def q_stream_soft_vote(spark, d):
-    """Held-out applications arrive as files; the stand-in scores, soft vote
+    """Applications arrive as files; the stand-in scores, soft vote
     and threshold run as a Structured Streaming query into a Parquet sink."""
     from credspark.streaming.score_stream import read_stream, run_to_sink, stream_transform
     src = scratch(spark, "stream-src")
-    held_out(apps(spark, d)).repartition(4).write.parquet(src)
+    apps(spark, d).repartition(4).write.parquet(src)
     schema = spark.read.parquet(src).schema
     stream = stream_transform(read_stream(spark, src, schema, 1),
                               lambda df: EN.predict_threshold(EN.soft_vote(score_columns(df))))
@@ -212,5 +211,5 @@ def q_stream_soft_vote(spark, d):
 
 
 Q["stream_soft_vote"] = q_stream_soft_vote
-S["stream_soft_vote"] = sql(ENS_TEST + " SELECT row_id, class, round(ensemble_proba, 6) AS ensemble_proba,"
+S["stream_soft_vote"] = sql(ENS_ALL + " SELECT row_id, class, round(ensemble_proba, 6) AS ensemble_proba,"
                             " ensemble_pred FROM ensp")
