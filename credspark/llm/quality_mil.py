@@ -102,15 +102,16 @@ class Mil:
         x, first = passage_features(texts)
         return self.forward((x - self.mean) / self.spread, first, self.p)["y"].astype(float)
 
-    def fit(self, x: np.ndarray, first: np.ndarray, y: np.ndarray, epochs: int = 120, seed: int = 7) -> None:
-        """Adam on the log loss, both labels of equal weight, with a small L2 penalty."""
+    def fit(self, x: np.ndarray, first: np.ndarray, y: np.ndarray, epochs: int = 120, seed: int = 7,
+            good: float = 0.85) -> None:
+        """Adam on the log loss with a small L2 penalty; documents of label 1 hold the share ``good`` of the weight."""
         rng = np.random.default_rng(seed)
         x = ((x - self.mean) / self.spread).astype(np.float32)
         f = x.shape[1]
         init = lambda *s: (rng.standard_normal(s) / np.sqrt(s[0])).astype(np.float32)
         p = {"w1": init(f, CODE), "b1": np.zeros(CODE, np.float32), "v": init(CODE, GATE), "u": init(CODE, GATE),
              "a": init(GATE), "c": init(CODE), "b": np.zeros(1, np.float32)}
-        weight = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum())).astype(np.float32)
+        weight = np.where(y == 1, good / max(1, (y == 1).sum()), (1 - good) / max(1, (y == 0).sum())).astype(np.float32)
         m = {k: np.zeros_like(v) for k, v in p.items()}
         s = {k: np.zeros_like(v) for k, v in p.items()}
         for step in range(1, epochs + 1):
