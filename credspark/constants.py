@@ -251,3 +251,9 @@ PIPELINE_COLUMNS = {
 CORR_STRENGTH_EDGES = [(0.1, "negligible"), (0.3, "weak"), (0.5, "moderate"), (0.7, "strong")]
 CORR_STRENGTH_TOP = "very strong"
 PERCENTILES = [0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99]
+
+# --- FIXED VALUES: search ranges ----------------------------------------------
+LRC_SPACE = {"C": ("log-uniform", 0.1, 20.0), "max_iter": ("int", 1000, 8000),
+             "class_weight": ("cat", ["balanced", None])}
+RFC_SPACE = {"n_estimators": ("int", 400, 800), "max_depth": ("int", 3, 10), "min_samples_leaf": ("int", 10, 40),
+             "max_features": ("cat", ["sqrt", "log2", "0.3", "0.5"]), "max_samples": ("uniform", 0.5, 0.9)}

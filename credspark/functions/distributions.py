@@ -4,8 +4,8 @@ Spark has no t, F, chi-square or normal tail functions, and scipy is not
 available.  These helpers are applied to the *final* statistics rows (one
 per variable or test), through Arrow-batched pandas UDFs; never to raw rows.
 
-Methods: continued fraction for the regularized incomplete beta (modified
-Lentz), series / continued fraction for the regularized incomplete gamma,
+Methods: the published continued fractions and series (DLMF 8.7, 8.9, 8.17)
+for the regularized incomplete beta and gamma, evaluated from the inside out,
 ``math.erfc`` for the normal tail, and Wichura's AS 241 for normal quantiles.
 """
 
@@ -19,81 +19,56 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-_EPS = 1e-15
-_TINY = 1e-300
-
-
-def _betacf(a: float, b: float, x: float) -> float:
-    qab, qap, qam = a + b, a + 1.0, a - 1.0
-    c, d = 1.0, 1.0 - qab * x / qap
-    d = 1.0 / (d if abs(d) > _TINY else _TINY)
-    h = d
-    for m in range(1, 1000):
-        m2 = 2 * m
-        aa = m * (b - m) * x / ((qam + m2) * (a + m2))
-        d = 1.0 + aa * d
-        d = 1.0 / (d if abs(d) > _TINY else _TINY)
-        c = 1.0 + aa / c
-        c = c if abs(c) > _TINY else _TINY
-        h *= d * c
-        aa = -(a + m) * (qab + m) * x / ((a + m2) * (qap + m2))
-        d = 1.0 + aa * d
-        d = 1.0 / (d if abs(d) > _TINY else _TINY)
-        c = 1.0 + aa / c
-        c = c if abs(c) > _TINY else _TINY
-        delta = d * c
-        h *= delta
-        if abs(delta - 1.0) < _EPS:
-            break
-    return h
+def _depth(size: float) -> int:
+    """Levels of a continued fraction, which converges in about the root of its parameters."""
+    return 100 + int(8 * math.sqrt(max(size, 1.0)))
+
+
+def _beta_fraction(a: float, b: float, x: float) -> float:
+    """1 / (1 + d1 / (1 + d2 / (1 + ...))) of DLMF 8.17.22, from its deepest level upward."""
+    value = 1.0
+    for level in range(_depth(max(a, b)), 0, -1):
+        m = level // 2
+        if level % 2:
+            d = -(a + m) * (a + b + m) / ((a + 2 * m) * (a + 2 * m + 1))
+        else:
+            d = m * (b - m) / ((a + 2 * m - 1) * (a + 2 * m))
+        value = 1.0 + d * x / value
+    return 1.0 / value
 
 
 def betainc(a: float, b: float, x: float) -> float:
     """Regularized incomplete beta I_x(a, b)."""
     if not (a > 0 and b > 0) or x is None or math.isnan(x):
         return float("nan")
-    if x <= 0:
-        return 0.0
-    if x >= 1:
-        return 1.0
-    lbt = math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)
-    bt = math.exp(lbt)
-    if x < (a + 1.0) / (a + b + 2.0):
-        return bt * _betacf(a, b, x) / a
-    return 1.0 - bt * _betacf(b, a, 1.0 - x) / b
+    if x <= 0 or x >= 1:
+        return 0.0 if x <= 0 else 1.0
+    if x > (a + 1.0) / (a + b + 2.0):       # the fraction converges fast on the other side
+        return 1.0 - betainc(b, a, 1.0 - x)
+    front = math.lgamma(a + b) - math.lgamma(a + 1.0) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)
+    return math.exp(front) * _beta_fraction(a, b, x)
 
 
 def gammaincc(a: float, x: float) -> float:
-    """Regularized upper incomplete gamma Q(a, x)."""
+    """Regularized upper incomplete gamma Q(a, x): the power series of 1 - Q
+    (DLMF 8.7.1) left of a + 1, the continued fraction 8.9.2 right of it."""
     if a <= 0 or x is None or math.isnan(x):
         return float("nan")
     if x <= 0:
         return 1.0
-    gln = math.lgamma(a)
+    scale = math.exp(a * math.log(x) - x - math.lgamma(a))
     if x < a + 1.0:
-        ap, s, delta = a, 1.0 / a, 1.0 / a
-        for _ in range(10000):
-            ap += 1.0
-            delta *= x / ap
-            s += delta
-            if abs(delta) < abs(s) * _EPS:
-                break
-        return 1.0 - s * math.exp(-x + a * math.log(x) - gln)
-    b = x + 1.0 - a
-    c, d = 1.0 / _TINY, 1.0 / b
-    h = d
-    for i in range(1, 10000):
-        an = -i * (i - a)
-        b += 2.0
-        d = an * d + b
-        d = 1.0 / (d if abs(d) > _TINY else _TINY)
-        c = b + an / c
-        c = c if abs(c) > _TINY else _TINY
-        delta = d * c
-        h *= delta
-        if abs(delta - 1.0) < _EPS:
-            break
-    return math.exp(-x + a * math.log(x) - gln) * h
+        term = total = 1.0 / a
+        n = 1
+        while term > total * 1e-17:
+            term *= x / (a + n)
+            total += term
+            n += 1
+        return 1.0 - scale * total
+    value = x
+    for level in range(_depth(a), 0, -1):
+        value = x + (level - a) / (1.0 + level / value)
+    return scale / value
 
 
 def norm_sf(z: float) -> float:

@@ -15,7 +15,7 @@ from typing import Callable
 import numpy as np
 from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -56,15 +56,11 @@ def sample_space(space: dict, n_trials: int, seed: int) -> list[dict]:
     return out
 
 
-LRC_SPACE = {"C": ("log-uniform", 0.1, 20.0), "max_iter": ("int", 1000, 8000),
-             "class_weight": ("cat", ["balanced", None])}
-RFC_SPACE = {"n_estimators": ("int", 400, 800), "max_depth": ("int", 3, 10), "min_samples_leaf": ("int", 10, 40),
-             "max_features": ("cat", ["sqrt", "log2", "0.3", "0.5"]), "max_samples": ("uniform", 0.5, 0.9)}
 
 
 SVC_SPACE = {"C": ("log-uniform", 0.1, 50.0), "gamma": ("log-uniform", 1e-3, 1.0), "kernel": ("cat", ["rbf", "linear"]),
              "tol": ("log-uniform", 1e-5, 1e-3), "class_weight": ("cat", ["balanced", None])}
-SPACES = {"lrc": LRC_SPACE, "rfc": RFC_SPACE, "svc": SVC_SPACE}
+SPACES = {"lrc": K.LRC_SPACE, "rfc": K.RFC_SPACE, "svc": SVC_SPACE}
 
 
 def _search_by_folds(train: DataFrame, model: str, draws: list[dict], folds: int, seed: int, resample):

@@ -8,7 +8,6 @@ back through the operator under test.
 from __future__ import annotations
 
 import os
-import uuid
 
 from pyspark.sql import functions as F
 
@@ -22,7 +21,7 @@ from credspark.sources import io as IO
 from credspark.sources import registry as RG
 from credspark.sources.fixtures import score_columns
 from credspark.plans.common import apps, held_out, round_doubles, scored_test, sql, train_side
-from credspark.plans.q_eval import COST_SQL, ENS_ALL, ENS_TEST, LONG_SQL, METRICS_SQL, auc_sql, counts_sql
+from credspark.plans.q_eval import COST_SQL, ENS_ALL, LONG_SQL, METRICS_SQL, auc_sql, counts_sql
 
 Q: dict = {}
 S: dict = {}
@@ -160,13 +159,21 @@ def q_resolve_model_version(spark, d):
 
 
 Q["resolve_model_version"] = q_resolve_model_version
+S["resolve_model_version"] = sql(
+    ", reg AS (SELECT name, run, row_number() OVER (PARTITION BY name ORDER BY run) AS version FROM"
+    " (VALUES ('credit-risk-lrc'), ('credit-risk-rfc')) n(name), (VALUES ('r1'), ('r2'), ('r3')) r(run))"
+    ", hit AS (SELECT 'latest' AS query, name, max(version) AS version FROM reg GROUP BY name"
+    " UNION ALL SELECT '2', name, version FROM reg WHERE version = 2"
+    " UNION ALL SELECT 'run', name, version FROM reg WHERE name = 'credit-risk-rfc' AND run = 'r1')"
+    " SELECT query, name, CAST(version AS INTEGER) AS version,"
+    " CAST((SELECT count(*) FROM app_test) AS INTEGER) AS n_scored_by_latest FROM hit")
 
 
 def q_export_models(spark, d):
     root = scratch(spark, "export")
-    m = _fit_small(spark, d)
-    for name in ("credit-risk-lrc", "credit-risk-rfc", "credit-risk-svc"):
-        RG.register_model(m, spark, root, name)
+    models = M.train_all(train_side(apps(spark, d)), forest_trees=20, svm_components=50)
+    for kind, m in models.items():
+        RG.register_model(m, spark, root, f"credit-risk-{kind}")
     out = RG.export_models(spark, root, ["credit-risk-lrc", "credit-risk-rfc", "credit-risk-svc"],
                            os.path.join(root, "exported"))
     return out.select("name", "version")
