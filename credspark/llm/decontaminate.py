@@ -51,33 +51,43 @@ def needed(item_words: Column, share: float) -> Column:
     return F.when(item_words >= WINDOW, F.lit(math.ceil(share * WINDOW - 1e-9))).otherwise(item_words)
 
 
+def _by_mask(values: list[Column]) -> Column:
+    out = values[-1]
+    for m in range(len(values) - 2, -1, -1):
+        out = F.when(F.col("m") == m, values[m]).otherwise(out)
+    return out
+
+
 def _seeds(hashed: DataFrame) -> DataFrame:
-    """``hashed`` (.., h: array of word hashes) with one row for each mask and position: m, i, seed."""
-    n = F.size("h")
-    masks = len(MASKS)
-    width = min(m[-1] for m in MASKS) + 1
+    """``hashed`` (.., h: array of word hashes) with one row for each mask and position: m, i, seed, around.
+
+    ``around`` holds the 2 * WINDOW words whose first is REACH words before ``i``, null beyond the text.
+    The expressions are kept short: a generated method over 8,000 bytes of code is never compiled by the JVM.
+    """
+    masks, width = len(MASKS), min(m[-1] for m in MASKS) + 1
+    none = F.lit(None).cast("bigint")
+    others = [c for c in hashed.columns if c != "h"]
+    rows = hashed.select(*others, F.size("h").alias("n"), F.concat(
+        F.array_repeat(none, REACH), F.col("h"), F.array_repeat(none, 2 * WINDOW)).alias("hp"))
     #: The outer form keeps Spark from filtering on (and so hashing) the words a second time below the explode.
-    rows = hashed.withColumn("at", F.explode_outer(
-        F.when(n >= width, F.sequence(F.lit(0), masks * (n - width + 1) - 1))))
+    rows = rows.withColumn("at", F.explode_outer(
+        F.when(F.col("n") >= width, F.sequence(F.lit(0), masks * (F.col("n") - width + 1) - 1))))
     rows = rows.withColumn("i", F.expr(f"cast(at div {masks} as int)")).withColumn("m", F.col("at") % masks)
-    seed = None
-    for m, mask in enumerate(MASKS):
-        whole = F.xxhash64(F.lit(m), *[F.get("h", F.col("i") + o) for o in mask])
-        seed = F.when(F.col("m") == m, whole) if seed is None else seed.when(F.col("m") == m, whole)
-    last = F.element_at(F.array(*[F.lit(m[-1]) for m in MASKS]), F.col("m") + 1)
-    return rows.filter(F.col("i") + last < n).withColumn("seed", seed)
+    seed = _by_mask([F.xxhash64(F.lit(m), *[F.get("hp", F.col("i") + (o + REACH)) for o in mask])
+                     for m, mask in enumerate(MASKS)])
+    last = _by_mask([F.lit(mask[-1]) for mask in MASKS])
+    return rows.filter(F.col("i") + last < F.col("n")).withColumn("seed", seed)
 
 
-def _around(h: str, i: Column) -> Column:
-    """The 2 * WINDOW words whose first is REACH words before ``i``; null beyond the text."""
-    return F.array(*[F.when(i + k >= 0, F.get(h, i + k)) for k in range(-REACH, 2 * WINDOW - REACH)])
+def _around() -> Column:
+    return F.slice("hp", F.col("i") + 1, 2 * WINDOW)
 
 
 def item_seeds(benchmark: DataFrame) -> DataFrame:
     items = (benchmark.select("item_id", word_hashes(F.col("text")).alias("h"))
              .filter(F.size("h") >= MIN_ITEM).dropDuplicates(["item_id", "h"]))
-    return _seeds(items).select("item_id", "seed", F.col("i").alias("j"), F.size("h").alias("item_words"),
-                                _around("h", F.col("i")).alias("b"))
+    return _seeds(items).select("item_id", "seed", F.col("i").alias("j"), F.col("n").alias("item_words"),
+                                _around().alias("b"))
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, share: float = MIN_SHARE) -> DataFrame:
@@ -90,7 +100,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, share: float = MIN_SHARE) ->
     for k in range(blocks):
         part = seeds if blocks == 1 else seeds.filter(F.pmod(F.xxhash64("seed"), F.lit(blocks)) == k)
         hits = (_seeds(hashed).join(F.broadcast(part), "seed")
-                .select("doc_id", "th", "item_id", "item_words", "j", "b", _around("h", F.col("i")).alias("a")))
+                .select("doc_id", "th", "item_id", "item_words", "j", "b", _around().alias("a")))
         equal = F.zip_with("a", "b", lambda x, y: F.coalesce(x == y, F.lit(False)).cast("int"))
         width = F.least(F.lit(WINDOW), F.col("item_words"))
         #: An item shorter than the window is compared as a whole: its words begin at REACH - j.
