@@ -26,7 +26,6 @@ result; other columns stay out of ``links`` and are kept by ``one_of_each``.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -63,7 +62,6 @@ def minhashes(sets: list[np.ndarray]) -> np.ndarray:
     """(sets, TREES * DEPTH) MinHash values of 32 bits; no set may be empty."""
     flat, starts = np.concatenate(sets), np.cumsum([0, *map(len, sets[:-1])])
     out = np.empty((len(sets), TREES * DEPTH), np.uint32)
-    step = max(1, (1 << 18) // TREES)
     for k in range(TREES * DEPTH):
         h = flat ^ _B[k]
         h *= _A[k]
