@@ -172,15 +172,20 @@ def passes(texts: list[str | None]) -> Iterator[tuple[int, list[str | None]]]:
         yield start, texts[start:]
 
 
-def labelled(docs: DataFrame, labels: DataFrame, label: str, most: int) -> DataFrame:
-    """text and label of ``most`` labelled documents at most, picked by a hash of doc_id.
+#: Longest text in bytes that a classifier is trained on; with the number of documents it bounds the sample.
+TRAIN_BYTES = 50_000
+
+
+def labelled(docs: DataFrame, labels: DataFrame, label: str, most: int, longest: int = TRAIN_BYTES) -> DataFrame:
+    """text and label of ``most`` labelled documents at most, picked by a hash of doc_id; texts over ``longest`` bytes stay out.
 
     The ids are few (``most``), so they are broadcast and documents stay where they are.
     """
     ids = labels.filter(F.col("doc_id").isNotNull() & F.col(label).isNotNull())
     ids = ids.groupBy("doc_id").agg(F.max(label).cast("int").alias("_llm_y"))
     ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    return docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("doc_id", "text", F.col("_llm_y").alias("y"))
+    texts = docs.select("doc_id", "text").filter(F.coalesce(F.octet_length("text"), F.lit(0)) <= longest)
+    return texts.join(F.broadcast(ids), "doc_id").select("doc_id", "text", F.col("_llm_y").alias("y"))
 
 
 def shingles(words: np.ndarray, n: int) -> np.ndarray:
