@@ -2,8 +2,8 @@
 
 - ``read_coded_text``: whitespace-separated coded records, no header; blank
   lines skipped; the width is checked on *every* row by one aggregate (the
-  source checked only the first); the row id is the line position, made
-  contiguous by distributed row numbers over a file-ordered id.
+  source checked only the first); the row id is the line position, from
+  running sums over the table of file blocks.
 - ``read_csv_typed``: header CSV with quoted commas, fixed schema, FAILFAST.
 - ``write_split``: partitioned write of a split table (parquet or CSV).
 - ``class_head_sample`` / ``union_samples``: first n rows per class, stacked.
@@ -11,45 +11,45 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from credspark import constants as K
 from credspark.operators.features import cast_numeric_strict, decode_codes, target_recode
-from credspark.operators.ranks import row_numbers
-
-
-def _line_order(lines: DataFrame) -> DataFrame:
-    """A numeric file position key (file index, split start) and the line's
-    order inside its partition; together they order lines as in the files."""
-    mono = F.monotonically_increasing_id()
-    inpart = F.expr("monotonically_increasing_id() & 8589934591")  # lower 33 bits: row within partition
-    if "_file" not in lines.columns:
-        return lines.select("value", (mono - inpart).cast("double").alias("_key"), inpart.alias("_in"))
-    files = sorted(r[0] for r in lines.select("_file").distinct().collect())  # one row per input file
-    idx = F.create_map(*[x for i, f in enumerate(files) for x in (F.lit(f), F.lit(i))])
-    key = idx[F.col("_file")].cast("double") * float(1 << 40) + F.col("_block").cast("double")
-    return lines.select("value", key.alias("_key"), inpart.alias("_in"))
+from credspark.session import materialize, written
 
 
 def parse_coded_lines(lines: DataFrame, names: list[str] | None = None, decode: bool = True) -> DataFrame:
     """Text lines (column ``value``, optionally ``_file`` / ``_block`` file
-    positions) -> typed, decoded application rows with positional row ids."""
+    positions) -> typed, decoded application rows with positional row ids.
+
+    The lines are parsed once, into the shared folder, with their place in
+    their partition; lines of one block stand there one after the other.  The
+    table of blocks (one row per file block) then gives the width check and,
+    by running sums in file order, each block's first row id: rows are never sorted."""
     names = names or K.COLUMNS
-    toks = _line_order(lines).filter(F.trim("value") != "").select(
-        "_key", "_in", F.split(F.trim("value"), r"\s+").alias("_t"))
-    chk = toks.agg(F.count(F.lit(1)).alias("n"),
-                   F.sum(F.when(F.size("_t") != len(names), 1).otherwise(0)).alias("bad"),
-                   F.min(F.size("_t")).alias("lo"), F.max(F.size("_t")).alias("hi")).first()
+    if "_file" not in lines.columns:
+        lines = lines.select("value", F.lit("").alias("_file"), F.spark_partition_id().cast("long").alias("_block"))
+    place = F.expr("monotonically_increasing_id() & 8589934591")  # lower 33 bits: row within partition
+    toks = written(lines.filter(F.trim("value") != "").select(
+        "_file", "_block", place.alias("_in"), F.split(F.trim("value"), r"\s+").alias("_t")), "lines")
+    width = F.size("_t")
+    blocks = materialize(toks.groupBy("_file", "_block").agg(
+        F.count(F.lit(1)).alias("n"), F.min("_in").alias("_first"), F.min(width).alias("lo"), F.max(width).alias("hi"),
+        F.sum(F.when(width != len(names), 1).otherwise(0)).alias("bad")))
+    chk = blocks.agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"), F.min("lo").alias("lo"),
+                     F.max("hi").alias("hi")).first()
     if not chk["n"]:
         raise RuntimeError("no data rows found")
     if chk["bad"]:
         raise ValueError(f"expected {len(names)} columns, got rows with {chk['lo']} to {chk['hi']} "
                          f"({chk['bad']} bad rows)")
-    rows = toks.select("_key", "_in", *[F.col("_t")[i].alias(n) for i, n in enumerate(names)])
-    rows = row_numbers(rows, "_key", tie_cols=["_in"], name=K.ROW_ID)
-    rows = rows.select((F.col(K.ROW_ID) - 1).alias(K.ROW_ID), *names)
+    before = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)  # one row per file block
+    starts = blocks.select("_file", "_block", "_first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_start"))
+    rows = toks.join(starts, ["_file", "_block"])
+    rows = rows.select((F.col("_start") + F.col("_in") - F.col("_first")).alias(K.ROW_ID),
+                       *[F.col("_t")[i].alias(n) for i, n in enumerate(names)])
     if not decode:
         return rows
     return target_recode(cast_numeric_strict(decode_codes(rows)))
