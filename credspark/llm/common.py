@@ -11,9 +11,9 @@ import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from tokenizers import Regex, pre_tokenizers
 
 #: Bytes of text that one numpy pass handles; larger single texts get a pass of their own.
 PASS_BYTES = 2 << 20
@@ -65,10 +65,14 @@ _CLASSES = {r"\p{L}": "A-Za-z" + _LATIN, r"\p{N}": "0-9", r"\s": r"\t-\r "}
 
 
 class Splitter:
-    """``findall`` of a pattern with \\p{L}, \\p{N}, \\s and \\S, by the faster ``re`` where a text is Latin."""
+    """All matches of a pattern with \\p{L}, \\p{N}, \\s and \\S, by the faster ``re`` where a text is Latin.
+
+    Other texts are split by the tokenizer library's own engine: which characters
+    are letters depends on a library's version of Unicode.
+    """
 
     def __init__(self, pattern: str):
-        self.any = regex.compile(pattern)
+        self.library = pre_tokenizers.Split(Regex(pattern), "removed", invert=True)
         out, inside, i = "", False, 0
         while i < len(pattern):
             name = next((c for c in _CLASSES if pattern.startswith(c, i)), None)
@@ -85,7 +89,10 @@ class Splitter:
         self.is_latin = re.compile(f"[\x00-\x7f{_LATIN}]*").fullmatch
 
     def __call__(self, text: str) -> list[str]:
-        return (self.latin if self.is_latin(text) else self.any).findall(text)
+        return self.latin.findall(text) if self.is_latin(text) else self.any(text)
+
+    def any(self, text: str) -> list[str]:
+        return [piece for piece, _ in self.library.pre_tokenize_str(text)]
 
 
 # ------------------------------------------------------------- bytes in numpy

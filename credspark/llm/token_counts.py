@@ -17,13 +17,14 @@ from __future__ import annotations
 
 import heapq
 import json
+import re
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
+from tokenizers import normalizers
 
 from credspark.llm.common import Memo, Splitter, small_batches
 
@@ -63,9 +64,7 @@ def merges_of(symbols: list[str], ranks: dict[tuple[str, str], int]) -> int:
     return merges
 
 
-def _lower(text: str) -> str:
-    """Lower case character by character, as the library does: no special form of a final sigma."""
-    return text.lower() if "Σ" not in text else "".join(c.lower() for c in text)
+_LOWER = normalizers.Lowercase()    # character by character, by the library's version of Unicode
 
 
 class WordBpe:
@@ -86,14 +85,15 @@ class WordBpe:
         self.tokens, self.counts = tokens, Memo(tokens, CACHE_WORDS)
         self.words = Splitter(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
         special = sorted((t["content"] for t in spec["added_tokens"]), key=len, reverse=True)
-        self.special = regex.compile("|".join(map(regex.escape, special))) if special else None
+        self.special = re.compile("|".join(map(re.escape, special))) if special else None
 
     def count(self, text: str) -> int:
         parts = self.special.split(text) if self.special else [text]
         total = len(parts) - 1
         for p in parts:
             p = p if p.isascii() else unicodedata.normalize("NFC", p)
-            for word, n in Counter(self.words(_lower(p))).items():
+            p = p.lower() if self.words.is_latin(p) else _LOWER.normalize_str(p)
+            for word, n in Counter(self.words(p)).items():
                 total += n * (self.counts[word] if len(word) <= 64 else self.tokens(word))
         return total
 

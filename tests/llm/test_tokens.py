@@ -19,7 +19,7 @@ from credspark.llm.common import Memo, Splitter
 ODD = ["", " ", "\n\n  \t", "don't I'LL we've", "ΟΔΥΣΣΕΥΣ Σ Σας İstanbul ﬁ Ångström", "日本語テキスト 🙂🙂👩‍👩‍👧", "a" * 3000,
        "x\x00y z\x85w v u", "<|endoftext|>hi<|startoftext|> there<|endoftext|>", "1234567 12 ²³ ½ Ⅷ",
        "é é ẛ̣", "tab\tand  two   three", "_under_score__ --- ... ###$$$", "ŉ ǅ ǆ ß ẞ",
-       "\x1c\x1d\x1e\x1f sep", "word " * 2000]
+       "\x1c\x1d\x1e\x1f sep", "word " * 2000, "Ô\U00018d80 \u0558x \ua7d4 \u1c89b", "a\U00016ff4 1"]
 
 
 @pytest.fixture(scope="module")
@@ -131,4 +131,4 @@ def test_memo_keeps_what_is_used():
 @given(st.text(alphabet="ab' ſÀéſ×÷ǅɐ²1_-\t\n\x1c\x85 İ", max_size=20))
 def test_fast_split_equals_the_slow_one(text):
     s = Splitter(P.PATTERN)
-    assert s(text) == s.any.findall(text)
+    assert s(text) == s.any(text)
