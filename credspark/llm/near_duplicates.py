@@ -308,7 +308,8 @@ def components(edges: DataFrame) -> DataFrame:
     before = size(now)
     while before[0]:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        #: Written first: a join of two shuffles is one that Spark can split where a root has very many edges.
+        least = materialize(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
         large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = large.filter("u <> v")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
@@ -347,7 +348,7 @@ def _linked(docs: DataFrame, similarity: float, target: float) -> tuple[DataFram
 
 def _first_of_root(classes: DataFrame) -> DataFrame:
     first = classes.groupBy("root").agg(F.min("d").alias("first"), F.sum("members").alias("group_size"))
-    return classes.join(first, "root")
+    return classes.join(materialize(first), "root")
 
 
 def links(docs: DataFrame, similarity: float = SIMILARITY, target: float = TARGET_RECALL) -> DataFrame:
