@@ -104,17 +104,6 @@ def q_tune_search(spark, d):
 Q["tune_search"] = q_tune_search
 
 
-def q_tune_search_svc(spark, d):
-    """Random search of the kernel SVM with SMOTE inside the folds."""
-    tr, _ = _sides(spark, d)
-    trials, _best = TU.tune_search(tr, "svc", n_trials=2, folds=2, seed=8,
-                                   resample=lambda x: RS.smote(x, k=5).select(K.ROW_ID, K.TARGET, "features"))
-    return round_doubles(trials.select("trial", F.to_json("params").alias("params"), "score", "n_folds"))
-
-
-Q["tune_search_svc"] = q_tune_search_svc
-
-
 def q_tune_threshold_trained(spark, d):
     """Out-of-fold scores of a trained model, and the threshold of least cost on them."""
     tr, _ = _sides(spark, d)
