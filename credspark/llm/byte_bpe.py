@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from credspark.llm.common import Memo, Splitter, small_batches
 
 #: Half of the pieces and token pairs that a worker remembers at most.
-CACHE_PIECES, CACHE_PAIRS = 150_000, 250_000
+CACHE_PIECES, CACHE_PAIRS = 400_000, 500_000
 
 
 class Vocabulary:
