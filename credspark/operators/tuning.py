@@ -246,16 +246,16 @@ def permutation_importance(model, df: DataFrame, columns: list[str], repeats: in
     """Drop in ROC AUC when one column is shuffled, mean and std over repeats.
 
     A permutation pairs row rank-by-id with row rank-by-seeded-hash (two
-    distributed row numberings and one join per repeat, all repeats in one
-    table); every (column, repeat) copy is then scored in ONE transform and
-    the AUCs come from one grouped rank pass."""
-    base = row_numbers(df, id_col, name="_i")
-    maps = None
-    for r in range(repeats):
-        k = base.select("_i", md5_bucket(F.concat(F.lit(f"perm{seed}_{r}_"), F.col(id_col).cast("string")),
-                                         2147483647).alias("_k"), F.col(id_col).alias("_rid"))
-        rk = row_numbers(k, "_k", tie_cols=["_rid"], name="_j").select(F.lit(r).alias("_rep"), "_i", "_j")
-        maps = rk if maps is None else maps.unionByName(rk)
+    distributed row numberings, the second one of all repeats at once, each
+    written once so that the plan does not grow with the repeats); every
+    (column, repeat) copy is then scored in ONE transform and the AUCs come
+    from one grouped rank pass."""
+    base = materialize(row_numbers(df, id_col, name="_i"))
+    reps = base.select("_i", F.col(id_col).alias("_rid"),
+                       F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))).alias("_rep"))
+    key = F.concat(F.lit(f"perm{seed}_"), F.col("_rep").cast("string"), F.lit("_"), F.col("_rid").cast("string"))
+    maps = materialize(row_numbers(reps.withColumn("_k", md5_bucket(key, 2147483647)), "_k", ["_rep"],
+                                   tie_cols=["_rid"], name="_j").select("_rep", "_i", "_j"))
     src = base.select(F.col("_i").alias("_j"), *[F.col(c).alias(f"_src_{c}") for c in columns])
     paired = base.join(maps, "_i").join(src, "_j")
     copies = paired.select("*", F.posexplode(F.array(*[F.lit(c) for c in columns])).alias("_f", "_col"))

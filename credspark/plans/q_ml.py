@@ -22,7 +22,7 @@ from credspark.operators import tuning as TU
 from credspark.operators.pipelines import build_baseline, build_pipeline
 from credspark.plans.common import apps, held_out, r, round_doubles, scored_test, sql, train_side  # noqa: F401
 from credspark.plans.q_eval import GRID_COUNTS, auc_sql
-from credspark.sources.fixtures import scored
+from credspark.sources.fixtures import APPLICATION_COLUMNS, scored
 
 Q: dict = {}
 S: dict = {}
@@ -97,7 +97,7 @@ Q["importance_ranking"] = q_importance_ranking
 
 def q_tune_search(spark, d):
     tr, _ = _sides(spark, d)
-    trials, _best = TU.tune_search(tr, "lrc", n_trials=4, folds=3, seed=8, parallelism=4)
+    trials, _best = TU.tune_search(tr, "lrc")
     return round_doubles(trials.select("trial", F.to_json("params").alias("params"), "score", "n_folds"))
 
 
@@ -156,7 +156,7 @@ def _fit_lr(df):
 
 def q_learning_curve(spark, d):
     tr, _ = _sides(spark, d)
-    curve = TU.learning_curve(tr, _fit_lr, sizes=[0.25, 0.5, 1.0], folds=3)
+    curve = TU.learning_curve(tr, _fit_lr)
     return round_doubles(curve.withColumn("diagnosis", F.concat_ws("; ", "diagnosis")))
 
 
@@ -197,13 +197,14 @@ def _diag_sql():
 Q["learning_diagnosis"] = q_learning_diagnosis
 S["learning_diagnosis"] = _diag_sql()
 
-PERM_COLS = ["checking_account_status", "duration_months", "credit_amount", "age_years", "purpose"]
+#: Every feature column of an application.
+PERM_COLS = [c for c in APPLICATION_COLUMNS if c not in (K.ROW_ID, K.TARGET)]
 
 
 def q_permutation_importance(spark, d):
     tr, te = _sides(spark, d)
     m = M.train_logistic(tr)
-    return round_doubles(TU.permutation_importance(m, te, PERM_COLS, repeats=3, seed=42))
+    return round_doubles(TU.permutation_importance(m, te, PERM_COLS))
 
 
 Q["permutation_importance"] = q_permutation_importance
