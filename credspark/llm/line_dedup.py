@@ -7,12 +7,21 @@ block with enough words begins with one, so joining documents on run hashes
 finds all overlaps.  All documents with a run are paired with the earliest one
 only: a run in n documents gives n - 1 pairs, however common it is.
 
+Documents that share rare lines between edits have no such run.  A line is rare if
+at most RARE_DOCS documents of different lines hold it; all of these are paired
+with each other, and a pair whose rare lines hold ``min_words`` words together
+is aligned too.  Exact copies stand as one document here: runs find them.
+
 Each pair is aligned with patience diff on line hashes; common blocks of at
 least ``min_words`` words are deleted from the later document.  Blocks that
 stand in another order in both documents remain after a first alignment, so what
 is left is aligned again, ROUNDS times at most; every run that both documents still
 share (out of order, or without a line unique on both sides) is then
 deleted by its run hash, so no repeated run survives in the later document.
+Shorter blocks are decided together: where the rare lines in all aligned blocks
+of a pair hold ``min_words`` words, every aligned block with a rare line is deleted.
+Rare lines that ROUNDS alignments do not match (in wholly another order) and
+lines held by more documents stay, unless they are in a repeated run.
 
 "Earlier" is the order (doc_id, text hash), null ids first.  Documents travel as
 arrays of line hashes; texts are joined once, when lines are deleted.
@@ -28,7 +37,7 @@ from __future__ import annotations
 
 from bisect import bisect_left
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import xxhash
@@ -39,6 +48,8 @@ from credspark.llm.common import small_batches, text_hash
 from credspark.session import materialize
 
 MIN_WORDS = 30
+#: A line in more documents is common: it neither makes pairs nor counts as evidence.
+RARE_DOCS = 20
 ROUNDS = 3
 
 
@@ -118,8 +129,8 @@ def increasing(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out[::-1]
 
 
-def common_blocks(early: list[int], late: list[int], words: list[int], min_words: int) -> list[int]:
-    """Lines of ``late`` in blocks of at least ``min_words`` words that stand in ``early`` too."""
+def _aligned(early: list[int], late: list[int], chosen: Callable[[list[int]], bool]) -> set[int]:
+    """Lines of ``late`` in the blocks ``chosen`` of up to ROUNDS alignments, each of what the one before left."""
     gone: set[int] = set()
     rest: list = list(late)
     for _ in range(ROUNDS):
@@ -130,12 +141,20 @@ def common_blocks(early: list[int], late: list[int], words: list[int], min_words
             else:
                 blocks.append([i])
             before = (i, j)
-        new = [i for b in blocks if sum(words[i] for i in b) >= min_words for i in b]
+        new = [i for b in blocks if chosen(b) for i in b]
         if not new:
             break
         gone.update(new)
         for i in new:
             rest[i] = None      # equal to no line
+    return gone
+
+
+def common_blocks(early: list[int], late: list[int], words: list[int], min_words: int,
+                  rare: frozenset[int] = frozenset()) -> list[int]:
+    """Lines of ``late`` in blocks that stand in ``early`` too: those of at least ``min_words`` words, and all
+    with a line of ``rare`` where such lines hold as many words together."""
+    gone = _aligned(early, late, lambda b: sum(words[i] for i in b) >= min_words)
     theirs = {h for h, _ in runs(early, _words_as(early, late, words), min_words)}
     for h, i in runs(late, words, min_words):
         if h in theirs:
@@ -144,6 +163,10 @@ def common_blocks(early: list[int], late: list[int], words: list[int], min_words
                 have += words[i]
                 gone.add(i)
                 i += 1
+    if not rare.isdisjoint(late):
+        shared = _aligned(early, late, lambda b: any(late[i] in rare for i in b))
+        if sum({late[i]: words[i] for i in shared if late[i] in rare}.values()) >= min_words:
+            gone |= shared
     return sorted(gone)
 
 
@@ -157,6 +180,29 @@ def _ids(docs: DataFrame) -> Column:
     return F.struct(F.col("doc_id").alias("id"), text_hash().alias("th"))
 
 
+def _same() -> Column:
+    """One value for all documents of the same lines."""
+    return F.xxhash64("lines").alias("same")
+
+
+def _rare_lines(lined: DataFrame) -> DataFrame:
+    """line, same, words of the lines that 2 to RARE_DOCS documents of different lines hold."""
+    held = (lined.select(_same(), F.explode(F.array_distinct(F.arrays_zip("lines", "words"))).alias("z"))
+            .select(F.col("z.lines").alias("line"), "same", F.col("z.words").alias("words")).distinct())
+    few = held.groupBy("line").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n").between(2, RARE_DOCS))
+    return materialize(held.join(few.select("line"), "line"))
+
+
+def _rare_pairs(lined: DataFrame, rare: DataFrame, min_words: int) -> DataFrame:
+    """d and early of the pairs whose common rare lines hold at least ``min_words`` words."""
+    other = rare.select("line", F.col("same").alias("other"))
+    pairs = (rare.join(other, "line").filter("same < other").groupBy("same", "other")
+             .agg(F.sum("words").alias("n")).filter(F.col("n") >= min_words))
+    first = lined.groupBy(_same()).agg(F.min("d").alias("d"))
+    return (pairs.join(first, "same").join(first.select(F.col("same").alias("other"), F.col("d").alias("e")), "other")
+            .select(F.greatest("d", "e").alias("d"), F.least("d", "e").alias("early")))
+
+
 def deletions(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """d (id, th) of every document that loses lines, and ``gone``: their positions, from 0."""
     small_batches(docs.sparkSession)
@@ -179,18 +225,22 @@ def deletions(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     first = (long_enough.groupBy("run").agg(F.min("d").alias("early"), F.max("d").alias("latest"))
              .filter("early <> latest").select("run", "early"))
     pairs = (long_enough.join(first, "run").filter("d <> early")
-             .groupBy("d", "early").agg(F.count(F.lit(1)).alias("n")).drop("n"))
+             .select("d", "early"))
+    rare = _rare_lines(lined)
+    pairs = pairs.unionByName(_rare_pairs(lined, rare, min_words)).distinct()
     once = lined.dropDuplicates(["d"])
-    late = once.select("d", F.col("lines").alias("b"), "words", "at")
+    of_doc = rare.groupBy("same").agg(F.collect_list("line").alias("rare"))
+    late = once.select("d", F.col("lines").alias("b"), "words", "at", _same())
     early = once.select(F.col("d").alias("early"), F.col("lines").alias("a"))
-    both = pairs.join(early, "early").join(late, "d").select("d", "a", "b", "words", "at")
+    both = (pairs.join(early, "early").join(late, "d").join(of_doc, "same", "left")
+            .select("d", "a", "b", "words", "at", "rare"))
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
-            a, b, words, at = (x.column(k).to_pylist() for k in range(1, 5))
+            a, b, words, at, few = (x.column(k).to_pylist() for k in range(1, 6))
             gone = []
             for i in range(len(a)):
-                lost = common_blocks(a[i], b[i], words[i], min_words)
+                lost = common_blocks(a[i], b[i], words[i], min_words, frozenset(few[i] or ()))
                 # blank lines between two deleted neighbours go with them
                 full = set()
                 for p, q in zip(lost, [*lost[1:], -1]):

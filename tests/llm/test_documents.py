@@ -190,6 +190,24 @@ def test_line_dedup_leaves_no_repeated_run(make_docs, shared_lines):
     assert out[80]["text"] == ""
 
 
+def test_line_dedup_finds_rare_lines_between_edits(make_docs, words):
+    shared = [" ".join(words(9)) for _ in range(6)]
+    mixed = lambda lines: [x for s in lines for x in (s, " ".join(words(15)))]
+    texts = [mixed(shared), mixed(shared), mixed(shared[:3]), mixed(shared[3:] + shared[:3])]
+    common = " ".join(words(9))
+    texts += [[common, " ".join(words(5)), common + " b", " ".join(words(5)), *[common + f" {k}" for k in range(3)]]
+              for _ in range(2 * L.RARE_DOCS)]
+    docs = [(i, "\n".join(t)) for i, t in enumerate(texts)]
+    for k in range(4, len(docs)):     # the common lines never stand together
+        lines = docs[k][1].split("\n")
+        docs[k] = (k, "\n".join(x for s in lines for x in (s, f"only {k} {len(s)}")))
+    gone = {r["doc_id"]: r["gone"] for r in L.line_dedup(make_docs(docs), gone_as="gone").collect()}
+    assert gone[0] == [] and gone[1] == [0, 2, 4, 6, 8, 10]
+    assert gone[2] == []        # 27 words
+    assert gone[3] == [0, 2, 4, 6, 8, 10]
+    assert all(gone[i] == [] for i in range(4, len(docs)))
+
+
 def test_patience_matches_equal_lines_in_order():
     a, b = list("abcdxefg"), list("abydcefg")
     pairs = L.patience(a, b)
