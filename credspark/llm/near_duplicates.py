@@ -327,7 +327,8 @@ def _linked(docs: DataFrame, similarity: float, target: float) -> tuple[DataFram
     """Rows (d, cls) of all documents; classes with members, first d, root class, links and doc_links."""
     rows = materialize(signed(docs))
     classes = materialize(rows.filter("cls is not null").groupBy("cls").agg(
-        F.count(F.lit(1)).alias("members"), F.min("d").alias("d"), F.first("sig").alias("sig")))
+        F.count(F.lit(1)).alias("members"), F.min("d").alias("d"), F.min("d.id").alias("low"),
+        F.first("sig").alias("sig")))
     found = None
     for depth in range(DEPTH, 0, -1):
         keyed = materialize(_keyed(classes, depth))
@@ -340,28 +341,29 @@ def _linked(docs: DataFrame, similarity: float, target: float) -> tuple[DataFram
     degrees = found.groupBy("cls").agg(F.sum("links").alias("links"), F.sum("doc_links").alias("doc_links"))
     classes = (classes.drop("sig").join(roots.withColumnRenamed("v", "cls"), "cls", "left")
                .join(degrees, "cls", "left")
-               .select("cls", "members", "d", F.coalesce("root", "cls").alias("root"),
+               .select("cls", "members", "d", "low", F.coalesce("root", "cls").alias("root"),
                        F.coalesce("links", F.lit(0)).alias("links"),
                        F.coalesce("doc_links", F.lit(0)).alias("doc_links")))
     return rows.select("d", "cls"), materialize(classes)
 
 
 def _first_of_root(classes: DataFrame) -> DataFrame:
-    first = classes.groupBy("root").agg(F.min("d").alias("first"), F.sum("members").alias("group_size"))
+    first = classes.groupBy("root").agg(F.min("d").alias("first"), F.min("low").alias("low_id"),
+                                         F.sum("members").alias("group_size"))
     return classes.join(materialize(first), "root")
 
 
 def links(docs: DataFrame, similarity: float = SIMILARITY, target: float = TARGET_RECALL) -> DataFrame:
     """For every row: doc_id, class_id, n_links, n_text_links, group_size.
 
-    class_id is the smallest doc_id of the row's group (documents connected by links).  n_links
+    class_id is the smallest doc_id that is not null in the row's group (documents connected by links).  n_links
     counts the other documents of at least that similarity; n_text_links counts each set of
     shingles once and leaves out copies.
     """
     rows, classes = _linked(docs, similarity, target)
-    known = _first_of_root(classes).select("cls", "first", "members", "links", "doc_links", "group_size")
+    known = _first_of_root(classes).select("cls", "low_id", "members", "links", "doc_links", "group_size")
     return rows.join(known, "cls", "left").select(
-        F.col("d.id").alias("doc_id"), F.coalesce("first.id", "d.id").alias("class_id"),
+        F.col("d.id").alias("doc_id"), F.coalesce("low_id", "d.id").alias("class_id"),
         F.coalesce(F.col("members") - 1 + F.col("doc_links"), F.lit(0)).cast("long").alias("n_links"),
         F.coalesce("links", F.lit(0)).cast("long").alias("n_text_links"),
         F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"))

@@ -149,6 +149,13 @@ def test_near_duplicates_odd_inputs(odd_docs):
     assert N.links(odd.limit(0)).count() == 0 and N.one_of_each(odd.limit(0)).count() == 0
 
 
+def test_class_id_of_a_group_whose_first_id_is_null(make_docs):
+    text = " ".join(f"w{i}" for i in range(100))
+    docs = [(None, text), (7, text), (3, text + " x"), (4, "alone")]
+    got = {r["doc_id"]: (r["class_id"], r["group_size"]) for r in N.links(make_docs(docs)).collect()}
+    assert got == {None: (3, 3), 7: (3, 3), 3: (3, 3), 4: (4, 1)}
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.range(1, 60).selectExpr("id as u", "id - 1 as v")
     assert {(r["v"], r["root"]) for r in N.components(edges).collect()} == {(i, 0) for i in range(1, 60)}
