@@ -28,7 +28,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the blocks of lines that an earlier document has; one that loses all its text goes."""
     out = line_dedup(docs, gone_as="_llm_gone")
-    emptied = (F.size("_llm_gone") > 0) & (F.trim("text") == "")
+    emptied = (F.size("_llm_gone") > 0) & ~F.col("text").rlike(r"(?U)[^\s\x1c-\x1f]")
     return out.filter(~F.coalesce(emptied, F.lit(False))).drop("_llm_gone")
 
 

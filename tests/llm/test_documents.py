@@ -289,6 +289,12 @@ def test_classifiers_on_odd_inputs(spark, odd_docs):
 
 # ------------------------------------------------------------------ pipeline
 
+def test_copies_with_blank_lines_leave_no_empty_document(spark, make_docs, words):
+    text = " ".join(words(40))
+    docs = make_docs([(1, text), (2, text + "\n\n"), (3, f" \n\t\n{text}\n\u00a0\n"), (4, "\n\n")])
+    assert {r["doc_id"] for r in corpus_pipeline.repeated_lines(spark, docs, SF).collect()} == {1, 4}
+
+
 def test_pipeline_stages_in_order(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     names = [n for n, _ in corpus_pipeline.STAGES]
