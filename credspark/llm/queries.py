@@ -11,6 +11,7 @@ from credspark.llm.byte_bpe import encode_digests
 from credspark.llm.common import table
 from credspark.llm.decontaminate import overlaps
 from credspark.llm.line_dedup import line_dedup
+from credspark.llm.lm_scoring import lm_scores
 from credspark.llm.near_duplicates import links
 from credspark.llm.quality_mil import quality
 from credspark.llm.quality_rules import quality_rules
@@ -82,6 +83,11 @@ def op10_url_filter(spark: SparkSession, d: str) -> DataFrame:
     return url_filter(table(spark, d, "pages"), rules)
 
 
+def op11_lm_scores(spark: SparkSession, d: str) -> DataFrame:
+    """Every document with its base score and the attention model's score."""
+    return lm_scores(table(spark, d, "documents"), tokenizer_path("byte_bpe_50k.tiktoken"), tokenizer_pattern())
+
+
 Q: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_sharding": op2_sharding,
@@ -93,6 +99,7 @@ Q: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_line_dedup": op9_line_dedup,
     "op10_url_filter": op10_url_filter,
+    "op11_lm_scores": op11_lm_scores,
 }
 
 S: dict[str, str] = {}
