@@ -13,12 +13,14 @@ from credspark.llm.decontaminate import overlaps
 from credspark.llm.line_dedup import line_dedup
 from credspark.llm.lm_scoring import lm_scores
 from credspark.llm.near_duplicates import links
+from credspark.llm.periodic_runs import periodic_runs
 from credspark.llm.quality_mil import quality
 from credspark.llm.quality_rules import quality_rules
 from credspark.llm.sharding import shard_documents
 from credspark.llm.token_counts import token_counts
 from credspark.llm.toxicity import score, train
 from credspark.llm.url_filter import url_filter
+from credspark.llm.whitening import whiten
 
 #: Listed entries of op10: (host, path, verdict).
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"),
@@ -88,6 +90,16 @@ def op11_lm_scores(spark: SparkSession, d: str) -> DataFrame:
     return lm_scores(table(spark, d, "documents"), tokenizer_path("byte_bpe_50k.tiktoken"), tokenizer_pattern())
 
 
+def op12_whitening(spark: SparkSession, d: str) -> DataFrame:
+    """Every usable vector's 32 leading whitened components."""
+    return whiten(table(spark, d, "embeddings"))
+
+
+def op13_periodic_runs(spark: SparkSession, d: str) -> DataFrame:
+    """Every document's periodic runs and the digest of its text without repeated blocks."""
+    return periodic_runs(table(spark, d, "documents"))
+
+
 Q: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_sharding": op2_sharding,
@@ -100,6 +112,8 @@ Q: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_line_dedup": op9_line_dedup,
     "op10_url_filter": op10_url_filter,
     "op11_lm_scores": op11_lm_scores,
+    "op12_whitening": op12_whitening,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 S: dict[str, str] = {}
