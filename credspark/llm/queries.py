@@ -87,7 +87,7 @@ def op10_url_filter(spark: SparkSession, d: str) -> DataFrame:
 
 def op11_lm_scores(spark: SparkSession, d: str) -> DataFrame:
     """Every document with its base score and the attention model's score."""
-    return lm_scores(table(spark, d, "documents"), tokenizer_path("byte_bpe_50k.tiktoken"), tokenizer_pattern())
+    return lm_scores(table(spark, d, "documents"), tokenizer_path("byte_bpe_50k.tiktoken"))
 
 
 def op12_whitening(spark: SparkSession, d: str) -> DataFrame:
