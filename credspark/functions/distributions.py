@@ -15,7 +15,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
@@ -183,9 +183,41 @@ def _normsf_udf(z: pd.Series) -> pd.Series:
     return _vec(norm_sf, z)
 
 
-@F.pandas_udf(DoubleType())
-def norm_ppf_udf(p: pd.Series) -> pd.Series:
-    return pd.Series(norm_ppf(p.to_numpy(dtype=float)))
+def _poly_of(c: list[float], x, lit):
+    out = lit(c[-1])
+    for coef in reversed(c[:-1]):
+        out = out * x + lit(coef)
+    return out
+
+
+def with_normal_quantile(df: DataFrame, p: Column, name: str) -> DataFrame:
+    """``df`` with the standard normal quantile of ``p`` (null outside (0, 1)) as column ``name``: AS 241 in plain
+    arithmetic, in two projections so that the polynomials' argument is computed once."""
+    step = df.withColumn("_np", p.cast("double"))
+    step = step.withColumn("_nq", F.col("_np") - 0.5).withColumn(
+        "_nr", F.when(F.abs("_nq") <= 0.425, F.lit(0.180625) - F.col("_nq") * F.col("_nq"))
+        .otherwise(F.sqrt(-F.ln(F.least("_np", F.lit(1.0) - F.col("_np"))))))
+    r, q = F.col("_nr"), F.col("_nq")
+    ratio = lambda top, low, x: _poly_of(top, x, F.lit) / _poly_of(low, x, F.lit)
+    tail = F.when(r <= 5, ratio(_C, _D, r - 1.6)).otherwise(ratio(_E, _F, r - 5.0))
+    value = F.when(F.abs(q) <= 0.425, q * ratio(_A, _B, r)).otherwise(F.when(q < 0, -tail).otherwise(tail))
+    inside = (F.col("_np") > 0) & (F.col("_np") < 1)
+    return step.withColumn(name, F.when(inside, value)).drop("_np", "_nq", "_nr")
+
+
+def normal_quantile_sql(p: str) -> str:
+    """The same quantile as SQL text; ``p`` is a column name."""
+    def poly(c, x):
+        out = f"CAST({c[-1]!r} AS DOUBLE)"
+        for coef in reversed(c[:-1]):
+            out = f"({out} * {x} + CAST({coef!r} AS DOUBLE))"
+        return out
+
+    q, tail = f"({p} - 0.5)", f"sqrt(-ln(least({p}, 1.0 - {p})))"
+    mid = f"(0.180625 - {q} * {q})"
+    near, far = f"({tail} - 1.6)", f"({tail} - 5.0)"
+    return (f"CASE WHEN abs({q}) <= 0.425 THEN {q} * {poly(_A, mid)} / {poly(_B, mid)} ELSE sign({q}) * CASE WHEN {tail}"
+            f" <= 5 THEN {poly(_C, near)} / {poly(_D, near)} ELSE {poly(_E, far)} / {poly(_F, far)} END END")
 
 
 def p_t_two_sided(t: Column, df: Column) -> Column:

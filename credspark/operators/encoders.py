@@ -1,12 +1,13 @@
 """Supervised and unsupervised encoders as Spark ML Estimators.
 
 Every fit is ONE grouped aggregate over the training side (all encoded
-columns at once, via unpivot) producing a state table (column, level,
-value).  The state is a DataFrame at every size: it is written to the shared
-checkpoint folder at fit, saved beside the model's parameters, and applied
-by a join on the level (Spark broadcasts it where its size allows and
-shuffles it otherwise).  No level passes through the driver; only one-hot
-encoding collects its levels, because they are the output's columns.
+columns at once, via unpivot) producing per-level statistics.  Columns with at
+most MAP_LEVELS levels become maps kept in the model's parameters (a checked
+bound) and are applied in the projection, without a join.  The state of the
+other columns is a table at every size, written to the shared checkpoint folder
+at fit, saved beside the model's parameters, and applied by one join whatever
+the number of columns.  One-hot encoding collects its levels, because they are
+the output's columns; a column with more than ONEHOT_LEVELS is refused by name.
 
 Because these are ``Estimator`` / ``Model`` stages, they sit *inside* the
 ``Pipeline`` handed to ``CrossValidator``: fold scores never see the
@@ -41,7 +42,7 @@ from pyspark.sql import functions as F
 
 from credspark import constants as K
 from credspark.operators.ranks import row_numbers
-from credspark.session import written
+from credspark.session import materialize, written
 
 def safe_name(s: str) -> str:
     """Column-safe name; comparison signs are spelled out so that levels such
@@ -56,82 +57,139 @@ def onehot_names(col: str, levels: list[str]) -> list[str]:
     return [n if plain.count(n) == 1 else f"{n}_{zlib.crc32(v.encode()):08x}" for n, v in zip(plain, levels)]
 
 
-def _long(df: DataFrame, cols: list[str], extra: list[str]) -> DataFrame:
-    return df.select(*extra, *[F.col(c).cast("string").alias(c) for c in cols]) \
-        .unpivot(extra, cols, "column_name", "level")
-
-
 # ----------------------------------------------------------- state tables
 
-def fit_state(df: DataFrame, kind: str, cols: list[str], label: str = K.TARGET, id_col: str = K.ROW_ID,
-              regularization: float = 1.0, smoothing: float = 1.0, min_samples_leaf: int = 20) -> DataFrame:
-    """(column_name, level, value) for every level of every column, one pass."""
-    extra = [c for c in (label, id_col) if c in df.columns]
-    long = _long(df, cols, extra).filter(F.col("level").isNotNull())
-    if kind == "woe":
-        y = F.col(label).cast("double")
-        g = long.groupBy("column_name", "level").agg(F.sum(y).alias("pos"), F.count(F.lit(1)).alias("n"))
-        tot = df.agg(F.sum(F.col(label).cast("double")).alias("P"), F.count(F.lit(1)).alias("NN"))
-        a = float(regularization)
-        j = g.crossJoin(F.broadcast(tot))  # one row
-        num = (F.col("pos") + a) / (F.col("P") + 2 * a)
-        den = (F.col("n") - F.col("pos") + a) / (F.col("NN") - F.col("P") + 2 * a)
-        val = F.when(F.col("n") == 1, F.lit(0.0)).otherwise(F.ln(num / den))
-        return j.select("column_name", "level", val.alias("value"))
-    if kind == "target":
-        y = F.col(label).cast("double")
-        g = long.groupBy("column_name", "level").agg(F.avg(y).alias("m"), F.count(F.lit(1)).alias("n"))
-        tot = df.agg(F.avg(F.col(label).cast("double")).alias("prior"))
-        j = g.crossJoin(F.broadcast(tot))  # one row
-        w = F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.col("n") - float(min_samples_leaf)) / float(smoothing)))
-        return j.select("column_name", "level", (F.col("prior") * (1 - w) + F.col("m") * w).alias("value"))
-    if kind == "count":
-        g = long.groupBy("column_name", "level").agg(F.count(F.lit(1)).alias("n"))
-        tot = df.agg(F.count(F.lit(1)).alias("NN"))
-        return g.crossJoin(F.broadcast(tot)).select("column_name", "level",
-                                                    (F.col("n") / F.col("NN")).alias("value"))
-    if kind in ("ordinal", "onehot"):
-        return _first_seen(long, id_col if id_col in df.columns else "level")
-    raise ValueError(f"unknown encoder kind {kind}")
-
-
-def _first_seen(long: DataFrame, by: str) -> DataFrame:
-    """Levels numbered 1.. in order of first appearance, per column; the numbering is distributed."""
-    g = long.groupBy("column_name", "level").agg(F.min(by).alias("_first"))
-    rk = row_numbers(g, "_first", ["column_name"], tie_cols=["level"], name="value")
-    return rk.select("column_name", "level", F.col("value").cast("double").alias("value"))
-
-
-def state_prior(df: DataFrame, label: str = K.TARGET) -> float:
-    return float(df.agg(F.avg(F.col(label).cast("double"))).first()[0])
-
-
-def apply_state(df: DataFrame, state: DataFrame, cols: list[str], unseen: float, missing: float) -> DataFrame:
-    """Replace each column by its value in ``state`` (column_name, level, value), by one join per column."""
-    out = df
-    for c in cols:
-        s = state.filter(F.col("column_name") == c).select(F.col("level").alias("_credspark_level"),
-                                                           F.col("value").alias("_credspark_value"))
-        hit = out.join(s, F.col(f"`{c}`").cast("string") == F.col("_credspark_level"), "left")
-        value = F.when(F.col(f"`{c}`").isNull(), F.lit(missing)).otherwise(
-            F.coalesce("_credspark_value", F.lit(unseen)))
-        out = hit.select(*[value.alias(c) if x == c else F.col(f"`{x}`") for x in out.columns])
-    return out
+#: A column of at most so many levels is applied as a map in the projection; the others by one join.
+MAP_LEVELS = 256
+#: One-hot levels of one column at most: each is an output column.
+ONEHOT_LEVELS = 10_000
+KINDS = ("woe", "target", "count", "ordinal")
+STATE_SCHEMA = "kind string, column_name string, level string, value double"
+UNSEEN = {"woe": (0.0, 0.0), "count": (0.0, 0.0), "ordinal": (-1.0, -2.0)}  # (unseen, missing); target: the prior
 
 
-def onehot_levels(df: DataFrame, cols: list[str], id_col: str = K.ROW_ID) -> dict[str, list[str]]:
-    """Levels per column in order of first appearance: the names of the columns to come."""
-    levels: dict[str, list[tuple]] = {}
-    for r in fit_state(df, "onehot", cols, id_col=id_col).collect():
-        levels.setdefault(r["column_name"], []).append((r["value"], r["level"]))
-    return {c: [v for _, v in sorted(levels.get(c, []))] for c in cols}
+def unseen_missing(kind: str, prior: float) -> tuple[float, float]:
+    return UNSEEN.get(kind, (prior, prior))
 
 
-UNSEEN = {"woe": (0.0, 0.0), "count": (0.0, 0.0), "ordinal": (-1.0, -2.0)}  # (unseen, missing); target: the prior
+def level_stats(df: DataFrame, cols: list[str], label: str = K.TARGET, id_col: str = K.ROW_ID) -> DataFrame:
+    """(column_name, level, n, pos, first) of every level of every column: one pass, computed once."""
+    y = F.col(label).cast("double") if label in df.columns else F.lit(0.0)
+    rid = F.col(id_col) if id_col in df.columns else F.lit(0)
+    long = df.select(y.alias("_y"), rid.alias("_rid"), *[F.col(f"`{c}`").cast("string").alias(c) for c in cols])
+    return materialize(long.unpivot(["_y", "_rid"], cols, "column_name", "level").filter(F.col("level").isNotNull())
+                       .groupBy("column_name", "level").agg(F.count(F.lit(1)).alias("n"), F.sum("_y").alias("pos"),
+                                                            F.min("_rid").alias("first")))
+
+
+def level_counts(stats: DataFrame) -> dict[str, int]:
+    """Levels of each column (one row for each column)."""
+    return {r["column_name"]: r["k"] for r in stats.groupBy("column_name").agg(F.count(F.lit(1)).alias("k")).collect()}
+
+
+def states_from_stats(spec: dict, stats: DataFrame, nn: int, p: float, regularization: float = 1.0,
+                      min_samples_leaf: int = 20) -> DataFrame | None:
+    """(kind, column_name, level, value) of every encoder of ``spec`` from per-level statistics
+    (column_name, level, n, pos, first)."""
+    a, s = regularization, float(spec.get("target_smoothing", 1.0))
+    prior = p / nn if nn else 0.0
+    n, pos = F.col("n").cast("double"), F.col("pos")
+    w = F.lit(1.0) / (F.lit(1.0) + F.exp(-(n - float(min_samples_leaf)) / s))
+    values = {
+        "woe": F.when(n == 1, F.lit(0.0)).otherwise(
+            F.ln(((pos + a) / (p + 2 * a)) / ((n - pos + a) / (nn - p + 2 * a)))),
+        "target": F.lit(prior) * (1 - w) + (pos / n) * w,
+        "count": n / float(max(nn, 1)),
+    }
+    out = None
+    for kind in KINDS:
+        if not spec.get(kind):
+            continue
+        mine = stats.filter(F.col("column_name").isin(spec[kind]))
+        if kind == "ordinal":
+            part = row_numbers(mine.select("column_name", "level", "first"), "first", ["column_name"],
+                               tie_cols=["level"], name="value")
+            part = part.select("column_name", "level", F.col("value").cast("double").alias("value"))
+        else:
+            part = mine.select("column_name", "level", values[kind].alias("value"))
+        part = part.select(F.lit(kind).alias("kind"), "column_name", "level", "value")
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
-def unseen_missing(kind: str, prior: float) -> tuple[float, float]:
-    return UNSEEN.get(kind, (prior, prior))
+def split_states(spec: dict, stats: DataFrame, counts: dict[str, int], nn: int, p: float, regularization: float = 1.0,
+                 min_samples_leaf: int = 20) -> tuple[dict, DataFrame]:
+    """The fitted state in two parts: maps {kind: {column: {level: value}}} of the columns with at most
+    MAP_LEVELS levels, and a written table (kind, column_name, level, value) of the others."""
+    spark = stats.sparkSession
+    few = {k: [c for c in spec.get(k, []) if counts.get(c, 0) <= MAP_LEVELS] for k in KINDS}
+    many = {k: [c for c in spec.get(k, []) if counts.get(c, 0) > MAP_LEVELS] for k in KINDS}
+    rest = {k: v for k, v in spec.items() if k not in KINDS}
+    maps: dict = {k: {c: {} for c in few[k]} for k in KINDS if few[k]}
+    small = stats.filter(F.col("column_name").isin(sorted({c for v in few.values() for c in v})))
+    valued = states_from_stats({**rest, **few, "ordinal": []}, small, nn, p, regularization, min_samples_leaf)
+    if valued is not None:      # at most MAP_LEVELS rows for each column
+        for r in valued.collect():
+            maps[r["kind"]][r["column_name"]][r["level"]] = r["value"]
+    if few["ordinal"]:
+        for r in small.filter(F.col("column_name").isin(few["ordinal"])).orderBy("first", "level").collect():
+            seen = maps["ordinal"][r["column_name"]]
+            seen[r["level"]] = len(seen) + 1.0
+    table = states_from_stats({**rest, **many}, stats, nn, p, regularization, min_samples_leaf)
+    return maps, spark.createDataFrame([], STATE_SCHEMA) if table is None else written(table, "encoders")
+
+
+def apply_states(df: DataFrame, maps: dict, state: DataFrame | None, spec: dict, prior: float) -> DataFrame:
+    """Replace each encoded column by its value.  Columns with a map need no join.  One other column is
+    joined on its level; more of them by one join in long form: the rows are written once with a number
+    each, their levels unpivoted, joined and put together by the number again."""
+    joined = [(kind, c) for kind in KINDS for c in spec.get(kind, []) if c not in maps.get(kind, {})]
+    values = {}
+    for kind in KINDS:
+        for c in spec.get(kind, []):
+            if c in maps.get(kind, {}):
+                pairs = [F.lit(x) for level, v in maps[kind][c].items() for x in (level, v)]
+                values[c] = F.try_element_at(F.create_map(*pairs), F.col(f"`{c}`").cast("string")) if pairs \
+                    else F.lit(None).cast("double")
+    out, drop = df, []
+    if len(joined) == 1:
+        kind, c = joined[0]
+        s = state.filter((F.col("kind") == kind) & (F.col("column_name") == c)).select(
+            F.col("level").alias("_credspark_level"), F.col("value").alias("_credspark_value"))
+        out = out.join(s, F.col(f"`{c}`").cast("string") == F.col("_credspark_level"), "left")
+        values[c], drop = F.col("_credspark_value"), ["_credspark_level", "_credspark_value"]
+    elif joined:
+        out = written(out.withColumn("_credspark_row", F.monotonically_increasing_id()), "encoding")
+        levels = F.array(*[F.struct(F.lit(kind).alias("kind"), F.lit(c).alias("column_name"),
+                                    F.col(f"`{c}`").cast("string").alias("level")) for kind, c in joined])
+        keys = out.select("_credspark_row", F.inline(levels)).filter(F.col("level").isNotNull())
+        hit = keys.join(state, ["kind", "column_name", "level"]).groupBy("_credspark_row").agg(
+            F.map_from_entries(F.collect_list(F.struct(F.concat_ws("/", "kind", "column_name"), "value")))
+            .alias("_credspark_values"))     # one entry for each joined column of a row
+        out = out.join(hit, "_credspark_row", "left")
+        for kind, c in joined:
+            values[c] = F.try_element_at("_credspark_values", F.lit(f"{kind}/{c}"))
+        drop = ["_credspark_row", "_credspark_values"]
+
+    def encoded(kind: str, c: str) -> Column:
+        unseen, missing = unseen_missing(kind, prior)
+        return F.when(F.col(f"`{c}`").isNull(), F.lit(missing)).otherwise(F.coalesce(values[c], F.lit(unseen)))
+
+    kinds = {c: kind for kind in KINDS for c in spec.get(kind, [])}
+    return out.select(*[encoded(kinds[c], c).alias(c) if c in kinds else F.col(f"`{c}`") for c in out.columns
+                        if c not in drop])
+
+
+def onehot_levels(stats: DataFrame, counts: dict[str, int], cols: list[str]) -> dict[str, list[str]]:
+    """Levels per column in order of first appearance: the names of the columns to come."""
+    for c in cols:
+        if counts.get(c, 0) > ONEHOT_LEVELS:
+            raise ValueError(f"column {c!r} has {counts[c]} levels; one-hot encoding makes a column of each and takes "
+                             f"{ONEHOT_LEVELS} at most: use another encoder for it")
+    levels: dict[str, list[str]] = {c: [] for c in cols}
+    for r in stats.filter(F.col("column_name").isin(cols)).orderBy("first", "level").collect():
+        levels[r["column_name"]].append(r["level"])
+    return levels
 
 
 class StateWriter(MLWriter):
@@ -198,29 +256,35 @@ class CategoryEncoder(Estimator, _StateParams, DefaultParamsReadable, DefaultPar
         self._set(**self._input_kwargs)
 
     def _fit(self, df: DataFrame):
-        kind, cols = self.getOrDefault("kind"), self.getInputCols()
-        st = fit_state(df, kind, cols, self.getLabelCol(), self.getOrDefault("idCol"),
-                       self.getOrDefault("regularization"), self.getOrDefault("smoothing"),
-                       self.getOrDefault("minSamplesLeaf"))
-        prior = state_prior(df, self.getLabelCol()) if kind == "target" else 0.0
-        model = CategoryEncoderModel(kind=kind, inputCols=cols, prior=prior)
-        model.state = written(st, "encoder")
+        kind, cols, label = self.getOrDefault("kind"), self.getInputCols(), self.getLabelCol()
+        if kind not in KINDS:
+            raise ValueError(f"unknown encoder kind {kind}")
+        spec = {kind: cols, "target_smoothing": self.getOrDefault("smoothing")}
+        stats = level_stats(df, cols, label, self.getOrDefault("idCol"))
+        y = F.col(label).cast("double") if label in df.columns else F.lit(0.0)
+        nn, p = df.agg(F.count(F.lit(1)), F.sum(y)).first()
+        maps, state = split_states(spec, stats, level_counts(stats), nn, p or 0.0, self.getOrDefault("regularization"),
+                                   self.getOrDefault("minSamplesLeaf"))
+        model = CategoryEncoderModel(kind=kind, inputCols=cols, prior=(p or 0.0) / nn if nn else 0.0,
+                                     maps=json.dumps(maps))
+        model.state = state
         return model
 
 
 class CategoryEncoderModel(StateTable, Model, HasInputCols, MLReadable, MLWritable):
     kind = Param(Params._dummy(), "kind", "encoder kind", TypeConverters.toString)
     prior = Param(Params._dummy(), "prior", "target mean", TypeConverters.toFloat)
+    maps = Param(Params._dummy(), "maps", "values of columns with few levels (JSON)", TypeConverters.toString)
 
     @keyword_only
-    def __init__(self, *, kind="woe", inputCols=None, prior=0.0):
+    def __init__(self, *, kind="woe", inputCols=None, prior=0.0, maps="{}"):
         super().__init__()
-        self._setDefault(prior=0.0)
+        self._setDefault(prior=0.0, maps="{}")
         self._set(**self._input_kwargs)
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        return apply_state(df, self.state, self.getInputCols(),
-                           *unseen_missing(self.getOrDefault("kind"), self.getOrDefault("prior")))
+        return apply_states(df, json.loads(self.getOrDefault("maps")), self.state,
+                            {self.getOrDefault("kind"): self.getInputCols()}, self.getOrDefault("prior"))
 
 
 class OneHotAllEncoder(Estimator, HasInputCols, DefaultParamsReadable, DefaultParamsWritable):
@@ -234,7 +298,8 @@ class OneHotAllEncoder(Estimator, HasInputCols, DefaultParamsReadable, DefaultPa
         self._set(**self._input_kwargs)
 
     def _fit(self, df: DataFrame):
-        levels = onehot_levels(df, self.getInputCols(), self.getOrDefault("idCol"))
+        stats = level_stats(df, self.getInputCols(), id_col=self.getOrDefault("idCol"))
+        levels = onehot_levels(stats, level_counts(stats), self.getInputCols())
         return OneHotAllModel(inputCols=self.getInputCols(), levels=json.dumps(levels))
 
 

@@ -9,6 +9,7 @@ of "highest threshold reached" by label, summed over at most 62 bins.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from itertools import product
 
 from pyspark.sql import Column, DataFrame
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 
 from credspark import constants as K
 from credspark.operators.evaluate import R, cost_exprs, evaluate_model, metric_exprs, roc_auc
+from credspark.operators.models import score_models
 from credspark.session import materialize
 
 
@@ -188,6 +190,14 @@ def tune_ensemble(df: DataFrame, label: str = K.TARGET, weight_range=None, lo: i
                     *[v.alias(k) for k, v in m.items()]).crossJoin(auc)
 
 
+def train_ensemble(train: DataFrame, valid: DataFrame, fit: Callable[[DataFrame], dict]) -> tuple[dict, list[float], float]:
+    """(models, weights, threshold): the models fitted on ``train``; weights and threshold of least cost on
+    ``valid``, which no model has seen."""
+    models = fit(train)
+    best = tune_ensemble(score_models(models, valid)).first()
+    return models, [best[f"w_{m}"] for m in K.MODEL_ORDER], best["threshold"]
+
+
 def score_ensemble(df: DataFrame, weights=None, threshold: float = K.ENSEMBLE_THRESHOLD,
                    label: str = K.TARGET) -> DataFrame:
     """Score with fixed weights and threshold, then evaluate: one row of

@@ -182,6 +182,13 @@ class MarginFeature(Transformer, DefaultParamsReadable, DefaultParamsWritable):
         return df.withColumn("margin", array_to_vector(F.array(m)))
 
 
+def linear_svm(features: str, C: float, n: int, max_iter: int = 50, tol: float = 1e-4,
+               weight_col: str | None = None) -> LinearSVC:
+    est = LinearSVC(featuresCol=features, labelCol=K.TARGET, regParam=1.0 / (C * max(n, 1)), maxIter=max_iter, tol=tol,
+                    standardization=False, rawPredictionCol="svm_raw", predictionCol="svm_pred")
+    return est.setWeightCol(weight_col) if weight_col else est
+
+
 def train_kernel_svm(train: DataFrame, C: float = 1.0, gamma: float = 0.1, n_components: int = 200,
                      kernel: str = "rbf", calib_folds: int = 3, seed: int = 42, kind: str = "svc", max_iter: int = 50,
                      fold_col: str | None = None, tol: float = 1e-4, class_weight=None,
@@ -207,12 +214,9 @@ def train_kernel_svm(train: DataFrame, C: float = 1.0, gamma: float = 0.1, n_com
         stages.append(FourierFeatures.make(n_in, n_components, gamma, seed))
         feat = "rff"
     n = x.count()
-    reg = 1.0 / (C * max(n, 1))
 
     def svm():
-        est = LinearSVC(featuresCol=feat, labelCol=K.TARGET, regParam=reg, maxIter=max_iter, tol=tol,
-                        standardization=False, rawPredictionCol="svm_raw", predictionCol="svm_pred")
-        return est.setWeightCol("weight") if class_weight else est
+        return linear_svm(feat, C, n, max_iter, tol, "weight" if class_weight else None)
 
     pre = PipelineModel(stages=stages) if stages else None
     xf = pre.transform(x) if pre else x
@@ -278,20 +282,32 @@ def _active():
     return SparkSession.getActiveSession()
 
 
-def predict_proba(model: PipelineModel, df: DataFrame, name: str) -> DataFrame:
-    """Model probability of class 1 as a named column, keeping row id and label."""
-    return model.transform(df).select(K.ROW_ID, K.TARGET, F.col("proba").alias(name))
+def _carrying(model: PipelineModel, name: str) -> PipelineModel:
+    """``model`` whose encoding stage lets the column ``name`` through."""
+    stages = []
+    for st in model.stages:
+        if st.hasParam("keepCols"):
+            st = st.copy({st.getParam("keepCols"): [*st.getOrDefault("keepCols"), name]})
+        stages.append(st)
+    return PipelineModel(stages=stages)
 
 
 def score_models(models: dict[str, PipelineModel], df: DataFrame) -> DataFrame:
-    """proba_<name> for each model, joined on the row id.  Each branch reads
-    only the columns its pipeline needs; the join output stays partitioned by
-    row id, so each further model adds one exchange (AQE broadcasts small sides)."""
-    out = None
+    """Row id, label and proba_<name> of each model: the models run one after the other over the same rows.
+
+    The row and the probabilities so far travel in one struct beside the columns
+    that a model reads, so no model's columns meet another's, and there is one
+    scan and no join on the row id (columns that no model reads are pruned)."""
+    cur = df.select("*", F.struct(F.struct("*").alias("row")).alias("_credspark_carry"))
+    carry = ["row"]
     for name, m in models.items():
-        p = predict_proba(m, df, f"proba_{name}")
-        out = p if out is None else out.join(p.drop(K.TARGET), K.ROW_ID)
-    return out
+        p = _carrying(m, "_credspark_carry").transform(cur).select(
+            "_credspark_carry", F.col("proba").alias(f"_credspark_{name}"))
+        kept = [F.col(f"_credspark_carry.{c}").alias(c) for c in carry]
+        carry = [*carry, f"proba_{name}"]
+        cur = p.select("_credspark_carry.row.*",
+                       F.struct(*kept, F.col(f"_credspark_{name}").alias(f"proba_{name}")).alias("_credspark_carry"))
+    return cur.select(K.ROW_ID, K.TARGET, *[F.col(f"_credspark_carry.{c}").alias(c) for c in carry[1:]])
 
 
 def train_all(train: DataFrame, seed: int = 42, forest_trees: int = 100, svm_components: int = 200

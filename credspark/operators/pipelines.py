@@ -22,12 +22,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from credspark import constants as K
-from credspark.operators.encoders import (FeatureEngineerTransformer, StateTable, apply_state, onehot_exprs,
-                                          onehot_levels, onehot_names, unseen_missing)
-from credspark.operators.ranks import row_numbers
-from credspark.session import materialize, written
-
-KINDS = ("woe", "target", "count", "ordinal")
+from credspark.operators.encoders import (KINDS, STATE_SCHEMA, FeatureEngineerTransformer, StateTable, apply_states,
+                                          level_counts, level_stats, onehot_exprs, onehot_levels, onehot_names,
+                                          split_states)
 
 
 class EncodingPlan(Estimator, DefaultParamsReadable, DefaultParamsWritable):
@@ -44,10 +41,7 @@ class EncodingPlan(Estimator, DefaultParamsReadable, DefaultParamsWritable):
 
     def _fit(self, df: DataFrame):
         """Two aggregates whatever the spec: per-(column, level) statistics of every
-        categorical column at once, and one row of totals and scaler moments.
-        The state of every encoder is computed from them as one table (kind,
-        column_name, level, value); only the one-hot levels are collected,
-        because they name the output columns."""
+        categorical column at once, and one row of totals and scaler moments."""
         spec = json.loads(self.getOrDefault("spec"))
         label = self.getOrDefault("labelCol")
         scale = spec.get("scale", [])
@@ -59,56 +53,20 @@ class EncodingPlan(Estimator, DefaultParamsReadable, DefaultParamsWritable):
         fitted: dict = {"prior": p / nn if nn else 0.0}
         if scale:
             fitted["scale"] = {c: [tot[f"m{i}"], tot[f"s{i}"]] for i, c in enumerate(scale)}
-        if spec.get("onehot"):
-            fitted["onehot"] = onehot_levels(df, spec["onehot"])
-        cats = list(dict.fromkeys(c for k in KINDS for c in spec.get(k, [])))
-        rid = F.col(K.ROW_ID) if K.ROW_ID in df.columns else F.lit(0)
-        long = df.select(y.alias("_y"), rid.alias("_rid"), *[F.col(c).cast("string").alias(c) for c in cats])
+        cats = list(dict.fromkeys(c for k in ("onehot", *KINDS) for c in spec.get(k, [])))
+        state = df.sparkSession.createDataFrame([], STATE_SCHEMA)
+        if cats:
+            stats = level_stats(df, cats, label)
+            counts = level_counts(stats)
+            if spec.get("onehot"):
+                fitted["onehot"] = onehot_levels(stats, counts, spec["onehot"])
+            fitted["maps"], state = split_states(spec, stats, counts, nn, p)
         model = EncodingPlanModel(spec=json.dumps(spec), fitted=json.dumps(fitted),
                                   keepCols=self.getOrDefault("keepCols"), assemble=self.getOrDefault("assemble"))
-        if cats:
-            g = long.unpivot(["_y", "_rid"], cats, "column_name", "level").filter(F.col("level").isNotNull()) \
-                .groupBy("column_name", "level").agg(F.count(F.lit(1)).alias("n"), F.sum("_y").alias("pos"),
-                                                     F.min("_rid").alias("first"))
-            model.state = written(states_from_stats(spec, materialize(g), nn, p), "encoders")
-        else:
-            model.state = df.sparkSession.createDataFrame([], STATE_SCHEMA)
+        model.state = state
         return model
 
 
-STATE_SCHEMA = "kind string, column_name string, level string, value double"
-
-
-def states_from_stats(spec: dict, stats: DataFrame, nn: int, p: float, regularization: float = 1.0,
-                      min_samples_leaf: int = 20) -> DataFrame:
-    """(kind, column_name, level, value) of every encoder of ``spec`` from per-level statistics
-    (column_name, level, n, pos, first)."""
-    a, s = regularization, float(spec.get("target_smoothing", 1.0))
-    prior = p / nn if nn else 0.0
-    n, pos = F.col("n").cast("double"), F.col("pos")
-    w = F.lit(1.0) / (F.lit(1.0) + F.exp(-(n - float(min_samples_leaf)) / s))
-    values = {
-        "woe": F.when(n == 1, F.lit(0.0)).otherwise(
-            F.ln(((pos + a) / (p + 2 * a)) / ((n - pos + a) / (nn - p + 2 * a)))),
-        "target": F.lit(prior) * (1 - w) + (pos / n) * w,
-        "count": n / float(max(nn, 1)),
-    }
-    out = None
-    for kind in KINDS:
-        if not spec.get(kind):
-            continue
-        mine = stats.filter(F.col("column_name").isin(spec[kind]))
-        if kind == "ordinal":
-            part = row_numbers(mine.select("column_name", "level", "first"), "first", ["column_name"],
-                               tie_cols=["level"], name="value")
-            part = part.select("column_name", "level", F.col("value").cast("double").alias("value"))
-        else:
-            part = mine.select("column_name", "level", values[kind].alias("value"))
-        part = part.select(F.lit(kind).alias("kind"), "column_name", "level", "value")
-        out = part if out is None else out.unionByName(part)
-    return out
-
-
 class EncodingPlanModel(StateTable, Model, MLReadable, MLWritable):
     spec = Param(Params._dummy(), "spec", "encoder spec (JSON)", TypeConverters.toString)
     fitted = Param(Params._dummy(), "fitted", "fitted states (JSON)", TypeConverters.toString)
@@ -129,11 +87,7 @@ class EncodingPlanModel(StateTable, Model, MLReadable, MLWritable):
 
     def _transform(self, df: DataFrame) -> DataFrame:
         spec, fitted = json.loads(self.getOrDefault("spec")), json.loads(self.getOrDefault("fitted"))
-        out = df
-        for kind in KINDS:
-            if spec.get(kind):
-                out = apply_state(out, self.state.filter(F.col("kind") == kind), spec[kind],
-                                  *unseen_missing(kind, fitted["prior"]))
+        out = apply_states(df, fitted.get("maps", {}), self.state, spec, fitted["prior"])
         sel = []
         scale = fitted.get("scale", {})
         keep = [c for c in self.getOrDefault("keepCols") if c in df.columns]

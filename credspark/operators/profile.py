@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from credspark import constants as K
+from credspark.functions.distributions import with_normal_quantile
 from credspark.operators.ranks import row_numbers, running_totals
 from credspark.session import materialize
 
@@ -349,17 +350,12 @@ def quick_profile(df: DataFrame, columns: list[str] | None = None, max_levels: i
     return out
 
 
-def cast_bigint(c: Column) -> Column:
-    return c.cast("bigint")
-
-
 def qq_points(df: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
     """Normal probability plot data: ordered values against normal quantiles
     of Filliben's order-statistic medians, and the least-squares line.
 
-    The order comes from distributed row numbers; quantiles are a vectorized
-    pandas UDF; the fit is three aggregates (slope, intercept, r)."""
-    from credspark.functions.distributions import norm_ppf_udf
+    The order comes from distributed row numbers; quantiles are plain column
+    arithmetic; the fit is three aggregates (slope, intercept, r)."""
     x = df.select(F.col(column).cast("double").alias("value")).dropna()
     n = x.count()
     rn = row_numbers(x, "value", name="i")
@@ -367,7 +363,8 @@ def qq_points(df: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
     last = 0.5 ** (1.0 / n) if n else 0.0
     m = F.when(F.col("i") == n, F.lit(last)).when(F.col("i") == 1, F.lit(1.0 - last)) \
         .otherwise((i - 0.3175) / (n + 0.365))
-    pts = rn.select("i", F.col("value").alias("ordered_value"), norm_ppf_udf(m).alias("theoretical_quantile"))
+    pts = with_normal_quantile(rn, m, "theoretical_quantile").select(
+        "i", F.col("value").alias("ordered_value"), "theoretical_quantile")
     fit = pts.agg(F.regr_slope("ordered_value", "theoretical_quantile").alias("slope"),
                   F.regr_intercept("ordered_value", "theoretical_quantile").alias("intercept"),
                   F.corr("ordered_value", "theoretical_quantile").alias("r"), F.count(F.lit(1)).alias("n"))

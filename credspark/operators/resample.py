@@ -4,11 +4,10 @@ Input: rows with ``row_id``, ``class`` and an encoded ``features`` vector
 (categories must be encoded first, as the pipelines do).  Output: the input
 rows plus synthetic minority rows (``synthetic`` = 1, negative row ids).
 
-Neighbour search is exact: queries and reference rows (the minority, or all
-rows for SVM-SMOTE's danger test) are dealt into blocks, every pair of
-blocks is compared in one task with vectorized numpy, and only the k best
-per query leave it.  Nothing passes through the driver and no pair is
-written out, at any size.
+Neighbour search is exact: reference rows (the minority, or all rows for
+SVM-SMOTE's danger test) are dealt to pivots, and a query is compared, with
+vectorized numpy, only with the cells that the triangle inequality leaves.
+Only the k best per query leave a task; no pair is written out.
 
 Synthesis is seeded and distributed: synthetic row s picks its base row by
 position (distributed row numbers) from a seeded hash of s, one of the
@@ -20,48 +19,125 @@ Nguyen, Cooper & Kamei 2009 for the SVM variant).
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.ml.classification import LinearSVC
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from credspark import constants as K
 from credspark.functions.hashing import md5_bucket
 from credspark.operators.ranks import row_numbers
-from credspark.session import materialize
+from credspark.session import materialize, written
 
-BLOCK_ROWS = 5000
+#: Distinct reference vectors of one block of a cell, and pivots at most (their vectors reach the driver).
+BLOCK_ROWS, PIVOTS = 5000, 256
+#: Slack on distances, so that rounding never prunes a neighbour.
+SLACK = 1e-9
 U_MOD = 2147483647
+NEAR = "array<struct<d:double,id:long,label:int>>"
 
 
 def _as_array(df: DataFrame, features: str = "features") -> DataFrame:
     return df.select(K.ROW_ID, K.TARGET, vector_to_array(F.col(features)).alias("x"))
 
 
-def _nearest(q: pd.DataFrame, ref: pd.DataFrame, k: int, exclude_self: bool) -> pd.DataFrame:
-    """The k nearest rows of one reference block for every query of one block, by (distance, id)."""
-    if not len(q) or not len(ref):
-        return pd.DataFrame({K.ROW_ID: [], "near": []})
-    m, ids, labels = np.stack(ref["rx"].to_numpy()), ref["rid"].to_numpy(), ref["label"].to_numpy()
-    x, qid = np.stack(q["qx"].to_numpy()), q["qid"].to_numpy()
+def _nearest(q: pd.DataFrame, ref: pd.DataFrame, k: int) -> pd.DataFrame:
+    """The k nearest (by distance, then id) among the ids of one block of reference vectors, for every query vector."""
+    if not len(q):
+        return pd.DataFrame({"qkey": [], "near": []})
+    if not len(ref):
+        return pd.DataFrame({"qkey": q["qkey"], "near": [[] for _ in range(len(q))]})
+    m, x = np.stack(ref["rx"].to_numpy()), np.stack(q["qx"].to_numpy())
+    ids = [[(int(i["id"]), int(i["label"])) for i in row] for row in ref["ids"]]
     out, kk = [], min(k, len(ids))
     for lo in range(0, len(x), 256):
-        part, own = x[lo:lo + 256], qid[lo:lo + 256]
+        part = x[lo:lo + 256]
         dist = np.zeros((len(part), len(ids)))
         for j in range(m.shape[1]):     # sums of squared differences: equal rows are at distance 0 exactly
             diff = part[:, j, None] - m[None, :, j]
             dist += diff * diff
-        if exclude_self:
-            dist[own[:, None] == ids[None, :]] = np.inf
         kth = np.partition(dist, kk - 1, axis=1)[:, kk - 1]
-        for r in range(len(part)):
-            near = np.flatnonzero((dist[r] <= kth[r]) & np.isfinite(dist[r]))
-            near = near[np.lexsort((ids[near], dist[r, near]))][:kk]
-            out.append([(float(dist[r, i]), int(ids[i]), int(labels[i])) for i in near])
-    return pd.DataFrame({K.ROW_ID: qid, "near": out})
+        for r in range(len(part)):      # each vector has an id at least: the nearest kk vectors and their ties suffice
+            near = [(float(dist[r, i]), *one) for i in np.flatnonzero(dist[r] <= kth[r]) for one in ids[i]]
+            out.append(sorted(near)[:k])
+    return pd.DataFrame({"qkey": q["qkey"], "near": out})
+
+
+def distinct_vectors(df: DataFrame, keep: int) -> DataFrame:
+    """(g, rx, ids): the distinct vectors of each group with their ``keep`` smallest ids, which are all that any
+    query's nearest rows can take from equal vectors.  Tasks cut their own rows first, so a vector held by a third
+    of the rows arrives as a few ids from each."""
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows: dict = {}
+            for g, x, i, label in zip(b["g"], b["rx"], b["id"], b["label"]):
+                rows.setdefault((g, x.tobytes()), (x, []))[1].append((i, label))
+            yield pd.DataFrame([(key[0], x, [{"id": i, "label": y} for i, y in sorted(ids)[:keep]])
+                                for key, (x, ids) in rows.items()], columns=["g", "rx", "ids"])
+
+    one = "array<struct<id:long,label:int>>"
+    mine = df.mapInPandas(cut, f"g string, rx array<double>, ids {one}")
+    return mine.groupBy("g", "rx").agg(F.slice(F.sort_array(F.flatten(F.collect_list("ids"))), 1, keep).alias("ids"))
+
+
+def _to_pivots(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    """Distance of every row to every pivot."""
+    out = np.zeros((len(x), len(pivots)))
+    for j in range(x.shape[1]):
+        diff = x[:, j, None] - pivots[None, :, j]
+        out += diff * diff
+    return np.sqrt(out)
+
+
+def _with_cells(refs: DataFrame, pivots: np.ndarray) -> DataFrame:
+    """``refs`` with the nearest pivot (``cell``) and the distance to it (``away``)."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            if len(b):
+                far = _to_pivots(np.stack(b["rx"].to_numpy()), pivots)
+                yield b.assign(cell=far.argmin(axis=1), away=far.min(axis=1))
+
+    return refs.mapInPandas(run, "g string, rx array<double>, ids array<struct<id:long,label:int>>, cell int, away double")
+
+
+def _visits(queries: DataFrame, pivots: np.ndarray, k: int) -> DataFrame:
+    """For every query vector the cells that may hold one of its k nearest rows: (qkey, g, qx, bound, home, cell,
+    least, blocks).  ``bound``: k rows are surely within it; ``least``: no row of the cell is nearer."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = []
+            if len(b):
+                far = _to_pivots(np.stack(b["qx"].to_numpy()), pivots)
+            for row, (key, g, x, cells) in enumerate(zip(b["qkey"], b["g"], b["qx"], b["cells"])):
+                at = np.array([c["cell"] for c in cells])
+                n, low, high = (np.array([c[f] for c in cells], float) for f in ("n", "low", "high"))
+                d = far[row, at]
+                order = np.argsort(d + high, kind="stable")
+                enough = np.searchsorted(np.cumsum(n[order]), k)
+                bound = (d + high)[order[enough]] if enough < len(order) else np.inf
+                least = np.maximum(0.0, np.maximum(d - high, low - d))
+                home = at[np.lexsort((d, least))[0]]
+                for i in np.flatnonzero(least * (1 - SLACK) <= bound * (1 + SLACK)):
+                    out.append((key, g, x, bound, home == at[i], at[i], least[i], cells[i]["blocks"]))
+            yield pd.DataFrame(out, columns=["qkey", "g", "qx", "bound", "home", "cell", "least", "blocks"])
+
+    return queries.mapInPandas(run, "qkey long, g string, qx array<double>, bound double, home boolean, cell int, "
+                                    "least double, blocks int")
+
+
+def _compare(queries: DataFrame, refs: DataFrame, k: int) -> DataFrame:
+    """(qkey, near): the k nearest of every visited block."""
+    keys = ["g", "cell", "block"]
+    return queries.groupBy(*keys).cogroup(refs.groupBy(*keys)).applyInPandas(
+        lambda a, b: _nearest(a, b, k), f"qkey long, near {NEAR}")
+
+
+def _block(n: Column, key: str) -> Column:
+    return F.pmod(F.xxhash64(key), n.cast("long")).cast("int")
 
 
 def knn(query: DataFrame, ref: DataFrame, k: int, exclude_self: bool = True,
@@ -70,30 +146,50 @@ def knn(query: DataFrame, ref: DataFrame, k: int, exclude_self: bool = True,
     reference rows (Euclidean), exact, ties broken by the smaller id; with
     ``group_col`` only reference rows of the query's own group count.
 
-    Both sides are dealt into blocks of about BLOCK_ROWS rows by a hash of the
-    id, and each pair of blocks is one task that returns k rows per query.
-    That is exact at every size and holds two blocks in memory at most; the
-    work grows with queries x references, as any exact search does here."""
+    Equal vectors are searched for once.  Reference vectors are dealt to the nearest
+    of at most PIVOTS pivots (a hash sample); cells are kept in blocks of about
+    BLOCK_ROWS.  A query first meets one block of its nearest cell, which bounds the
+    distance of its k-th neighbour; then it is copied only to the cells that, by the
+    triangle inequality, can hold a nearer row.  Nothing is approximate: data without
+    any structure only makes the second step visit more cells."""
     g = F.col(group_col).cast("string") if group_col else F.lit("")
+    kk = k + 1 if exclude_self else k       # a row may find itself
     # columns get new names: query and reference are often the same DataFrame
-    q = query.select(F.col(K.ROW_ID).alias("qid"), F.col("x").alias("qx"), g.alias("_g"))
-    r = ref.select(F.col(K.ROW_ID).alias("rid"), F.col("x").alias("rx"),
-                   F.col(K.TARGET).cast("int").alias("label"), g.alias("_g"))
-    n_q, n_r = (max(1, math.ceil(side.count() / BLOCK_ROWS)) for side in (q, r))
-    block = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    q = q.withColumn("_q", block("qid", n_q)).withColumn("_r", every(n_r))
-    r = r.withColumn("_r", block("rid", n_r)).withColumn("_q", every(n_q))
-    keys = ["_g", "_q", "_r"]
-    near = q.groupBy(*keys).cogroup(r.groupBy(*keys)).applyInPandas(
-        lambda a, b: _nearest(a, b, k, exclude_self),
-        f"{K.ROW_ID} long, near array<struct<d:double,id:long,label:int>>")
-    best = F.slice(F.sort_array(F.flatten(F.collect_list("near"))), 1, k)
-    near = near.groupBy(K.ROW_ID).agg(best.alias("near"))
-    empty = query.select(K.ROW_ID).join(near, K.ROW_ID, "left")
-    none = F.array().cast("array<struct<d:double,id:long,label:int>>")
-    empty = empty.select(K.ROW_ID, F.coalesce("near", none).alias("near"))
-    return empty.select(K.ROW_ID, F.col("near.id").alias("nbr_ids"), F.col("near.label").alias("nbr_labels"))
+    asked = query.select(F.col(K.ROW_ID).alias("qid"), F.col("x").alias("qx"), F.coalesce(g, F.lit("")).alias("g"))
+    given = ref.select(F.coalesce(g, F.lit("")).alias("g"), F.col("x").alias("rx"), F.col(K.ROW_ID).alias("id"),
+                       F.col(K.TARGET).cast("int").alias("label"))
+    refs = written(distinct_vectors(given, kk), "vectors")
+    n = refs.count()
+    pivots = [r["rx"] for r in refs.orderBy(F.xxhash64("rx"), "g").limit(min(PIVOTS, math.isqrt(n) + 1))
+              .select("rx").collect()]
+    none = F.array().cast(NEAR)
+    if not pivots:
+        return query.select(K.ROW_ID, F.array().cast("array<long>").alias("nbr_ids"),
+                            F.array().cast("array<int>").alias("nbr_labels"))
+    pivots = np.array(pivots)
+    refs = written(_with_cells(refs, pivots), "cells")
+    cells = refs.groupBy("g", "cell").agg(F.count(F.lit(1)).alias("n"), F.min("away").alias("low"),
+                                          F.max("away").alias("high"))
+    cells = cells.withColumn("blocks", F.ceil(F.col("n") / BLOCK_ROWS).cast("int"))
+    # at most PIVOTS entries for each group
+    by_group = cells.groupBy("g").agg(F.collect_list(F.struct("cell", "n", "low", "high", "blocks")).alias("cells"))
+    refs = refs.join(cells.select("g", "cell", "blocks"), ["g", "cell"]).select(
+        "g", "cell", _block(F.col("blocks"), "rx").alias("block"), "rx", "ids")
+    vectors = written(asked.select("g", "qx").distinct().withColumn("qkey", F.monotonically_increasing_id()), "queries")
+    visits = written(_visits(vectors.join(by_group, "g"), pivots, kk), "visits")
+    at_home = visits.filter("home").withColumn("block", _block(F.col("blocks"), "qx"))
+    first = written(_compare(at_home.select("qkey", "g", "qx", "cell", "block"), refs, kk), "near")
+    reach = first.select("qkey", F.when(F.size("near") >= kk, F.sqrt(F.element_at("near", kk)["d"])).alias("reach"))
+    rest = visits.join(reach, "qkey").withColumn("reach", F.least("bound", F.coalesce("reach", "bound")))
+    rest = rest.filter(F.col("least") * (1 - SLACK) <= F.col("reach") * (1 + SLACK))
+    rest = rest.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rest = rest.filter(~(F.col("home") & (F.col("block") == _block(F.col("blocks"), "qx"))))
+    found = first.unionByName(_compare(rest.select("qkey", "g", "qx", "cell", "block"), refs, kk))
+    best = found.groupBy("qkey").agg(F.slice(F.sort_array(F.flatten(F.collect_list("near"))), 1, kk).alias("near"))
+    out = asked.join(vectors.join(best, "qkey").drop("qkey"), ["g", "qx"], "left")
+    mine = F.filter("near", lambda v: v["id"] != F.col("qid")) if exclude_self else F.col("near")
+    out = out.select(F.col("qid").alias(K.ROW_ID), F.coalesce(F.slice(mine, 1, k), none).alias("near"))
+    return out.select(K.ROW_ID, F.col("near.id").alias("nbr_ids"), F.col("near.label").alias("nbr_labels"))
 
 
 def _minority(df: DataFrame) -> tuple[int, int, int, int]:

@@ -9,13 +9,18 @@ row id), as the source's ``unique()`` order.
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from credspark import constants as K
-from credspark.functions.distributions import (norm_ppf_udf, p_chi2, p_f, p_norm_two_sided, p_norm_upper,
-                                               p_t_two_sided)
+from credspark.functions.distributions import (p_chi2, p_f, p_norm_two_sided, p_norm_upper, p_t_two_sided,
+                                               with_normal_quantile)
+from credspark.operators.batch_fits import summed
 from credspark.operators.profile import long_numeric, quantiles_from_counts
 from credspark.operators.ranks import running_totals
 from credspark.session import materialize
@@ -144,6 +149,69 @@ def _poly(c: list[float], x: Column) -> Column:
     return out
 
 
+#: Positions at either end whose scores are summed one by one; between them a formula holds to 1e-12.
+END_POSITIONS = 64
+
+
+def _density(z: Column) -> Column:
+    return F.exp(-z * z / 2) / math.sqrt(2 * math.pi)
+
+
+def end_scores(groups: DataFrame, keys: list[str]) -> DataFrame:
+    """``groups`` (one row each, with its n) with ``ends``, the expected normal scores m_i of its first END_POSITIONS
+    (or half its) positions, and ``summ2``, the sum of m_i^2 over all positions.
+
+    m_i = quantile((i - 0.375) / (n + 0.25)) and m_(n + 1 - i) = -m_i.  Between the ends the sum is the
+    Euler-Maclaurin midpoint formula on the integral of z^2, which is P - z f(z) with f the density."""
+    half = F.least(F.lit(END_POSITIONS).cast("long"), F.floor((F.col("n") + 1) / 2))
+    n = F.col("n") + 0.25
+    each = groups.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("long"), half)))     # 64 rows each at most
+    each = with_normal_quantile(each, (F.col("_i") - 0.375) / n, "_m")
+    ends = each.groupBy(*keys, "n", "mean").agg(F.transform(
+        F.array_sort(F.collect_list(F.struct("_i", "_m"))), lambda v: v["_m"]).alias("ends"))
+    k = F.size("ends")
+    ends = ends.withColumn("_k", k)
+    # the border between ends and middle, in the lower tail; the upper one is its mirror image
+    ends = with_normal_quantile(ends, (F.col("_k") + 0.5 - 0.375) / (F.col("n") + 0.25), "_z")
+    z, n = F.col("_z"), F.col("n") + 0.25
+    f = _density(z)
+    inside = n * ((F.lit(1.0) - 2 * (F.col("_k") + 0.5 - 0.375) / n) + 2 * z * f)
+    slope = 2 * z / (n * f)
+    third = 2 * z * (4 + 2 * z * z) / F.pow(n * f, 3)
+    middle = inside + 2 * slope / 24 - 2 * 7 / 5760 * third
+    squares = F.aggregate("ends", F.lit(0.0), lambda a, m: a + m * m)
+    # of an odd number of positions that all lie in the ends, the middle one (score 0) is counted twice: no harm
+    total = 2 * squares + F.when(F.col("n") > 2 * F.col("_k"), middle).otherwise(0.0)
+    return ends.withColumn("summ2", total).drop("_k", "_z")
+
+
+def score_sums(runs: DataFrame) -> DataFrame:
+    """``runs`` (lo, hi, n, ends) with ``scores``: the sum of m_i for i = lo .. hi, 0 where hi < lo."""
+    k, n = F.size("ends"), F.col("n")
+    lo, hi = F.col("lo"), F.col("hi")
+    head = F.aggregate(F.slice("ends", F.least(lo, k + 1).cast("int"),
+                               F.greatest(F.least(hi, k) - F.least(lo, k + 1) + 1, F.lit(0)).cast("int")),
+                       F.lit(0.0), lambda a, m: a + m)
+    upper = F.greatest(n - k, k)      # positions beyond it mirror the first n - upper
+    from_end, to_end = n + 1 - hi, F.least(n + 1 - lo, n - upper)
+    tail = -F.aggregate(F.slice("ends", F.least(F.greatest(from_end, F.lit(1)), k + 1).cast("int"),
+                                F.greatest(to_end - F.greatest(from_end, F.lit(1)) + 1, F.lit(0)).cast("int")),
+                        F.lit(0.0), lambda a, m: a + m)
+    a, b = F.greatest(lo, k + 1), F.least(hi, n - k)
+    wide = n + 0.25
+    runs = runs.withColumn("_head", head).withColumn("_tail", tail).withColumn("_a", a).withColumn("_b", b)
+    some = F.col("_b") >= F.col("_a")
+    runs = with_normal_quantile(runs, F.when(some, (F.col("_a") - 0.5 - 0.375) / wide), "_z1")
+    runs = with_normal_quantile(runs, F.when(some, (F.col("_b") + 0.5 - 0.375) / wide), "_z2")
+    f1, f2 = _density(F.col("_z1")), _density(F.col("_z2"))
+    third = lambda z, f: (1 + 2 * z * z) / F.pow(wide * f, 3)
+    middle = wide * (f1 - f2) - (1 / (wide * f2) - 1 / (wide * f1)) / 24 \
+        + F.lit(7 / 5760) * (third(F.col("_z2"), f2) - third(F.col("_z1"), f1))
+    total = F.col("_head") + F.col("_tail") + F.coalesce(middle, F.lit(0.0))
+    return runs.withColumn("scores", F.when(hi >= lo, total).otherwise(0.0)).drop("_head", "_tail", "_a", "_b", "_z1",
+                                                                                 "_z2")
+
+
 def normality_shapiro(df: DataFrame, columns: list[str], min_n: int = 8, group: str | None = None,
                       with_p: bool = True) -> DataFrame:
     """Shapiro-Wilk W (Royston 1995 approximation of the coefficients and of
@@ -151,34 +219,28 @@ def normality_shapiro(df: DataFrame, columns: list[str], min_n: int = 8, group:
 
     The approximation of p was fitted for n up to 5,000; larger samples have
     their row as any other, and ``p_extrapolated`` says so.  Order statistics come
-    from distinct values: value counts are numbered by distributed running
-    totals, and a value held by rows i..j stands for that many expected
-    scores (their sum by a vectorized quantile of each, in pieces of at most
-    1,000), so a value shared by a third of the rows is no hot key."""
+    from distinct values: value counts are numbered by distributed running totals,
+    and the expected scores of the positions that a value takes are summed in
+    closed form (``score_sums``), so no count is expanded to rows and a value
+    shared by a third of them is one row."""
     gcols = ["variable"] + (["grp"] if group else [])
     long = df.select(*([F.col(group).alias("grp")] if group else []), *[F.col(c).cast("double").alias(c) for c in columns]) \
         .unpivot(["grp"] if group else [], columns, "variable", "value").filter(F.col("value").isNotNull())
     vc = materialize(long.groupBy(*gcols, "value").agg(F.count(F.lit(1)).alias("c")))
     cnt = vc.groupBy(*gcols).agg(F.sum("c").alias("n"), (F.sum(F.col("value") * F.col("c")) / F.sum("c")).alias("mean"))
-    cnt = cnt.filter(F.col("n") >= min_n)
-    cum = running_totals(vc, "value", ["c"], gcols).join(cnt, gcols)
-    # a value's positions are last-c+1 .. last: pieces of 1,000, then one row each
-    first = F.col("c_cum") - F.col("c") + 1
-    pieces = cum.select(*gcols, "n", "mean", "value", F.col("c_cum").alias("last"),
-                        F.explode(F.sequence(first, F.col("c_cum"), F.lit(1000))).alias("lo"))
-    rn = pieces.select(*gcols, "n", "mean", "value", F.explode(F.sequence(
-        F.col("lo"), F.least(F.col("lo") + 999, F.col("last")))).alias("i"))
+    # one row for each variable and group, with the scores of its outermost positions
+    ends = materialize(end_scores(cnt.filter(F.col("n") >= min_n), gcols))
+    cum = running_totals(vc, "value", ["c"], gcols).join(ends, gcols)
+    first, last, nn = F.col("c_cum") - F.col("c") + 1, F.col("c_cum"), F.col("n")
+    inner = cum.withColumn("lo", F.greatest(first, F.lit(3))).withColumn("hi", F.least(last, nn - 2))
+    scored = score_sums(inner.withColumn("first", first))
+    at = lambda place: F.max(F.when((F.col("first") <= place) & (F.col("c_cum") >= place), F.col("value")))
+    away = F.col("value") - F.col("mean")
+    g = scored.groupBy(*gcols, "n").agg(
+        F.sum(F.col("value") * F.col("scores")).alias("s_int"), F.sum(F.col("c") * away * away).alias("ssq"),
+        at(F.lit(1)).alias("x1"), at(F.lit(2)).alias("x2"), at(nn - 1).alias("xn1"), at(nn).alias("xn"),
+        F.first("summ2").alias("summ2"), F.first(-F.col("ends")[0]).alias("mn"), F.first(-F.col("ends")[1]).alias("mn1"))
     n = F.col("n").cast("double")
-    m = norm_ppf_udf((F.col("i") - 0.375) / (n + 0.25))
-    rows = rn.select(*gcols, "n", "mean", "i", "value", m.alias("m"))
-    i, nn = F.col("i"), F.col("n")
-    g = rows.groupBy(*gcols, "n").agg(
-        F.sum(F.col("m") * F.col("m")).alias("summ2"),
-        F.sum(F.when((i > 2) & (i < nn - 1), F.col("m") * F.col("value")).otherwise(0.0)).alias("s_int"),
-        F.sum((F.col("value") - F.col("mean")) * (F.col("value") - F.col("mean"))).alias("ssq"),
-        F.max(F.when(i == 1, F.col("value"))).alias("x1"), F.max(F.when(i == 2, F.col("value"))).alias("x2"),
-        F.max(F.when(i == nn - 1, F.col("value"))).alias("xn1"), F.max(F.when(i == nn, F.col("value"))).alias("xn"),
-        F.max(F.when(i == nn, F.col("m"))).alias("mn"), F.max(F.when(i == nn - 1, F.col("m"))).alias("mn1"))
     rsn = F.lit(1.0) / F.sqrt(n)
     ss = F.sqrt(F.col("summ2"))
     a1 = _poly(_SW_C1, rsn) + F.col("mn") / ss
@@ -493,34 +555,72 @@ def feature_target_association(df: DataFrame, numeric: list[str], categorical: l
     return out.orderBy(F.desc("abs_correlation"), "feature")
 
 
+#: Columns whose products with all others one pass adds up; wider tables take several passes.
+PRODUCT_ROWS = 512
+
+
+def _products(df: DataFrame, columns: list[str], shift: list[float], left: list[str], right: list[str],
+              complete: bool = False) -> dict[str, np.ndarray]:
+    """Sums over rows of products of column pairs, as d x d arrays: ``left`` and ``right`` name what each side of a
+    product is, of v (the value less ``shift``), s (its square) and m (1 where it is there, v and s being 0 where not).
+    Each task multiplies its rows as matrices and sends one partial sum; the plan does not grow with the pairs."""
+    d, kinds = len(columns), sorted({*left, *right})
+    base = np.array(shift)
+    x = df.select(F.array(*[F.col(c).cast("double") for c in columns]).alias("x"))
+
+    def over(first: int, last: int):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = np.zeros((len(left), last - first, d))
+            for b in batches:
+                v = b.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, d) - base
+                there = ~np.isnan(v)
+                if complete:
+                    v, there = v[there.all(axis=1)], there[there.all(axis=1)]
+                v = np.where(there, v, 0.0)
+                of = {"v": v, "m": there.astype(float)}
+                if "s" in kinds:
+                    of["s"] = v * v
+                for k, (p, q) in enumerate(zip(left, right)):
+                    total[k] += of[p][:, first:last].T @ of[q]
+            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["sums"])
+
+        return summed(x.mapInArrow(run, "sums binary"), len(left) * (last - first) * d).reshape(len(left), -1, d)
+
+    blocks = [over(k, min(k + PRODUCT_ROWS, d)) for k in range(0, d, PRODUCT_ROWS)]
+    return dict(zip(map("".join, zip(left, right)), np.concatenate(blocks, axis=1)))
+
+
+def _column_moments(df: DataFrame, columns: list[str]) -> tuple[list[float], list[float]]:
+    """Mean and sample deviation of every column (0 where undefined): one row."""
+    row = df.agg(*[F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(columns)],
+                 *[F.stddev_samp(F.col(c).cast("double")).alias(f"s{i}") for i, c in enumerate(columns)]).first()
+    return ([row[f"m{i}"] or 0.0 for i in range(len(columns))], [row[f"s{i}"] or 0.0 for i in range(len(columns))])
+
+
 def correlated_pairs(df: DataFrame, columns: list[str], threshold: float = 0.7) -> DataFrame:
-    """All pairwise Pearson r in one aggregate (pairwise-complete rows);
-    pairs with |r| >= threshold, strongest first."""
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1:]]
-    row = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"_c{i}")
-                   for i, (a, b) in enumerate(pairs)])
-    stack = ", ".join(f"'{a}', '{b}', `_c{i}`" for i, (a, b) in enumerate(pairs))
-    long = row.selectExpr(f"stack({len(pairs)}, {stack}) as (feature_1, feature_2, correlation)")
-    return long.filter(F.abs("correlation") >= threshold).orderBy(F.desc(F.abs("correlation")), "feature_1",
-                                                                   "feature_2")
+    """Pearson r of all pairs over their complete rows, from one pass of matrix
+    products (after the means); pairs with |r| >= threshold, strongest first."""
+    mean, _ = _column_moments(df, columns)
+    g = _products(df, columns, mean, ["m", "v", "s", "v"], ["m", "m", "m", "v"])
+    n, sx, sxx, sxy = g["mm"], g["vm"], g["sm"], g["vv"]     # of the pair's complete rows
+    with np.errstate(invalid="ignore", divide="ignore"):
+        var = sxx - sx * sx / n
+        r = (sxy - sx * sx.T / n) / np.sqrt(var * var.T)
+    flat = (var <= 1e-12 * sxx) | (var <= 1e-12 * sxx).T     # constant in those rows but for rounding
+    hit = np.argwhere(np.triu((np.abs(r) >= threshold) & ~flat, 1))
+    rows = [(columns[i], columns[j], float(np.clip(r[i, j], -1, 1))) for i, j in hit]
+    out = df.sparkSession.createDataFrame(rows, "feature_1 string, feature_2 string, correlation double")
+    return out.orderBy(F.desc(F.abs("correlation")), "feature_1", "feature_2")
 
 
 def gram(df: DataFrame, columns: list[str]) -> tuple[np.ndarray, list[str]]:
     """Uncentred Gramian X'X of the complete rows, in one pass; columns with
     zero variance dropped.  Returns a d x d array (bounded by the schema)."""
     x = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).dropna()
-    aggs = [F.stddev_samp(c).alias(f"_sd{i}") for i, c in enumerate(columns)]
-    aggs += [F.sum(F.col(a) * F.col(b)).alias(f"_g{i}_{j}") for i, a in enumerate(columns)
-             for j, b in enumerate(columns) if j >= i]
-    row = x.agg(*aggs).first()
-    keep = [i for i, _ in enumerate(columns) if (row[f"_sd{i}"] or 0) > 0]
-    d = len(keep)
-    g = np.zeros((d, d))
-    for p, i in enumerate(keep):
-        for q, j in enumerate(keep):
-            a, b = min(i, j), max(i, j)
-            g[p, q] = row[f"_g{a}_{b}"]
-    return g, [columns[i] for i in keep]
+    _, sd = _column_moments(x, columns)
+    g = _products(x, columns, [0.0] * len(columns), ["v"], ["v"], complete=True)["vv"]
+    keep = [i for i, s in enumerate(sd) if s > 0]
+    return g[np.ix_(keep, keep)], [columns[i] for i in keep]
 
 
 def vif(df: DataFrame, columns: list[str], threshold: float = 5.0) -> DataFrame:
@@ -556,9 +656,3 @@ def suggest_drops(df: DataFrame, columns: list[str], corr_threshold: float = 0.7
         .select("feature", F.lit("vif").alias("reason"))
     both = by_corr.unionByName(by_vif)
     return both.groupBy("feature").agg(F.array_sort(F.collect_set("reason")).alias("reasons"))
-
-
-def normal_quantile(p: Column) -> Column:
-    return norm_ppf_udf(p)
-
-

@@ -1,9 +1,9 @@
 """Search, threshold tuning, learning curves, importances, stability.
 
-Fits are Spark ML jobs; the driver only submits them (``CrossValidator``
-runs ``parallelism`` of them at once) and keeps per-trial numbers.  All
-scoring is DataFrame work: out-of-fold predictions are unions of fold
-transforms, AUCs come from the distributed ranks of ``evaluate``.
+Fits are Spark jobs; the driver only submits them, a few at once, and keeps
+per-trial numbers.  All scoring is DataFrame work: scored rows are written by
+each fit and AUCs come from one grouped pass of the distributed ranks of
+``evaluate``.
 """
 
 from __future__ import annotations
@@ -14,20 +14,21 @@ from typing import Callable
 
 import numpy as np
 from pyspark.ml import Pipeline
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.tuning import CrossValidator
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from credspark import constants as K
 from credspark.functions.hashing import md5_bucket
 from credspark.operators.evaluate import evaluate_model, roc_auc
-from credspark.operators.models import ProbaColumn, forest, logistic
+from credspark.operators.batch_fits import logistic_many, margins, side_by_side
+from credspark.operators.models import (FourierFeatures, forest, linear_svm, train_forest, train_kernel_svm,
+                                        train_logistic)
 from credspark.operators.pipelines import build_pipeline
 from credspark.operators.profile import seed_summary
 from credspark.operators.ranks import count_below, row_numbers
-from credspark.operators.splits import class_weights, kfold_assign
-from credspark.session import materialize
+from credspark.operators.splits import kfold_assign
+from credspark.session import materialize, written
 
 FitFn = Callable[[DataFrame], object]  # train DataFrame -> fitted model with .transform giving ``proba``
 
@@ -58,90 +59,152 @@ def sample_space(space: dict, n_trials: int, seed: int) -> list[dict]:
 
 
 
-SVC_SPACE = {"C": ("log-uniform", 0.1, 50.0), "gamma": ("log-uniform", 1e-3, 1.0), "kernel": ("cat", ["rbf", "linear"]),
-             "tol": ("log-uniform", 1e-5, 1e-3), "class_weight": ("cat", ["balanced", None])}
-SPACES = {"lrc": K.LRC_SPACE, "rfc": K.RFC_SPACE, "svc": SVC_SPACE}
-
-
-def _search_by_folds(train: DataFrame, model: str, draws: list[dict], folds: int, seed: int, resample):
-    """Scores of the draws by out-of-fold AUC, and the best one fitted on all rows:
-    for models whose features depend on the draw, or with a resampler, which
-    sees the other folds' rows only."""
-    from credspark.operators.models import train_kernel_svm, train_logistic
-
-    def fit(p: dict) -> FitFn:
-        weight = None if resample else p.get("class_weight")
-        if model == "svc":
-            return lambda df: train_kernel_svm(df, C=p["C"], gamma=p["gamma"], kernel=p["kernel"], tol=p["tol"],
-                                               class_weight=weight, resample=resample, seed=seed)
-        return lambda df: train_logistic(df, C=p["C"], class_weight=weight, max_iter=int(p["max_iter"]),
-                                         resample=resample)
-
-    scores = [cv_auc(train, fit(p), folds, seed) for p in draws]
-    best = draws[max(range(len(draws)), key=lambda i: scores[i])]
-    return scores, fit(best)(train)
-
-
-def _prepare(train: DataFrame, folds: int, seed: int, fold_col: str = "fold") -> DataFrame:
-    df = train if fold_col in train.columns else kfold_assign(train, folds, seed, name=fold_col)
-    bal = F.broadcast(class_weights(df, "balanced").select(K.TARGET, F.col("weight").alias("weight_balanced")))
-    return df.join(bal, K.TARGET).withColumn("weight_none", F.lit(1.0))
+SPACES = {"lrc": K.LRC_SPACE, "rfc": K.RFC_SPACE, "svc": K.SVC_SPACE}
+#: Settings that successive halving takes to all folds.
+FINALISTS = 4
+
+
+def fold_matrices(df: DataFrame, model: str, folds: int, fold_col: str = "fold", resample=None, parallelism: int = 4
+                  ) -> list[DataFrame]:
+    """For each fold the encoded rows (class, held, features): encoders fitted on the other folds, applied to all
+    rows, written once.  ``held`` marks the fold's own rows; ``resample`` sees the others only."""
+    def encode(f: int) -> DataFrame:
+        rows = df.withColumn("held", F.col(fold_col) == f)
+        prep = build_pipeline(model, keep_cols=[K.ROW_ID, K.TARGET, "held"]).fit(rows.filter(~F.col("held")))
+        x = prep.transform(rows)
+        out = x.select(K.TARGET, "held", "features")
+        if resample:
+            more = resample(x.filter(~F.col("held")).select(K.ROW_ID, K.TARGET, "features"))
+            out = out.filter("held").unionByName(more.select(K.TARGET, F.lit(False).alias("held"), "features"))
+        return written(out, f"fold{f}")
+
+    return side_by_side(df.sparkSession, encode, list(range(folds)), parallelism)
+
+
+def _class_counts(x: DataFrame) -> dict[int, int]:
+    return {r[K.TARGET]: r["count"] for r in x.filter(~F.col("held")).groupBy(K.TARGET).count().collect()}
+
+
+def _weight(p: dict, counts: dict[int, int], resample) -> dict[int, float] | None:
+    """Class weights of a draw: balanced against the training rows, or none."""
+    if resample or p.get("class_weight") != "balanced":
+        return None
+    return {c: sum(counts.values()) / (len(counts) * n) for c, n in counts.items()}
+
+
+def _fold_aucs(parts: list[DataFrame]) -> dict[tuple[int, int], float]:
+    """AUC of every (fold, trial) from one pass over all scored rows."""
+    scored = parts[0]
+    for p in parts[1:]:
+        scored = scored.unionByName(p)
+    aucs = roc_auc(scored, score="score", group_cols=["fold", "trial"])
+    return {(r["fold"], r["trial"]): r["roc_auc"] for r in aucs.collect()}     # a row for each fold and trial
+
+
+def _logistic_search(mats: list[DataFrame], draws: list[dict], resample, parallelism: int):
+    """All draws on all folds: one batch of Newton passes for each fold."""
+    def scored(f: int) -> DataFrame:
+        x = mats[f].select(K.TARGET, "held", vector_to_array("features").alias("x"))
+        counts = _class_counts(mats[f])
+        n = sum(counts.values())
+        fits = logistic_many(x.filter(~F.col("held")), [1.0 / (p["C"] * n) for p in draws],
+                             [_weight(p, counts, resample) for p in draws], label=K.TARGET)
+        out = margins(x.filter("held"), fits, [K.TARGET])
+        return written(out.withColumn("fold", F.lit(f)), "scored")
+
+    aucs = _fold_aucs(side_by_side(mats[0].sparkSession, scored, list(range(len(mats))), parallelism))
+    return [[aucs[f, k] for f in range(len(mats))] for k in range(len(draws))]
+
+
+def _estimator(model: str, p: dict, n: int, n_in: int, weighted: bool, seed: int) -> Pipeline:
+    """Stages that score a draw: the margin of a kernel SVM (calibration keeps its order), or a forest's votes."""
+    weight = "weight" if weighted else None
+    if model == "rfc":
+        return Pipeline(stages=[forest(int(p["n_estimators"]), int(p["max_depth"]), int(p["min_samples_leaf"]),
+                                       float(p["max_samples"]), str(p["max_features"]), seed, weight)])
+    rbf = p["kernel"] == "rbf"
+    first = [FourierFeatures.make(n_in, gamma=p["gamma"], seed=seed)] if rbf else []
+    return Pipeline(stages=[*first, linear_svm("rff" if rbf else "features", p["C"], n, tol=p["tol"],
+                                               weight_col=weight)])
+
+
+def _halving_search(model: str, mats: list[DataFrame], draws: list[dict], resample, seed: int, parallelism: int):
+    """Successive halving: every draw on the first fold, the better half on the next, and so on until FINALISTS
+    are left, which run on all folds.  Returns each draw's scores, one for each fold it ran on."""
+    counts = [_class_counts(x) for x in mats]
+    n_in = [x.select("features").first()["features"].size for x in mats]
+
+    def scored(job: tuple[int, int]) -> DataFrame:
+        f, k = job
+        weight = _weight(draws[k], counts[f], resample)
+        x = mats[f]
+        if weight:
+            x = x.withColumn("weight", F.when(F.col(K.TARGET) == 1, weight[1]).otherwise(weight[0]))
+        fitted = _estimator(model, draws[k], sum(counts[f].values()), n_in[f], bool(weight), seed).fit(
+            x.filter(~F.col("held")))
+        score = vector_to_array("probability" if model == "rfc" else "svm_raw")[1]
+        out = fitted.transform(x.filter("held")).select(K.TARGET, F.lit(f).alias("fold"), F.lit(k).alias("trial"),
+                                                        score.alias("score"))
+        return written(out, "scored")
+
+    alive, scores, f = list(range(len(draws))), [[] for _ in draws], 0
+    while f < len(mats):
+        last = len(alive) <= FINALISTS or f == len(mats) - 1
+        now = list(range(f, len(mats))) if last else [f]
+        jobs = [(g, k) for g in now for k in alive]
+        aucs = _fold_aucs(side_by_side(mats[0].sparkSession, scored, jobs, parallelism))
+        for g, k in jobs:
+            scores[k].append(aucs[g, k])
+        f = now[-1] + 1
+        if not last:
+            keep = max(FINALISTS, math.ceil(len(alive) / 2))
+            alive = sorted(sorted(alive, key=lambda k: (-float(np.mean(scores[k])), k))[:keep])
+    return scores
+
+
+def _refit(train: DataFrame, model: str, p: dict, resample, seed: int):
+    weight = None if resample else p.get("class_weight")
+    if model == "svc":
+        return train_kernel_svm(train, C=p["C"], gamma=p["gamma"], kernel=p["kernel"], tol=p["tol"],
+                                class_weight=weight, resample=resample, seed=seed)
+    if model == "rfc":
+        return train_forest(train, p.get("class_weight") or {0: 1.0, 1: 1.0}, int(p["n_estimators"]),
+                            int(p["max_depth"]), int(p["min_samples_leaf"]), float(p["max_samples"]),
+                            str(p["max_features"]), seed)
+    return train_logistic(train, C=p["C"], class_weight=weight, max_iter=int(p["max_iter"]), resample=resample)
 
 
 def tune_search(train: DataFrame, model: str = "lrc", space: dict | None = None, n_trials: int = 25,
                 folds: int = 5, seed: int = 8, parallelism: int = 4, fold_col: str = "fold", resample=None):
-    """Random search over ``space`` with k-fold ROC AUC (exact: numBins=0), for
-    the models lrc, rfc and svc.  ``resample`` (lrc, svc) rebalances the encoded
-    rows of the training folds only.
+    """Random search over ``space`` with k-fold ROC AUC (exact, ties counted), for
+    the models lrc, rfc and svc.  The encoders are fitted once for each fold, on the
+    other folds, and the encoded rows written; all trials run on those.  ``resample``
+    (lrc, svc) rebalances the encoded training rows of each fold.
+
+    lrc: every trial on every fold, as batches of regressions that share their passes.
+    rfc, svc: successive halving over the folds; ``n_folds`` of the trials table says
+    on how many folds a trial ran, ``score`` is the mean over those, and the best
+    trial is chosen among those that ran on all.
     Returns (trials DataFrame, best PipelineModel refit on all rows)."""
     if model not in SPACES:
         raise ValueError(f"unknown model {model!r}; there are {', '.join(SPACES)}")
     if resample and model == "rfc":
         raise ValueError("the forest balances by class weights, not by a resampler")
-    space = space or SPACES[model]
-    if model == "svc" or resample:
-        draws = sample_space(space, n_trials, seed)
-        scores, best = _search_by_folds(train, model, draws, folds, seed, resample)
-        return _trials(train, model, draws, scores, folds), best
-    df = _prepare(train, folds, seed, fold_col).persist()
-    n_fold_train = df.count() * (folds - 1) / folds
-    keep = [K.ROW_ID, K.TARGET, "weight_balanced", "weight_none", fold_col]
-    prep = build_pipeline(model, keep_cols=keep).getStages()
-    if model == "lrc":
-        est = logistic(1.0, 1, 1000, "weight_none")
-    else:
-        est = forest(weight_col="weight_none", seed=seed)
-    draws = sample_space(space, n_trials, seed)
-    maps = []
-    for p in draws:
-        m = {}
-        if model == "lrc":
-            m[est.regParam] = 1.0 / (p["C"] * n_fold_train)
-            m[est.maxIter] = int(p["max_iter"])
-            m[est.weightCol] = "weight_balanced" if p["class_weight"] == "balanced" else "weight_none"
-        else:
-            m[est.numTrees] = int(p["n_estimators"])
-            m[est.maxDepth] = int(p["max_depth"])
-            m[est.minInstancesPerNode] = int(p["min_samples_leaf"])
-            m[est.featureSubsetStrategy] = str(p["max_features"])
-            m[est.subsamplingRate] = float(p["max_samples"])
-        maps.append(m)
-    pipe = Pipeline(stages=[*prep, est])
-    ev = BinaryClassificationEvaluator(rawPredictionCol="probability", labelCol=K.TARGET,
-                                       metricName="areaUnderROC", numBins=0)
-    cv = CrossValidator(estimator=pipe, estimatorParamMaps=maps, evaluator=ev, numFolds=folds,
-                        foldCol=fold_col, parallelism=parallelism, seed=seed)
-    cvm = cv.fit(df)
-    trials = _trials(df, model, draws, cvm.avgMetrics, folds)
-    best = Pipeline(stages=[*cvm.bestModel.stages, ProbaColumn()]).fit(df)  # stages already fitted
-    df.unpersist()
-    return trials, best
-
-
-def _trials(df: DataFrame, model: str, draws: list[dict], scores: list[float], folds: int) -> DataFrame:
+    draws = sample_space(space or SPACES[model], n_trials, seed)
+    df = materialize(train if fold_col in train.columns else kfold_assign(train, folds, seed, name=fold_col))
+    mats = fold_matrices(df, model, folds, fold_col, resample, parallelism)
+    scores = _logistic_search(mats, draws, resample, parallelism) if model == "lrc" else \
+        _halving_search(model, mats, draws, resample, seed, parallelism)
+    full = [k for k, s in enumerate(scores) if len(s) == folds]
+    best = max(full, key=lambda k: (float(np.mean(scores[k])), -k))
+    trials = _trials(df, model, draws, [float(np.mean(s)) for s in scores], [len(s) for s in scores])
+    return trials, _refit(df.drop(fold_col), model, draws[best], resample, seed)
+
+
+def _trials(df: DataFrame, model: str, draws: list[dict], scores: list[float], folds: list[int]) -> DataFrame:
     sid = f"{model}-{uuid.uuid4().hex[:8]}"
-    rows = [(sid, i, {k: str(v) for k, v in p.items()}, float(s), folds)
-            for i, (p, s) in enumerate(zip(draws, scores))]
+    rows = [(sid, i, {k: str(v) for k, v in p.items()}, s, n)
+            for i, (p, s, n) in enumerate(zip(draws, scores, folds))]
     return df.sparkSession.createDataFrame(
         rows, "search_id string, trial int, params map<string,string>, score double, n_folds int")
 
@@ -203,28 +266,42 @@ def tune_threshold_cv(oof: DataFrame, n_thresholds: int = 100, proba: str = "pro
     return per, best
 
 
-def auc_of(model, df: DataFrame) -> float:
-    return roc_auc(model.transform(df).select(K.TARGET, "proba"), score="proba").first()["roc_auc"]
+def learning_scores(train: DataFrame, fit: FitFn, sizes: list[float], folds: int = 5, seed: int = 8,
+                    parallelism: int = 4) -> DataFrame:
+    """(train_size, fold, train_auc, val_auc): one fit for each size and fold on a nested hash sample of the other
+    folds.  The fits run side by side, each writes its scored rows, and one grouped pass gives all AUCs."""
+    keyed = kfold_assign(train, folds, seed).withColumn(
+        "_b", md5_bucket(F.concat(F.lit(f"lc{seed}_"), F.col(K.ROW_ID).cast("string")), 1000))
+    df = written(keyed, "learning")
+
+    def scored(cell: tuple[float, int]) -> DataFrame:
+        size, f = cell
+        sample = (F.col("fold") != f) & (F.col("_b") < int(round(size * 1000)))
+        m = fit(df.filter(sample).drop("fold", "_b"))
+        out = None
+        for side, rows in (("train", sample), ("val", F.col("fold") == f)):
+            p = m.transform(df.filter(rows).drop("fold", "_b")).select(
+                F.lit(float(size)).alias("train_size"), F.lit(f).alias("fold"), F.lit(side).alias("side"), K.TARGET,
+                "proba")
+            out = p if out is None else out.unionByName(p)
+        return written(out, "learning")
+
+    parts = side_by_side(train.sparkSession, scored, [(s, f) for s in sizes for f in range(folds)], parallelism)
+    rows = parts[0]
+    for p in parts[1:]:
+        rows = rows.unionByName(p)
+    aucs = roc_auc(rows, score="proba", group_cols=["train_size", "fold", "side"])
+    return aucs.groupBy("train_size", "fold").pivot("side", ["train", "val"]).agg(F.first("roc_auc")) \
+        .withColumnsRenamed({"train": "train_auc", "val": "val_auc"})
+
+
+SIZES = [k / 10 for k in range(1, 11)]
 
 
 def learning_curve(train: DataFrame, fit: FitFn, sizes: list[float] | None = None, folds: int = 5,
-                   seed: int = 8) -> DataFrame:
-    """Train / validation ROC AUC by training size (nested hash samples of the
-    other folds), mean and population std over folds, per size."""
-    sizes = sizes or [round(x, 2) for x in np.linspace(0.1, 1.0, 10)]
-    df = kfold_assign(train, folds, seed).withColumn(
-        "_b", md5_bucket(F.concat(F.lit(f"lc{seed}_"), F.col(K.ROW_ID).cast("string")), 1000)).persist()
-    rows = []
-    for f in range(folds):
-        val = df.filter(F.col("fold") == f)
-        pool = df.filter(F.col("fold") != f)
-        for s in sizes:
-            sub = pool.filter(F.col("_b") < int(round(s * 1000)))
-            m = fit(sub)
-            rows.append((float(s), f, auc_of(m, sub), auc_of(m, val)))
-    df.unpersist()
-    spark = train.sparkSession
-    r = spark.createDataFrame(rows, "train_size double, fold int, train_auc double, val_auc double")
+                   seed: int = 8, parallelism: int = 4) -> DataFrame:
+    """Train / validation ROC AUC by training size, mean and population std over folds, per size."""
+    r = learning_scores(train, fit, sizes or SIZES, folds, seed, parallelism)
     curve = r.groupBy("train_size").agg(F.avg("train_auc").alias("train_auc_mean"),
                                         F.stddev_pop("train_auc").alias("train_auc_std"),
                                         F.avg("val_auc").alias("val_auc_mean"),
@@ -241,42 +318,69 @@ def learning_diagnosis(df: DataFrame, val: str = "val_auc", train: str = "train_
     return df.select("*", gap.alias("gap"), labels.alias("diagnosis"))
 
 
-def permutation_importance(model, df: DataFrame, columns: list[str], repeats: int = 10, seed: int = 42,
-                           id_col: str = K.ROW_ID) -> DataFrame:
+#: Rounds of the position shuffle, and how often a position beyond the table may be sent on.
+SHUFFLE_ROUNDS, SHUFFLE_WALK = 4, 32
+_PRIME = 2147483647
+
+
+def shuffle_constants(seed: int) -> list[tuple[int, int, int]]:
+    """Multiplier and two offsets of each round."""
+    rng = np.random.default_rng(seed)
+    return [tuple(int(v) for v in rng.integers(1, _PRIME, 3)) for _ in range(SHUFFLE_ROUNDS)]
+
+
+def shuffled_position(i, n: int, rep, seed: int):
+    """A seeded bijection of 0 .. n - 1 as a column: a Feistel network over pairs of half-positions below
+    ceil(sqrt(n)), walked on until the position lies in the table.  ``rep`` picks one of many bijections."""
+    half = math.isqrt(max(n - 1, 0)) + 1
+    prime, h = F.lit(_PRIME).cast("long"), F.lit(half).cast("long")
+    rep = rep.cast("long")
+
+    def once(x):
+        left, right = F.floor(x / h).cast("long"), x % h
+        for a, b, c in shuffle_constants(seed):
+            y = (right * F.lit(a).cast("long") + rep * F.lit(c).cast("long") + F.lit(b)) % prime
+            left, right = right, (left + (y * y + F.lit(c)) % prime) % h
+        return left * h + right
+
+    walked = F.aggregate(F.sequence(F.lit(1), F.lit(SHUFFLE_WALK)), once(i.cast("long")),
+                         lambda x, _: F.when(x < n, x).otherwise(once(x)))
+    lost = F.raise_error(F.lit("a position did not come back into the table; use another seed")).cast("long")
+    return F.when(walked < n, walked).otherwise(lost)
+
+
+def permutation_importance(score: Callable[[DataFrame], DataFrame], df: DataFrame, columns: list[str],
+                           repeats: int = 10, seed: int = 42, id_col: str = K.ROW_ID) -> DataFrame:
     """Drop in ROC AUC when one column is shuffled, mean and std over repeats.
 
-    A permutation pairs row rank-by-id with row rank-by-seeded-hash (two
-    distributed row numberings, the second one of all repeats at once, each
-    written once so that the plan does not grow with the repeats); every
-    (column, repeat) copy is then scored in ONE transform and the AUCs come
-    from one grouped rank pass."""
-    base = materialize(row_numbers(df, id_col, name="_i"))
-    reps = base.select("_i", F.col(id_col).alias("_rid"),
-                       F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))).alias("_rep"))
-    key = F.concat(F.lit(f"perm{seed}_"), F.col("_rep").cast("string"), F.lit("_"), F.col("_rid").cast("string"))
-    maps = materialize(row_numbers(reps.withColumn("_k", md5_bucket(key, 2147483647)), "_k", ["_rep"],
-                                   tie_cols=["_rid"], name="_j").select("_rep", "_i", "_j"))
+    ``score``: a function that adds ``proba`` to rows and keeps their id, or a fitted model.  The rows are
+    numbered once; a seeded bijection of the numbers (a column expression) names the row that each repeat's
+    value comes from, so no repeat is sorted or numbered.  One join brings row and source row together for all
+    repeats; every (repeat, column) copy is scored in one plan, and one grouped rank pass gives all AUCs."""
+    apply = score if callable(score) else score.transform
+    base = materialize(row_numbers(df, id_col, name="_i").withColumn("_i", F.col("_i") - 1))
+    n = base.count()
+    reps = F.explode(F.sequence(F.lit(0), F.lit(repeats - 1)))
+    mine = base.select("*", reps.alias("_rep")).withColumn("_j", shuffled_position(F.col("_i"), n, F.col("_rep"), seed))
     src = base.select(F.col("_i").alias("_j"), *[F.col(c).alias(f"_src_{c}") for c in columns])
-    paired = base.join(maps, "_i").join(src, "_j")
+    paired = mine.join(src, "_j")
     copies = paired.select("*", F.posexplode(F.array(*[F.lit(c) for c in columns])).alias("_f", "_col"))
     # the model keeps only id and label: carry (repeat, column) inside the id
-    n1 = df.count() + 1
-    gid = (F.col("_rep") * len(columns) + F.col("_f")) * n1 + F.col("_i")
+    gid = (F.col("_rep") * len(columns) + F.col("_f")) * F.lit(n).cast("long") + F.col("_i")
     sel = [gid.alias(c) if c == id_col else
            F.when(F.col("_col") == c, F.col(f"_src_{c}")).otherwise(F.col(c)).alias(c) if c in columns else F.col(c)
            for c in df.columns]
-    permuted = copies.select(*sel)
-    g = F.floor(F.col(id_col) / n1)
-    scored = model.transform(permuted).select((g % len(columns)).alias("_f"), F.floor(g / len(columns)).alias("_rep"),
-                                              K.TARGET, "proba")
+    g = F.floor(F.col(id_col) / F.lit(max(n, 1)).cast("long"))
+    scored = apply(copies.select(*sel)).select((g % len(columns)).alias("_f"), F.floor(g / len(columns)).alias("_rep"),
+                                               K.TARGET, "proba")
     aucs = roc_auc(scored, score="proba", group_cols=["_f", "_rep"])
-    ref = auc_of(model, df)
+    ref = roc_auc(apply(df).select(K.TARGET, "proba"), score="proba").first()["roc_auc"]
     names = F.array(*[F.lit(c) for c in columns])
     drop = aucs.select(F.element_at(names, (F.col("_f") + 1).cast("int")).alias("feature"),
                        (F.lit(ref) - F.col("roc_auc")).alias("drop"))
     return drop.groupBy("feature").agg(F.avg("drop").alias("importance_mean"),
                                        F.stddev_pop("drop").alias("importance_std"),
-                                       F.count(F.lit(1)).alias("repeats")).orderBy(F.desc("importance_mean"))
+                                       F.count(F.lit(1)).alias("repeats")).orderBy(F.desc("importance_mean"), "feature")
 
 
 def cv_auc(train: DataFrame, fit: FitFn, folds: int = 5, seed: int = 8) -> float:
@@ -285,11 +389,16 @@ def cv_auc(train: DataFrame, fit: FitFn, folds: int = 5, seed: int = 8) -> float
     return aucs.agg(F.avg("roc_auc")).first()[0]
 
 
-def feature_gain(train: DataFrame, fit_engineered: FitFn, fit_baseline: FitFn, folds: int = 5, seed: int = 8
-                 ) -> DataFrame:
-    """Mean fold AUC with the engineered pipeline minus with the baseline one."""
-    a, b = cv_auc(train, fit_engineered, folds, seed), cv_auc(train, fit_baseline, folds, seed)
-    return train.sparkSession.createDataFrame([(a, b, a - b)], "auc_engineered double, auc_baseline double, gain double")
+def feature_gain(train: DataFrame, fit_engineered: FitFn, fit_baseline: FitFn, sizes: list[float] | None = None,
+                 folds: int = 5, seed: int = 8, parallelism: int = 4) -> DataFrame:
+    """Validation AUC with the engineered pipeline minus with the baseline one, for every training size: two
+    learning curves over the same folds and samples."""
+    sizes = sizes or SIZES
+    both = [learning_scores(train, fit, sizes, folds, seed, parallelism).groupBy("train_size")
+            .agg(F.avg("val_auc").alias(f"auc_{name}")) for name, fit in (("engineered", fit_engineered),
+                                                                        ("baseline", fit_baseline))]
+    return both[0].join(both[1], "train_size").withColumn(
+        "gain", F.col("auc_engineered") - F.col("auc_baseline")).orderBy("train_size")
 
 
 def seed_stability(train: DataFrame, test: DataFrame, fit_seeded: Callable[[DataFrame, int], object],

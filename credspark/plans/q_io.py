@@ -128,7 +128,7 @@ S["runs_leaderboard"] = sql(
 
 
 def _fit_small(spark, d):
-    return M.train_logistic(train_side(apps(spark, d)), max_iter=50)
+    return M.train_logistic(train_side(apps(spark, d)))
 
 
 def q_register_model(spark, d):
@@ -140,6 +140,8 @@ def q_register_model(spark, d):
 
 
 Q["register_model"] = q_register_model
+S["register_model"] = ("SELECT 'credit-risk-lrc' AS name, CAST(version AS INTEGER) AS version, run_id"
+                       " FROM (VALUES (1, 'run-a'), (2, 'run-b')) v(version, run_id)")
 
 
 def q_resolve_model_version(spark, d):
@@ -171,15 +173,22 @@ S["resolve_model_version"] = sql(
 
 def q_export_models(spark, d):
     root = scratch(spark, "export")
-    models = M.train_all(train_side(apps(spark, d)), forest_trees=20, svm_components=50)
+    models = M.train_all(train_side(apps(spark, d)))
     for kind, m in models.items():
         RG.register_model(m, spark, root, f"credit-risk-{kind}")
     out = RG.export_models(spark, root, ["credit-risk-lrc", "credit-risk-rfc", "credit-risk-svc"],
                            os.path.join(root, "exported"))
-    return out.select("name", "version")
+    te = held_out(apps(spark, d))
+    paths = {r["name"]: r["path"] for r in out.collect()}       # a row for each model
+    counts = [(n, RG.load_model(p).transform(te).filter("proba between 0 and 1").count()) for n, p in paths.items()]
+    return out.join(spark.createDataFrame(counts, "name string, n_scored int"), "name").select(
+        "name", "version", "n_scored")
 
 
 Q["export_models"] = q_export_models
+S["export_models"] = sql(
+    " SELECT 'credit-risk-' || m AS name, CAST(1 AS INTEGER) AS version,"
+    " CAST((SELECT count(*) FROM app_test) AS INTEGER) AS n_scored FROM (VALUES ('lrc'), ('rfc'), ('svc')) k(m)")
 
 
 def q_load_ensemble_config(spark, d):

@@ -22,6 +22,8 @@ from credspark.operators import tuning as TU
 from credspark.operators.pipelines import build_baseline, build_pipeline
 from credspark.plans.common import apps, held_out, r, round_doubles, scored_test, sql, train_side  # noqa: F401
 from credspark.plans.q_eval import GRID_COUNTS, auc_sql
+from credspark.session import materialize, scratch, written
+from credspark.sources import registry as RG
 from credspark.sources.fixtures import APPLICATION_COLUMNS, scored
 
 Q: dict = {}
@@ -44,17 +46,17 @@ def q_train_logistic(spark, d):
 
 def q_train_forest(spark, d):
     tr, te = _sides(spark, d)
-    return _preds(M.train_forest(tr, num_trees=30, max_depth=6), te)
+    return _preds(M.train_forest(tr), te)
 
 
 def q_train_kernel_svm(spark, d):
     tr, te = _sides(spark, d)
-    return _preds(M.train_kernel_svm(tr, n_components=100, gamma=0.05, calib_folds=2), te)
+    return _preds(M.train_kernel_svm(tr), te)
 
 
 def q_train_boosted_trees(spark, d):
     tr, te = _sides(spark, d)
-    return _preds(M.train_boosted_trees(tr, max_iter=20, max_depth=4), te)
+    return _preds(M.train_boosted_trees(tr), te)
 
 
 Q["train_logistic"] = q_train_logistic
@@ -88,26 +90,32 @@ def q_coefficient_ranking(spark, d):
 
 def q_importance_ranking(spark, d):
     tr, _ = _sides(spark, d)
-    return round_doubles(M.importance_ranking(M.train_forest(tr, num_trees=30, max_depth=6), spark))
+    return round_doubles(M.importance_ranking(M.train_forest(tr), spark))
 
 
 Q["coefficient_ranking"] = q_coefficient_ranking
 Q["importance_ranking"] = q_importance_ranking
 
 
-def q_tune_search(spark, d):
-    tr, _ = _sides(spark, d)
-    trials, _best = TU.tune_search(tr, "lrc")
-    return round_doubles(trials.select("trial", F.to_json("params").alias("params"), "score", "n_folds"))
+def _search_query(model: str, resample=None):
+    """Trials of a whole search on the train side: as many trials and folds as the operator's defaults."""
+    def q(spark, d):
+        tr, _ = _sides(spark, d)
+        trials, _best = TU.tune_search(tr, model, resample=resample)
+        return round_doubles(trials.select("trial", F.to_json("params").alias("params"), "score", "n_folds"))
+    return q
 
 
-Q["tune_search"] = q_tune_search
+Q["tune_search"] = _search_query("lrc")
+Q["tune_search_smote"] = _search_query("lrc", RS.smote)
+Q["tune_search_svc"] = _search_query("svc")
+Q["tune_search_rfc"] = _search_query("rfc")
 
 
 def q_tune_threshold_trained(spark, d):
     """Out-of-fold scores of a trained model, and the threshold of least cost on them."""
     tr, _ = _sides(spark, d)
-    _per, best = TU.tune_threshold_cv(TU.oof_predictions(tr, _fit_lr, folds=3), 100)
+    _per, best = TU.tune_threshold_cv(TU.oof_predictions(tr, _fit_lr), 100)
     return round_doubles(best)
 
 
@@ -204,11 +212,65 @@ PERM_COLS = [c for c in APPLICATION_COLUMNS if c not in (K.ROW_ID, K.TARGET)]
 def q_permutation_importance(spark, d):
     tr, te = _sides(spark, d)
     m = M.train_logistic(tr)
-    return round_doubles(TU.permutation_importance(m, te, PERM_COLS))
+    return round_doubles(TU.permutation_importance(m.transform, te, PERM_COLS))
 
 
 Q["permutation_importance"] = q_permutation_importance
 
+#: Raw columns of the given linear score, and its weights on them.
+PERM_LIN = {"credit_amount": -0.0002, "duration_months": -0.05, "age_years": 0.02, "existing_credits_count": -0.3}
+PERM_LIN_B, PERM_REPEATS, PERM_SEED = 3.0, 10, 42
+
+
+def q_permutation_importance_linear(spark, d):
+    """Importance of every column of a given linear score on the held-out side."""
+    te = held_out(apps(spark, d)).select(K.ROW_ID, K.TARGET, *PERM_LIN)
+    score = lambda df: M.linear_score(df, PERM_LIN, PERM_LIN_B)
+    return round_doubles(TU.permutation_importance(score, te, list(PERM_LIN), PERM_REPEATS, PERM_SEED))
+
+
+def _perm_sql():
+    def once(x, rep):
+        left, right = f"({x} // h)", f"({x} % h)"
+        cols = []
+        for k, (a, b, c) in enumerate(TU.shuffle_constants(PERM_SEED)):
+            cols.append((f"l{k}", f"r{k}", a, b, c))
+        # nested selects: one for each round
+        inner = f"SELECT {left} AS l, {right} AS r"
+        for _, _, a, b, c in cols:
+            y = f"((r * {a} + {rep} * {c} + {b}) % {TU._PRIME})"
+            inner = f"SELECT r AS l, (l + ({y} * {y} + {c}) % {TU._PRIME}) % h AS r FROM ({inner})"
+        return f"(SELECT l * h + r FROM ({inner}))"
+
+    z = f"CAST({PERM_LIN_B!r} AS DOUBLE)" + "".join(
+        f" + CAST({w!r} AS DOUBLE) * CAST({{{c}}} AS DOUBLE)" for c, w in PERM_LIN.items())
+    plain = {c: f"t.{c}" for c in PERM_LIN}
+    score = lambda names: f"1.0 / (1.0 + exp(-({z.format(**names)})))"
+    copies = " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, w.rep, t.class, {score({**plain, c: f'u.{c}'})} AS p"
+        " FROM walked w JOIN t ON t.i = w.i JOIN t u ON u.i = w.j" for c in PERM_LIN)
+    return sql(
+        ", t AS (SELECT *, row_number() OVER (ORDER BY row_id) - 1 AS i FROM app_test)"
+        ", k AS (SELECT count(*) AS n, CAST(floor(sqrt(count(*) - 1)) AS BIGINT) + 1 AS h FROM t)"
+        f", f0 AS (SELECT t.i, rep, n, h FROM t, k, range(0, {PERM_REPEATS}) g(rep))"
+        f", f1 AS (SELECT i, rep, n, h, {once('i', 'rep')} AS j FROM f0)"
+        + "".join(f", f{m + 1} AS (SELECT i, rep, n, h, CASE WHEN j < n THEN j ELSE {once('j', 'rep')} END AS j FROM f{m})"
+                  for m in range(1, 9)) +
+        ", walked AS (SELECT i, rep, j FROM f9)"
+        f", s AS ({copies} UNION ALL SELECT NULL, NULL, class, {score(plain)} FROM t)"
+        ", v AS (SELECT feature, rep, p, count(*) AS n, sum(class) AS n_pos FROM s GROUP BY feature, rep, p)"
+        ", r AS (SELECT *, sum(n) OVER (PARTITION BY feature, rep ORDER BY p) - n + (n + 1) / 2.0 AS rank FROM v)"
+        ", a AS (SELECT feature, rep, round((sum(n_pos * rank) - sum(n_pos) * (sum(n_pos) + 1) / 2.0)"
+        " / (sum(n_pos) * (sum(n) - sum(n_pos))), 6) AS auc FROM r GROUP BY feature, rep)"
+        ", d AS (SELECT a.feature, b.auc - a.auc AS dr FROM a, (SELECT auc FROM a WHERE feature IS NULL) b"
+        " WHERE a.feature IS NOT NULL)"
+        " SELECT feature, round(avg(dr), 6) AS importance_mean, round(stddev_pop(dr), 6) AS importance_std,"
+        " count(*) AS repeats FROM d GROUP BY feature")
+
+
+Q["permutation_importance_linear"] = q_permutation_importance_linear
+S["permutation_importance_linear"] = _perm_sql()
+
 
 def q_feature_gain(spark, d):
     tr, _ = _sides(spark, d)
@@ -220,7 +282,7 @@ def q_feature_gain(spark, d):
         prep = build_baseline(df).getStages()
         return Pipeline(stages=[*prep, M.logistic(1.0, df.count()), M.ProbaColumn()]).fit(df)
 
-    return round_doubles(TU.feature_gain(tr, _fit_lr, fit_base, folds=3))
+    return round_doubles(TU.feature_gain(tr, _fit_lr, fit_base))
 
 
 Q["feature_gain"] = q_feature_gain
@@ -228,8 +290,7 @@ Q["feature_gain"] = q_feature_gain
 
 def q_seed_stability(spark, d):
     tr, te = _sides(spark, d)
-    _, summary = TU.seed_stability(tr, te, lambda df, s: M.train_forest(df, num_trees=20, max_depth=5, seed=s),
-                                   seeds=range(3))
+    _, summary = TU.seed_stability(tr, te, lambda df, s: M.train_forest(df, seed=s))
     return round_doubles(summary)
 
 
@@ -240,7 +301,7 @@ def q_train_all(spark, d):
     """End to end: train the three models on the train side, score the held-out
     side, soft-vote with the deployed weights and threshold, evaluate."""
     tr, te = _sides(spark, d)
-    models = M.train_all(tr, forest_trees=30, svm_components=100)
+    models = M.train_all(tr)
     s = M.score_models(models, te)
     return round_doubles(EN.score_ensemble(s))
 
@@ -248,6 +309,37 @@ def q_train_all(spark, d):
 Q["train_all"] = q_train_all
 
 
+def q_ensemble_trained(spark, d):
+    """The whole way of the deployed ensemble: three models trained on one part of the train side, weights and
+    threshold tuned on the rest, configuration written and read back, held-out side scored and the run logged."""
+    tr, te = _sides(spark, d)
+    parts = written(SP.stratified_split(tr, 0.15), "ensemble")
+    part = lambda side: parts.filter(F.col("split") == side).drop("split")
+    models, weights, threshold = EN.train_ensemble(part("fit"), part("val"), M.train_all)
+    root = scratch(spark, "ensemble-run")
+    names = [f"credit-risk-{m}" for m in K.MODEL_ORDER]
+    config = RG.load_ensemble_config(spark, RG.write_ensemble_config(spark, f"{root}/config", weights, threshold, names))
+    rows = config.orderBy("position").collect()     # a row for each model
+    out = materialize(EN.score_ensemble(M.score_models(models, te), [r["weight"] for r in rows], rows[0]["threshold"]))
+    params = {f"w_{m}": r["weight"] for m, r in zip(K.MODEL_ORDER, rows)} | {"threshold": rows[0]["threshold"]}
+    run = RG.log_run_from_metrics(out, root, "credit-risk", "ensemble", params=params)
+    return run.select("run_name", F.to_json(F.map_from_entries(F.array_sort(F.map_entries("params")))).alias("params"),
+                      F.explode("metrics").alias("metric", "value")).select("run_name", "params", "metric",
+                                                                            F.round("value", 6).alias("value"))
+
+
+Q["ensemble_trained"] = q_ensemble_trained
+
+
+def q_train_svc_smote(spark, d):
+    """The kernel SVM on rows rebalanced by SVM-SMOTE, calibrated, on the held-out side."""
+    tr, te = _sides(spark, d)
+    return _preds(M.train_kernel_svm(tr, resample=RS.svm_smote), te)
+
+
+Q["train_svc_smote"] = q_train_svc_smote
+
+
 def _encoded_train(spark, d):
     tr, _ = _sides(spark, d)
     return build_pipeline("lrc").fit(tr).transform(tr)
@@ -274,7 +366,7 @@ Q["svm_smote"] = q_svm_smote
 def q_class_weights_forest(spark, d):
     """Forest trained with the cost-matching weights {0: 5, 1: 1}."""
     tr, te = _sides(spark, d)
-    return _preds(M.train_forest(tr, class_weight={0: 5.0, 1: 1.0}, num_trees=30, max_depth=6), te)
+    return _preds(M.train_forest(tr, class_weight={0: 5.0, 1: 1.0}), te)
 
 
 Q["train_forest_cost_weights"] = q_class_weights_forest

@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from credspark import constants as K
+from credspark.functions.distributions import normal_quantile_sql
 from credspark.functions.hashing import duck_md5_bucket
 from credspark.operators import ensemble as EN
 from credspark.operators import evaluate as EV
 from credspark.operators import profile as PR
 from credspark.operators import splits as SP
 from credspark.plans.common import apps, qs, r, round_doubles, sql
+from credspark.plans.q_features import engineered_view
 from credspark.sources.fixtures import APPLICATION_COLUMNS, scored
 
 Q: dict = {}
@@ -316,3 +318,13 @@ def q_qq_points(spark, d):
 
 
 Q["qq_points"] = q_qq_points
+S["qq_points"] = sql(
+    f", fe AS ({engineered_view()}), v AS (SELECT CAST(credit_log AS DOUBLE) AS value FROM fe WHERE credit_log IS NOT NULL)"
+    ", o AS (SELECT row_number() OVER (ORDER BY value) AS i, value, count(*) OVER () AS n FROM v)"
+    ", m AS (SELECT *, CASE WHEN i = n THEN pow(0.5, 1.0 / n) WHEN i = 1 THEN 1.0 - pow(0.5, 1.0 / n)"
+    " ELSE (i - 0.3175) / (n + 0.365) END AS p FROM o)"
+    f", z AS (SELECT *, {normal_quantile_sql('p')} AS q FROM m)"
+    ", f AS (SELECT regr_slope(value, q) AS slope, regr_intercept(value, q) AS intercept, corr(value, q) AS r,"
+    " count(*) AS n FROM z)"
+    " SELECT z.i, round(z.value, 6) AS ordered_value, round(z.q, 6) AS theoretical_quantile, round(slope, 6) AS slope,"
+    " round(intercept, 6) AS intercept, round(r, 6) AS r, f.n FROM z, f")

@@ -9,9 +9,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from credspark import constants as K
+from credspark.functions.distributions import normal_quantile_sql
 from credspark.operators import features as FE
 from credspark.operators import stattests as ST
 from credspark.plans.common import apps, qs, r, round_doubles, sql
+from credspark.plans.q_features import engineered_view
 from credspark.plans.q_profile import CAT, NUM, long_sql
 
 Q: dict = {}
@@ -121,6 +123,41 @@ def q_normality_shapiro(spark, d):
 
 Q["normality_shapiro"] = q_normality_shapiro
 
+SHAPIRO_COLS = ["credit_log", "age_years", "duration_to_age_ratio_sqrt"]
+
+
+def q_normality_shapiro_w(spark, d):
+    """The statistic alone, per checking status: no Python in the plan."""
+    a = FE.feature_engineer(apps(spark, d))
+    return round_doubles(ST.normality_shapiro(a, SHAPIRO_COLS, group="checking_account_status", with_p=False))
+
+
+def _shapiro_sql():
+    long = " UNION ALL ".join(f"SELECT '{c}' AS variable, checking_account_status AS grp, CAST({c} AS DOUBLE) AS value"
+                              f" FROM fe WHERE {c} IS NOT NULL" for c in SHAPIRO_COLS)
+    poly = lambda c, x: "".join("(" for _ in c[1:]) + repr(c[-1]) + "".join(
+        f" * {x} + {v!r})" for v in reversed(c[:-1]))
+    return sql(
+        f", fe AS ({engineered_view()}), l AS ({long})"
+        ", o AS (SELECT *, row_number() OVER (PARTITION BY variable, grp ORDER BY value) AS i,"
+        " count(*) OVER (PARTITION BY variable, grp) AS n, avg(value) OVER (PARTITION BY variable, grp) AS mean FROM l)"
+        ", p AS (SELECT *, (i - 0.375) / (n + 0.25) AS p FROM o)"
+        f", m AS (SELECT *, {normal_quantile_sql('p')} AS m FROM p)"
+        ", g AS (SELECT variable, grp, n, sum(m * m) AS s2, sum(CASE WHEN i > 2 AND i < n - 1 THEN m * value END) AS si,"
+        " sum((value - mean) * (value - mean)) AS ssq, max(CASE WHEN i = 1 THEN value END) AS x1,"
+        " max(CASE WHEN i = 2 THEN value END) AS x2, max(CASE WHEN i = n - 1 THEN value END) AS xn1,"
+        " max(CASE WHEN i = n THEN value END) AS xn, max(CASE WHEN i = n THEN m END) AS mn,"
+        " max(CASE WHEN i = n - 1 THEN m END) AS mn1, 1.0 / sqrt(n) AS u FROM m GROUP BY variable, grp, n)"
+        f", a AS (SELECT *, {poly(ST._SW_C1, 'u')} + mn / sqrt(s2) AS a1, {poly(ST._SW_C2, 'u')} + mn1 / sqrt(s2) AS a2"
+        " FROM g)"
+        ", f AS (SELECT *, sqrt((s2 - 2 * mn * mn - 2 * mn1 * mn1) / (1 - 2 * a1 * a1 - 2 * a2 * a2)) AS fac FROM a)"
+        " SELECT variable, grp, CAST(n AS BIGINT) AS n, round(least(pow(si / fac + a1 * (xn - x1) + a2 * (xn1 - x2), 2)"
+        " / ssq, 1.0), 6) AS w, n > 5000 AS p_extrapolated FROM f WHERE n >= 8")
+
+
+Q["normality_shapiro_w"] = q_normality_shapiro_w
+S["normality_shapiro_w"] = _shapiro_sql()
+
 
 
 def _with_p(test):

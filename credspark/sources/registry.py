@@ -14,6 +14,7 @@ import json
 import os
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -89,22 +90,59 @@ def runs_leaderboard(runs: DataFrame, metrics: list[str], order_by: str, ascendi
     return wide.orderBy(key, "run_name")
 
 
+def _claim_version(spark: SparkSession, root: str, name: str, above: int) -> int:
+    """The next version number of ``name``, claimed for this writer alone: its claim file is created, which fails
+    where one exists.  Claims of writers that never published are skipped, as are folders without a claim."""
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(os.path.join(root, "models", name))
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(folder)
+    taken = [str(f.getPath().getName()).split(".")[0] for f in fs.listStatus(folder)]
+    version = max([above, *[int(t) for t in taken if t.isdigit()]]) + 1
+    while True:
+        try:
+            fs.create(jvm.org.apache.hadoop.fs.Path(folder, f"{version}.claim"), False).close()
+            return version
+        except Py4JJavaError as e:
+            if "AlreadyExists" not in str(e.java_exception):
+                raise
+            version += 1
+
+
+def _publish(spark: SparkSession, root: str, row: tuple) -> None:
+    """Add a row to the versions table as a file of its own, written aside and renamed into place: readers see all of
+    it or nothing, and writers do not share a folder of work in progress."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path
+    aside = os.path.join(root, "_publishing", uuid.uuid4().hex)
+    spark.createDataFrame([row], VERSION_SCHEMA).coalesce(1).write.parquet(aside)
+    fs = path(aside).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(path(_versions(root)))
+    part = next(f.getPath() for f in fs.listStatus(path(aside)) if f.getPath().getName().startswith("part-"))
+    if not fs.rename(part, path(os.path.join(_versions(root), f"part-{uuid.uuid4().hex}.parquet"))):
+        raise OSError(f"version {row[1]} of {row[0]} could not be published")
+    fs.delete(path(aside), True)
+
+
 def register_model(model: PipelineModel, spark: SparkSession, root: str, name: str,
                    run_id: str | None = None) -> DataFrame:
     """Save a fitted pipeline as the next version of ``name``; returns the new version row.
 
-    Without a versions table the version is 1; any other failure to read it is
-    raised.  A stored version is never overwritten: saving onto one fails."""
+    A number is claimed first, by creating a file that must not exist, then the
+    model is saved under it, and only then is the version listed.  A writer that
+    fails in between leaves a claim and perhaps files, which no reader sees and
+    the next writer passes over; two writers never get one number, and a stored
+    version is never overwritten.  A versions table that cannot be read is an error."""
     vpath = _versions(root)
-    cur = None
+    listed = 0
     if _exists(spark, vpath):
-        cur = spark.read.schema(VERSION_SCHEMA).parquet(vpath).filter(F.col("name") == name) \
-            .agg(F.max("version")).first()[0]
-    version = (cur or 0) + 1
+        listed = spark.read.schema(VERSION_SCHEMA).parquet(vpath).filter(F.col("name") == name) \
+            .agg(F.max("version")).first()[0] or 0
+    version = _claim_version(spark, root, name, listed)
     path = os.path.join(root, "models", name, str(version))
     model.write().save(path)
     row = (name, version, path, run_id or "", dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
-    spark.createDataFrame([row], VERSION_SCHEMA).write.mode("append").parquet(vpath)
+    _publish(spark, root, row)
     return spark.createDataFrame([row], VERSION_SCHEMA)
 
 

@@ -156,6 +156,37 @@ def test_knn_ties_by_smaller_id_and_groups(spark):
     assert nb[1] == [2, 3] and nb[5] == []
 
 
+def test_tables_of_levels_equal_maps(spark, monkeypatch, tmp_path):
+    """Columns too wide for a map take one join whatever their number, with the same values; saved and loaded too."""
+    import json
+
+    from credspark.operators.pipelines import EncodingPlan, EncodingPlanModel
+    rows = [(i, f"a{i % 23}" if i % 11 else None, f"b{i % 5}", f"c{i % 7}", f"d{i % 3}", i % 2) for i in range(200)]
+    df = spark.createDataFrame(rows, "row_id long, a string, b string, c string, d string, class int")
+    new = spark.createDataFrame([(900, None, "b1", "zz", "d0", 0), (901, "a1", None, "c2", "d2", 1),
+                                 (901, "a1", None, "c2", "d2", 1)], df.schema)
+    spec = {"woe": ["a"], "target": ["b"], "count": ["c"], "ordinal": ["d"]}
+    plan = EncodingPlan(spec=json.dumps(spec), keepCols=["row_id"], assemble=False)
+    both = df.unionByName(new)
+    want = sorted(map(tuple, plan.fit(df).transform(both).collect()))
+    for most, tables in ((3, 3), (20, 1), (1, 4)):
+        monkeypatch.setattr(EC, "MAP_LEVELS", most)
+        m = plan.fit(df)
+        assert m.state.select("column_name").distinct().count() == tables
+        m.save(str(tmp_path / f"m{most}"))
+        for model in (m, EncodingPlanModel.load(str(tmp_path / f"m{most}"))):
+            assert sorted(map(tuple, model.transform(both).collect())) == want
+    plan = m.transform(both)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 2      # levels to values, values to rows: the same for any number of columns
+
+
+def test_one_hot_refuses_a_column_of_too_many_levels(spark, monkeypatch):
+    monkeypatch.setattr(EC, "ONEHOT_LEVELS", 10)
+    df = spark.createDataFrame([(i, f"v{i}", i % 2) for i in range(11)], "row_id long, cat string, class int")
+    with pytest.raises(ValueError, match="cat"):
+        EC.OneHotAllEncoder(inputCols=["cat"]).fit(df)
+
+
 def test_encoding_plan_one_pass_states(spark):
     import json
     from credspark.operators.pipelines import EncodingPlan
@@ -166,7 +197,8 @@ def test_encoding_plan_one_pass_states(spark):
     fitted = json.loads(m.getOrDefault("fitted"))
     P, NN = 3, 4  # totals come from all rows, the NULL level included
     want_a = math.log(((1 + 1) / (P + 2)) / ((1 + 1) / (NN - P + 2)))
-    woe = {r["level"]: r["value"] for r in m.state.filter("kind = 'woe'").collect()}
+    assert m.state.count() == 0     # a column of few levels is a map, not a table
+    woe = fitted["maps"]["woe"]["cat"]
     assert woe == {"A": pytest.approx(want_a), "B": 0.0}
     assert fitted["onehot"]["cat"] == ["A", "B"]
     mean, sd = fitted["scale"]["x"]

@@ -100,10 +100,33 @@ def test_register_model_never_overwrites(spark, tmp_path):
     with pytest.raises(Exception):
         RG.register_model(model, spark, root, "m")
     broken.unlink()
-    assert sorted(p.name for p in (tmp_path / "models" / "m").iterdir()) == ["1", "2"]
-    (tmp_path / "models" / "m" / "3").mkdir()
-    with pytest.raises(Exception):
-        RG.register_model(model, spark, root, "m")
+    assert sorted(p.name for p in (tmp_path / "models" / "m").iterdir() if p.name.isdigit()) == ["1", "2"]
+    (tmp_path / "models" / "m" / "3").mkdir()      # files of a writer that is gone: passed over, not overwritten
+    assert RG.register_model(model, spark, root, "m").first()["version"] == 4
+
+
+def test_register_model_after_a_crash_and_beside_other_writers(spark, tmp_path):
+    from multiprocessing.pool import ThreadPool
+
+    from pyspark.ml import PipelineModel
+
+    from credspark.sources import registry as RG
+
+    class Failing:
+        def write(self):
+            raise RuntimeError("the writer died after its claim")
+
+    root, model = str(tmp_path), PipelineModel(stages=[])
+    RG.register_model(model, spark, root, "m")
+    with pytest.raises(RuntimeError):
+        RG.register_model(Failing(), spark, root, "m")
+    assert RG.register_model(model, spark, root, "m").first()["version"] == 3      # 2 is claimed and never listed
+    with ThreadPool(4) as pool:
+        got = pool.map(lambda _: RG.register_model(model, spark, root, "m").first()["version"], range(6))
+    assert sorted(got) == [4, 5, 6, 7, 8, 9]
+    listed = sorted(r["version"] for r in RG.model_versions(spark, root).collect())
+    assert listed == [1, 3, 4, 5, 6, 7, 8, 9]
+    assert RG.resolve_model_version(RG.model_versions(spark, root)).first()["version"] == 9
 
 
 def test_two_group_tests_want_two_groups(spark):
@@ -119,19 +142,68 @@ def test_two_group_tests_want_two_groups(spark):
         ST.mann_whitney_u(two, "g", "v").first()["u_stat"]
 
 
-def test_knn_blocks_equal_brute_force(spark, monkeypatch):
+def _neighbours(x, ids, k):
+    out = {}
+    for i, v in zip(ids, x):
+        d = ((v - x) ** 2).sum(axis=1)
+        out[i] = [int(ids[j]) for j in np.lexsort((ids, d)) if ids[j] != i][:k]
+    return out
+
+
+@pytest.mark.parametrize("block,pivots", [(17, 256), (5000, 5), (3, 2)])
+def test_knn_equals_brute_force(spark, monkeypatch, block, pivots):
     from credspark.operators import resample as RS
 
-    monkeypatch.setattr(RS, "BLOCK_ROWS", 17)
+    monkeypatch.setattr(RS, "BLOCK_ROWS", block)
+    monkeypatch.setattr(RS, "PIVOTS", pivots)
     rng = np.random.default_rng(3)
-    x = rng.integers(0, 3, (90, 4)).astype(float)     # many ties and equal rows
-    df = spark.createDataFrame([(i, i % 2, x[i].tolist()) for i in range(90)],
-                               "row_id long, class int, x array<double>")
-    got = {r["row_id"]: r for r in RS.knn(df, df, 6).collect()}
-    for i in range(90):
-        d = ((x[i] - x) ** 2).sum(axis=1)
-        want = [j for j in np.lexsort((np.arange(90), d)) if j != i][:6]
-        assert got[i]["nbr_ids"] == want and got[i]["nbr_labels"] == [j % 2 for j in want]
+    for x in (rng.integers(0, 3, (90, 4)).astype(float),            # many ties and equal rows
+              np.vstack([np.zeros((40, 3)), rng.normal(size=(60, 3)), 50 + rng.normal(size=(50, 3))])):
+        ids = rng.permutation(len(x)) + 5
+        df = spark.createDataFrame([(int(i), int(i) % 2, v.tolist()) for i, v in zip(ids, x)],
+                                   "row_id long, class int, x array<double>").repartition(5)
+        got = {r["row_id"]: r for r in RS.knn(df, df, 6).collect()}
+        want = _neighbours(x, ids, 6)
+        assert {i: r["nbr_ids"] for i, r in got.items()} == want
+        assert all(r["nbr_labels"] == [j % 2 for j in r["nbr_ids"]] for r in got.values())
+
+
+def test_knn_odd_tables(spark):
+    from credspark.operators import resample as RS
+
+    schema = "row_id long, class int, x array<double>, g string"
+    empty = spark.createDataFrame([], schema)
+    one = spark.createDataFrame([(7, 1, [1.0, 2.0], None)], schema)
+    assert RS.knn(empty, empty, 3).count() == 0
+    assert RS.knn(one, one, 3).first()["nbr_ids"] == []
+    assert RS.knn(one, empty, 3).first()["nbr_ids"] == []
+    assert RS.knn(one, one, 3, exclude_self=False).first()["nbr_ids"] == [7]
+    same = spark.createDataFrame([(i, 0, [1.0, 1.0], "a") for i in range(50)], schema)
+    got = {r["row_id"]: r["nbr_ids"] for r in RS.knn(same, same, 2, group_col="g").collect()}
+    assert got == {i: [j for j in range(4) if j != i][:2] for i in range(50)}
+
+
+def test_knn_visits_few_cells_of_clustered_rows(spark):
+    """The plan's point: a query is not copied to every block; rows in tight clusters meet their own cells."""
+    from credspark.operators import resample as RS
+
+    rng = np.random.default_rng(1)
+    centre = rng.normal(0, 30, (40, 8))
+    x = np.repeat(centre, 50, axis=0) + rng.normal(0, 0.5, (2000, 8))
+    seen = []
+    compare = RS._compare
+
+    def counted(queries, refs, k):
+        seen.append(queries.count())
+        return compare(queries, refs, k)
+
+    df = spark.createDataFrame([(i, 0, v.tolist()) for i, v in enumerate(x)], "row_id long, class int, x array<double>")
+    try:
+        RS._compare = counted
+        RS.knn(df, df, 5).collect()
+    finally:
+        RS._compare = compare
+    assert seen[0] == 2000 and seen[1] < 4 * 2000
 
 
 def test_shapiro_has_a_row_at_every_size(spark):
