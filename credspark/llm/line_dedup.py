@@ -194,13 +194,13 @@ def _rare_lines(lined: DataFrame) -> DataFrame:
 
 
 def _rare_pairs(lined: DataFrame, rare: DataFrame, min_words: int) -> DataFrame:
-    """d and early of the pairs whose common rare lines hold at least ``min_words`` words."""
+    """d, early and their common rare lines, of the pairs in which these hold at least ``min_words`` words."""
     other = rare.select("line", F.col("same").alias("other"))
     pairs = (rare.join(other, "line").filter("same < other").groupBy("same", "other")
-             .agg(F.sum("words").alias("n")).filter(F.col("n") >= min_words))
+             .agg(F.sum("words").alias("n"), F.collect_list("line").alias("rare")).filter(F.col("n") >= min_words))
     first = lined.groupBy(_same()).agg(F.min("d").alias("d"))
     return (pairs.join(first, "same").join(first.select(F.col("same").alias("other"), F.col("d").alias("e")), "other")
-            .select(F.greatest("d", "e").alias("d"), F.least("d", "e").alias("early")))
+            .select(F.greatest("d", "e").alias("d"), F.least("d", "e").alias("early"), "rare"))
 
 
 def deletions(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -226,13 +226,13 @@ def deletions(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
              .filter("early <> latest").select("run", "early"))
     pairs = (long_enough.join(first, "run").filter("d <> early")
              .select("d", "early"))
-    rare = _rare_lines(lined)
-    pairs = pairs.unionByName(_rare_pairs(lined, rare, min_words)).distinct()
+    # a pair found by runs alone has too few rare lines in common for them to decide anything
+    pairs = pairs.unionByName(_rare_pairs(lined, _rare_lines(lined), min_words), allowMissingColumns=True)
+    pairs = pairs.groupBy("d", "early").agg(F.max("rare").alias("rare"))
     once = lined.dropDuplicates(["d"])
-    of_doc = rare.groupBy("same").agg(F.collect_list("line").alias("rare"))
-    late = once.select("d", F.col("lines").alias("b"), "words", "at", _same())
+    late = once.select("d", F.col("lines").alias("b"), "words", "at")
     early = once.select(F.col("d").alias("early"), F.col("lines").alias("a"))
-    both = (pairs.join(early, "early").join(late, "d").join(of_doc, "same", "left")
+    both = (pairs.join(early, "early").join(late, "d")
             .select("d", "a", "b", "words", "at", "rare"))
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
