@@ -5,10 +5,11 @@ over words and word beginnings; each model also sees the probabilities of the
 categories before it.  In training these come from models that have not seen
 the document (out-of-fold, FOLDS folds), in scoring from the models of all rows.
 
-Only the label ``toxic`` is given.  The earlier categories are read off it: a
-document labelled toxic belongs to a category where it holds one of the category's
-seed words.  The last link of the chain is the label itself, over all
-languages, and its probability decides.
+Only the label ``toxic`` is given.  The earlier categories are found in the labelled
+sample: its toxic documents are clustered (spherical k-means) by the features that
+tell toxic documents from others, and each of the KINDS clusters, which share
+words and so languages or kinds of abuse, is a category, the largest first.  The last
+link of the chain is the label itself, and its probability decides.
 
 Training takes TRAIN_DOCS labelled documents at most (a bounded sample, picked
 by hash) to the driver as sets of word hashes; a model keeps the TOP
@@ -31,8 +32,8 @@ from pyspark.sql import functions as F
 
 from credspark.llm.common import PUNCTUATION, Words, labelled, passes, small_batches
 
-CATEGORIES = (("insult", ("idiot", "moron", "loser", "clown", "scum")),
-              ("contempt", ("stupid", "pathetic", "worthless", "disgusting", "trash")))
+#: Categories that are found before the label, and features that they are found by.
+KINDS, TELLING = 3, 200
 FINAL = "toxic"
 TRAIN_DOCS = 4000
 TOP, FOLDS = 300, 3
@@ -79,6 +80,51 @@ class Linear:
         return 1 / (1 + np.exp(-np.clip(self.matrix(doc, f, n, before) @ self.weights, -30, 30)))
 
 
+def evidence(doc: np.ndarray, f: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Features, the difference of their shares among positives and others in standard errors (0 for rare ones), and
+    each entry's feature."""
+    pos, n = int(y.sum()), len(y)
+    ids, at, count = np.unique(f, return_inverse=True, return_counts=True)
+    hits = np.bincount(at, y[doc], len(ids))
+    p, q, all_ = hits / pos, (count - hits) / (n - pos), count / n
+    z = (p - q) / np.sqrt(all_ * (1 - all_ + 1 / n) * (1 / pos + 1 / (n - pos)))
+    z[count < 3] = 0
+    return ids, z, at
+
+
+def kinds_of(doc: np.ndarray, f: np.ndarray, toxic: np.ndarray, kinds: int = KINDS) -> np.ndarray:
+    """The cluster of every toxic document, 0 the largest; -1 for others and for those without a telling feature."""
+    out = np.full(len(toxic), -1)
+    if toxic.sum() in (0, len(toxic)):
+        return out
+    ids, z, at = evidence(doc, f, toxic)
+    told = np.lexsort((ids, -z))[:TELLING]
+    told = told[z[told] > 0]
+    column = np.full(len(ids), -1)
+    column[told] = np.arange(len(told))
+    hit = (column[at] >= 0) & (toxic[doc] > 0)
+    x = np.zeros((len(toxic), len(told)))
+    x[doc[hit], column[at[hit]]] = 1
+    size = np.linalg.norm(x, axis=1)
+    mine = np.flatnonzero(size > 0)
+    if not len(mine):
+        return out
+    x = x[mine] / size[mine, None]
+    centres = x[[int(np.argmax(size[mine]))]]
+    while len(centres) < min(kinds, len(mine)):     # the document least like all centres so far
+        centres = np.vstack((centres, x[int(np.argmin((x @ centres.T).max(axis=1)))]))
+    for _ in range(30):
+        own = np.argmax(x @ centres.T, axis=1)
+        sums = np.stack([x[own == k].sum(axis=0) for k in range(len(centres))])
+        fresh = sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-12)
+        if np.allclose(fresh, centres):
+            break
+        centres = fresh
+    rank = np.argsort(np.argsort(-np.bincount(own, minlength=len(centres)), kind="stable"))
+    out[mine] = rank[own]
+    return out
+
+
 def fit_linear(doc: np.ndarray, f: np.ndarray, y: np.ndarray, before: np.ndarray) -> Linear:
     """Newton steps with an L2 penalty over the TOP features whose share among positives differs most.
 
@@ -87,12 +133,8 @@ def fit_linear(doc: np.ndarray, f: np.ndarray, y: np.ndarray, before: np.ndarray
     pos, n = int(y.sum()), len(y)
     if pos in (0, n):
         return Linear(pos / n if n else 0.0, np.empty(0, np.uint64), np.empty(0))
-    ids, at, count = np.unique(f, return_inverse=True, return_counts=True)
-    hits = np.bincount(at, y[doc], len(ids))
-    p, q, all_ = hits / pos, (count - hits) / (n - pos), count / n
-    z = np.abs(p - q) / np.sqrt(all_ * (1 - all_ + 1 / n) * (1 / pos + 1 / (n - pos)))
-    z[count < 3] = 0
-    best = np.lexsort((ids, -z))[:TOP]
+    ids, z, _ = evidence(doc, f, y)
+    best = np.lexsort((ids, -np.abs(z)))[:TOP]
     model = Linear(pos / n, np.sort(ids[best]), np.empty(0))
     x = model.matrix(doc, f, n, before).astype(np.float64)
     penalty = np.full(x.shape[1], L2)
@@ -126,12 +168,9 @@ class Chain:
 def fit_chain(doc: np.ndarray, f: np.ndarray, toxic: np.ndarray, fold: np.ndarray) -> Chain:
     n = len(toxic)
     before, models, names = np.zeros((n, 0)), [], []
-    for name, seeds in (*CATEGORIES, (FINAL, None)):
-        y = toxic.astype(float)
-        if seeds:
-            has = np.zeros(n, bool)
-            has[doc[np.isin(f, features([" ".join(seeds)])[1])]] = True
-            y = y * has
+    kind = kinds_of(doc, f, toxic)
+    for number, name in enumerate([*(f"kind_{k + 1}" for k in range(KINDS)), FINAL]):
+        y = toxic.astype(float) if name == FINAL else (kind == number).astype(float)
         models.append(fit_linear(doc, f, y, before))
         names.append(name)
         unseen = np.zeros(n)
