@@ -14,16 +14,22 @@ from llm_helpers import SF_SMALL, no_python
 
 
 def brute_overlaps(docs, items):
-    split = lambda t: [w for w in re.split(r"[^\w]+|_", (t or "").lower()) if w]
+    unspaced = re.compile("([\u4e00-\u9fff\u3040-\u30ff\u0e00-\u0e7f])")
+    split = lambda t: [w for w in re.split(r"[^\w]+|_", unspaced.sub(r" \1 ", (t or "").lower())) if w]
     out = set()
     for i, t in docs:
         a = split(t)
         for k, u in items:
             b = split(u)
             width = min(D.WINDOW, len(b))
-            if len(b) < D.MIN_ITEM or not a:
+            if not a or not b:
                 continue
-            need = -(-width * 8 // 10) if len(b) >= D.WINDOW else width
+            if len(b) < D.WINDOW:       # the whole item, one word of 8 to 12 may differ
+                need = len(b) - (len(b) >= D.LOOSE_FROM)
+                if any(sum(x == y for x, y in zip(a[j:j + len(b)], b)) >= need for j in range(len(a) - len(b) + 1)):
+                    out.add((i, k))
+                continue
+            need = -(-width * 8 // 10)
             for shift in range(-len(b), len(a)):
                 eq = [0 <= j + shift < len(a) and a[j + shift] == b[j] for j in range(len(b))]
                 if any(sum(eq[s: s + width]) >= need for s in range(len(b) - width + 1)):
@@ -35,6 +41,8 @@ def brute_overlaps(docs, items):
 @pytest.fixture(scope="module")
 def leaks(words):
     items = [(k, " ".join(words(n))) for k, n in enumerate((40, 13, 25, 9, 5, 60))] + [(6, None), (7, ""), (0, None)]
+    items += [(20, "敏捷的棕色狐狸跳过了那只懒狗,然后回家睡觉去了今天天气好"), (21, " ".join(words(12))), (22, " ".join(words(8))),
+              (23, words(1)[0] + "x"), (24, "我们 agree"), (25, "สวัสดีชาวโลกทุกคน")]
     docs = []
     for i in range(40):
         body = words(80)
@@ -46,6 +54,14 @@ def leaks(words):
             start = i % max(1, len(passage) // 2)
             body[20:20] = passage[start:]
         docs.append((i, " ".join(body).capitalize().replace(" ", ", ", 3)))
+    zh, short = items[-6][1], {k: t for k, t in items if k in (21, 22)}
+    docs += [(100, f"前言{zh}结尾"), (101, zh.replace("狐", "猫")), (102, zh[:10]), (103, "今天我们agree了"), (104, "ภาษา" + items[-1][1])]
+    for k, t in short.items():
+        for cut in range(3):        # so many words differ
+            w = t.split()
+            w[1:1 + cut] = ["other"] * cut
+            docs.append((k * 10 + cut, " ".join([*words(5), *w, *words(5)])))
+    docs += [(400, items[-3 - 0][1] + " " + items[-4 + 1][1]), (401, items[8][1] or ""), (402, "a " + items[-3][1] + " b")]
     return docs, items
 
 
