@@ -109,7 +109,6 @@ def _search_query(model: str, resample=None):
 Q["tune_search"] = _search_query("lrc")
 Q["tune_search_smote"] = _search_query("lrc", RS.smote)
 Q["tune_search_svc"] = _search_query("svc")
-Q["tune_search_rfc"] = _search_query("rfc")
 
 
 def q_tune_threshold_trained(spark, d):
