@@ -47,10 +47,8 @@ def _as_array(df: DataFrame, features: str = "features") -> DataFrame:
 
 def _nearest(q: pd.DataFrame, ref: pd.DataFrame, k: int) -> pd.DataFrame:
     """The k nearest (by distance, then id) among the ids of one block of reference vectors, for every query vector."""
-    if not len(q):
-        return pd.DataFrame({"qkey": [], "near": []})
-    if not len(ref):
-        return pd.DataFrame({"qkey": q["qkey"], "near": [[] for _ in range(len(q))]})
+    if not len(q) or not len(ref):
+        return pd.DataFrame({"qkey": q["qkey"], "near": pd.Series([[] for _ in range(len(q))], q.index, dtype=object)})
     m, x = np.stack(ref["rx"].to_numpy()), np.stack(q["qx"].to_numpy())
     ids = [[(int(i["id"]), int(i["label"])) for i in row] for row in ref["ids"]]
     out, kk = [], min(k, len(ids))

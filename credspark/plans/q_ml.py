@@ -106,7 +106,8 @@ def _search_query(model: str, resample=None):
     return q
 
 
-Q["tune_search"] = _search_query("lrc")
+q_tune_search = _search_query("lrc")
+Q["tune_search"] = q_tune_search
 Q["tune_search_smote"] = _search_query("lrc", RS.smote)
 Q["tune_search_svc"] = _search_query("svc")
 
@@ -211,7 +212,7 @@ PERM_COLS = [c for c in APPLICATION_COLUMNS if c not in (K.ROW_ID, K.TARGET)]
 def q_permutation_importance(spark, d):
     tr, te = _sides(spark, d)
     m = M.train_logistic(tr)
-    return round_doubles(TU.permutation_importance(m.transform, te, PERM_COLS))
+    return round_doubles(TU.permutation_importance(m, te, PERM_COLS))
 
 
 Q["permutation_importance"] = q_permutation_importance

@@ -12,9 +12,10 @@ from __future__ import annotations
 import datetime as dt
 import json
 import os
+import random
+import time
 import uuid
 
-from py4j.protocol import Py4JJavaError
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -91,22 +92,26 @@ def runs_leaderboard(runs: DataFrame, metrics: list[str], order_by: str, ascendi
 
 
 def _claim_version(spark: SparkSession, root: str, name: str, above: int) -> int:
-    """The next version number of ``name``, claimed for this writer alone: its claim file is created, which fails
-    where one exists.  Claims of writers that never published are skipped, as are folders without a claim."""
-    jvm = spark._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(os.path.join(root, "models", name))
+    """The next version number of ``name``, claimed for this writer alone.
+
+    A writer puts a claim file of its own beside the versions and then looks: with no other claim or folder of that
+    number there, it is the writer's; otherwise it takes its claim back and tries again.  Of two writers the later to
+    look sees the earlier, so never two win, on any store whose listings show what was written before (an exclusive
+    create would not do: not every file system has one).  Numbers of writers that never published are skipped."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(os.path.join(root, "models", name))
     fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
     fs.mkdirs(folder)
-    taken = [str(f.getPath().getName()).split(".")[0] for f in fs.listStatus(folder)]
-    version = max([above, *[int(t) for t in taken if t.isdigit()]]) + 1
+    listing = lambda: [str(f.getPath().getName()) for f in fs.listStatus(folder)]
     while True:
-        try:
-            fs.create(jvm.org.apache.hadoop.fs.Path(folder, f"{version}.claim"), False).close()
+        numbers = [int(n.split(".")[0]) for n in listing() if n.split(".")[0].isdigit()]
+        version = max([above, *numbers]) + 1
+        mine = f"{version}.{uuid.uuid4().hex}.claim"
+        claim = spark._jvm.org.apache.hadoop.fs.Path(folder, mine)
+        fs.create(claim, False).close()
+        if not [n for n in listing() if n.split(".")[0] == str(version) and n != mine]:
             return version
-        except Py4JJavaError as e:
-            if "AlreadyExists" not in str(e.java_exception):
-                raise
-            version += 1
+        fs.delete(claim, False)
+        time.sleep(random.uniform(0.0, 0.2))
 
 
 def _publish(spark: SparkSession, root: str, row: tuple) -> None:
@@ -128,8 +133,8 @@ def register_model(model: PipelineModel, spark: SparkSession, root: str, name: s
                    run_id: str | None = None) -> DataFrame:
     """Save a fitted pipeline as the next version of ``name``; returns the new version row.
 
-    A number is claimed first, by creating a file that must not exist, then the
-    model is saved under it, and only then is the version listed.  A writer that
+    A number is claimed first, then the model is saved under it, and only then is
+    the version listed.  A writer that
     fails in between leaves a claim and perhaps files, which no reader sees and
     the next writer passes over; two writers never get one number, and a stored
     version is never overwritten.  A versions table that cannot be read is an error."""

@@ -130,3 +130,16 @@ def test_stream_with_trained_models_equals_batch(spark, sf):
     batch = EN.predict_threshold(EN.soft_vote(M.score_models(models, te)))
     want = {r["row_id"]: (r["ensemble_pred"], round(r["ensemble_proba"], 9)) for r in batch.collect()}
     assert got == want and len(got) == te.count()
+
+
+def test_entry_without_optional_libraries():
+    """An absent library of the training-data operators costs their queries only."""
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = ("import sys; sys.modules['tokenizers'] = None; sys.modules['xxhash'] = None; import __spark_entry__ as E;"
+            "q = E.queries(); print(len(q) > 100, 'pipeline' in q, any(k.startswith('op1') for k in q), len(E.oracle_sql()) > 90)")
+    got = subprocess.run([sys.executable, "-W", "ignore", "-c", code], cwd=root, capture_output=True, text=True, timeout=120)
+    assert got.stdout.split() == ["True", "False", "False", "True"], got.stderr

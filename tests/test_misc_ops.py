@@ -123,10 +123,10 @@ def test_register_model_after_a_crash_and_beside_other_writers(spark, tmp_path):
     assert RG.register_model(model, spark, root, "m").first()["version"] == 3      # 2 is claimed and never listed
     with ThreadPool(4) as pool:
         got = pool.map(lambda _: RG.register_model(model, spark, root, "m").first()["version"], range(6))
-    assert sorted(got) == [4, 5, 6, 7, 8, 9]
+    assert len(set(got)) == 6 and min(got) > 3
     listed = sorted(r["version"] for r in RG.model_versions(spark, root).collect())
-    assert listed == [1, 3, 4, 5, 6, 7, 8, 9]
-    assert RG.resolve_model_version(RG.model_versions(spark, root)).first()["version"] == 9
+    assert listed == [1, 3, *sorted(got)]
+    assert RG.resolve_model_version(RG.model_versions(spark, root)).first()["version"] == max(got)
 
 
 def test_two_group_tests_want_two_groups(spark):

@@ -2,6 +2,7 @@
 
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -194,3 +195,45 @@ def test_feature_target_association_sorted(spark):
     assert [r["abs_correlation"] for r in out] == sorted([r["abs_correlation"] for r in out], reverse=True)
     assert {r["method"] for r in out} == {"point_biserial", "cramers_v"}
     assert F is not None
+
+
+def test_correlations_of_a_wide_table_with_gaps(spark, monkeypatch):
+    """300 columns with missing values: one plan of a fixed size, equal to pairwise numpy."""
+    from credspark.operators import stattests as ST
+    rng = np.random.default_rng(6)
+    d = 300
+    x = rng.normal(size=(200, d)) + 1000.0
+    x[:, 1] = -x[:, 0] + 0.01 * rng.normal(size=200)
+    x[:, 7] = 5.0                                   # constant
+    gaps = rng.random((200, d)) < 0.1
+    cols = [f"c{i}" for i in range(d)]
+    rows = [tuple(None if g else float(v) for v, g in zip(r, q)) for r, q in zip(x, gaps)]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in cols)).repartition(4).cache()
+    monkeypatch.setattr(ST, "PRODUCT_ROWS", 128)    # three passes
+    got = {(r["feature_1"], r["feature_2"]): r["correlation"] for r in ST.correlated_pairs(df, cols, 0.25).collect()}
+    want = {}
+    for i in range(d):
+        for j in range(i + 1, d):
+            both = ~(gaps[:, i] | gaps[:, j])
+            if 7 not in (i, j):
+                r = np.corrcoef(x[both, i], x[both, j])[0, 1]
+                if abs(r) >= 0.25:
+                    want[cols[i], cols[j]] = r
+    assert set(got) == set(want) and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+
+
+@pytest.mark.parametrize("n", [8, 9, 127, 128, 129, 131, 400, 3001])
+def test_score_sums_equal_sums_of_scores(spark, n):
+    from pyspark.sql import functions as F
+
+    from credspark.functions.distributions import norm_ppf
+    from credspark.operators import stattests as ST
+    m = norm_ppf((np.arange(1, n + 1) - 0.375) / (n + 0.25))
+    ends = ST.end_scores(spark.createDataFrame([("v", n, 0.0)], "variable string, n long, mean double"), ["variable"])
+    assert ends.first()["summ2"] == pytest.approx((m * m).sum(), rel=1e-11)
+    rng = np.random.default_rng(n)
+    spans = [(3, n - 2), (1, 1), (n, n), (5, 4), *map(tuple, np.sort(rng.integers(1, n + 1, (40, 2)), axis=1).tolist())]
+    rows = spark.createDataFrame([("v", *s) for s in spans], "variable string, lo long, hi long").join(ends, "variable")
+    for r in ST.score_sums(rows).select("lo", "hi", "scores").collect():
+        assert r["scores"] == pytest.approx(m[r["lo"] - 1:r["hi"]].sum(), abs=1e-9), (r["lo"], r["hi"])
+    assert F is not None
