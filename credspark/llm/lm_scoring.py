@@ -9,7 +9,7 @@
    longest match in a public tokenizer's vocabulary; the file is a parameter) and
    writes a row for each document: ids, sums over hot words, its other words.
 3. ``ROUNDS`` rounds train the model on the written ids: a document belongs to
-   one round, every ``SHARE``-th window of each training document is taken,
+   one round, all its windows are taken (``share``: every so many-th of them, a caller's choice),
    each task trains from the last round's parameters, and their mean, weighted
    by windows and merged in two levels, goes to the next round.
 4. Every text is scored by overlapping windows; each id is a target once.
@@ -45,7 +45,7 @@ HOT_SHARE = 1 << 20
 #: Words that a task adds up before it sends them on.
 GATHERED = 4_000_000
 #: Subword ids, rounds of training, the share of windows trained on, rate of the first and last round.
-SUBWORDS, ROUNDS, SHARE, RATE, LAST_RATE = 2047, 4, 8, 0.01, 0.002
+SUBWORDS, ROUNDS, SHARE, RATE, LAST_RATE = 2047, 4, 1, 0.01, 0.002
 
 
 _LOWER = np.arange(256, dtype=np.uint8)

@@ -159,3 +159,13 @@ def test_number_of_subwords(make_docs):
         w = L.lower_words([text])
         want = int(cut(w.buf, w.first, w.last)[1].sum()) + 1
         assert L.lm_scores(make_docs([(0, text)]), FILE, rounds=0).first()["n_subwords"] == want
+
+
+def test_every_window_is_trained_on(spark):
+    """By default each id of the training rows of a round is a target once."""
+    import pyarrow as pa
+
+    ids = [np.arange(n, dtype=np.uint16) % 7 for n in (1, 16, 17, 400)]
+    batch = pa.RecordBatch.from_arrays([pa.array([x.tobytes() for x in ids], pa.binary()), pa.array([0, 1, 2, 3])], ["ids", "row"])
+    run = L._trainer(A.initial(np.ones(8)), 8, L.SHARE, 0.01, 1)
+    assert [b.column(1).to_pylist() for b in run(iter([batch]))] == [[434]]
