@@ -216,9 +216,9 @@ def q_stream_soft_vote(spark, d):
     and threshold run as a Structured Streaming query into a Parquet sink."""
     from credspark.streaming.score_stream import read_stream, run_to_sink, stream_transform
     src = scratch(spark, "stream-src")
-    apps(spark, d).repartition(4).write.parquet(src)
+    apps(spark, d).write.parquet(src)        # as many files as the scan has parts
     schema = spark.read.parquet(src).schema
-    stream = stream_transform(read_stream(spark, src, schema, 1),
+    stream = stream_transform(read_stream(spark, src, schema),
                               lambda df: EN.predict_threshold(EN.soft_vote(score_columns(df))))
     sink = scratch(spark, "stream-sink")
     run_to_sink(stream.select("row_id", "class", "ensemble_proba", "ensemble_pred"), sink,
