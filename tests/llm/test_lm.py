@@ -2,6 +2,7 @@
 
 import math
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -169,3 +170,44 @@ def test_every_window_is_trained_on(spark):
     batch = pa.RecordBatch.from_arrays([pa.array([x.tobytes() for x in ids], pa.binary()), pa.array([0, 1, 2, 3])], ["ids", "row"])
     run = L._trainer(A.initial(np.ones(8)), 8, L.SHARE, 0.01, 1)
     assert [b.column(1).to_pylist() for b in run(iter([batch]))] == [[434]]
+
+
+def peak(work):
+    """Most bytes that ``work`` holds at a time beyond what was there."""
+    tracemalloc.start()
+    try:
+        work()
+        return tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_windows_are_cut_without_tables_of_places():
+    """Time goes with the memory that is written: little more than the windows themselves."""
+    sizes = np.random.default_rng(2).integers(1, 400, 400)
+    ids = np.arange(sizes.sum(), dtype=np.int64) % 50
+    inputs, targets, _ = A.windows(ids, sizes, 50)
+    assert peak(lambda: A.windows(ids, sizes, 50)) < 2 * (inputs.nbytes + targets.nbytes)
+
+
+def test_a_gradient_step_works_in_arrays_it_keeps():
+    rng = np.random.default_rng(6)
+    t = A.Trainer(A.initial(rng.integers(0, 40, 2048)), 0.01)
+    inputs, targets, _ = A.windows(rng.integers(0, 2048, A.BATCH * A.STEP), np.array([A.BATCH * A.STEP]), 2048)
+    t.fit(inputs, targets)
+    assert peak(lambda: t.fit(inputs, targets)) < targets.size * 4 * (A.CLASS + A.WIDTH)
+
+
+def test_texts_without_ids_have_no_windows():
+    ids, sizes = np.arange(33), np.array([0, 16, 0, 1, 16, 0])
+    inputs, targets, text = A.windows(ids, sizes, 50)
+    assert text.tolist() == [1, 3, 4] and targets[targets >= 0].tolist() == ids.tolist()
+    assert [row[A.BACK - 1:A.BACK + 2].tolist() for row in inputs] == [[51, 50, 0], [51, 50, 16], [51, 50, 17]]
+    assert [len(x) for x in A.windows(ids[:0], sizes[:1], 50)] == [0, 0, 0]
+
+
+def test_columns_of_odd_repeats_are_summed_by_id():
+    rows, ids = np.arange(40.0, dtype=np.float32).reshape(10, 4), np.array([3, 0, 3, 3, 1, 0, 5, 5, 1, 3])
+    out = np.full((6, 4), 9, np.float32)
+    A._spread(rows, ids, out, A.Room().of({"seen": out}))
+    assert out.tolist() == [rows[ids == k].sum(axis=0).tolist() for k in range(6)]
