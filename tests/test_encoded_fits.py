@@ -107,6 +107,26 @@ def test_a_learning_curve_of_regressions_shares_its_passes(train, monkeypatch):
     assert len(single) == 6 and len(gain) == 1 and 0.3 < gain[0]["auc_baseline"] < 1
 
 
+def test_a_search_of_regressions_encodes_no_fold(train, monkeypatch, tmp_path):
+    rows = train.drop("part")
+    encoded = []
+    matrices = TU.fold_matrices
+    monkeypatch.setattr(TU, "fold_matrices", lambda *a: encoded.append(1) or matrices(*a))
+    trials, best = TU.tune_search(rows, "lrc", n_trials=3, folds=3)
+    assert not encoded
+    got = {r["trial"]: r["score"] for r in trials.collect()}
+    monkeypatch.setattr(TU, "_shared_search", lambda *a: None)
+    other, _ = TU.tune_search(rows, "lrc", n_trials=3, folds=3)
+    assert encoded and got == pytest.approx({r["trial"]: r["score"] for r in other.collect()}, abs=1e-4)
+    # the last fit is on all rows and can be kept as any other model
+    best.write().overwrite().save(str(tmp_path / "model"))
+    draw = TU.sample_space(K.LRC_SPACE, 3, 8)[max(got, key=lambda k: (got[k], -k))]
+    single = M.train_logistic(rows, C=draw["C"], class_weight=draw["class_weight"])
+    score = lambda m: np.array([r["proba"] for r in m.transform(rows).orderBy("row_id").collect()])
+    kept = M.PipelineModel.load(str(tmp_path / "model"))
+    assert np.array_equal(score(best), score(kept)) and np.abs(score(best) - score(single)).max() < 0.02
+
+
 def test_rows_that_cannot_be_coded_are_fitted_one_by_one(train, monkeypatch):
     rows = kfold_assign(train.drop("part"), 3, name="part")
     gaps = rows.withColumn("credit_amount", F.when(F.col("row_id") % 5 > 0, F.col("credit_amount")))
